@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
-from . import decontaminate, mixing, sharding, topk
+from . import decontaminate, htmltext, langid, mixing, pii, sharding, tokens, topk
 
 
 def queries() -> dict:
     return {
+        "op1_pii": pii.query,
         "op3_decontaminate": decontaminate.query,
+        "op4_language_id": langid.query,
         "op5_mix_sources": mixing.query,
         "op7_shard_slots": sharding.query,
         "op8_topk_norm_buckets": topk.query,
+        "op9_prefix_tokens": tokens.query,
+        "op10_main_text": htmltext.query,
     }
 
 
