@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import decontaminate, htmltext, langid, mixing, pii, sharding, tokens, topk
+from . import decontaminate, htmltext, langid, linededup, mixing, pii, sharding, tokens, topk
 
 
 def queries() -> dict:
     return {
         "op1_pii": pii.query,
+        "op2_line_templates": linededup.query,
         "op3_decontaminate": decontaminate.query,
         "op4_language_id": langid.query,
         "op5_mix_sources": mixing.query,
@@ -20,6 +21,7 @@ def queries() -> dict:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op2_line_templates": linededup.SQL,
         "op3_decontaminate": decontaminate.SQL,
         "op8_topk_norm_buckets": topk.SQL,
     }
