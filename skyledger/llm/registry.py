@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, htmltext, langid, linededup, mixing, pii, sharding, tokens, topk
+from . import decontaminate, htmltext, langid, linededup, mixing, ngramjoin, pii, sharding, tokens, topk
 
 
 def queries() -> dict:
@@ -12,6 +12,7 @@ def queries() -> dict:
         "op3_decontaminate": decontaminate.query,
         "op4_language_id": langid.query,
         "op5_mix_sources": mixing.query,
+        "op6_ngram_jaccard": ngramjoin.query,
         "op7_shard_slots": sharding.query,
         "op8_topk_norm_buckets": topk.query,
         "op9_prefix_tokens": tokens.query,
@@ -23,5 +24,6 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op2_line_templates": linededup.SQL,
         "op3_decontaminate": decontaminate.SQL,
+        "op6_ngram_jaccard": ngramjoin.SQL,
         "op8_topk_norm_buckets": topk.SQL,
     }

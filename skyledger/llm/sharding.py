@@ -139,7 +139,9 @@ def shard_documents(
     df = df.withColumn("_place", F.row_number().over(place)).join(
         starts, F.expr("virtual_slot = _s AND _part = _p")
     )
-    return df.withColumn("slot", F.col("_start") + F.col("_place") - 1).drop("_part", "_s", "_p", "_start", "_place")
+    df = df.withColumn("slot", F.col("_start") + F.col("_place") - 1)
+    added = ["size", "text_crc32", "virtual_slot", "map_version", "shard", "slot"]
+    return df.select(*[f"`{c}`" for c in docs.columns if c.lower() not in added], *added)
 
 
 def query(spark, sf_dir: str) -> DataFrame:
