@@ -193,7 +193,7 @@ def top_k(
 def _matrix(t: pa.Table, dim: int) -> tuple[np.ndarray, np.ndarray]:
     values = t.column("v").combine_chunks()
     flat = values.flatten() if isinstance(values, pa.ListArray | pa.LargeListArray) else pa.concat_arrays([c.flatten() for c in values.chunks])
-    return t.column("vec_id").to_numpy(), flat.to_numpy(zero_copy_only=False).reshape(-1, dim)
+    return t.column("vec_id").to_numpy(), flat.to_numpy(zero_copy_only=False).reshape(t.num_rows, dim)
 
 
 def query(spark, sf_dir: str) -> DataFrame:
