@@ -197,3 +197,50 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
 
 def query(spark, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+SQL = r"""
+WITH docs AS (
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+    CAST('0x' || substr(md5('17:' || coalesce(CAST(doc_id AS VARCHAR), 'null')), 1, 15) AS BIGINT) AS h
+  FROM documents
+), buckets AS (
+  SELECT greatest(1, CAST(ceil(count(*) / 2000.0) AS BIGINT)) AS b FROM docs
+), sources AS (
+  SELECT *, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS i
+  FROM (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM docs GROUP BY source)
+), weighted AS (
+  SELECT *, i % 3 + 1 AS weight, CAST(sum(source_size) OVER () AS BIGINT) AS total, count(*) OVER () AS parties FROM sources
+), levels AS (
+  SELECT *, (total - coalesce(sum(3 * source_size) OVER (ORDER BY source_size / weight, i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+    / sum(weight) OVER (ORDER BY source_size / weight, i ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+  FROM weighted
+), level AS (
+  SELECT max(CASE WHEN NOT 3 * source_size <= weight * level THEN level END) AS level FROM levels
+), targets AS (
+  SELECT w.*, coalesce(least(CAST(3 * source_size AS DOUBLE), weight * l.level), CAST(3 * source_size AS DOUBLE)) AS target,
+    CAST(ceil(source_size / 16) AS BIGINT) AS n_blocks, greatest(CAST(ceil(total / 16) AS BIGINT), parties) AS house
+  FROM weighted w, level l
+), shares AS (
+  SELECT *, CASE WHEN sum(target) OVER () > 0 THEN target / sum(target) OVER () ELSE 0 END AS share FROM targets
+), brackets AS (
+  SELECT *, least(greatest(CAST(floor(share * greatest(house - parties, 0) - 0.5) AS BIGINT), 0), 3 * n_blocks) AS low,
+    least(CAST(ceil(share * (house + parties) + 0.5) AS BIGINT), 3 * n_blocks) AS high FROM shares
+), seats AS (
+  SELECT i, target, house, (SELECT sum(low) FROM brackets) AS sure, unnest(generate_series(low + 1, high)) AS j FROM brackets
+), ranked AS (
+  SELECT *, row_number() OVER (ORDER BY target / (2 * j - 1) DESC, i, j) AS rank FROM seats
+), quotas AS (
+  SELECT b.*, b.low + (SELECT count(*) FROM ranked r WHERE r.i = b.i AND r.rank <= r.house - r.sure AND r.target > 0) AS quota,
+    CASE WHEN n_blocks > 0 THEN CAST('0x' || substr(md5('17:' || coalesce(source, 'null')), 1, 15) AS BIGINT) % n_blocks ELSE 0 END AS turn
+  FROM brackets b
+), placed AS (
+  SELECT d.*, sum(size) OVER (PARTITION BY source ORDER BY h % b, h, doc_id NULLS LAST, size ROWS UNBOUNDED PRECEDING) AS z
+  FROM docs d, buckets
+)
+SELECT p.doc_id, p.size, q.source_size, q.target, CAST((
+    SELECT sum(greatest(0, least(p.z, q.source_size, greatest(0, q.turn + q.quota - l * q.n_blocks) * 16)
+      - greatest(p.z - p.size, least(q.source_size, greatest(0, q.turn - l * q.n_blocks) * 16))))
+    FROM (VALUES (0), (1), (2), (3)) laps(l)) AS BIGINT) AS taken
+FROM placed p JOIN quotas q ON p.source IS NOT DISTINCT FROM q.source
+"""

@@ -24,6 +24,7 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op2_line_templates": linededup.SQL,
         "op3_decontaminate": decontaminate.SQL,
+        "op5_mix_sources": mixing.SQL,
         "op6_ngram_jaccard": ngramjoin.SQL,
         "op8_topk_norm_buckets": topk.SQL,
     }
