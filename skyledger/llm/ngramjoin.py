@@ -14,8 +14,8 @@ rank, so the table that is broadcast holds at most ``MAX_RANKED`` of them, the m
 frequent ones; all others are ordered by hash.
 
 Sets that are equal are one node.  A group of near copies is not expanded into all
-pairs: every prefix list first links its members to one pivot, and only members whose
-components still differ after that are paired with each other.  So every pair that
+pairs: every prefix list first links its members to a few pivots, and only members
+whose components still differ after that are paired with each other.  So every pair that
 passes the filters is either verified or already connected, and the components are
 exact.
 """
@@ -38,6 +38,8 @@ COUNT_SHIFT = 24
 LEAST_RANKED = 8
 SKETCH = [f"s{i}" for i in range(8)]
 _KEPT_WORDS = 400_000
+#: Members of a list, besides the earliest one, that the others are first compared with.
+PIVOTS = 5
 
 _MIX = [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63, 0xD6E8FEB86659FD93]
 _words: dict[bytes, int] = {}
@@ -242,11 +244,14 @@ def link_components(
     sketches = some.groupBy("set_key").agg(*[F.first(s).alias(s) for s in SKETCH])
     postings = materialize(lists.join(sketches, "set_key"), "postings")
 
-    # First every list's members with its pivot, the member that has the shingle earliest in its order:
-    # an original has fewer rare shingles than its near copies.
-    pivots = postings.groupBy("tok").agg(F.min(F.struct("pos", "n", "set_key", *SKETCH)).alias("p"))
+    # First every list's members with its pivots: the member that has the shingle earliest in its order, as an
+    # original has fewer rare shingles than its near copies, and some that a hash picks for each list anew.
+    member = F.struct("pos", "n", "set_key", *SKETCH)
+    picks = [F.min_by(member, F.xxhash64("tok", "set_key", F.lit(i))).alias(f"p{i}") for i in range(PIVOTS)]
+    pivots = postings.groupBy("tok").agg(F.min(member).alias("p"), *picks)
+    pivots = pivots.select(F.col("tok").alias("t"), F.explode(F.array_distinct(F.array("p", *[f"p{i}" for i in range(PIVOTS)]))).alias("p"))
     star = postings.alias("x").join(
-        pivots.select(F.col("tok").alias("t"), "p.*").alias("y"),
+        pivots.select("t", "p.*").alias("y"),
         F.expr(f"x.tok = y.t AND x.set_key <> y.set_key AND {_passes(percent, 'x', 'y')}"),
     )
     pair = [F.expr("least(x.set_key, y.set_key)").alias("a"), F.expr("greatest(x.set_key, y.set_key)").alias("b")]
