@@ -12,18 +12,17 @@ questions read the table and encode nothing again.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
 
+import ahocorasick
 import numpy as np
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import add_columns, table
 
 SPACE = "▁"
-#: Distinct words whose tables a worker keeps; beyond it they are forgotten and made again.
-KEPT_WORDS = 300_000
+#: Distinct words whose counts a worker keeps; beyond it they are forgotten and made again.
+KEPT_WORDS = 700_000
 
 
 class PrefixCounter:
@@ -41,13 +40,20 @@ class PrefixCounter:
         ids = range(sp.vocab_size())
         skip = {i for i in ids if sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i) or sp.is_unused(i)}
         self.scores = {sp.id_to_piece(i): sp.get_score(i) for i in ids if i not in skip}
-        if any(SPACE in p.lstrip(SPACE) for p in self.scores):
-            raise ValueError("a piece goes over the start of a word")
+        if any(SPACE in p.lstrip(SPACE) or "\n" in p for p in self.scores):
+            raise ValueError("a piece goes over the start of a word or line")
         if sp.normalize(" a  Åﬁ\n") != SPACE * 2 + "a" + SPACE * 2 + "Åﬁ\n":
             raise ValueError("the model changes texts")
         self.longest = max(map(len, self.scores))
-        self.fits: dict[tuple[str, str], bool] = {}
-        self.tables: dict[str, tuple[int, ...]] = {}
+        self.pieces = list(self.scores)
+        self.letters = {p for p in self.pieces if len(p) == 1}
+        # Every occurrence of a piece in a word, the longest of an end first.
+        self.finder = ahocorasick.Automaton()
+        for i, p in enumerate(self.pieces):
+            self.finder.add_word(p, (len(p), i))
+        self.finder.make_automaton()
+        self.fits: dict[int, bool] = {}
+        self.totals: dict[str, int] = {}
 
     def merged(self, text: str) -> list[str]:
         """Merges by score, ties leftmost, until no neighbours make a piece."""
@@ -62,59 +68,74 @@ class PrefixCounter:
                 return parts
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
 
-    def compatible(self, a: str, b: str) -> bool:
-        known = self.fits.get((a, b))
+    def compatible(self, a: int, b: int) -> bool:
+        """Whether two pieces stay apart when their texts are merged; a = -1 asks whether b comes of its own text."""
+        key = (a << 20) | b
+        known = self.fits.get(key)
         if known is None:
             if len(self.fits) > 2_000_000:
                 self.fits.clear()
-            known = self.fits[a, b] = self.merged(a + b) == [a, b]
+            parts = [self.pieces[b]] if a < 0 else [self.pieces[a], self.pieces[b]]
+            known = self.fits[key] = self.merged("".join(parts)) == parts
         return known
 
-    def cost(self, token: str) -> int:
-        return 1 if token in self.scores else len(token.encode("utf-8", "replace"))
-
-    def word(self, text: str) -> tuple[int, ...]:
-        """The counts at prefixes 1 ... len(text) of a word that starts with its spaces."""
-        done = self.tables.get(text)
-        if done is not None:
-            return done
-        scores, longest, compatible = self.scores, self.longest, self.compatible
-        last, counts = [""], [0]
-        for end in range(1, len(text) + 1):
-            for start in range(max(0, end - longest), end):
-                token = text[start:end]
-                if (token in scores or start == end - 1) and (start == 0 or compatible(last[start], token)):
-                    if start == 0 and end > 1 and token not in scores:
-                        continue
-                    last.append(token)
-                    counts.append(counts[start] + (1 if token in scores else self.cost(token)))
-                    break
-        if len(self.tables) >= KEPT_WORDS:
-            self.tables.clear()
-        done = self.tables[text] = tuple(counts[1:])
+    def word(self, text: str) -> list[int]:
+        """The counts at prefixes 0 ... len(text) of a word that starts with its spaces."""
+        if not self.letters.issuperset(text):
+            return self._with_unknown(text)
+        n = len(text)
+        counts, last = [0] * (n + 1), [-1] * (n + 1)
+        get, compatible = self.fits.get, self.compatible
+        for end, (size, piece) in self.finder.iter(text):
+            end += 1
+            if last[end] >= 0:
+                continue
+            start = end - size
+            before = last[start]
+            ok = get((before << 20) | piece)
+            if ok is None:
+                ok = compatible(before, piece)
+            if ok:
+                last[end] = piece
+                counts[end] = counts[start] + 1
+        return counts
+
+    def _with_unknown(self, text: str) -> list[int]:
+        """The same for words with characters that are no piece: these cost their bytes and part the word."""
+        counts = [0]
+        for part in re.split(f"([^{re.escape(''.join(sorted(set(text) & self.letters)))}])" if set(text) & self.letters else "(.)", text, flags=re.S):
+            if not part:
+                continue
+            if part in self.letters or self.letters.issuperset(part):
+                counts += [counts[-1] + c for c in self.word(part)[1:]]
+            else:
+                counts.append(counts[-1] + len(part.encode("utf-8", "replace")))
+        return counts
+
+    def total(self, text: str) -> int:
+        if len(self.totals) >= KEPT_WORDS:
+            self.totals.clear()
+        done = self.totals[text] = self.word(text)[-1]
         return done
 
-    _words = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
+    #: A line feed is no piece and so a word of its own.
+    _words = re.compile(f"\n|{SPACE}*[^{SPACE}\n]+|{SPACE}+")
 
     def words(self, text: str) -> list[str]:
         return self._words.findall(SPACE + text.replace(" ", SPACE)) if text else []
 
     def count(self, text: str) -> int:
-        get, word = self.tables.get, self.word
-        return sum([(get(w) or word(w))[-1] for w in self.words(text)])
+        get, total = self.totals.get, self.total
+        return sum([get(w) or total(w) for w in self.words(text)])
 
     def prefixes(self, text: str) -> np.ndarray:
         """Exact count at every prefix: entry i is that of ``text[:i]``, entry 0 is 0."""
-        out = np.zeros(len(text) + 1, dtype=np.int64)
-        at, before = 0, 0
+        out = [0]  # of the leading space alone, which no prefix of the text is
         for w in self.words(text):
-            counts = np.array(self.word(w), dtype=np.int64) + before
-            if at == 0:  # the first sign is the leading space, which the empty prefix lacks
-                counts = counts[1:]
-            out[at + 1 : at + 1 + len(counts)] = counts
-            at += len(counts)
-            before = int(self.word(w)[-1]) + before
-        return out
+            out += [out[-1] + c for c in self.word(w)[1:]] if len(out) > 1 else self.word(w)[1:]
+        table = np.array(out if text else [0, 0], dtype=np.int64)
+        table[1] = 0  # the empty prefix has no token
+        return table[1:]
 
     def cut(self, text: str, budget: int) -> int:
         """Length of the longest prefix of at most ``budget`` tokens."""
