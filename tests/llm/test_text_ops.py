@@ -176,7 +176,7 @@ def test_main_text_on_held_out_pages():
     for page, labels in pages:
         found = htmltext.blocks(page)
         assert len(found) == len(labels)
-        got = crf.decode(htmltext.features(found))
+        got = crf.decode(htmltext.features(found), htmltext.relations(found))
         right += sum(a == b for a, b in zip(got, labels, strict=True))
         total += len(labels)
     assert right / total >= 0.98
@@ -186,11 +186,11 @@ def test_viterbi_is_the_best_path():
     r = random.Random(4)
     for _ in range(200):
         n = r.randint(1, 8)
-        s, same = [r.uniform(-2, 2) for _ in range(n)], r.uniform(-1, 1)
+        s, same, between = [r.uniform(-2, 2) for _ in range(n)], (r.uniform(-1, 1), r.uniform(-1, 1)), [r.randint(0, 1) for _ in range(n - 1)]
         crf = htmltext.Crf({f"f{i}": x for i, x in enumerate(s)}, same)
-        value = lambda path: sum(x for x, y in zip(s, path, strict=True) if y) + same * sum(a == b for a, b in zip(path, path[1:]))  # noqa: E731,B023
+        value = lambda path: sum(x for x, y in zip(s, path, strict=True) if y) + sum(same[between[i]] for i in range(n - 1) if path[i] == path[i + 1])  # noqa: E731,B023
         best = max(value([bool(k >> i & 1) for i in range(n)]) for k in range(2**n))
-        assert abs(value(crf.decode([[f"f{i}"] for i in range(n)])) - best) < 1e-9
+        assert abs(value(crf.decode([[f"f{i}"] for i in range(n)], between)) - best) < 1e-9
 
 
 PAGE = """<html><head><title>T</title><script>var a="</p>";</script></head><body><nav><ul><li><a href=/a>Home</a></li></ul></nav>
