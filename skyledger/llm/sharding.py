@@ -9,6 +9,7 @@ so it may be collected and broadcast.
 from __future__ import annotations
 
 import heapq
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -116,7 +117,7 @@ def shard_documents(
     spark = docs.sparkSession
     df = slotted(docs, id_col, text_col, n_slots)
     sizes = slot_bytes(df)
-    path = map_path or f"{shared_dir(spark)}/slot-map-{spark.sparkContext.applicationId}-{id(df)}"
+    path = map_path or f"{shared_dir(spark)}/slot-map-{uuid.uuid4().hex}"
     stored = load_map(spark, path)
     slots = rebalanced(stored[1], sizes, n_shards) if stored else first_map(sizes, n_slots, n_shards)
     version = stored[0] + 1 if stored else 1

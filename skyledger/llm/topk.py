@@ -12,7 +12,6 @@ from __future__ import annotations
 
 import heapq
 import math
-from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -58,18 +57,15 @@ def _products(q: np.ndarray, p: np.ndarray) -> np.ndarray:
 def _candidates(q: np.ndarray, q_norm: float, p_unit: np.ndarray, cos: float) -> np.ndarray:
     """Rows of a local bucket whose focus coordinates allow a cosine of at least ``cos``.
 
-    For unit vectors with product >= cos, coordinate f lies within
-    q_f cos -+ sqrt((1 - q_f^2)(1 - cos^2)).
+    For unit vectors with product >= cos, coordinate f is at least
+    q_f cos - sqrt((1 - q_f^2)(1 - cos^2)) for positive q_f, and the mirror image for negative.
     """
     u = q / q_norm
     keep = np.ones(len(p_unit), dtype=bool)
     for f in np.argsort(-np.abs(u))[:FOCUS]:
         reach = math.sqrt(max(0.0, (1 - u[f] ** 2) * (1 - cos * cos))) + 1e-9
         x = p_unit[:, f]
-        low = u[f] * cos - reach if u[f] > 0 else -1.0
-        high = u[f] * cos + reach if u[f] < 0 else 1.0
-        low, high = (low, 1.0) if u[f] > 0 else (-1.0, high)
-        keep &= (x >= low) & (x <= high)
+        keep &= x >= u[f] * cos - reach if u[f] > 0 else x <= u[f] * cos + reach
     return np.flatnonzero(keep)
 
 
