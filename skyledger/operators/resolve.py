@@ -3,16 +3,18 @@
 Exact repeats are skipped, rows that differ only where the policy allows merge, a
 live row beats a cancelled one, then the newer date wins, then a strict superset;
 what stays undecided fails.  The fold depends on the order and is not associative,
-so the rows of one key meet in one task; runs of equal rows are folded beforehand
-and unique keys never leave the JVM.
+so the rows of one key meet in one task, sorted, and stream through a fold that holds
+one record.  Runs of equal rows are folded beforehand and unique keys never leave the
+JVM.
 """
 
 from __future__ import annotations
 
 import json
+from collections.abc import Iterator
 from typing import Any
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -96,30 +98,46 @@ def newer(new: dict, old: dict) -> bool | None:
     return False if superset(old, new) else None
 
 
-def fold(rows: list[tuple[str, dict, bool, int]], policy: Merge | None) -> tuple[dict | None, int, int]:
-    """Folds (raw digest, record, failed, repeats) in file order; gives record, skipped and failed counts."""
-    state: dict | None = None
-    raw, skipped, failed = None, 0, 0
-    for digest, record, bad, n in rows:
-        if state is not None and digest == raw:
-            skipped += n
+class Fold:
+    """Folds the rows of one key in file order, holding one record whatever their number."""
+
+    def __init__(self, policy: Merge | None):
+        self.policy, self.record, self.raw = policy, None, None
+        self.skipped = self.failed = 0
+
+    def step(self, raw: str, record: dict, bad: bool, n: int) -> None:
+        """Takes ``n`` equal rows: their digest, their record, and whether it breaks a rule."""
+        if self.record is not None and raw == self.raw:
+            self.skipped += n
         elif bad:
-            failed += n
-        elif state is None:
-            state, raw, skipped = record, digest, skipped + n - 1
-        elif record == state:
-            skipped += n
-        elif policy and (both := merged(state, record, policy)) is not None:
-            state, raw, skipped = both, digest, skipped + n - 1
+            self.failed += n
+        elif self.record is None:
+            self._hold(record, raw, n)
+        elif record == self.record:
+            self.skipped += n
+        elif self.policy and (both := merged(self.record, record, self.policy)) is not None:
+            self._hold(both, raw, n)
         else:
-            wins = newer(record, state)
+            wins = newer(record, self.record)
             if wins is None:
-                failed += n
+                self.failed += n
             elif wins:
-                state, raw, skipped = record, digest, skipped + n - 1
+                self._hold(record, raw, n)
             else:
-                skipped += n
-    return state, skipped, failed
+                self.skipped += n
+
+    def _hold(self, record: dict, raw: str, n: int) -> None:
+        """The row's record is held now, and its repeats are skipped."""
+        self.record, self.raw = record, raw
+        self.skipped += n - 1
+
+
+def fold(rows: list[tuple[str, dict, bool, int]], policy: Merge | None) -> tuple[dict | None, int, int]:
+    """The record, skipped and failed counts of one key's (raw, record, bad, repeats)."""
+    f = Fold(policy)
+    for row in rows:
+        f.step(*row)
+    return f.record, f.skipped, f.failed
 
 
 def resolve(rows: DataFrame, policy: Merge | None = None) -> DataFrame:
@@ -139,17 +157,37 @@ def resolve(rows: DataFrame, policy: Merge | None = None) -> DataFrame:
         .withColumn("run", F.sum(fresh).over(in_order))
         .groupBy("source_id", "run")
         .agg(F.first("raw").alias("raw"), F.first(F.to_json("record", {"ignoreNullFields": "false"})).alias("json"), F.first("bad").alias("bad"), F.count(F.lit(1)).alias("n"))
+        .repartition("source_id")
+        .sortWithinPartitions("source_id", "run")
     )
-
-    def per_key(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("run")
-        state, skipped, failed = fold(
-            [(r.raw, json.loads(r.json), bool(r.bad), int(r.n)) for r in pdf.itertuples()], policy
-        )
-        text = json.dumps(state) if state is not None else None
-        return pd.DataFrame({"source_id": [pdf["source_id"].iloc[0]], "json": [text], "skipped": [skipped], "failed": [failed]})
-
-    folded = runs.groupBy("source_id").applyInPandas(per_key, "source_id string, json string, skipped int, failed int")
+    columns = ("source_id", "raw", "json", "bad", "n")
+    schema = pa.schema([("source_id", pa.string()), ("json", pa.string()), ("skipped", pa.int32()), ("failed", pa.int32())])
+
+    def in_stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, state, out = None, None, []
+
+        def close() -> None:
+            if state is not None:
+                out.append((key, json.dumps(state.record) if state.record is not None else None, state.skipped, state.failed))
+
+        def batch_of() -> pa.RecordBatch:
+            made = pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), schema, strict=True)], schema=schema)
+            out.clear()
+            return made
+
+        for batch in batches:
+            for source_id, raw, text, bad, n in zip(*(batch.column(c).to_pylist() for c in columns), strict=True):
+                if source_id != key:
+                    close()
+                    key, state = source_id, Fold(policy)
+                state.step(raw, json.loads(text), bad, n)
+            if len(out) >= 1000:
+                yield batch_of()
+        close()
+        if out:
+            yield batch_of()
+
+    folded = runs.mapInArrow(in_stream, "source_id string, json string, skipped int, failed int")
     return single.unionByName(
         folded.select("source_id", F.from_json("json", RECORD).alias("record"), "skipped", "failed")
     )
