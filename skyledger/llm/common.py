@@ -62,6 +62,14 @@ def ship(spark: SparkSession) -> None:
     ship._sent = sc.applicationId
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Bounds the Arrow batches of the session, which hold whole texts, by bytes and rows."""
+    for key, most in (("maxBytesPerBatch", 4 << 20), ("maxRecordsPerBatch", 2048)):
+        name = f"spark.sql.execution.arrow.{key}"
+        if int(spark.conf.get(name).rstrip("b")) > most:
+            spark.conf.set(name, most)
+
+
 def add_columns(
     df: DataFrame,
     inputs: list[str],
@@ -76,6 +84,7 @@ def add_columns(
     and columns whose name a new field has (in any case) are not passed on.
     """
     ship(df.sparkSession)
+    small_batches(df.sparkSession)
     new = {f.name.lower() for f in fields}
     kept = [f for f in df.schema.fields if f.name.lower() not in new and f.name not in drop]
     arrow = to_arrow_schema(T.StructType(fields))
@@ -84,8 +93,8 @@ def add_columns(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compute = make()
         for batch in batches:
-            for at in range(0, batch.num_rows, 2048):
-                part = batch.slice(at, 2048)
+            for at in range(0, batch.num_rows, 512):
+                part = batch.slice(at, 512)
                 made = compute(*(part.column(c).to_pylist() for c in inputs))
                 arrays = [part.column(c) for c in names] + [
                     pa.array(x, type=f.type) for x, f in zip(made, arrow, strict=True)

@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 from .common import add_columns, table
 
 BUCKETS = 1 << 15
-#: Rows a language at most that the text model is fitted on, and the bytes read of them in all.
+#: Rows a language at most that the text model is fitted on.
 SAMPLE_ROWS = 400
 #: Neighbouring trigrams depend on each other; a text speaks at most as this many independent ones.
 INDEPENDENT = 60.0
@@ -82,19 +82,23 @@ def fit(labelled: DataFrame, text_col: str, label_col: str, sample_rows: int = S
     first = near.withColumn("i", F.row_number().over(Window.partitionBy("label").orderBy("h"))).where(F.col("i") <= sample_rows)
 
     def make():
-        return lambda texts: [[np.bincount(trigrams(t), minlength=BUCKETS).astype(np.int32).tobytes() for t in texts]]
+        def compute(texts):
+            found = [np.unique(trigrams(t), return_counts=True) for t in texts]
+            return [[g.astype(np.int32) for g, _ in found], [n.astype(np.int32) for _, n in found]]
 
-    grams = add_columns(first.select("label", "body"), ["body"], [T.StructField("counts", T.BinaryType())], make, ("body",))
-
-    def summed(pdf):
-        import pandas as pd
-
-        total = sum(np.frombuffer(c, dtype=np.int32).astype(np.int64) for c in pdf["counts"])
-        return pd.DataFrame({"label": [pdf["label"].iloc[0]], "counts": [total.tobytes()]})
+        return compute
 
-    got = {r["label"]: np.frombuffer(bytes(r["counts"]), dtype=np.int64) for r in grams.groupBy("label").applyInPandas(summed, "label string, counts binary").collect()}
+    fields = [T.StructField(c, T.ArrayType(T.IntegerType())) for c in ("gram", "n")]
+    grams = add_columns(first.select("label", "body"), ["body"], fields, make, ("body",))
+    cells = grams.select("label", F.explode(F.arrays_zip("gram", "n")).alias("c"))
+    sums = cells.groupBy("label", "c.gram").agg(F.sum("c.n").alias("n")).toPandas()  # at most BUCKETS rows a language
+    got = {k: np.zeros(BUCKETS) for k in sums["label"].unique()}
+    for k, part in sums.groupby("label"):
+        got[k][part["gram"].to_numpy()] = part["n"].to_numpy()
+    if not got:
+        return TextModel([], np.zeros((BUCKETS, 1)))
     languages = sorted(got)
-    table = np.stack([got[k] for k in languages], axis=1).astype(float)
+    table = np.stack([got[k] for k in languages], axis=1)
     log_p = np.log((table + 0.1) / (table + 0.1).sum(0))
     # Text of no known language: every trigram alike, at four times the chance of a bucket at random.
     other = np.full((BUCKETS, 1), np.log(4.0 / BUCKETS))

@@ -37,7 +37,7 @@ MAX_RANKED = 1 << 18
 COUNT_SHIFT = 24
 LEAST_RANKED = 8
 SKETCH = [f"s{i}" for i in range(8)]
-_KEPT_WORDS = 400_000
+_KEPT_WORDS = 150_000
 #: Members of a list, besides the earliest one, that the others are first compared with.
 PIVOTS = 5
 
