@@ -11,6 +11,7 @@ from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -34,12 +35,50 @@ def shared_dir(spark: SparkSession) -> str:
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Writes ``df`` as a Parquet table in the shared folder and reads it again.
 
-    Cuts the lineage; the files outlive any executor.
+    Cuts the lineage; the files outlive any executor, and this process until
+    ``drop_materialized`` removes them.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    _made.append(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._materialized = path
+    return out
+
+
+_made: list[str] = []
+#: Keys that may be broadcast: 4 million pairs of numbers are 64 MB.
+MAX_BROADCAST_KEYS = 4_000_000
+
+
+def materialized() -> int:
+    """How many tables this process has materialized and not removed."""
+    return len(_made)
+
+
+def drop_materialized(spark: SparkSession, since: int = 0, keep: tuple[str, ...] = ()) -> int:
+    """Removes the tables that this process has materialized, once nothing reads them any more.
+
+    ``since`` is an earlier ``materialized()``; the paths in ``keep`` stay.
+    """
+    gone = [p for p in _made[since:] if p not in keep]
+    for name in gone:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        _made.remove(name)
+    return len(gone)
+
+
+def join_keys(df: DataFrame, keys: DataFrame, condition: str, how: str) -> DataFrame:
+    """``df`` semi or anti joined with distinct keys.
+
+    Up to MAX_BROADCAST_KEYS keys, a few numbers each, are broadcast and ``df`` stays
+    where it is; beyond that both sides are shuffled.
+    """
+    keys = materialize(keys, "keys")
+    side = F.broadcast(keys) if keys.count() <= MAX_BROADCAST_KEYS else keys
+    return df.join(side, F.expr(condition), how)
 
 
 def ship(spark: SparkSession) -> None:

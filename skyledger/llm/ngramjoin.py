@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import add_columns, materialize, table
+from .common import add_columns, drop_materialized, join_keys, materialize, materialized, table
 
 MAX_RANKED = 1 << 18
 #: Shingles are counted by this many bits of their hash; a clash only changes the order.
@@ -178,9 +178,8 @@ def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str, t
     """The pairs (a, b) of set keys that link, checked on whole sets made from the texts again."""
     keys = pairs.select(F.col("a").alias("set_key")).union(pairs.select(F.col("b").alias("set_key"))).distinct()
     wanted = nodes.join(keys, "set_key", "left_semi").select(F.col("doc_id").alias("_id")).distinct()
-    texts = docs.select(F.col(id_col).alias("_doc"), F.col(text_col).alias("body")).join(
-        wanted, F.expr("_doc <=> _id"), "left_semi"
-    )
+    texts = docs.select(F.col(id_col).alias("_doc"), F.col(text_col).alias("body"))
+    texts = join_keys(texts, wanted, "_doc <=> _id", "left_semi")
 
     def make():
         def compute(bodies):
@@ -232,6 +231,7 @@ def link_components(
     rows and exact copies are one node.  Long texts are read whole.  An empty table
     gives an empty result.
     """
+    spark, before = docs.sparkSession, materialized()
     ranks = frequent(docs, text_col, size, percent)
     rows = materialize(profiles(docs, id_col, text_col, size, percent, ranks), "profiles")
     some = rows.where(F.col("set_key").isNotNull())
@@ -258,7 +258,7 @@ def link_components(
     tried = materialize(star.select(*pair).distinct(), "star-pairs")
     check = lambda pairs: materialize(verified(pairs, nodes, docs, id_col, text_col, size, percent), "links-found")
     first = check(tried)
-    roots = components(first)
+    roots = materialize(components(first), "roots")
 
     # Then the members whose components differ, with each other.
     root_of = roots.select(F.col("node").alias("set_key"), "root")
@@ -288,6 +288,8 @@ def link_components(
                 known.join(upper, "mid", "left").select("node", F.coalesce("top", "mid").alias("root")), "roots"
             )
 
+    # What follows reads the profiles and roots only.
+    drop_materialized(spark, before, (rows._materialized, roots._materialized))
     placed = nodes.join(roots.toDF("set_key", "root"), "set_key", "left").withColumn("root", F.coalesce("root", "set_key"))
     smallest = placed.groupBy("root").agg(
         F.min("doc_id").alias("component_id"),
@@ -311,11 +313,16 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", si
 
     Rows with the empty set stay.  Of rows alike in id and text one stays.
     """
-    found = link_components(docs, id_col, text_col, size, percent).where(~F.col("stays"))
-    gone = found.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_th")).distinct()
+    found = materialize(link_components(docs, id_col, text_col, size, percent), "kept")
+    key = [F.col("doc_id").alias("_id"), F.col("text_hash").alias("_th")]
+    same = f"`{id_col}` <=> _id AND _hash <=> _th"
     rows = docs.withColumn("_hash", F.xxhash64(text_col))
-    kept = rows.join(gone, F.expr(f"`{id_col}` <=> _id AND _hash = _th"), "left_anti")
-    return kept.dropDuplicates([id_col, "_hash"]).select(*[f"`{c}`" for c in docs.columns])
+    rows = join_keys(rows, found.where(~F.col("stays")).select(*key).distinct(), same, "left_anti")
+    twice = found.where("stays").groupBy(*key).count().where("count > 1").drop("count")
+    if not twice.isEmpty():  # only rows that are there more than once are shuffled
+        again = join_keys(rows, twice, same, "left_semi").dropDuplicates([id_col, "_hash"])
+        rows = join_keys(rows, twice, same, "left_anti").unionByName(again)
+    return rows.select(*[f"`{c}`" for c in docs.columns])
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -45,3 +45,12 @@ def test_pipeline(spark):
     assert {x.shard for x in out} <= set(range(40))
     names = spark.read.parquet(f"{SF}/documents.parquet").columns
     assert list(out[0].__fields__[: len(names)]) == names
+
+
+def test_materialized_tables_can_be_dropped(spark):
+    from skyledger.llm import common
+
+    df = common.materialize(spark.range(5).toDF("i"), "five")
+    path = common._made[-1]
+    assert df.count() == 5 and Path(path.removeprefix("file:")).exists()
+    assert common.drop_materialized(spark) >= 1 and not Path(path.removeprefix("file:")).exists()
