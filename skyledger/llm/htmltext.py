@@ -16,6 +16,7 @@ import math
 import random
 import re
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -49,11 +50,9 @@ _NAMED = re.compile(r"""(?<![\w-])(class|id|role|hidden|aria-hidden|style)(?:\s*
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
 
-def _kinds(word: str) -> list[str]:
-    found = _KINDS.get(word)
-    if found is None:
-        found = _KINDS[word] = [k for start, k in KIND_STARTS.items() if word.startswith(start)] if len(_KINDS) < 100_000 else []
-    return found
+@lru_cache(maxsize=100_000)
+def _kinds(word: str) -> tuple[str, ...]:
+    return _KINDS.get(word) or tuple(k for start, k in KIND_STARTS.items() if word.startswith(start))
 
 
 @dataclass
@@ -101,10 +100,10 @@ KIND_STARTS = {
     "ads": "ad", "advert": "ad", "sponsor": "ad", "promo": "ad", "comment": "talk", "sidebar": "side", "footer": "frame",
     "navig": "menu", "cookie": "notice", "newsletter": "notice", "share": "share", "social": "share",
 }
-_KINDS: dict[str, list[str]] = {}
+_KINDS: dict[str, tuple[str, ...]] = {}
 for _k, _words in KIND_WORDS.items():
     for _w in _words.split():
-        _KINDS.setdefault(_w, []).append(_k)
+        _KINDS[_w] = (*_KINDS.get(_w, ()), _k)
 
 
 def blocks(page: str) -> list[Block]:

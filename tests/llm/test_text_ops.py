@@ -205,3 +205,13 @@ def test_main_text_frame(spark):
     assert out[1].n_chars == len(out[1].text) and out[None].text == out[1].text
     assert out[2].text == out[3].text == out[4].text == out[6].text == ""
     assert out[5].text.endswith("Second one")
+
+
+def test_name_kinds_do_not_depend_on_words_seen_before():
+    word = lambda i: "".join(string.ascii_lowercase[i // 26**k % 26] for k in range(4))
+    size = len(htmltext._KINDS)
+    for i in range(100_001):
+        htmltext._element("div", f' class="q{word(i)}"')
+    for name, kind in (("adsbygoogle", "ad"), ("commentthread", "talk"), ("sidebarleft", "side"), ("cookiebanner", "notice")):
+        assert f"kind={kind}" in htmltext._element("div", f' class="{name}"').features
+    assert len(htmltext._KINDS) == size
