@@ -1,8 +1,8 @@
 """Main text of web pages: a linear-chain CRF over the leaf blocks of the DOM.
 
 A page is cut into leaf blocks (runs of inline content under one block element).
-Each block has features from its ancestors' tags, classes, ids and roles and from
-its text.  A linear-chain conditional random field with two labels, trained on
+Each block has features from its ancestors' tags, classes, ids and roles, from
+whether they are hidden, and from its text.  A linear-chain conditional random field with two labels, trained on
 labelled pages, is decoded by Viterbi; blocks labelled as content make the text.
 
 The labelled pages are made by ``labelled_pages``: layouts drawn at random with
@@ -46,7 +46,9 @@ _TOKEN = re.compile(
     re.S,
 )
 _TAIL = re.compile(r"<(?:[A-Za-z/!?][^>]*)?\Z", re.S)
-_NAMED = re.compile(r"""(?<![\w-])(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
+#: A name with its value, if any; a name inside a quoted value is no name.
+_ATTRIBUTE = re.compile(r"""([^\s/>=][^\s/>=]*)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""")
+_HIDING = re.compile(r"display\s*:\s*none", re.I)
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
 
@@ -59,7 +61,10 @@ def _kinds(word: str) -> tuple[str, ...]:
 class Element:
     tag: str
     features: tuple[str, ...] = ()
-    hidden: bool = False
+
+    @property
+    def hidden(self) -> bool:
+        return "hidden" in self.features
 
 
 @dataclass
@@ -70,17 +75,17 @@ class Block:
 
 
 def _element(tag: str, attributes: str) -> Element:
-    found, hidden = [f"tag={tag}"], False
+    found = [f"tag={tag}"]
     if attributes and not attributes.isspace():
-        for m in _NAMED.finditer(attributes):
+        for m in _ATTRIBUTE.finditer(attributes):
             name, value = m[1].lower(), (m[2] or "").strip("\"'")
-            if name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and re.search(r"display\s*:\s*none", value):
-                hidden = True
+            if name == "hidden" or name == "aria-hidden" and value.strip().lower() == "true" or name == "style" and _HIDING.search(value):
+                found.append("hidden")
             elif name in ("class", "id", "role"):
                 for w in dict.fromkeys(x.lower() for x in _PART.findall(value)[:8]):
                     found.append(f"name={w}")
                     found += [f"kind={k}" for k in _kinds(w)]
-    return Element(tag, tuple(found), hidden)
+    return Element(tag, tuple(found))
 
 
 #: Words in class, id and role names, by what they tell; fixed values.
@@ -119,7 +124,7 @@ def blocks(page: str) -> list[Block]:
         if pieces:
             text = " ".join(_html.unescape("".join(pieces)).split())
             pieces.clear()
-            if text and not any(e.hidden for e in stack):
+            if text:
                 out.append(Block(text, [e for e in stack if e.tag in _BLOCK], min(linked, len(text))))
         linked = 0
 
@@ -186,6 +191,12 @@ def features(found: list[Block]) -> list[list[str]]:
     """The features of every block of a page."""
     n, rows = len(found), []
     longest = max((len(b.text) for b in found), default=1)
+    whole = sum(len(b.text) for b in found)
+    within: dict[int, int] = {}  # characters in each hidden element
+    for b in found:
+        for e in b.path:
+            if e.hidden:
+                within[id(e)] = within.get(id(e), 0) + len(b.text)
     for i, b in enumerate(found):
         tags = [e.tag for e in b.path]
         row = ["bias", f"leaf={tags[-1] if tags else ''}"]
@@ -196,6 +207,8 @@ def features(found: list[Block]) -> list[list[str]]:
                 if depth < 2 and not f.startswith("tag="):
                     seen.add(f"near:{f}")
         row += sorted(seen)
+        if within and (most := max((within.get(id(e), 0) for e in b.path), default=0)):
+            row.append(f"unseen={min(3, most * 4 // whole)}")
         words = b.text.count(" ") + 1
         density = b.linked / max(1, len(b.text))
         row += [
@@ -415,6 +428,15 @@ def _page(r: random.Random) -> tuple[str, list[bool]]:
             out.append("</div>")
         out.append(z)
 
+    def hiding() -> str:
+        return r.choice((" hidden", ' hidden=""', ' aria-hidden="true"', ' style="display:none"', ' style="margin:0; display: none"'))
+
+    def unseen() -> None:  # a hidden dialog, hint or template of a list
+        out.append(f'<div{name(r.choice(("notice", "menu", "form", "side", "ad"))) if r.random() < 0.5 else ""}{hiding()}>')
+        for _ in range(r.randint(1, 3)):
+            block(r.choice(("p", "p", "div", "li")), sentence(2, 40), False)
+        out.append("</div>")
+
     def share() -> None:
         out.append(f'<div{name("share")}>')
         out.append(" ".join(link(words(1, 1)) for _ in range(r.randint(2, 4))) + "</div>")
@@ -434,6 +456,8 @@ def _page(r: random.Random) -> tuple[str, list[bool]]:
 
     def article() -> None:
         a, z = (f"<article{name('main') if r.random() < 0.3 else ''}>", "</article>") if semantic else (f"<div{name('main')}>", "</div>")
+        if r.random() < 0.12:  # content that is folded, or behind an open dialog
+            a = a[:-1] + hiding() + ">"
         if r.random() < 0.15:  # content that stands in the page itself
             a = z = ""
         out.append(a)
@@ -462,19 +486,19 @@ def _page(r: random.Random) -> tuple[str, list[bool]]:
             elif x < 0.83:
                 block("pre", words(3, 20), True)
             elif i and i < 13 and r.random() < 0.9:
-                r.choice((advert, advert, form, share, notice, side))()
+                r.choice((advert, advert, form, share, notice, side, unseen))()
         if r.random() < 0.2:
             talk()
         out.append(z)
 
     out.append("<!DOCTYPE html><html><head><meta charset=utf-8><title>" + words(2, 9) + "</title><style>p{}</style></head><body>")
-    for part in r.sample((menu, header, notice, advert, side, form), r.randint(1, 4)):
+    for part in r.sample((menu, header, notice, advert, side, form, unseen), r.randint(1, 4)):
         part()
     if r.random() < 0.5:
-        out.append("<main>" if semantic else "<div>")
+        out.append(("<main" if semantic else "<div") + (hiding() if r.random() < 0.12 else "") + ">")
     if r.random() < 0.97:
         article()
-    for part in r.sample((share, advert, side, form, notice), r.randint(0, 2)):
+    for part in r.sample((share, advert, side, form, notice, unseen), r.randint(0, 2)):
         part()
     if r.random() < 0.4:
         talk()

@@ -215,3 +215,25 @@ def test_name_kinds_do_not_depend_on_words_seen_before():
     for name, kind in (("adsbygoogle", "ad"), ("commentthread", "talk"), ("sidebarleft", "side"), ("cookiebanner", "notice")):
         assert f"kind={kind}" in htmltext._element("div", f' class="{name}"').features
     assert len(htmltext._KINDS) == size
+
+
+STORY = "<h1>A long valley</h1>" + "".join(f"<p>Sentence {i} of the story goes on for some more words, and then it ends.</p>" for i in range(6))
+
+
+@pytest.mark.parametrize(
+    "attributes",
+    ['data-title="The hidden valley"', 'data-url="/hidden-gems/1"', "data-x='style=display:none hidden'", "hidden", 'aria-hidden="true"', 'style="display:none"'],
+)
+@pytest.mark.parametrize("tag", ["main", "article", "div"])
+def test_hidden_is_evidence_and_not_a_cut(tag, attributes):
+    page = f'<body><nav><ul><li><a href="/">Home</a></li></ul></nav><{tag} {attributes}>{STORY}</{tag}><footer>&copy; 2020 x</footer></body>'
+    text = htmltext.main_text(page, htmltext.trained())
+    assert text.count("of the story") == 6 and "Home" not in text and "2020" not in text
+    dialog = '<div class="cookie-consent" hidden><p>We use cookies to serve you.</p></div>'
+    assert "cookies" not in htmltext.main_text(page.replace("<footer>", dialog + "<footer>"), htmltext.trained())
+
+
+def test_attribute_names_are_told_from_values():
+    get = lambda a: "hidden" in htmltext._element("div", a).features
+    assert not get(' data-title="The hidden valley" data-url="/hidden-gems/1"') and not get(" data-hidden aria-hidden=false title=hidden")
+    assert get(" HIDDEN") and get(" title='a' aria-hidden = 'true'") and get(' style="color:red;display : none"')
