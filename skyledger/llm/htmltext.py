@@ -28,7 +28,10 @@ from .common import add_columns, table
 TRAINING_PAGES, TRAINING_SEED, TRAINING_PASSES = 480, 11, 6
 
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-_RAW = frozenset("script style template noscript svg math iframe object textarea select title canvas audio video".split())
+#: Elements whose content is no markup; without an end tag they last to the page's end, as in browsers.
+_RAW = frozenset("script style iframe textarea title".split())
+#: Elements with text of their own: it makes blocks apart from the text around, with the element's tag as a feature.
+_APART = frozenset("template noscript svg object select canvas audio video".split())
 _BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form"
     " h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol option p pre search section summary table tbody td"
@@ -45,6 +48,7 @@ _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([A-Za-z][A-Za-z0-9:-]*)([^>]*)>",
     re.S,
 )
+_APART_END = re.compile(rf"</({'|'.join(sorted(_APART))})(?![A-Za-z0-9:-])", re.I)
 _TAIL = re.compile(r"<(?:[A-Za-z/!?][^>]*)?\Z", re.S)
 #: A name with its value, if any; a name inside a quoted value is no name.
 _ATTRIBUTE = re.compile(r"""([^\s/>=][^\s/>=]*)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""")
@@ -61,6 +65,7 @@ def _kinds(word: str) -> tuple[str, ...]:
 class Element:
     tag: str
     features: tuple[str, ...] = ()
+    closed: bool = False  # by its own end tag
 
     @property
     def hidden(self) -> bool:
@@ -112,25 +117,38 @@ for _k, _words in KIND_WORDS.items():
 
 
 def blocks(page: str) -> list[Block]:
-    """The leaf blocks of a page, in page order; elements never closed end with the page."""
+    """The leaf blocks of a page, in page order; elements never closed end with the page.
+
+    An element of _APART without its end tag is ignored: what follows is not its content.
+    """
     out: list[Block] = []
     stack: list[Element] = []
     pieces: list[str] = []
     linked = in_link = at = 0
+    apart: list[Element] = []  # open elements of _APART
+    held: tuple[Element | None, list[Element]] | None = None  # the innermost of them where the pieces' text began, and the path there
     page = _TAIL.sub("", page)
+    ends = {e[1].lower(): e.start() for e in _APART_END.finditer(page)}  # where the last end tag of each is
+
+    def path() -> list[Element]:
+        return [e for e in stack if e.tag in _BLOCK or e.tag in _APART]
 
     def flush() -> None:
-        nonlocal linked
+        nonlocal linked, held
         if pieces:
             text = " ".join(_html.unescape("".join(pieces)).split())
             pieces.clear()
             if text:
-                out.append(Block(text, [e for e in stack if e.tag in _BLOCK], min(linked, len(text))))
-        linked = 0
+                same = held is None or held[0] is (apart[-1] if apart else None)
+                out.append(Block(text, path() if same else held[1], min(linked, len(text))))
+        linked, held = 0, None
 
     def pop(i: int) -> None:
         nonlocal in_link
         in_link -= sum(e.tag == "a" for e in stack[i:])
+        for e in reversed(stack[i:]):
+            if apart and e is apart[-1]:
+                apart.pop()
         del stack[i:]
 
     end = len(page)
@@ -139,6 +157,11 @@ def blocks(page: str) -> list[Block]:
         upto = m.start() if m else end
         if upto > at:
             piece = page[at:upto]
+            if ends and not piece.isspace():
+                inner = apart[-1] if apart else None
+                if held and held[0] is not inner:
+                    flush()
+                held = held or (inner, path())
             pieces.append(piece)
             if in_link:
                 linked += len(piece)
@@ -148,6 +171,8 @@ def blocks(page: str) -> list[Block]:
         closing, tag, attributes = (m[1], m[2], m[3]) if m[2] else (m[4], m[5], m[6])
         if tag:
             tag = tag.lower()
+            if tag == "text":  # of svg
+                pieces.append(" ")
             if tag in _RAW and not closing:
                 if not attributes.endswith("/"):
                     close = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
@@ -161,6 +186,7 @@ def blocks(page: str) -> list[Block]:
                 if tag in _BLOCK:
                     flush()
                 if i >= 0:
+                    stack[i].closed = True
                     pop(i)
             elif tag in _VOID:
                 if tag in _BLOCK:
@@ -172,15 +198,20 @@ def blocks(page: str) -> list[Block]:
                         open_tag = stack[i].tag
                         if tag in _CLOSES.get(open_tag, ()):
                             pop(i)
-                        elif open_tag in _SCOPE.get(tag, ()) or tag in _SCOPE and open_tag == "table":
+                        elif open_tag in _SCOPE.get(tag, ()) or tag in _SCOPE and open_tag == "table" or open_tag in _APART:
                             break
                         elif open_tag in _BLOCK and tag not in _SCOPE:
                             break
-                if not attributes.endswith("/"):
+                if not attributes.endswith("/") and (tag not in _APART or ends.get(tag, -1) >= at):
                     stack.append(_element(tag, attributes))
                     in_link += tag == "a"
+                    if tag in _APART:
+                        apart.append(stack[-1])
         m = _TOKEN.search(page, at)
     flush()
+    if ends:
+        for b in out:
+            b.path = [e for e in b.path if e.closed or e.tag not in _APART]
     return out
 
 
@@ -437,6 +468,28 @@ def _page(r: random.Random) -> tuple[str, list[bool]]:
             block(r.choice(("p", "p", "div", "li")), sentence(2, 40), False)
         out.append("</div>")
 
+    def apart(content: bool) -> None:  # an element with text of its own
+        if content:
+            tag = r.choice(("object", "object", "noscript", "template", "svg"))
+            out.append(f"<{tag}>")
+            if tag == "svg":
+                for _ in range(r.randint(1, 4)):
+                    out.append(f"<text>{words(1, 3)}</text>")
+                labels.append(True)
+            else:
+                for _ in range(r.randint(1, 3)):
+                    block("p", " ".join(sentence(4, 40) for _ in range(r.randint(1, 3))), True)
+        else:
+            tag = r.choice(("select", "select", "noscript", "canvas", "audio", "video", "template", "svg"))
+            out.append(f"<{tag}>")
+            if tag == "select":
+                for _ in range(r.randint(2, 6)):
+                    block("option", words(1, 3), False)
+            else:
+                out.append(words(1, 2) if tag == "svg" else sentence(4, 14))
+                labels.append(False)
+        out.append(f"</{tag}>")
+
     def share() -> None:
         out.append(f'<div{name("share")}>')
         out.append(" ".join(link(words(1, 1)) for _ in range(r.randint(2, 4))) + "</div>")
@@ -485,6 +538,8 @@ def _page(r: random.Random) -> tuple[str, list[bool]]:
                 out.append("</tr></table>")
             elif x < 0.83:
                 block("pre", words(3, 20), True)
+            elif x < 0.87:
+                apart(r.random() < 0.5)
             elif i and i < 13 and r.random() < 0.9:
                 r.choice((advert, advert, form, share, notice, side, unseen))()
         if r.random() < 0.2:
@@ -494,6 +549,8 @@ def _page(r: random.Random) -> tuple[str, list[bool]]:
     out.append("<!DOCTYPE html><html><head><meta charset=utf-8><title>" + words(2, 9) + "</title><style>p{}</style></head><body>")
     for part in r.sample((menu, header, notice, advert, side, form, unseen), r.randint(1, 4)):
         part()
+    if r.random() < 0.15:
+        apart(False)
     if r.random() < 0.5:
         out.append(("<main" if semantic else "<div") + (hiding() if r.random() < 0.12 else "") + ">")
     if r.random() < 0.97:
@@ -529,7 +586,7 @@ def extract(df: DataFrame, html_col: str = "html", crf: Crf | None = None, keep_
 
     Character references are decoded and white space within a block is one space.
     Null, empty and blockless pages have the empty text.  Elements never closed end
-    with the page; a tag cut off by the page's end is dropped.  Rows are independent:
+    with the page, and object, svg and the like then count for nothing; a tag cut off by the page's end is dropped.  Rows are independent:
     null or repeated ids and repeated rows change nothing, an empty table gives an
     empty result.  Input columns with the name of an added column are replaced.
     """

@@ -237,3 +237,25 @@ def test_attribute_names_are_told_from_values():
     get = lambda a: "hidden" in htmltext._element("div", a).features
     assert not get(' data-title="The hidden valley" data-url="/hidden-gems/1"') and not get(" data-hidden aria-hidden=false title=hidden")
     assert get(" HIDDEN") and get(" title='a' aria-hidden = 'true'") and get(' style="color:red;display : none"')
+
+
+@pytest.mark.parametrize("tag", "svg math object canvas audio video template select noscript".split())
+def test_an_unclosed_element_takes_no_text_with_it(tag):
+    for at in ("<p>Sentence 0", "<p>Sentence 3", "of the story goes"):
+        for again in ("", f"<p><{tag}></{tag}>"):
+            page = f"<body><nav><ul><li><a href='/'>Home</a></li></ul></nav><article>{STORY.replace(at, f'<{tag} id=q>' + at, 1)}{again}</article></body>"
+            text = htmltext.main_text(page, htmltext.trained())
+            assert text.count("of the story") == 6 and "Home" not in text
+
+
+def test_elements_apart_keep_their_text():
+    get = lambda page: [(b.text, b.path[-1].tag if b.path else "") for b in htmltext.blocks(page)]
+    assert get("<p>So <math><mi>E</mi> <mo>=</mo> <mi>m</mi></math> holds.</p>") == [("So E = m holds.", "p")]
+    assert get("<p>An icon <svg><path d='M0'/></svg> in a line.</p>") == [("An icon in a line.", "p")]
+    assert get("<p>A <svg><text>graph</text></svg> in a line.</p>") == [("A", "p"), ("graph", "svg"), ("in a line.", "p")]
+    assert get("<p>One<video src=a>No video.</video></p>two") == [("One", "p"), ("No video.", "video"), ("two", "")]
+    assert get("<select><option>a<option>b</select>c") == [("a", "option"), ("b", "option"), ("c", "")]
+    assert get("<p>a<object><p>b</p></object>c</p>") == [("a", "p"), ("b", "p"), ("c", "p")]
+    assert get("a<script>b</p>") == [("a", "")]
+    page = f"<body><article>{STORY}<object data=x><p>The object tells the same thing in words, and it ends here.</p></object></article></body>"
+    assert "The object tells" in htmltext.main_text(page, htmltext.trained())
