@@ -87,10 +87,10 @@ def _element(tag: str, attributes: str) -> Element:
             if name == "hidden" or name == "aria-hidden" and value.strip().lower() == "true" or name == "style" and _HIDING.search(value):
                 found.append("hidden")
             elif name in ("class", "id", "role"):
-                for w in dict.fromkeys(x.lower() for x in _PART.findall(value)[:8]):
+                for w in dict.fromkeys(x.lower() for x in _PART.findall(value)):
                     found.append(f"name={w}")
                     found += [f"kind={k}" for k in _kinds(w)]
-    return Element(tag, tuple(found))
+    return Element(tag, tuple(dict.fromkeys(found)))
 
 
 #: Words in class, id and role names, by what they tell; fixed values.

@@ -259,3 +259,12 @@ def test_elements_apart_keep_their_text():
     assert get("a<script>b</p>") == [("a", "")]
     page = f"<body><article>{STORY}<object data=x><p>The object tells the same thing in words, and it ends here.</p></object></article></body>"
     assert "The object tells" in htmltext.main_text(page, htmltext.trained())
+
+
+def test_all_parts_of_a_name_count():
+    long = "wp-block-group has-background alignwide is-layout-flow comments-area"
+    for attribute in ("class", "id", "role"):
+        assert {"name=comments", "kind=talk", "name=area"} <= set(htmltext._element("div", f' {attribute}="{long}"').features)
+    many = " ".join(f"u{c}" for c in string.ascii_lowercase) + " sponsored"
+    page = f'<body><div class="entry">{STORY}</div><div class="{many}"><p>Sentence of an advert that goes on, and ends here.</p></div></body>'
+    assert "kind=ad" in htmltext.features(htmltext.blocks(page))[-1]
