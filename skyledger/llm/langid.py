@@ -15,7 +15,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -66,19 +66,23 @@ class TextModel:
         return total * min(1.0, INDEPENDENT / len(grams))
 
 
+def _primary(code: Column) -> Column:
+    """The primary subtag of a language code, in lower case: en of en, EN-us and en_gb."""
+    return F.regexp_extract(F.lower(code), r"^\s*([^\s_-]*)", 1)
+
+
 def fit(labelled: DataFrame, text_col: str, label_col: str, sample_rows: int = SAMPLE_ROWS) -> TextModel:
-    """Fits the text model on the ``sample_rows`` rows of each label that come first in hash order."""
-    rows = labelled.where(F.col(text_col).isNotNull() & (F.length(label_col) > 0)).select(
-        F.col(text_col).alias("body"), F.lower(F.col(label_col)).alias("label")
-    )
-    rows = rows.withColumn("h", F.xxhash64("body"))
-    count = rows.groupBy("label").count()
-    total = {r["label"]: r["count"] for r in count.where(F.col("count") >= 5).orderBy(F.col("count").desc(), "label").limit(200).collect()}
-    if not total:
-        return TextModel([], np.zeros((BUCKETS, 1)))
+    """Fits the text model on the ``sample_rows`` rows of each label that come first in hash order.
+
+    Labels count by their primary subtag, as declarations do; every label that occurs
+    with a text is fitted, however few rows it has.
+    """
+    rows = labelled.select(F.col(text_col).alias("body"), _primary(F.col(label_col)).alias("label"))
+    rows = rows.where(F.col("body").isNotNull() & (F.length("label") > 0)).withColumn("h", F.xxhash64("body"))
+    count = rows.groupBy("label").agg(F.count(F.lit(1)).alias("_rows"))  # one row a language
     # A hash threshold for each label keeps about twice the bound; the window then cuts to it.
-    share = F.create_map(*[x for k, n in total.items() for x in (F.lit(k), F.lit(min(1.0, 2.0 * sample_rows / n)))])
-    near = rows.where(F.pmod("h", F.lit(1 << 20)) < share[F.col("label")] * (1 << 20)).dropDuplicates(["label", "h"])
+    share = F.least(F.lit(1.0), 2.0 * sample_rows / F.col("_rows"))
+    near = rows.join(F.broadcast(count), "label").where(F.pmod("h", F.lit(1 << 20)) < share * (1 << 20)).dropDuplicates(["label", "h"])
     first = near.withColumn("i", F.row_number().over(Window.partitionBy("label").orderBy("h"))).where(F.col("i") <= sample_rows)
 
     def make():
@@ -112,9 +116,8 @@ def _posterior(log_like: np.ndarray, *factors: np.ndarray) -> np.ndarray:
 
 
 def _declared(languages: list[str], code: str | None) -> np.ndarray:
-    """Likelihood of a declaration under each language; none, or one unknown, says nothing."""
+    """Likelihood of a declaration (a primary subtag) under each language; none, or one unknown, says nothing."""
     out = np.ones(len(languages) + 1)
-    code = (code or "").strip().lower().replace("_", "-").split("-")[0]
     if code in languages:
         out[:] = (1 - TRUST_DECLARED) / max(1, len(languages))
         out[languages.index(code)] = TRUST_DECLARED
@@ -130,6 +133,12 @@ def _suffix(languages: list[str], suffix: str | None) -> np.ndarray:
     return out
 
 
+def _smooth(counts: Column, prior: Column, weight: float) -> Column:
+    """Shares of an array of counts, smoothed towards a prior; its expression does not grow with the languages."""
+    whole = F.aggregate(counts, F.lit(0.0), lambda a, x: a + x) + weight
+    return F.zip_with(counts, prior, lambda c, p: (c + weight * p) / whole)
+
+
 def identify(
     df: DataFrame,
     model: TextModel,
@@ -153,7 +162,7 @@ def identify(
     shared = df.sparkSession.sparkContext.broadcast(model)
     host = F.lower(F.trim(F.col(host_col))) if host_col else F.lit(None).cast("string")
     suffix = F.when(host.contains("."), F.substring_index(host, ".", -1))
-    added = df.withColumns({"_host": host, "_suffix": suffix, "_declared": F.col(declared_col) if declared_col else F.lit(None).cast("string")})
+    added = df.withColumns({"_host": host, "_suffix": suffix, "_declared": _primary(F.col(declared_col)) if declared_col else F.lit(None).cast("string")})
 
     def of_text():
         def compute(texts, declared, suffixes):
@@ -171,19 +180,17 @@ def identify(
     soft = add_columns(slim, ["_text", "_declared", "_suffix"], probability, of_text, ("_text", "_declared"))
     sums = [F.sum(F.col("_p")[i]).alias(f"p{i}") for i in range(len(languages) + 1)]
     by_host = soft.where(F.col("_p").isNotNull()).groupBy("_host", "_suffix").agg(*sums)
-    by_suffix = by_host.groupBy("_suffix").agg(*[F.sum(f"p{i}").alias(f"s{i}") for i in range(len(languages) + 1)])
     n = len(languages) + 1
+    by_suffix = by_host.groupBy("_suffix").agg(*[F.sum(f"p{i}").alias(f"s{i}") for i in range(n)])
     total = by_suffix.agg(*[F.sum(f"s{i}").alias(f"g{i}") for i in range(n)])  # one row
-    whole = sum((F.coalesce(F.col(f"g{i}"), F.lit(0.0)) for i in range(n)), F.lit(0.0))
-    top = [(F.coalesce(F.col(f"g{i}"), F.lit(0.0)) + 1.0) / (whole + n) for i in range(n)]
-    mid_sum = sum((F.col(f"s{i}") for i in range(n)), F.lit(0.0))
-    mid = [(F.col(f"s{i}") + SUFFIX_WEIGHT * top[i]) / (mid_sum + SUFFIX_WEIGHT) for i in range(n)]
-    low_sum = sum((F.col(f"p{i}") for i in range(n)), F.lit(0.0))
-    low = [(F.col(f"p{i}") + HOST_WEIGHT * F.col(f"m{i}")) / (low_sum + HOST_WEIGHT) for i in range(n)]
-    suffixes = by_suffix.join(F.broadcast(total)).select(F.col("_suffix").alias("_s"), *[m.alias(f"m{i}") for i, m in enumerate(mid)])
+    total = total.select(F.array(*[F.coalesce(F.col(f"g{i}"), F.lit(0.0)) for i in range(n)]).alias("_g"))
+    total = total.select(_smooth(F.col("_g"), F.array_repeat(F.lit(1.0 / n), n), float(n)).alias("_top"))
+    suffixes = by_suffix.select(F.col("_suffix").alias("_s"), F.array(*[f"s{i}" for i in range(n)]).alias("_n")).join(F.broadcast(total))
+    suffixes = suffixes.select("_s", _smooth(F.col("_n"), F.col("_top"), SUFFIX_WEIGHT).alias("_mid"))
+    hosts = by_host.select("_host", "_suffix", F.array(*[f"p{i}" for i in range(n)]).alias("_n"))
     # Suffixes are far fewer than hosts; the join below is planned by Spark from their size.
-    priors = by_host.join(suffixes, F.expr("_suffix <=> _s")).select(
-        F.col("_host").alias("_h"), F.array(*low).alias("_prior")
+    priors = hosts.join(suffixes, F.expr("_suffix <=> _s")).select(
+        F.col("_host").alias("_h"), _smooth(F.col("_n"), F.col("_mid"), HOST_WEIGHT).alias("_prior")
     ).where(F.col("_h").isNotNull())
     joined = _with_prior(added, priors)
 

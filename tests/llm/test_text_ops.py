@@ -268,3 +268,18 @@ def test_all_parts_of_a_name_count():
     many = " ".join(f"u{c}" for c in string.ascii_lowercase) + " sponsored"
     page = f'<body><div class="entry">{STORY}</div><div class="{many}"><p>Sentence of an advert that goes on, and ends here.</p></div></body>'
     assert "kind=ad" in htmltext.features(htmltext.blocks(page))[-1]
+
+
+def test_every_labelled_language_is_fitted(spark):
+    r = random.Random(8)
+    names = [a + b for a in "qwxyzvu" for b in string.ascii_lowercase] + [f"k{c}{d}" for c in "ab" for d in string.ascii_lowercase]
+    speak = {k: ["".join(r.choice(string.ascii_lowercase) for _ in range(r.randint(2, 4))) for _ in range(9)] for k in names}
+    rare = set(names[:4])  # one row each; all others five
+    made = [(k, i) for k in names for i in range(1 if k in rare else 5)]
+    spelled = lambda k, i: (k, f"{k.upper()}-X", f"{k}_gb", f" {k}", k)[i]
+    rows = [(f"{k}{i}", " ".join(r.choice(speak[k]) for _ in range(60)), spelled(k, i), "h.one") for k, i in made]
+    df = spark.createDataFrame(rows, "doc_id string, text string, lang string, source string")
+    model = langid.fit(df, "text", "lang")
+    assert len(names) > 200 and model.languages == sorted(names)
+    out = langid.identify(df, model).collect()
+    assert len(out) == len(rows) and all(x.lang_id == x.doc_id[:-1] and not x.lang_rejected for x in out)
