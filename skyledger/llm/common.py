@@ -18,14 +18,22 @@ from pyspark.sql.pandas.types import to_arrow_schema
 _ROOT = Path(__file__).resolve().parents[2]
 
 
+def _is_local(spark: SparkSession) -> bool:
+    """Whether driver and tasks are one process on one machine."""
+    return spark.sparkContext.master.split("[")[0] == "local"
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share (``spark.checkpoint.dir``).
 
-    Only where the session names none (tests in local mode) a fresh folder is made.
+    Only where a session in local mode names none, as in tests, a fresh folder is made;
+    a cluster has to name one.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    if not _is_local(spark):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     made = getattr(shared_dir, "_made", None)
     if made is None:
         made = shared_dir._made = tempfile.mkdtemp(prefix="spark-")
@@ -57,6 +65,26 @@ def materialized() -> int:
     return len(_made)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Removes materialized tables that nothing reads any more."""
+    for df in tables:
+        _delete(df.sparkSession, df._materialized)
+
+
+def _delete(spark: SparkSession, name: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    _made.remove(name)
+
+
+def unused(name: str, *taken: DataFrame | list[str]) -> str:
+    """``name``, with underscores before it until no column is called so, in any case."""
+    columns = {c.lower() for x in taken for c in (x if isinstance(x, list) else x.columns)}
+    while name.lower() in columns:
+        name = f"_{name}"
+    return name
+
+
 def drop_materialized(spark: SparkSession, since: int = 0, keep: tuple[str, ...] = ()) -> int:
     """Removes the tables that this process has materialized, once nothing reads them any more.
 
@@ -64,9 +92,7 @@ def drop_materialized(spark: SparkSession, since: int = 0, keep: tuple[str, ...]
     """
     gone = [p for p in _made[since:] if p not in keep]
     for name in gone:
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-        _made.remove(name)
+        _delete(spark, name)
     return len(gone)
 
 
@@ -81,14 +107,53 @@ def join_keys(df: DataFrame, keys: DataFrame, condition: str, how: str) -> DataF
     return df.join(side, F.expr(condition), how)
 
 
+#: Rows of a key up to which it is never split from the others, and the most parts that a hot key's rows are dealt to.
+FEW_ROWS, MAX_PARTS = 200, 32
+
+
+def hot_keys(df: DataFrame, key: str) -> dict:
+    """The keys that hold more than a thousandth of the rows (a thousand at most) and more than FEW_ROWS,
+    each with the number of parts to deal its rows to, MAX_PARTS at most."""
+    return largest(df.groupBy(key).count())
+
+
+def largest(counted: DataFrame) -> dict:
+    """The same from (key, number of rows)."""
+    key, n = counted.columns
+    many = counted.where(F.col(n) > FEW_ROWS).orderBy(F.col(n).desc()).limit(1000).collect()
+    if not many:
+        return {}
+    most = max(FEW_ROWS, counted.agg(F.sum(n)).first()[0] // 1000)
+    return {r[0]: min(MAX_PARTS, -(-r[1] // most)) for r in many if r[1] > most}
+
+
+def parts_of(spark: SparkSession, hot: dict, df: DataFrame, key: str) -> DataFrame:
+    """(hot_key, parts) for a broadcast, from ``hot_keys`` of ``df``."""
+    schema = T.StructType([T.StructField("hot_key", df.schema[key].dataType), T.StructField("parts", T.IntegerType())])
+    return spark.createDataFrame(list(hot.items()), schema)
+
+
+def with_value(df: DataFrame, key: str, values: DataFrame, hot: dict | None = None) -> DataFrame:
+    """``df`` left joined with ``values`` (k, v), k unique; hot keys' values are broadcast and their rows stay in place."""
+    hot = hot_keys(df, key) if hot is None else hot
+    if not hot:
+        return df.join(values, F.col(key) == F.col("k"), "left").drop("k")
+    keys = list(hot)
+    is_hot = F.coalesce(F.col(key).isin(keys), F.lit(False))
+    few = F.broadcast(values.where(F.col("k").isin(keys)))  # at most a thousand rows
+    rest = df.where(~is_hot).join(values, F.col(key) == F.col("k"), "left")
+    return df.where(is_hot).join(few, F.col(key) == F.col("k"), "left").unionByName(rest).drop("k")
+
+
 def ship(spark: SparkSession) -> None:
     """Makes this package importable on the executors.
 
-    Where ``PYTHONPATH`` or the working folder already has it nothing is sent;
-    else the package goes out once as a zip file through ``addPyFile``.
+    On a cluster the package goes out once as a zip file through ``addPyFile``, as the
+    driver's folders say nothing of the executors'.  In local mode nothing is sent
+    where ``PYTHONPATH`` or the working folder has it.
     """
     paths = os.environ.get("PYTHONPATH", "").split(os.pathsep) + [os.getcwd()]
-    if any(p and Path(p, __package__.split(".")[0]).is_dir() for p in paths):
+    if _is_local(spark) and any(p and Path(p, __package__.split(".")[0]).is_dir() for p in paths):
         return
     sc = spark.sparkContext
     if getattr(ship, "_sent", None) == sc.applicationId:
