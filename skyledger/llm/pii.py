@@ -8,6 +8,8 @@ them to reach the threshold.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
+from itertools import accumulate
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
@@ -123,8 +125,10 @@ def find(text: str) -> tuple[list[tuple[str, int, int, float]], list[tuple[str,
     order = lambda s: (s[1], rank[s[0]])
     base = sorted(base_spans(text), key=order)
     every = [(*s, score(text, *s)) for s in base]
+    starts, reach = [s[1] for s in base], list(accumulate((s[2] for s in base), max))
     for s in further_spans(text):
-        if any(s[1] < b[2] and b[1] < s[2] for b in base):
+        before = bisect_left(starts, s[2])  # base spans that begin before this one's end
+        if before and reach[before - 1] > s[1]:
             continue
         value = score(text, *s)
         if value >= THRESHOLD:
