@@ -22,7 +22,7 @@ from .common import add_columns, table
 
 SPACE = "▁"
 #: Distinct words whose counts a worker keeps; beyond it they are forgotten and made again.
-KEPT_WORDS = 700_000
+KEPT_WORDS, KEPT_LENGTH = 700_000, 64
 
 
 class PrefixCounter:
@@ -113,9 +113,11 @@ class PrefixCounter:
         return counts
 
     def total(self, text: str) -> int:
-        if len(self.totals) >= KEPT_WORDS:
-            self.totals.clear()
-        done = self.totals[text] = self.word(text)[-1]
+        done = self.word(text)[-1]
+        if len(text) <= KEPT_LENGTH:
+            if len(self.totals) >= KEPT_WORDS:
+                self.totals.clear()
+            self.totals[text] = done
         return done
 
     #: A line feed is no piece and so a word of its own.
