@@ -49,7 +49,8 @@ _TOKEN = re.compile(
     re.S,
 )
 _APART_END = re.compile(rf"</({'|'.join(sorted(_APART))})(?![A-Za-z0-9:-])", re.I)
-_TAIL = re.compile(r"<(?:[A-Za-z/!?][^>]*)?\Z", re.S)
+#: The beginning of a tag; one after the page's last > never ends.
+_BEGINS = re.compile(r"<(?:[A-Za-z/!?]|\Z)")
 #: A name with its value, if any; a name inside a quoted value is no name.
 _ATTRIBUTE = re.compile(r"""([^\s/>=][^\s/>=]*)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""")
 _HIDING = re.compile(r"display\s*:\s*none", re.I)
@@ -127,7 +128,8 @@ def blocks(page: str) -> list[Block]:
     linked = in_link = at = 0
     apart: list[Element] = []  # open elements of _APART
     held: tuple[Element | None, list[Element]] | None = None  # the innermost of them where the pieces' text began, and the path there
-    page = _TAIL.sub("", page)
+    unended = _BEGINS.search(page, page.rfind(">") + 1)
+    page = page[: unended.start()] if unended else page
     ends = {e[1].lower(): e.start() for e in _APART_END.finditer(page)}  # where the last end tag of each is
 
     def path() -> list[Element]:
