@@ -9,12 +9,11 @@ so it may be collected and broadcast.
 from __future__ import annotations
 
 import heapq
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import shared_dir, table
+from .common import table, unused
 
 MAP_SCHEMA = "version long, virtual_slot int, shard int, slot_bytes long"
 
@@ -33,9 +32,10 @@ def slotted(docs: DataFrame, id_col: str, text_col: str, n_slots: int) -> DataFr
     ).withColumn("virtual_slot", F.pmod(F.xxhash64(F.col(id_col), F.col("text_crc32")), F.lit(n_slots)).cast("int"))
 
 
-def slot_bytes(df: DataFrame) -> dict[int, int]:
-    """Bytes of every slot; at most ``n_slots`` rows come to the driver."""
-    return {r[0]: r[1] for r in df.groupBy("virtual_slot").agg(F.sum("size")).collect()}
+def slot_bytes(df: DataFrame) -> tuple[dict[int, int], dict[int, int]]:
+    """Bytes and rows of every slot; at most ``n_slots`` rows come to the driver."""
+    rows = df.groupBy("virtual_slot").agg(F.sum("size"), F.count(F.lit(1))).collect()
+    return {r[0]: r[1] for r in rows}, {r[0]: r[2] for r in rows}
 
 
 def first_map(sizes: dict[int, int], n_slots: int, n_shards: int) -> dict[int, int]:
@@ -108,7 +108,8 @@ def shard_documents(
 
     Shards are near equal in bytes.  With a map at ``map_path`` its newest version
     is edited for the present bytes and stored as the next one; otherwise version 1
-    is made.  ``slot`` is the row's place in its shard, gapless from 0.
+    is made, and stored if there is a path.  ``slot`` is the row's place in its shard,
+    gapless from 0.  Equal texts under different ids may lie in different shards.
 
     Null ids and texts are allowed (see ``slotted``).  Rows alike in id and text
     share a virtual slot and have neighbouring places.  An empty table gives an
@@ -116,31 +117,27 @@ def shard_documents(
     """
     spark = docs.sparkSession
     df = slotted(docs, id_col, text_col, n_slots)
-    sizes = slot_bytes(df)
-    path = map_path or f"{shared_dir(spark)}/slot-map-{uuid.uuid4().hex}"
-    stored = load_map(spark, path)
+    sizes, counts = slot_bytes(df)
+    stored = load_map(spark, map_path) if map_path else None
     slots = rebalanced(stored[1], sizes, n_shards) if stored else first_map(sizes, n_slots, n_shards)
     version = stored[0] + 1 if stored else 1
-    save_map(spark, path, slots, sizes, version)
-    mapped = (
-        spark.read.schema(MAP_SCHEMA)
-        .parquet(f"{path}/version={version:08d}")
-        .select("virtual_slot", "shard", F.col("version").alias("map_version"))
+    if map_path:
+        save_map(spark, map_path, slots, sizes, version)
+    rows = [(s, shard, version) for s, shard in sorted(slots.items())]
+    mapped = spark.createDataFrame(rows, "virtual_slot int, shard int, map_version long")
+    df = df.drop(*[c for c in df.columns if c.lower() in ("shard", "map_version", "slot")])
+    df = df.join(F.broadcast(mapped), "virtual_slot")  # n_slots rows
+    part, slot_of, part_of, start, at = (unused(f"_{c}", df) for c in ("part", "slot_of", "part_of", "start", "at"))
+    parts = max(1, -(-sum(counts.values()) // (n_slots * rows_per_bucket)))
+    df = df.withColumn(part, F.pmod(F.xxhash64(F.col("text_crc32"), F.col(id_col)), F.lit(parts)).cast("int"))
+    before = Window.partitionBy("shard").orderBy("virtual_slot", part).rowsBetween(Window.unboundedPreceding, -1)
+    starts = df.groupBy("shard", "virtual_slot", part).count().select(
+        F.col("virtual_slot").alias(slot_of), F.col(part).alias(part_of), F.coalesce(F.sum("count").over(before), F.lit(0)).alias(start)
     )
-    df = df.drop("shard", "map_version", "slot").join(F.broadcast(mapped), "virtual_slot")  # n_slots rows
-    parts = max(1, -(-docs.count() // (n_slots * rows_per_bucket)))
-    df = df.withColumn("_part", F.pmod(F.xxhash64(F.col("text_crc32"), F.col(id_col)), F.lit(parts)).cast("int"))
-    counts = df.groupBy("shard", "virtual_slot", "_part").count()
-    before = Window.partitionBy("shard").orderBy("virtual_slot", "_part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select(
-        F.col("virtual_slot").alias("_s"), F.col("_part").alias("_p"),
-        F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_start"),
-    )
-    place = Window.partitionBy("virtual_slot", "_part").orderBy(F.col(id_col).asc_nulls_last(), "text_crc32")
-    df = df.withColumn("_place", F.row_number().over(place)).join(
-        starts, F.expr("virtual_slot = _s AND _part = _p")
-    )
-    df = df.withColumn("slot", F.col("_start") + F.col("_place") - 1)
+    place = Window.partitionBy("virtual_slot", part).orderBy(F.col(id_col).asc_nulls_last(), "text_crc32")
+    df = df.withColumn(at, F.row_number().over(place))
+    df = df.join(starts, (F.col("virtual_slot") == F.col(slot_of)) & (F.col(part) == F.col(part_of)))
+    df = df.withColumn("slot", F.col(start) + F.col(at) - 1)
     added = ["size", "text_crc32", "virtual_slot", "map_version", "shard", "slot"]
     return df.select(*[f"`{c}`" for c in docs.columns if c.lower() not in added], *added)
 
