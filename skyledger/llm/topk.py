@@ -1,8 +1,9 @@
 """Exact top-k search by inner product, norm-bucketed.
 
 Vectors are grouped by length (a bucket spans a fixed ratio of norms; full buckets
-are dealt into blocks by a hash).  Query blocks meet vector blocks.  Within a block
-the vectors are taken longest first in small local buckets; a query's k-th score so
+are dealt into blocks by a hash).  Queries first meet the longest vectors; the k-th score
+found there bounds the lengths that can still matter, and queries in blocks of like
+bounds then meet the blocks of long enough buckets only.  Within a block the vectors are taken longest first in small local buckets; a query's k-th score so
 far, divided by its own length and the bucket's longest length, is its local cosine
 threshold.  Above 1 the bucket is pruned for the query.  A high threshold prunes by
 coordinates, a lower one by length; what is left is verified by exact products.
@@ -23,6 +24,8 @@ from .common import materialize, ship, table
 #: From this local cosine threshold on, coordinates prune better than lengths.
 COORDINATE_FROM = 0.85
 FOCUS = 4
+#: Bytes of a block's doubles, of queries or of vectors; rows of the longest vectors met first, at most one block; bucket of zero vectors.
+BLOCK_BYTES, HEAD_ROWS, NO_LENGTH = 32 << 20, 16384, -9999
 
 
 def integer_vectors(df: DataFrame, id_col: str, vector_col: str, scale: int) -> DataFrame:
@@ -72,7 +75,7 @@ def _candidates(q: np.ndarray, q_norm: float, p_unit: np.ndarray, cos: float) ->
 def search_block(
     q_ids: np.ndarray, q: np.ndarray, p_ids: np.ndarray, p: np.ndarray, k: int, local: int = 512
 ) -> list[tuple[int, int, int]]:
-    """Each query's best k of a block, as (query, vector, score); ties go to the smaller id."""
+    """Each query's best k of a block, as (place of the query, vector, score); ties go to the smaller id."""
     q_norm, p_norm = np.sqrt((q * q).sum(1)), np.sqrt((p * p).sum(1))
     order = np.lexsort((p_ids, -p_norm))
     p, p_ids, p_norm = p[order], p_ids[order], p_norm[order]
@@ -108,7 +111,7 @@ def search_block(
                     row = np.zeros(len(rows), dtype=object)
                     row[near] = _products(q[i : i + 1], rows[near])[0]
                     floor[i] = _offer(best[i], int(q_ids[i]), ids, row, near, k, floor[i])
-    return [(int(q_ids[i]), -minus, score) for i, heap in enumerate(best) for score, minus in heap]
+    return [(i, -minus, score) for i, heap in enumerate(best) for score, minus in heap]
 
 
 def _offer(heap: list, query: int, ids: np.ndarray, row, near: np.ndarray, k: int, floor: float) -> float:
@@ -130,8 +133,8 @@ def top_k(
     every: int = 50,
     k: int = 5,
     scale: int = 256,
-    block_rows: int = 16384,
-    query_rows: int = 4096,
+    block_rows: int | None = None,
+    query_rows: int | None = None,
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): the k vectors of highest integer inner product.
 
@@ -140,50 +143,103 @@ def top_k(
     without an id are left out.  A repeated id is searched once for each distinct
     vector it has and never finds itself; a repeated candidate fills as many places
     as it has rows.  Unusable vectors (see ``integer_vectors``) take no part; with
-    none left the result is empty.
+    none left the result is empty.  Other columns play no part.
+
+    Blocks of vectors and of queries hold ``block_rows`` and ``query_rows`` rows, by
+    default as many as fit in ``BLOCK_BYTES``.
     """
     ship(df.sparkSession)
     vectors = integer_vectors(df, id_col, vector_col, scale).where(F.col("vec_id").isNotNull())
     # Norms within a factor of 2^(1/4) are one bucket; the exponents of doubles bound the number of buckets.
-    bucket = F.when(F.col("norm") > 0, F.floor(F.log2("norm") * 4)).otherwise(F.lit(-9999)).cast("int")
+    bucket = F.when(F.col("norm") > 0, F.floor(F.log2("norm") * 4)).otherwise(F.lit(NO_LENGTH)).cast("int")
     vectors = materialize(vectors.withColumn("bucket", bucket), "vectors")
-    sizes = vectors.groupBy("dim", "bucket").agg(F.count(F.lit(1)).alias("n"))
-    blocks = sizes.withColumn("blocks", F.ceil(F.col("n") / block_rows).cast("int")).select("dim", "bucket", "blocks")
+    fitting = F.greatest(F.lit(1), F.floor(F.lit(BLOCK_BYTES / 8) / F.greatest("dim", F.lit(1))))
+    rows = F.lit(block_rows) if block_rows else fitting
+    sizes = vectors.groupBy("dim", "bucket").agg(F.count(F.lit(1)).alias("n"), F.max("norm").alias("longest"))
+    longer = Window.partitionBy("dim").orderBy(F.col("bucket").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    buckets = sizes.select(
+        "dim", "bucket", "longest", F.ceil(F.col("n") / rows).cast("int").alias("blocks"),
+        # The head of a dimension: its longest buckets, as many as are needed for a block.
+        (F.coalesce(F.sum("n").over(longer), F.lit(0)) < F.least(rows, F.lit(HEAD_ROWS))).alias("head"),
+    )
+    buckets = materialize(buckets, "buckets")  # a row for each bucket
     is_query = F.pmod(F.col("vec_id"), F.lit(every)) == 0
     queries = vectors.where(is_query).dropDuplicates(["vec_id", "v"])
-    n_queries = vectors.where(is_query).count()
-    query_blocks = max(1, -(-n_queries // query_rows))
-    place = F.pmod(F.xxhash64("vec_id"), F.col("blocks"))
+    counted = vectors.where(is_query).groupBy("dim").agg(F.count(F.lit(1)).alias("n"))  # a row for each dimension
+    wanted = F.lit(query_rows) if query_rows else fitting
+    query_blocks = counted.select("dim", F.greatest(F.lit(1), F.ceil(F.col("n") / wanted)).cast("int").alias("qbs"))
+    queries = queries.join(F.broadcast(query_blocks), "dim").select("dim", "vec_id", "v", "norm", "qbs")
+
+    # First the longest vectors, which give each query a score that the k-th best reaches.
+    at_random = F.pmod(F.xxhash64("vec_id", F.lit(3)), F.col("qbs")).cast("int")
+    head = materialize(_meet(vectors, queries.withColumn("qb", at_random), buckets.where("head"), None, k), "head-scores")
+    downwards = Window.partitionBy("query_id", "query_hash").orderBy(F.col("score").desc())
+    least = head.withColumn("place", F.row_number().over(downwards)).where(F.col("place") == k)
+    least = least.select(F.col("query_id").alias("q"), F.col("query_hash").alias("h"), F.col("score").alias("least"))
+
+    # Then only buckets with a vector long enough for that: score <= length of the query * longest of the bucket.
+    known = queries.join(least, (F.col("vec_id") == F.col("q")) & (F.xxhash64("v") == F.col("h")), "left")
+    need = F.when((F.col("least") > 0) & (F.col("norm") > 0), F.col("least") / F.col("norm") * (1 - 1e-9)).otherwise(0.0)
+    known = known.select("dim", "vec_id", "v", "qbs", need.alias("need"))
+    # Queries of like needs share a block: blocks are ranges of the need, cut at its quantiles.
+    cuts = known.groupBy("dim").agg(F.percentile_approx("need", [i / 64 for i in range(1, 64)], 10_000).alias("cuts"))
+    known = known.join(F.broadcast(cuts), "dim")
+    span = F.size(F.filter("cuts", lambda c: c < F.col("need")))
+    width = F.ceil(F.col("qbs") / 64).cast("int")  # blocks of a range, once there are more than 64
+    ranged = F.when(F.col("qbs") <= 64, F.floor(span * F.col("qbs") / 64)).otherwise(span * width + F.pmod(F.xxhash64("vec_id", F.lit(3)), width))
+    known = materialize(known.withColumn("qb", ranged.cast("int")).drop("cuts", "qbs"), "queries")
+    needs = known.groupBy("dim", "qb").agg(F.min("need").alias("need"))  # a row for each block of queries
+    rest = _meet(vectors, known, buckets.where("NOT head"), needs, k)
+    best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+    every_score = head.unionByName(rest).select("query_id", "vec_id", "score")
+    return every_score.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+
+def _meet(vectors: DataFrame, queries: DataFrame, buckets: DataFrame, needs: DataFrame | None, k: int) -> DataFrame:
+    """(query_id, query_hash, vec_id, score): the best k of every block of the buckets for every query.
+
+    With ``needs``, a block of queries meets only buckets whose longest vector is as long as its least need.
+    """
+    pairs = buckets.select("dim", "bucket", "blocks", "longest")
+    blocks = queries.select("dim", "qb").distinct() if needs is None else needs
+    pairs = pairs.join(F.broadcast(blocks), "dim")
+    if needs is not None:
+        pairs = pairs.where(F.col("longest") * (1 + 1e-9) >= F.col("need"))
+    pairs = pairs.select("dim", "bucket", "blocks", "qb")  # a row for each bucket and block of queries that meet
+    of_bucket = pairs.groupBy("dim", "bucket", "blocks").agg(F.collect_list("qb").alias("qbs"))
     left = (
-        vectors.join(F.broadcast(blocks), ["dim", "bucket"])  # a row for each bucket
-        .withColumn("block", place.cast("int"))
-        .withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))))
-        .select("dim", "bucket", "block", "qb", "vec_id", "v")
+        vectors.join(F.broadcast(of_bucket), ["dim", "bucket"])
+        .withColumn("block", F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int"))
+        .select("dim", "bucket", "block", F.explode("qbs").alias("qb"), "vec_id", "v")
     )
+    of_queries = pairs.groupBy("dim", "qb").agg(F.collect_list(F.struct("bucket", "blocks")).alias("met"))
     right = (
-        queries.drop("bucket")
-        .join(F.broadcast(blocks), "dim")
-        .withColumn("block", F.explode(F.expr("sequence(0, blocks - 1)")))
-        .withColumn("qb", F.pmod(F.xxhash64(F.col("vec_id"), F.lit(3)), F.lit(query_blocks)).cast("int"))
-        .select("dim", "bucket", "block", "qb", "vec_id", "v")
+        queries.join(F.broadcast(of_queries), ["dim", "qb"])
+        .select("dim", "qb", "vec_id", "v", F.explode("met").alias("m"))
+        .select("dim", F.col("m.bucket").alias("bucket"), F.explode(F.expr("sequence(0, m.blocks - 1)")).alias("block"), "qb", "vec_id", "v", F.xxhash64("v").alias("query_hash"))
     )
 
     def run(key, a: pa.Table, b: pa.Table) -> pa.Table:
         out: list[tuple[int, int, int]] = []
+        hashes: list[int] = []
         if a.num_rows and b.num_rows:
             dim = key[0].as_py()
             p_ids, p = _matrix(a, dim)
             q_ids, q = _matrix(b, dim)
+            of = b.column("query_hash").to_numpy()
             for at in range(0, len(q), 1024):
-                out += search_block(q_ids[at : at + 1024], q[at : at + 1024], p_ids, p, k)
-        columns = list(zip(*out, strict=True)) or [[], [], []]
-        return pa.table({n: pa.array(list(c), pa.int64()) for n, c in zip(("query_id", "vec_id", "score"), columns, strict=True)})
+                # A repeated id stands for several vectors, so the search goes by place.
+                for i, j, score in search_block(q_ids[at : at + 1024], q[at : at + 1024], p_ids, p, k):
+                    out.append((int(q_ids[at + i]), j, score))
+                    hashes.append(int(of[at + i]))
+        query, found, score = list(zip(*out, strict=True)) or [[], [], []]
+        columns = {"query_id": query, "query_hash": hashes, "vec_id": found, "score": score}
+        return pa.table({n: pa.array(list(c), pa.int64()) for n, c in columns.items()})
 
     keys = ["dim", "bucket", "block", "qb"]
     right = right.toDF(*right.columns)  # columns of its own, as both come from one table
-    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(run, "query_id long, vec_id long, score long")
-    best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
-    return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    schema = "query_id long, query_hash long, vec_id long, score long"
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(run, schema)
 
 
 def _matrix(t: pa.Table, dim: int) -> tuple[np.ndarray, np.ndarray]:
