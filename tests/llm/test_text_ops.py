@@ -3,6 +3,7 @@
 import random
 import re
 import string
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -113,6 +114,91 @@ def test_language_id(spark, docs, rows, empty):
     assert langid.identify(empty, langid.fit(empty, "text", "lang")).count() == 0
 
 
+def plain_language(model, rows, threshold=0.5):
+    """(text, declared, host) -> (language, confidence, rejected), by dictionaries."""
+    names, n = model.languages, len(model.languages) + 1
+    fold = {t: f for t, f in rows["folds"].items()}
+
+    def evidence(t, d, h):
+        like = model.log_likelihood(t, fold[t or ""])
+        if not like.any():
+            return None
+        p = langid.np.exp(like - like.max())
+        tail = h.rsplit(".", 1)[1] if h and "." in h else None
+        for said, trust in ((d, langid.TRUST_DECLARED), (langid.SUFFIX_LANGUAGE.get(tail), langid.TRUST_SUFFIX)):
+            if said in names:
+                p = p * [trust if x == said else (1 - trust) / len(names) for x in [*names, None]]
+        return p / p.sum(), tail
+
+    found = [evidence(*r) for r in rows["rows"]]
+    hosts, tails, top = {}, {}, langid.np.zeros(n)
+    for (_, _, h), e in zip(rows["rows"], found):
+        if e:
+            hosts[h] = hosts.get(h, 0) + e[0]
+            tails[e[1]] = tails.get(e[1], 0) + e[0]
+            top = top + e[0]
+    smooth = lambda c, p, w: (c + w * p) / (c.sum() + w)
+    whole = smooth(top, langid.np.full(n, 1 / n), n)
+    out = []
+    for (_, _, h), e in zip(rows["rows"], found):
+        if not e:
+            out.append(("und", 0.0, True))
+            continue
+        q = e[0] * (smooth(hosts[h], smooth(tails[e[1]], whole, langid.SUFFIX_WEIGHT), langid.HOST_WEIGHT) if h is not None else 1)
+        q = q / q.sum()
+        best = int(q.argmax())
+        out.append(([*names, "und"][best], round(float(q[best]), 6), bool(best == n - 1 or q[best] < threshold)))
+    return out
+
+
+def test_language_id_equals_plain_fusion(spark):
+    r = random.Random(13)
+    rows = []
+    for i in range(300):
+        lang = r.choice(list(SYLLABLES))
+        text = r.choice([speech(r, lang, r.randint(1, 9)), speech(r, lang, 2), None, "", "12 34", "qzx"]) if i % 3 == 0 else speech(r, lang, r.randint(1, 30))
+        rows.append((text, r.choice([lang, lang, "en", "xx", None]), r.choice([None, "plain", f"a{i % 5}.{lang}", f"b{i % 3}.com", "c.co.uk", "hot.de"])))
+    df = spark.createDataFrame([(i, *x) for i, x in enumerate(rows)], "doc_id long, text string, lang string, host string")
+    model = langid.fit(df, "text", "lang", folds=2)
+    assert model.folds == 2
+    folds = {x[0]: x[1] for x in df.select(F.coalesce("text", F.lit("")).alias("t"), langid._fold(F.coalesce("text", F.lit("")), 2).alias("f")).collect()}
+    got = {x.doc_id: (x.lang_id, x.lang_confidence, x.lang_rejected) for x in langid.identify(df, model, host_col="host").collect()}
+    want = plain_language(model, {"rows": rows, "folds": folds})
+    for i, w in enumerate(want):
+        assert got[i][0] == w[0] and got[i][2] == w[2] and abs(got[i][1] - w[1]) < 2e-6, (rows[i], got[i], w)
+
+
+def test_a_label_of_one_row_is_known_to_all_folds(spark):
+    r = random.Random(14)
+    rows = [(i, speech(r, "de", 20), "de") for i in range(30)] + [(99, "zzyx wvvu zzyx " * 9, "qq")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    out = {x.doc_id: x for x in langid.identify(df, langid.fit(df, "text", "lang", folds=2), host_col=None).collect()}
+    assert out[99].lang_id == "qq" and not out[99].lang_rejected and all(out[i].lang_id == "de" for i in range(30))
+
+
+def test_language_id_beside_clashing_names(docs):
+    names = ("_h", "_host", "_suffix", "_declared", "_prior", "_fold", "_key", "_salt", "p", "host", "s")
+    more = docs.withColumns({c: F.lit("kept") for c in names})
+    out = langid.identify(more, langid.fit(more, "text", "lang", folds=2))
+    assert out.columns[: len(more.columns)] == more.columns
+    assert all(x[c] == "kept" for x in out.collect() for c in names)
+
+
+def test_decontaminate_beside_clashing_names(docs):
+    more = docs.withColumns({c: F.lit("kept") for c in ("_spans", "_items", "_clean")})
+    bench = docs.select(F.col("doc_id").alias("item_id"), "text").limit(3)
+    for action in ("flag", "clean"):
+        rows = decontaminate.decontaminate(more, bench, action=action).collect()
+        assert len(rows) == docs.count() and all(x._spans == x._items == x._clean == "kept" for x in rows)
+
+
+def test_decontaminate_index_is_bounded():
+    r = random.Random(4)
+    items = [(str(i), " ".join(f"w{r.randrange(50000):x}" for _ in range(200))) for i in range(1500)]
+    index = decontaminate.NgramIndex(items, 10)
+    assert index.nbytes() < 6 * sum(len(t) for _, t in items)
+
+
 def test_host_prior_decides_a_tie(spark):
     model = langid.TextModel(["de", "en"], langid.np.zeros((langid.BUCKETS, 3)) - 5)
     model.log_p[:, 2] = -9
@@ -283,3 +369,28 @@ def test_every_labelled_language_is_fitted(spark):
     assert len(names) > 200 and model.languages == sorted(names)
     out = langid.identify(df, model).collect()
     assert len(out) == len(rows) and all(x.lang_id == x.doc_id[:-1] and not x.lang_rejected for x in out)
+
+
+def test_many_unended_tags_are_read_in_a_second():
+    for page in ("<a" * 500_000 + ">x", "<a" * 500_000, "<p>one</p>" + "<!" * 500_000, "<b '" * 250_000 + "<p>x</p>"):
+        start = time.perf_counter()
+        htmltext.blocks(page)
+        assert time.perf_counter() - start < 3
+    assert [b.text for b in htmltext.blocks("<p>one</p><p>two</p> a < b <em")] == ["one", "two", "a < b"]
+
+
+def test_further_spans_give_way_in_long_texts():
+    r = random.Random(8)
+    some = ["mail a.b@c.de now", "card 4111 1111 1111 1111", "ssn 123-45-6789", "10.0.0.1", "call +49 30 1234567", "phone (555) 123-4567", "IBAN DE89370400440532013000"]
+    text = " ".join(r.choice(some) for _ in range(400))
+    every, base = pii.find(text)
+    for kind, a, b, _ in every:
+        if (kind, a, b) not in base:
+            assert not any(a < z and y < b for _, y, z in base)
+    kept = {(k, a, b) for k, a, b, _ in every}
+    for kind, a, b in pii.further_spans(text):
+        free = not any(a < z and y < b for _, y, z in base)
+        assert ((kind, a, b) in kept) == (free and pii.score(text, kind, a, b) >= pii.THRESHOLD)
+    start = time.perf_counter()
+    pii.find(" ".join(r.choice(some) for _ in range(40_000)))
+    assert time.perf_counter() - start < 20
