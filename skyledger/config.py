@@ -161,6 +161,8 @@ def parse(raw: dict[str, Any]) -> Source:
     )
     for k in ("id", "label", "country", "primary", "delimiter", "source_id", "registration"):
         c.text("source", raw, k)
+    for name in [raw.get("id"), *((raw.get("download") or {}).get("entries") or {})]:
+        c(isinstance(name, str) and re.fullmatch(r"[A-Za-z0-9][A-Za-z0-9._-]*", name) and ".." not in name, f"{name!r} is no plain name")
     c(raw.get("language") in LANGUAGES, "source.language: an assigned ISO 639-1 code is needed")
     c(raw.get("encoding") in ("utf8", "latin1"), "source.encoding: utf8 or latin1")
     fmt = raw.get("format", "csv")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: White space that trimming removes; fixed values.
@@ -16,10 +16,35 @@ MAX_SAFE = 2**53 - 1
 
 
 def bind(value: Column, f: Callable[[Column], Column]) -> Column:
-    """``f(value)`` with the value computed once, however often ``f`` uses it."""
+    """``f(value)`` with the value computed once, however often ``f`` uses it; its lambda is not compiled."""
     return F.get(F.transform(F.array(value), f), F.lit(0))
 
 
+class Steps:
+    """A transform in steps, each of which may use the value before it several times.
+
+    ``staged`` makes a column of every step's value, so that each is computed once and
+    the plan stays in generated code; calling it gives one expression instead.
+    """
+
+    def __init__(self, *steps: Callable[[Column], Column]):
+        self.steps = tuple(x for f in steps for x in (f.steps if isinstance(f, Steps) else (f,)))
+
+    def __call__(self, v: Column) -> Column:
+        for f in self.steps:
+            v = bind(v, f)
+        return v
+
+
+def staged(df: DataFrame, made: dict[str, tuple[Callable[[Column], Column], Column]]) -> DataFrame:
+    """Adds each named column, a transform of a column, in as many projections as the longest one has steps."""
+    todo = {name: (list(f.steps) if isinstance(f, Steps) else [f], v) for name, (f, v) in made.items()}
+    while todo:
+        df = df.withColumns({name: fs[0](v) for name, (fs, v) in todo.items()})
+        todo = {name: (fs[1:], F.col(f"`{name}`")) for name, (fs, _) in todo.items() if fs[1:]}
+    return df
+
+
 def null() -> Column:
     return F.lit(None).cast("string")
 
@@ -49,9 +74,12 @@ def _number(t: Column) -> Column:
     return F.when(t.rlike(DECIMAL), t.try_cast("double")).when(t.rlike(_RADIX), radix)
 
 
-def number(v: Column) -> Column:
-    """The finite number a whole cell states, in decimal or with a 0x, 0o or 0b radix; else null."""
-    return bind(bind(trim(v), _number), lambda n: F.when(F.abs(n) < float("inf"), n))
+def _finite(n: Column) -> Column:
+    return F.when(F.abs(n) < float("inf"), n)
+
+
+#: The finite number a whole cell states, in decimal or with a 0x, 0o or 0b radix; else null.
+number = Steps(trim, _number, _finite)
 
 
 def _shown(n: Column) -> Column:
@@ -66,21 +94,24 @@ def _shown(n: Column) -> Column:
     )
 
 
-def shown(n: Column) -> Column:
-    """A number as text: whole numbers without a fraction, others in the shortest decimal form."""
-    return bind(n, _shown)
+#: A number as text: whole numbers without a fraction, others in the shortest decimal form.
+shown = Steps(_shown)
+
+
+def in_calendar(s: Column) -> Column:
+    """A text of the form yyyy-mm-dd if the calendar has that day, else null."""
+    return F.when((s.try_cast("date").cast("string") == s) & (F.substring(s, 1, 4) != "0000"), s)
 
 
 def ymd(y: Column, m: Column, d: Column) -> Column:
-    """The ISO date of text parts if the calendar has it, else null."""
-    valid = lambda s: F.when(F.date_format(F.try_to_date(s, "yyyy-MM-dd"), "yyyy-MM-dd") == s, s)
-    return bind(F.concat_ws("-", y, m, d), valid)
+    """The ISO date of text parts, to be checked by ``in_calendar``."""
+    return F.concat_ws("-", y, m, d)
 
 
-def date_like(v: Column, pattern: str, y: tuple[int, int], m: tuple[int, int], d: tuple[int, int]) -> Column:
+def date_like(pattern: str, y: tuple[int, int], m: tuple[int, int], d: tuple[int, int], first: Callable[[Column], Column] = trim) -> Steps:
     """The date in a cell that has ``pattern``; parts are (start, length)."""
-    made = lambda t: F.when(t.rlike(pattern), ymd(F.substring(t, *y), F.substring(t, *m), F.substring(t, *d)))
-    return bind(trim(v), made)
+    parts = lambda t: F.when(t.rlike(pattern), ymd(F.substring(t, *y), F.substring(t, *m), F.substring(t, *d)))
+    return Steps(first, parts, in_calendar)
 
 
 def leading_int(v: Column) -> Column:

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import MAX_SAFE, WHITE_CLASS, bind, collapse, date_like, leading_int, null, number, or_null, registration_key, shown, trim, trimmed, ymd
+from .text import MAX_SAFE, WHITE_CLASS, Steps, collapse, date_like, in_calendar, leading_int, null, number, or_null, registration_key, shown, trim, trimmed, ymd
 
 Scalar = Callable[[Column], Column]
 Compound = Callable[[list[Column]], Column]
@@ -119,27 +119,21 @@ def _spanish_class(v: Column) -> Column:
 # Numbers
 
 
-@register_scalar("int_or_null")
-def _int(v: Column) -> Column:
-    return bind(number(v), lambda n: F.when((n == F.floor(n)) & (F.abs(n) <= float(MAX_SAFE)), shown(n)))
+def _mph(v: Column) -> Column:
+    return or_null(F.regexp_extract(trim(v), r"^([+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?)", 1)).try_cast("double")
 
 
-SCALAR["float_or_null"] = lambda v: shown(number(v))
-SCALAR["positive_float_or_null"] = lambda v: bind(number(v), lambda n: F.when(n > 0, shown(n)))
+def _serial_year(n: Column) -> Column:
+    return F.year(F.date_add(F.lit("1899-12-30").cast("date"), F.when((n > 0) & (n < 1e6), F.floor(n)).cast("int")))
 
 
-@register_scalar("mph_to_ktas_or_null")
-def _knots(v: Column) -> Column:
-    mph = or_null(F.regexp_extract(trim(v), r"^([+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?)", 1)).try_cast("double")
-    knots = F.floor(mph * KNOTS_PER_MPH * 10 + 0.5) / 10
-    return F.when(mph > 0, shown(knots))
-
-
-@register_scalar("excel_serial_year_or_null")
-def _serial_year(v: Column) -> Column:
-    days = bind(number(v), lambda n: F.when((n > 0) & (n < 1e6), F.floor(n)).cast("int"))
-    year = F.year(F.date_add(F.lit("1899-12-30").cast("date"), days))
-    return F.when(year.between(1900, 2100), year.cast("string"))
+SCALAR |= {
+    "int_or_null": Steps(number, lambda n: F.when((n == F.floor(n)) & (F.abs(n) <= float(MAX_SAFE)), n), shown),
+    "float_or_null": Steps(number, shown),
+    "positive_float_or_null": Steps(number, lambda n: F.when(n > 0, n), shown),
+    "mph_to_ktas_or_null": Steps(_mph, lambda mph: F.when(mph > 0, F.floor(mph * KNOTS_PER_MPH * 10 + 0.5) / 10), shown),
+    "excel_serial_year_or_null": Steps(number, _serial_year, lambda y: F.when((y >= 1900) & (y <= 2100), y.cast("string"))),
+}
 
 
 @register_scalar("binary_to_hex_or_null")
@@ -151,20 +145,20 @@ def _binary_hex(v: Column) -> Column:
 # Dates
 
 SCALAR |= {
-    "date_yyyymmdd_or_null": lambda v: date_like(v, r"^[0-9]{8}$", (1, 4), (5, 2), (7, 2)),
-    "date_ddmmyyyy_or_null": lambda v: date_like(v, r"^[0-9]{8}$", (5, 4), (3, 2), (1, 2)),
-    "date_yyyy_slash_or_null": lambda v: date_like(v, r"^[0-9]{4}/[0-9]{2}/[0-9]{2}$", (1, 4), (6, 2), (9, 2)),
-    "date_dd_slash_or_null": lambda v: date_like(v, r"^[0-9]{2}/[0-9]{2}/[0-9]{4}$", (7, 4), (4, 2), (1, 2)),
-    "date_dd_dot_or_null": lambda v: date_like(v, r"^[0-9]{2}\.[0-9]{2}\.[0-9]{4}$", (7, 4), (4, 2), (1, 2)),
-    "iso_date_only_or_null": lambda v: date_like(F.substring(trim(v), 1, 10), r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$", (1, 4), (6, 2), (9, 2)),
+    "date_yyyymmdd_or_null": date_like(r"^[0-9]{8}$", (1, 4), (5, 2), (7, 2)),
+    "date_ddmmyyyy_or_null": date_like(r"^[0-9]{8}$", (5, 4), (3, 2), (1, 2)),
+    "date_yyyy_slash_or_null": date_like(r"^[0-9]{4}/[0-9]{2}/[0-9]{2}$", (1, 4), (6, 2), (9, 2)),
+    "date_dd_slash_or_null": date_like(r"^[0-9]{2}/[0-9]{2}/[0-9]{4}$", (7, 4), (4, 2), (1, 2)),
+    "date_dd_dot_or_null": date_like(r"^[0-9]{2}\.[0-9]{2}\.[0-9]{4}$", (7, 4), (4, 2), (1, 2)),
+    "iso_date_only_or_null": date_like(
+        r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$", (1, 4), (6, 2), (9, 2), lambda v: F.substring(trim(v), 1, 10)
+    ),
 }
-SCALAR["iso_year_or_null"] = lambda v: F.substring(SCALAR["iso_date_only_or_null"](v), 1, 4)
+SCALAR["iso_year_or_null"] = Steps(SCALAR["iso_date_only_or_null"], lambda d: F.substring(d, 1, 4))
 
 
-@register_scalar("date_dmmmyy_or_null")
-def _month_name_date(v: Column) -> Column:
+def _month_name_parts(t: Column) -> Column:
     """Two-digit years below 50 are of the 2000s."""
-    t = trim(v)
     part = lambda i: F.regexp_extract(t, r"^([0-9]{1,2})-([A-Za-z]{3})-([0-9]{2})$", i)
     month = F.array_position(F.array(*map(F.lit, MONTHS)), F.lower(part(2)))
     yy = part(3).try_cast("int")
@@ -172,8 +166,10 @@ def _month_name_date(v: Column) -> Column:
     return F.when(month > 0, ymd(year, F.lpad(month.cast("string"), 2, "0"), F.lpad(part(1), 2, "0")))
 
 
-@register_scalar("foca_date_array_or_null")
-def _date_array(v: Column) -> Column:
+SCALAR["date_dmmmyy_or_null"] = Steps(trim, _month_name_parts, in_calendar)
+
+
+def _date_parts(v: Column) -> Column:
     parts = _json_array(v)
     whole = F.forall(parts, lambda x: F.schema_of_variant(x) == "BIGINT")
     text = F.transform(parts, lambda x: F.try_variant_get(x, "$", "string"))
@@ -182,6 +178,9 @@ def _date_array(v: Column) -> Column:
     return F.when((F.size(parts) == 3) & whole & fits, ymd(at(1, 4), at(2, 2), at(3, 2)))
 
 
+SCALAR["foca_date_array_or_null"] = Steps(_date_parts, in_calendar)
+
+
 # Marks and addresses
 
 SCALAR |= {

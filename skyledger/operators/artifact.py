@@ -54,6 +54,12 @@ def record_hash(records: DataFrame, salt: str = "") -> str:
     return content_hash(records, F.col("record.source_id"), body, salt).first()[0]
 
 
+def feed_hash(feed: DataFrame) -> str:
+    """The digest of a feed's rows, whatever their order."""
+    body = F.to_json(F.struct(*sorted(feed.columns)), {"ignoreNullFields": "false"})
+    return content_hash(feed, F.coalesce("icao_hex", F.lit("")), body).first()[0]
+
+
 def guard_counts(n: int, prior: int | None) -> None:
     """Refuses an empty result and one of less than half the rows before."""
     if n == 0:
@@ -79,7 +85,7 @@ def write_table(flat: DataFrame, path: str, key: str = "source_id") -> None:
     twice = flat.groupBy(key).count().where("count > 1").first()
     if twice:
         raise GuardError(f"{key} {twice[0]} occurs {twice['count']} times")
-    flat.repartitionByRange(F.col(key)).sortWithinPartitions(key).write.mode("overwrite").option(
+    flat.repartitionByRange(F.col(key)).sortWithinPartitions(key).write.option(
         "parquet.bloom.filter.enabled#icao_hex", "true"
     ).parquet(path)
 

@@ -80,6 +80,11 @@ def feed_slice(records: DataFrame) -> DataFrame:
     return first.unionByName(second).select("row.*")
 
 
+def absent(declared: DataFrame, rows: DataFrame, name: str, of: str) -> DataFrame:
+    """What is declared and has no rows."""
+    return declared.join(rows.select(F.col(of).alias("_of")).distinct(), F.col(name) == F.col("_of"), "left_anti")
+
+
 def first_by_hex(rows: DataFrame, hex_col: str, order: list[str]) -> DataFrame:
     """Of the rows of one address the first by ``order``; all rows without an address."""
     w = Window.partitionBy(hex_col).orderBy(*order)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,6 +14,13 @@ class GuardError(RuntimeError):
     """A check of the data failed; nothing may be written."""
 
 
+def safe_name(name: str) -> str:
+    """``name`` if it can stand in a path as one plain part; else an error."""
+    if not re.fullmatch(r"[A-Za-z0-9][A-Za-z0-9._-]*", name) or ".." in name:
+        raise GuardError(f"{name!r} is no plain name")
+    return name
+
+
 def cell(df_columns: list[str], name: str) -> Column:
     """A cell's text; a missing column or value is empty."""
     return F.coalesce(F.col(f"`{name}`"), F.lit("")) if name in df_columns else F.lit("")
@@ -57,19 +66,24 @@ def lookup_join(rows: DataFrame, dim: DataFrame, join: Join, order: str = "_ord"
     """Adds ``<name>.<column>`` for every column of the build side; misses stay empty.
 
     Spark plans the join from the sides' sizes.  Rows always match by their own columns.
+    A key's rows are taken to be equal or to be merged; ``assert_consistent`` tells.
     """
     if join.merge:
         side = merged_build_side(dim, join.key, join.merge, order)
     else:
-        clash = conflicting_keys(dim, join.key, order).first()
-        if clash:
-            raise GuardError(f"join {join.name}: rows of key {clash[0]} differ")
         side = dim.where(cell(dim.columns, join.key) != "").drop(order).dropDuplicates([join.key])
     names = [F.col(f"`{c}`").alias(f"{join.name}.{c}") for c in side.columns]
     side = side.select(*names, F.lit(True).alias(f"_hit_{join.name}"))
     return rows.join(side, cell(rows.columns, join.on) == F.col(f"`{join.name}.{join.key}`"), "left")
 
 
+def assert_consistent(dim: DataFrame, join: Join, order: str = "_ord") -> None:
+    """The rows of one key of the build side must be equal, unless they are merged."""
+    clash = None if join.merge else conflicting_keys(dim, join.key, order).first()
+    if clash:
+        raise GuardError(f"join {join.name}: rows of key {clash[0]} differ")
+
+
 def assert_hits(rows: DataFrame, joins: tuple[Join, ...]) -> None:
     """Every join must match at least one row of a non-empty input."""
     if not joins:

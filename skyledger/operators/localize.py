@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,29 +42,34 @@ def delta(found: DataFrame, cache: DataFrame, failures: DataFrame) -> DataFrame:
     return found.join(cache, "hash", "left_anti").join(spent, "hash", "left_anti")
 
 
-def translate(wanted: DataFrame, render: Callable[[list[tuple[str, str, str]]], dict[str, str]]) -> tuple[list[tuple[str, str]], list[str]]:
-    """Asks ``render`` for batches of (hash, field, text); gives what came and the hashes that count as tried.
+def translate(wanted: DataFrame, render: Callable[[list[tuple[str, str, str]]], dict[str, str] | list[tuple[str, str]]]) -> DataFrame:
+    """(hash, text, tried) of the delta: ``render`` is asked by the tasks, for batches of (hash, field, text).
 
-    A batch counts as tried only if half of it came back.  Answers to questions not
-    asked and blank answers are left out.  The delta passes the driver batch by batch.
+    It gives (hash, text) pairs or a dictionary.  A batch counts as tried only if half of
+    it came back; null stands for no answer.  Answers to questions not asked and blank
+    answers are left out, of several to one question the first counts.
     """
-    came, tried, batch = [], [], []
 
-    def ask() -> None:
+    def ask(batch: list[tuple[str, str, str]]) -> list[tuple[str, str | None, bool]]:
+        got: dict[str, str] = {}
+        answers = render(list(batch))
         asked = {b[0] for b in batch}
-        got = {h: t for h, t in render(list(batch)).items() if h in asked and t and t.strip()}
-        came.extend(got.items())
-        if len(got) >= MIN_RETURNED * len(batch):
-            tried.extend(asked)
-        batch.clear()
-
-    for r in wanted.select("hash", "field", "text").orderBy("hash").toLocalIterator():
-        batch.append(tuple(r))
-        if len(batch) == BATCH:
-            ask()
-    if batch:
-        ask()
-    return came, tried
+        for h, t in answers.items() if isinstance(answers, dict) else answers:
+            if h in asked and t and t.strip():
+                got.setdefault(h, t)
+        tried = len(got) >= MIN_RETURNED * len(batch)
+        return [(h, got.get(h), tried) for h, _, _ in batch]
+
+    schema = pa.schema([("hash", pa.string()), ("text", pa.string()), ("tried", pa.bool_())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = list(zip(*(batch.column(c).to_pylist() for c in ("hash", "field", "text")), strict=True))
+            for at in range(0, len(rows), BATCH):
+                made = ask(rows[at : at + BATCH])
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*made, strict=True), schema, strict=True)], schema=schema)
+
+    return wanted.select("hash", "field", "text").mapInArrow(run, "hash string, text string, tried boolean")
 
 
 def count_failures(failures: DataFrame, tried: DataFrame, came: DataFrame) -> DataFrame:

@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import UNSET, Mapping, Source
-from ..functions.text import number, trim
+from ..functions.text import number, staged, trim
 from ..functions.transforms import ARRAY, COMPOUND, SCALAR
-from ..schema import ARRAYS, COUNTS, DATES, ENUMS, MIRRORED, NUMBERS, RECORD
+from ..schema import ARRAYS, COUNTS, DATES, ENUMS, MIRRORED, NUMBERS, PATHS, RECORD, leaf_type
 from .joins import cell
 
 
@@ -53,43 +54,67 @@ def _else_default(ok: Column, then: Compiled, m: Mapping) -> Compiled:
     return Compiled(F.when(ok, then.value).otherwise(_text(m.default)), gate(then.failure), gate(then.unmatched))
 
 
-def scalar(m: Mapping, columns: list[str]) -> Compiled:
+Transform = Callable[[Column], Column]
+
+
+def transform_of(m: Mapping, columns: list[str]) -> tuple[Transform, Column] | None:
+    """The transform of a mapped path and what it is applied to, if there is any."""
+    if m.constant is not UNSET or m.array_transform and not m.field:
+        return None
+    if m.compound_transform:
+        values = [cell(columns, f) for f in m.fields]
+        return (lambda first: COMPOUND[m.compound_transform]([first, *values[1:]])), values[0]
+    if not m.field:
+        return None
+    name = m.array_transform or m.transform
+    if not name:
+        return None
+    return (ARRAY if m.array_transform else SCALAR)[name], cell(columns, m.field)
+
+
+def _made(m: Mapping, columns: list[str], value: Column | None) -> Column:
+    """The transformed cell: ``value`` if it was made before."""
+    if value is not None:
+        return value
+    found = transform_of(m, columns)
+    return found[0](found[1]) if found else cell(columns, m.field)
+
+
+def scalar(m: Mapping, columns: list[str], value: Column | None = None) -> Compiled:
     if m.constant is not UNSET:
         return Compiled(_text(m.constant))
     if m.compound_transform:
-        value = COMPOUND[m.compound_transform]([cell(columns, f) for f in m.fields])
+        value = _made(m, columns, value)
         inner = _lookup(value, m, ",".join(m.fields)) if m.lookup is not None else Compiled(value)
         return _else_default(value.isNotNull(), inner, m)
     if not m.field:
         return Compiled(_text(m.default))
-    raw = cell(columns, m.field)
-    value = SCALAR[m.transform](raw) if m.transform else raw
+    value = _made(m, columns, value)
     inner = _lookup(value, m, m.field) if m.lookup is not None else Compiled(value)
     ok = value.isNotNull() if m.lookup is not None else value != ""
     if m.null_values:
-        ok = ~raw.isin(*m.null_values) & ok
+        ok = ~cell(columns, m.field).isin(*m.null_values) & ok
     return _else_default(ok, inner, m)
 
 
-def status(m: Mapping, columns: list[str]) -> Compiled:
+def status(m: Mapping, columns: list[str], value: Column | None = None) -> Compiled:
     """Like a scalar, but a blank cell is null whatever the default."""
     if m.constant is not UNSET:
         return Compiled(_text(m.constant))
     if not m.field:
         return Compiled(_text(m.default))
-    raw = cell(columns, m.field)
-    value = SCALAR[m.transform](raw) if m.transform else raw
+    value = _made(m, columns, value)
     inner = _lookup(value, m, m.field) if m.lookup is not None else Compiled(value)
     stated = F.coalesce(value != "", F.lit(False))
     gate = lambda x: None if x is None else F.when(stated, x)
     return Compiled(F.when(stated, inner.value), gate(inner.failure), gate(inner.unmatched))
 
 
-def array(m: Mapping, columns: list[str]) -> Compiled:
+def array(m: Mapping, columns: list[str], value: Column | None = None) -> Compiled:
     none = F.array().cast("array<string>")
     if m.array_transform:
-        return Compiled(ARRAY[m.array_transform](cell(columns, m.field)) if m.field else none)
-    one = scalar(m, columns)
+        return Compiled(_made(m, columns, value) if m.field else none)
+    one = scalar(m, columns, value)
     return Compiled(F.when(F.coalesce(one.value, F.lit("")) != "", F.array(one.value)).otherwise(none), one.failure, one.unmatched)
 
 
@@ -99,30 +124,37 @@ def source_id(source: Source, columns: list[str]) -> Column:
     return F.coalesce(SCALAR[name](cell(columns, source.source_id)), F.lit(""))
 
 
-def record(source: Source, columns: list[str]) -> tuple[Column, Column, Column]:
-    """The record struct, its failures and its unmatched lookups (arrays)."""
-    made: dict[str, Compiled] = {}
+def with_record(rows: DataFrame, source: Source) -> DataFrame:
+    """Adds ``record``, ``failures`` and ``unmatched`` (arrays) to rows of cells.
 
-    def leaf(path: str, kind: T.DataType) -> Column:
-        m = source.mapping.get(path)
-        if path in ARRAYS:
-            made[path] = array(m, columns) if m else Compiled(F.array().cast("array<string>"))
-        elif m is None:
-            made[path] = Compiled(F.lit(None).cast("string"))
-        else:
-            made[path] = status(m, columns) if path == "status" else scalar(m, columns)
-        value = made[path].value
-        if path in COUNTS or path in NUMBERS:
-            return number(value)
-        return value
+    Transformed cells, mapped values and numbers are columns of their own on the way,
+    so that each is computed once, in generated code.
+    """
+    columns, start = rows.columns, "_"
+    while any(c.lower().startswith(start) for c in columns):
+        start += "_"
+    mapped = {p: m for p, m in source.mapping.items() if p in PATHS}
+    place = {p: i for i, p in enumerate(mapped)}
+
+    transforms = {p: x for p, m in mapped.items() if (x := transform_of(m, columns))}
+    rows = staged(rows, {f"{start}t{place[p]}": x for p, x in transforms.items()})
+    made: dict[str, Compiled] = {}
+    for p, m in mapped.items():
+        compile_ = array if p in ARRAYS else status if p == "status" else scalar
+        made[p] = compile_(m, columns, F.col(f"{start}t{place[p]}") if p in transforms else None)
+    parts = {"v": "value", "f": "failure", "u": "unmatched"}
+    rows = rows.withColumns(
+        {f"{start}{k}{place[p]}": x for p, c in made.items() for k, part in parts.items() if (x := getattr(c, part)) is not None}
+    )
+    column = lambda k, p: F.col(f"{start}{k}{place[p]}")
+    rows = staged(rows, {f"{start}n{place[p]}": (number, column("v", p)) for p in mapped if p in COUNTS or p in NUMBERS})
 
     values: dict[str, Column] = {}
-    for f in RECORD.fields:
-        if isinstance(f.dataType, T.StructType):
-            for g in f.dataType.fields:
-                values[f"{f.name}.{g.name}"] = leaf(f"{f.name}.{g.name}", g.dataType)
+    for p in PATHS:
+        if p in mapped:
+            values[p] = column("n" if p in COUNTS or p in NUMBERS else "v", p)
         else:
-            values[f.name] = leaf(f.name, f.dataType)
+            values[p] = F.array().cast("array<string>") if p in ARRAYS else F.lit(None).cast(leaf_type(p))
     values["source"] = F.lit(source.id)
     values["source_id"] = source_id(source, columns)
     values["country"] = F.coalesce(values["country"], F.lit(source.country))
@@ -130,24 +162,33 @@ def record(source: Source, columns: list[str]) -> tuple[Column, Column, Column]:
         values[f"{p}_source_text"] = F.coalesce(values[f"{p}_source_text"], values[p])
     own = values["operational_classes_source_text"]
     values["operational_classes_source_text"] = F.when(F.size(own) > 0, own).otherwise(values["operational_classes"])
-    failures = [c.failure for c in made.values() if c.failure is not None] + checks(values, {*source.mapping, "registration"})
-    unmatched = [c.unmatched for c in made.values() if c.unmatched is not None]
+    failures = [column("f", p) for p, c in made.items() if c.failure is not None] + checks(values, {*mapped, "registration"})
+    unmatched = [column("u", p) for p, c in made.items() if c.unmatched is not None]
     for p in COUNTS:
-        values[p] = F.when(F.abs(values[p]) < 2.0**63, values[p]).cast("long")
+        if p in mapped:
+            values[p] = F.when(F.abs(values[p]) < 2.0**63, values[p]).cast("long")
 
     def built(f: T.StructField) -> Column:
         if isinstance(f.dataType, T.StructType):
             return F.struct(*[values[f"{f.name}.{g.name}"].cast(g.dataType).alias(g.name) for g in f.dataType.fields]).alias(f.name)
         return values[f.name].cast(f.dataType).alias(f.name)
 
-    keep = lambda xs, empty: F.filter(F.array(*xs), lambda x: x.isNotNull()) if xs else F.array().cast(empty)
-    return (
-        F.struct(*[built(f) for f in RECORD.fields]),
-        keep(failures, "array<string>"),
-        keep(unmatched, "array<struct<field:string,value:string>>"),
+    return rows.select(
+        *[F.col(f"`{c}`") for c in columns],
+        F.struct(*[built(f) for f in RECORD.fields]).alias("record"),
+        _stated(failures, "array<string>").alias("failures"),
+        _stated(unmatched, "array<struct<field:string,value:string>>").alias("unmatched"),
     )
 
 
+def _stated(xs: list[Column], kind: str) -> Column:
+    """An array of those that are not null; it is only put together where there is one."""
+    none = F.array().cast(kind)
+    if not xs:
+        return none
+    return F.when(F.coalesce(*xs).isNull(), none).otherwise(F.concat(*[F.when(x.isNotNull(), F.array(x)).otherwise(none) for x in xs]))
+
+
 def checks(values: dict[str, Column], paths: set[str]) -> list[Column]:
     """The rules of ``paths``; each gives a message where it is broken, else null.
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Callable
 from datetime import datetime, timedelta, timezone
 
@@ -11,16 +12,24 @@ from pyspark.sql import functions as F
 
 from ..config import Source
 from ..operators import localize
-from ..operators.artifact import flatten, guard_counts, next_state, record_hash, write_table
-from ..operators.feed import assert_unique, consolidate, feed_slice
-from ..operators.joins import GuardError
+from ..operators.artifact import MIN_RETAINED, SCHEMA_VERSION, feed_hash, flatten, guard_counts, next_state, record_hash, write_table
+from ..operators.feed import ambiguity_report, assert_unique, clear_ambiguous, feed_slice, first_by_hex
+from ..operators.joins import GuardError, safe_name
 from ..schema import FEED_SCHEMA
 from ..sources.reader import read_joins, read_primary
 from .translate import assert_clean, translate
 
 
+SLICE_VERSION, CACHE_VERSION = 3, 1
+
+
 class Store:
-    """Tables and small JSON states under one base path that Spark can write."""
+    """Tables and small JSON states under one base path that Spark can write.
+
+    A table is a folder of versions.  A version counts once its commit marker is there,
+    so readers see the whole old or the whole new one; the one before stays for readers
+    that are under way, older ones and failed attempts go with the next write.
+    """
 
     def __init__(self, spark: SparkSession, base: str, dry_run: bool = False):
         self.spark, self.base, self.dry_run = spark, base.rstrip("/"), dry_run
@@ -29,27 +38,54 @@ class Store:
         path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.base}/{name}")
         return path, path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
 
-    def has(self, name: str) -> bool:
+    def _versions(self, name: str) -> list[tuple[int, bool]]:
+        """The versions of a table in order, and whether each is complete."""
         path, fs = self._file(name)
-        return fs.exists(path)
+        if not fs.exists(path):
+            return []
+        found = [s.getPath().getName() for s in fs.listStatus(path)]
+        numbers = sorted(int(n[2:]) for n in found if re.fullmatch("v=[0-9]{8}", n))
+        return [(v, fs.exists(self._file(f"{name}/v={v:08d}/_SUCCESS")[0])) for v in numbers]
+
+    def path(self, name: str) -> str | None:
+        """Where the newest complete version of a table is."""
+        whole = [v for v, done in self._versions(name) if done]
+        return f"{self.base}/{name}/v={whole[-1]:08d}" if whole else None
+
+    def has(self, name: str) -> bool:
+        return self.path(name) is not None
+
+    def read(self, name: str) -> DataFrame:
+        return self.spark.read.parquet(self.path(name))
+
+    def _put(self, name: str, save: Callable[[str], None]) -> None:
+        if self.dry_run:
+            return
+        known = self._versions(name)
+        number = known[-1][0] + 1 if known else 1
+        save(f"{self.base}/{name}/v={number:08d}")
+        newest = max((v for v, done in known if done), default=None)
+        for v, _ in known:
+            if v != newest:
+                path, fs = self._file(f"{name}/v={v:08d}")
+                fs.delete(path, True)
+
+    def write(self, df: DataFrame, name: str, save: Callable[[DataFrame, str], None] | None = None) -> None:
+        self._put(name, lambda path: save(df, path) if save else df.write.parquet(path))
 
     def state(self, source: str) -> dict | None:
         """A source's state; an unreadable one counts as none."""
-        if not self.has(f"state/{source}"):
+        where = self.path(f"state/{safe_name(source)}")
+        if where is None:
             return None
         try:
-            return json.loads(self.spark.read.text(f"{self.base}/state/{source}").first()[0])
+            return json.loads(self.spark.read.text(where).first()[0])
         except (TypeError, ValueError):
             return None
 
     def put_state(self, source: str, state: dict) -> None:
-        if not self.dry_run:
-            one = self.spark.createDataFrame([(json.dumps(state),)], "value string").coalesce(1)
-            one.write.mode("overwrite").text(f"{self.base}/state/{source}")
-
-    def write(self, df: DataFrame, name: str) -> None:
-        if not self.dry_run:
-            df.write.mode("overwrite").parquet(f"{self.base}/{name}")
+        one = self.spark.createDataFrame([(json.dumps(state),)], "value string").coalesce(1)
+        self._put(f"state/{safe_name(source)}", one.write.text)
 
 
 def due(source: Source, state: dict | None, now: datetime) -> bool:
@@ -78,52 +114,138 @@ def refresh(
     table is written only if its content changed; the state comes last.
     """
     now = now or datetime.now(timezone.utc)
+    slice_of, table_of = f"feed_slice/source={safe_name(source.id)}", f"aircraft/source={source.id}"
     state = store.state(source.id)
-    if not due(source, state, now) and store.has(f"feed_slice/source={source.id}"):
+    if not due(source, state, now) and store.has(slice_of):
         return {"status": "not due"}
     done = translate(source, read_primary(spark, source, files), read_joins(spark, source, files), published)
-    assert_clean(done)
-    guard_counts(done.stats["ok"], state and state.get("record_count"))
-    upstream = record_hash(done.records)
-    records = done.records
-    if render and source.language != "en":
-        records = localized(spark, store, records, render, excluded)
-    content = record_hash(records, salt=str(12))
-    if state is None or state.get("content_hash") != content:
-        if not store.dry_run:
-            write_table(flatten(records), f"{store.base}/aircraft/source={source.id}")
-    store.write(feed_slice(records), f"feed_slice/source={source.id}")
-    store.put_state(source.id, next_state(state, content, upstream, done.stats["ok"], now))
-    return {"status": "written", **done.stats}
-
-
-def localized(spark: SparkSession, store: Store, records: DataFrame, render: Callable, excluded: tuple[str, ...]) -> DataFrame:
-    """Renders what the cache lacks, updates the cache and applies it."""
-    read = lambda name, schema: spark.read.schema(schema).parquet(f"{store.base}/{name}") if store.has(name) else spark.createDataFrame([], schema)
-    cache, failures = read("translations", localize.CACHE), read("translation_failures", localize.FAILURES)
+    try:
+        assert_clean(done)
+        prior = state and state.get("record_count")
+        guard_counts(done.stats["ok"], prior)
+        upstream = record_hash(done.records)
+        records, rendered = done.records, {}
+        if render and source.language != "en":
+            whole = bool(prior) and done.stats["ok"] / prior >= MIN_RETAINED
+            records, rendered = localized(spark, store, records, render, excluded, prune=whole)
+        content = record_hash(records, salt=str(SCHEMA_VERSION))
+        known = state is not None and state.get("content_hash") == content and state.get("schema_version") == SCHEMA_VERSION
+        if not known or not store.has(table_of):
+            store.write(flatten(records), table_of, write_table)
+        store.write(feed_slice(records), slice_of)
+        stamp = next_state(state, content, upstream, done.stats["ok"], now)
+        store.put_state(source.id, stamp | {"slice_version": SLICE_VERSION})
+        return {"status": "written", **done.stats, **rendered}
+    finally:
+        done.release()
+
+
+def _cache(spark: SparkSession, store: Store) -> tuple[DataFrame, DataFrame]:
+    """The renderings and failure counts; those of an older version are forgotten, a newer one is an error."""
+    version = (store.state("translation-cache") or {}).get("version", 0)
+    if version > CACHE_VERSION:
+        raise GuardError(f"the cache has version {version}, {CACHE_VERSION} is known")
+    old = version < CACHE_VERSION
+    read = lambda name, schema: spark.createDataFrame([], schema) if old or not store.has(name) else store.read(name)
+    return read("translations", localize.CACHE), read("translation_failures", localize.FAILURES)
+
+
+def localized(
+    spark: SparkSession, store: Store, records: DataFrame, render: Callable, excluded: tuple[str, ...], prune: bool = False
+) -> tuple[DataFrame, dict]:
+    """Renders what the cache lacks, updates the cache and applies it; gives counts too.
+
+    Without a readable cache nothing is rendered in this run.  Entries of other sources
+    are kept; ``prune`` lets those go that no text of this store's slices needs.
+    """
+    try:
+        cache, failures = _cache(spark, store)
+        cache.count(), failures.count()
+    except GuardError:
+        raise
+    except Exception as e:  # noqa: BLE001  storage and format errors of any kind
+        return records, {"rendering": f"left out: {type(e).__name__}"}
     found = localize.candidates(records, excluded)
-    came, tried = localize.translate(localize.delta(found, cache, failures), render)
-    fresh = spark.createDataFrame(came, localize.CACHE)
-    cache = cache.unionByName(fresh).persist()
-    failed = localize.count_failures(failures, spark.createDataFrame([(h,) for h in tried], "hash string"), fresh).persist()
-    cache.count(), failed.count()  # both are read before their tables are written again
-    store.write(cache, "translations")
-    store.write(failed, "translation_failures")
-    return localize.apply(records, cache, excluded)
-
-
-def publish(spark: SparkSession, store: Store, sources: list[str]) -> DataFrame:
-    """Merges all slices to the feed; a missing slice fails."""
-    missing = [s for s in sources if not store.has(f"feed_slice/source={s}")]
+    counted = localize.stats(found, cache, failures)
+    answers = localize.translate(localize.delta(found, cache, failures), render)
+    store.write(answers, "translation_answers")
+    if not store.dry_run:
+        answers = store.read("translation_answers")
+    fresh = answers.where("text IS NOT NULL").select("hash", "text")
+    missed = localize.count_failures(failures, answers.where("tried").select("hash"), fresh)
+    whole = localize.prune(cache, found.select("hash"), prune).unionByName(fresh)
+    store.write(whole, "translations")
+    store.write(missed, "translation_failures")
+    store.put_state("translation-cache", {"version": CACHE_VERSION})
+    came = fresh.count()
+    wanted = counted["candidates"] - counted["cache_hits"] - counted["exhausted"]
+    return localize.apply(records, whole if store.dry_run else store.read("translations"), excluded), {
+        **counted, "translated": came, "untranslated": wanted - came,
+    }
+
+
+def checked_slice(store: Store, source: str) -> DataFrame:
+    """A source's slice, if it has the version and the columns of the feed and no nulls where there may be none."""
+    name = f"feed_slice/source={safe_name(source)}"
+    version = (store.state(source) or {}).get("slice_version")
+    if version != SLICE_VERSION:
+        raise GuardError(f"the slice of {source} has version {version}, {SLICE_VERSION} is needed")
+    rows = store.read(name)
+    shape = lambda t: [(f.name, f.dataType) for f in t.fields]
+    if shape(rows.schema) != shape(FEED_SCHEMA):
+        raise GuardError(f"the slice of {source} has other columns than the feed")
+    needed = [f.name for f in FEED_SCHEMA.fields if not f.nullable]
+    broken = rows.where(F.exists(F.array(*needed), lambda x: x.isNull())).first()
+    if broken:
+        raise GuardError(f"the slice of {source} has a row with nulls: {broken.asDict()}")
+    return rows
+
+
+def publish(spark: SparkSession, store: Store, sources: list[str], report: dict | None = None) -> DataFrame:
+    """Merges all slices to the feed; a missing slice fails, as does one of another shape.
+
+    Readers of the feed (``served``) see the old version until the new one is complete.
+    ``report`` takes the counts of rows and of ambiguous keys, with samples.
+    """
+    missing = missing_slices(store, sources)
     if missing:
         raise GuardError(f"no feed slice of {missing}")
-    slices = [spark.read.schema(FEED_SCHEMA).parquet(f"{store.base}/feed_slice/source={s}") for s in sorted(sources)]
+    slices = [checked_slice(store, s) for s in sorted(sources)]
     every = slices[0]
     for s in slices[1:]:
         every = every.unionByName(s)
-    feed = consolidate(every).persist()
-    assert_unique(feed, "icao_hex")
-    assert_unique(feed, "registration_key")
-    if not store.dry_run:
-        feed.repartitionByRange(F.col("icao_hex")).sortWithinPartitions("icao_hex").write.mode("overwrite").parquet(f"{store.base}/feed")
-    return feed
+    merged = first_by_hex(every, "icao_hex", ["source", "registration"]).persist()
+    try:
+        ambiguous = ambiguity_report(merged)
+        feed = clear_ambiguous(merged)
+        assert_unique(feed, "icao_hex")
+        assert_unique(feed, "registration_key")
+        by_key = lambda df, path: df.repartitionByRange(F.col("icao_hex")).sortWithinPartitions("icao_hex").write.parquet(path)
+        store.write(feed, "feed", by_key)
+        out = feed if store.dry_run else store.read("feed")
+        content = feed_hash(out)
+        store.put_state("feed", {"content_hash": content})
+        if report is not None:
+            report |= {"rows": out.count(), "content_hash": content, "ambiguous": ambiguous}
+        return out
+    finally:
+        if not store.dry_run:
+            merged.unpersist()
+
+
+def missing_slices(store: Store, sources: list[str]) -> list[str]:
+    return [s for s in sources if not store.has(f"feed_slice/source={safe_name(s)}")]
+
+
+def deploy_due(store: Store) -> bool:
+    """Whether the published feed is another than the one marked as deployed."""
+    content = (store.state("feed") or {}).get("content_hash")
+    return content is not None and content != (store.state("deployed") or {}).get("content_hash")
+
+
+def mark_deployed(store: Store) -> None:
+    """Marks the published feed as deployed, once it is."""
+    state = store.state("feed")
+    if state is None:
+        raise GuardError("no feed is published")
+    store.put_state("deployed", {"content_hash": state["content_hash"]})

@@ -1,4 +1,4 @@
-"""A source's rows to checked records, as one lazy plan with guards before any write."""
+"""A source's rows to checked records, with guards before any write."""
 
 from __future__ import annotations
 
@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from ..config import Source
 from ..operators.artifact import guard_published
-from ..operators.joins import GuardError, assert_hits, cell, latest_snapshot, lookup_join
-from ..operators.mapping import record, source_id
+from ..operators.joins import GuardError, assert_consistent, assert_hits, cell, latest_snapshot, lookup_join
+from ..operators.mapping import source_id, with_record
 from ..operators.resolve import resolve
 
 
@@ -20,6 +20,12 @@ class Translation:
     stats: dict[str, int]
     unmatched: DataFrame  # (field, value, rows)
     failures: DataFrame  # (source_id, messages)
+    kept: tuple[DataFrame, ...] = ()  # persisted tables that the others read
+
+    def release(self) -> None:
+        """Frees what was persisted; the tables can be read again, from the start."""
+        for df in self.kept:
+            df.unpersist()
 
 
 def ordered(rows: DataFrame) -> DataFrame:
@@ -33,22 +39,17 @@ def mapped(source: Source, primary: DataFrame, joins: dict[str, DataFrame]) -> D
     if source.latest_snapshot_by:
         rows = latest_snapshot(rows, source.latest_snapshot_by)
     for j in source.joins:
-        rows = lookup_join(rows, ordered(joins[j.file]), j)
+        side = ordered(joins[j.file])
+        assert_consistent(side, j)
+        rows = lookup_join(rows, side, j)
     assert_hits(rows, source.joins)
     rows = rows.drop(*[f"_hit_{j.name}" for j in source.joins])
     cells = [c for c in rows.columns if c != "_ord"]
-    made, failures, unmatched = record(source, cells)
     whole = F.sha2(F.to_json(F.struct(*[cell(cells, c).alias(f"c{i}") for i, c in enumerate(cells)])), 256)
     policy = source.allowed_missing
     known = cell(cells, policy["field"]).rlike(policy["pattern"]) if policy else F.lit(False)
-    return rows.select(
-        "_ord",
-        source_id(source, cells).alias("source_id"),
-        whole.alias("raw"),
-        made.alias("record"),
-        failures.alias("failures"),
-        unmatched.alias("unmatched"),
-        known.alias("known_blank"),
+    return with_record(rows, source).select(
+        "_ord", source_id(source, cells).alias("source_id"), whole.alias("raw"), "record", "failures", "unmatched", known.alias("known_blank")
     )
 
 
@@ -85,7 +86,7 @@ def translate(source: Source, primary: DataFrame, joins: dict[str, DataFrame], p
         .orderBy(F.col("rows").desc(), "field", "value")
     )
     bad = rows.where(F.size("failures") > 0).select("source_id", F.col("failures").alias("messages"))
-    return Translation(records, stats, unmatched, bad)
+    return Translation(records, stats, unmatched, bad, (rows, done))
 
 
 def assert_clean(t: Translation) -> None:

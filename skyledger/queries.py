@@ -4,15 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .config import Join, Mapping, Merge, Source
-from .functions.text import registration_key
-from .functions.transforms import COMPOUND, SCALAR
+from .functions.text import registration_key, staged
+from .functions.transforms import SCALAR
 from .operators import artifact, feed, localize, mapping
-from .operators.joins import conflicting_keys, latest_snapshot, lookup_join, merged_build_side
+from .operators.joins import GuardError, conflicting_keys, latest_snapshot, lookup_join, merged_build_side
 from .operators.resolve import resolve
+from .plans.translate import translate
 from .schema import RECORD
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -73,8 +75,7 @@ def order_rows(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
 def order_records(spark: SparkSession, sf: str) -> DataFrame:
     orders, customers = order_rows(spark, sf)
     rows = lookup_join(orders, customers, ORDERS.joins[0]).drop("_hit_cust")
-    made, failures, unmatched = mapping.record(ORDERS, [c for c in rows.columns if c != "_ord"])
-    return rows.select("_ord", made.alias("record"), failures.alias("failures"), unmatched.alias("unmatched"))
+    return mapping.with_record(rows, ORDERS).select("_ord", "record", "failures", "unmatched")
 
 
 _ORDER_ROW = """
@@ -142,24 +143,30 @@ SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS id
 FROM lineitem
 """)
 def map_compound(spark: SparkSession, sf: str) -> DataFrame:
-    """A compound transform of two cells."""
+    """A compound transform of two cells, mapped."""
     rows = texts(
         t(spark, sf, "lineitem"), id="concat(l_orderkey, '-', l_linenumber)",
         group="CASE l_returnflag WHEN 'R' THEN 'Aeroplane' WHEN 'A' THEN 'Helicopter' ELSE 'Ship' END", engines="l_quantity",
     )
-    return rows.select("id", COMPOUND["tc_airframe"]([F.col("group"), F.col("engines")]).alias("airframe"))
+    m = Mapping(fields=("group", "engines"), compound_transform="tc_airframe")
+    return rows.select("id", mapping.scalar(m, rows.columns).value.alias("airframe"))
 
 
 @query("""
-SELECT CAST(s_suppkey AS VARCHAR) AS id, s_acctbal AS balance, nullif(trim(s_name), '') AS name FROM supplier
+SELECT CAST(s_suppkey AS VARCHAR) AS id, CASE WHEN s_acctbal >= 0 THEN s_acctbal END AS weight, nullif(trim(s_name), '') AS name, 'corporation' AS kind,
+  CAST(s_nationkey AS BIGINT) AS seats, s_acctbal < 0 AS broken
+FROM supplier
 """)
 def map_numeric_and_party(spark: SparkSession, sf: str) -> DataFrame:
-    """Numbers from text, and a party struct."""
-    from .functions.text import number
-
-    rows = texts(t(spark, sf, "supplier"), id="s_suppkey", balance="s_acctbal", name="s_name")
-    party = F.struct(SCALAR["trim_or_null"](F.col("name")).alias("name"), F.lit("corporation").alias("kind"))
-    return rows.select("id", number(F.col("balance")).alias("balance"), party["name"].alias("name"))
+    """Counts and numbers from text with their rules, and a party, in the record."""
+    rows = texts(t(spark, sf, "supplier"), id="s_suppkey", balance="s_acctbal", name="s_name", nation="s_nationkey")
+    source = _plain(mapping={
+        "registration": Mapping(field="id"), "max_takeoff_weight_kg": Mapping(field="balance"), "seats": Mapping(field="nation"),
+        "owner.name": Mapping(field="name", transform="trim_or_null"), "owner.kind": Mapping(constant="corporation"),
+    })
+    made = mapping.with_record(rows, source)
+    weight = F.when(F.size("failures") == 0, F.col("record.max_takeoff_weight_kg")).alias("weight")
+    return made.select("id", weight, "record.owner.name", "record.owner.kind", "record.seats", (F.size("failures") > 0).alias("broken"))
 
 
 @query("""
@@ -180,14 +187,34 @@ def record_build(spark: SparkSession, sf: str) -> DataFrame:
     return r.select("record.icao_hex", "record.registration", F.col("record.manufacturer").alias("maker"), "record.category", F.size("failures").cast("long").alias("broken"))
 
 
+def _stats(spark: SparkSession, source: Source, rows: DataFrame, names: str) -> DataFrame:
+    """One row of a translation's counts."""
+    done = translate(source, rows, {})
+    out = spark.createDataFrame([tuple(done.stats[n] for n in names.split())], ", ".join(f"{n} long" for n in names.split()))
+    done.release()
+    return out
+
+
+def _plain(**more) -> Source:
+    base = {"id": "rows", "label": "Rows", "country": "US", "language": "en", "encoding": "utf8", "primary": "rows", "source_id": "id", "registration": "id"}
+    return Source(**(base | more))
+
+
 @query("""
-SELECT count(*) AS total, count(*) FILTER (bad) AS failed
-FROM (SELECT NOT (coalesce(o_orderpriority IN ('1-URGENT', '2-HIGH'), false) AND o_totalprice >= 1000) AS bad FROM orders)
+SELECT count(*) AS total, count(*) FILTER (NOT bad) AS ok, count(*) FILTER (bad) AS failed
+FROM (SELECT NOT (o_orderpriority IN ('1-URGENT', '2-HIGH') AND o_totalprice >= 1000 AND o_orderkey % 11 <> 0) AS bad FROM orders)
 """)
 def validate_rows(spark: SparkSession, sf: str) -> DataFrame:
-    """rules as columns, failures counted in one aggregate."""
-    ok = F.coalesce(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"), F.lit(False)) & (F.col("o_totalprice") >= 1000)
-    return t(spark, sf, "orders").agg(F.count(F.lit(1)).alias("total"), F.count_if(~ok).alias("failed"))
+    """rows that break a rule (an unlisted value, a negative number, a malformed address) fail."""
+    rows = texts(
+        t(spark, sf, "orders"), id="o_orderkey", priority="o_orderpriority", over="o_totalprice - 1000",
+        hex="CASE WHEN o_orderkey % 11 = 0 THEN 'not hex' ELSE lpad(lower(hex(o_orderkey)), 6, '0') END",
+    )
+    source = _plain(mapping={
+        "registration": Mapping(field="id"), "status": Mapping(field="priority", lookup={"1-URGENT": "valid", "2-HIGH": "expired"}),
+        "max_takeoff_weight_kg": Mapping(field="over"), "icao_hex": Mapping(field="hex"),
+    })
+    return _stats(spark, source, rows, "total ok failed")
 
 
 @query("""
@@ -250,17 +277,15 @@ def latest_snapshot_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("""
-SELECT count(*) AS total, count(*) FILTER (id = '') AS missing, least(count(*) FILTER (id = '' AND lang = 'de'), 40) AS skipped,
+SELECT count(*) AS total, count(*) FILTER (id <> '') AS ok, least(count(*) FILTER (id = '' AND lang = 'de'), 40) AS skipped,
   count(*) FILTER (id = '') - least(count(*) FILTER (id = '' AND lang = 'de'), 40) AS failed
 FROM (SELECT CASE WHEN doc_id % 10 = 0 THEN '' ELSE CAST(doc_id AS VARCHAR) END AS id, lang FROM documents)
 """)
 def missing_key_policy(spark: SparkSession, sf: str) -> DataFrame:
     """blank keys within a budget are skipped, others fail."""
-    rows = texts(t(spark, sf, "documents"), id="CASE WHEN doc_id % 10 = 0 THEN '' ELSE string(doc_id) END", lang="lang")
-    blank = F.col("id") == ""
-    counts = rows.agg(F.count(F.lit(1)).alias("total"), F.count_if(blank).alias("missing"), F.count_if(blank & F.col("lang").rlike("^de$")).alias("known"))
-    skipped = F.least("known", F.lit(40).cast("long"))
-    return counts.select("total", "missing", skipped.alias("skipped"), (F.col("missing") - skipped).alias("failed"))
+    rows = texts(t(spark, sf, "documents"), id="CASE WHEN doc_id % 10 = 0 THEN '' ELSE string(doc_id) END", lang="lang", mark="string(doc_id)")
+    source = _plain(mapping={"registration": Mapping(field="mark")}, allowed_missing={"max": 40, "field": "lang", "pattern": "^de$"})
+    return _stats(spark, source, rows, "total ok skipped failed")
 
 
 @query("""
@@ -302,15 +327,15 @@ FROM orders
 def transform_dates(spark: SparkSession, sf: str) -> DataFrame:
     """Date transforms: six written forms of one date."""
     f = lambda p: F.date_format("o_orderdate", p)
-    return t(spark, sf, "orders").select(
-        F.col("o_orderkey").alias("id"),
-        SCALAR["date_yyyymmdd_or_null"](f("yyyyMMdd")).alias("d1"),
-        SCALAR["date_ddmmyyyy_or_null"](f("ddMMyyyy")).alias("d2"),
-        SCALAR["date_dd_slash_or_null"](f("dd/MM/yyyy")).alias("d3"),
-        SCALAR["date_dd_dot_or_null"](f("dd.MM.yyyy")).alias("d4"),
-        SCALAR["date_dmmmyy_or_null"](f("d-MMM-yy")).alias("d5"),
-        SCALAR["iso_year_or_null"](f("yyyy-MM-dd'T'HH:mm:ss")).alias("y"),
-    )
+    made = {
+        "d1": (SCALAR["date_yyyymmdd_or_null"], f("yyyyMMdd")),
+        "d2": (SCALAR["date_ddmmyyyy_or_null"], f("ddMMyyyy")),
+        "d3": (SCALAR["date_dd_slash_or_null"], f("dd/MM/yyyy")),
+        "d4": (SCALAR["date_dd_dot_or_null"], f("dd.MM.yyyy")),
+        "d5": (SCALAR["date_dmmmyy_or_null"], f("d-MMM-yy")),
+        "y": (SCALAR["iso_year_or_null"], f("yyyy-MM-dd'T'HH:mm:ss")),
+    }
+    return staged(t(spark, sf, "orders"), made).select(F.col("o_orderkey").alias("id"), *made)
 
 
 @query("""
@@ -367,6 +392,23 @@ def transform_json_parties(spark: SparkSession, sf: str) -> DataFrame:
     return c.select(F.col("c_custkey").alias("id"), *[SCALAR[f"br_party_{n}"](F.col("cell")).alias(n) for n in ("name", "state", "kind")])
 
 
+def record_struct(made: dict[str, Column]) -> Column:
+    """A record with the given paths; the others are null or empty."""
+
+    def leaf(path: str, kind: T.DataType) -> Column:
+        if path in made:
+            return made[path].cast(kind)
+        return F.array().cast(kind) if isinstance(kind, T.ArrayType) else F.lit(None).cast(kind)
+
+    columns = []
+    for f in RECORD.fields:
+        if isinstance(f.dataType, T.StructType):
+            columns.append(F.struct(*[leaf(f"{f.name}.{g.name}", g.dataType).alias(g.name) for g in f.dataType.fields]).alias(f.name))
+        else:
+            columns.append(leaf(f.name, f.dataType).alias(f.name))
+    return F.struct(*columns)
+
+
 def _order_states(spark: SparkSession, sf: str) -> DataFrame:
     """Orders as rows that share a key: the customer."""
     o = t(spark, sf, "orders")
@@ -375,19 +417,9 @@ def _order_states(spark: SparkSession, sf: str) -> DataFrame:
         "country": F.lit("US"), "status": F.when(F.col("o_orderstatus") == "P", "cancelled").otherwise("valid"),
         "last_action_date": F.date_format("o_orderdate", "yyyy-MM-dd"),
     }
-    cols = []
-    for f in RECORD.fields:
-        if f.name in made:
-            cols.append(made[f.name].alias(f.name))
-        elif f.dataType.typeName() == "array":
-            cols.append(F.array().cast(f.dataType).alias(f.name))
-        elif f.dataType.typeName() == "struct":
-            cols.append(F.struct(*[F.lit(None).cast(g.dataType).alias(g.name) for g in f.dataType.fields]).alias(f.name))
-        else:
-            cols.append(F.lit(None).cast(f.dataType).alias(f.name))
     return o.select(
         F.col("o_custkey").cast("string").alias("source_id"), F.col("o_orderkey").alias("_ord"), F.col("o_orderkey").cast("string").alias("raw"),
-        F.struct(*cols).alias("record"), F.lit(False).alias("bad"),
+        record_struct(made).alias("record"), F.lit(False).alias("bad"),
     )
 
 
@@ -476,12 +508,12 @@ def feed_lookup_many(spark: SparkSession, sf: str) -> DataFrame:
     return feed.lookup_many(t(spark, sf, "customer"), keys, "o_custkey", "c_custkey").select("c_custkey", "c_name")
 
 
-@query(f"SELECT hex AS key, reg AS registration, c_name || ' ' || o_orderpriority AS type FROM ({_ORDER_ROW}) WHERE hex IN ('000001', '00000a', '0000ff') AND status <> 'reserved'")
+@query(f"SELECT hex AS key, reg AS registration, c_name || ' ' || o_orderpriority AS type, 'From Orders' AS attribution FROM ({_ORDER_ROW}) WHERE hex IN ('000001', '00000a', '0000ff') AND status <> 'reserved'")
 def feed_lookup_hex(spark: SparkSession, sf: str) -> DataFrame:
     """An exact lookup of request keys with the response's columns."""
     rows = feed.feed_slice(order_records(spark, sf))
-    found = feed.lookup(rows, ["000001", " 00000A ", "0000ff"], attributions={"orders": "Orders"})
-    return found.select("key", "registration", "type")
+    found = feed.lookup(rows, ["000001", " 00000A ", "0000ff"], attributions={"orders": "From Orders"})
+    return found.select("key", "registration", "type", "attribution")
 
 
 @query("""
@@ -529,15 +561,14 @@ def translate_apply(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("""
-SELECT hash, CAST(sum(n) AS INTEGER) AS failures FROM (
-  SELECT DISTINCT source AS hash, 2 AS n FROM documents WHERE lang = 'de' UNION ALL SELECT DISTINCT source, 1 FROM documents WHERE lang = 'fr')
-WHERE hash NOT IN (SELECT source FROM documents WHERE lang = 'es') GROUP BY hash
+SELECT CAST(doc_id AS VARCHAR) AS hash, CAST(CASE WHEN lang = 'de' THEN 2 ELSE 0 END + CASE WHEN doc_id % 2 = 0 THEN 1 ELSE 0 END AS INTEGER) AS failures
+FROM documents WHERE doc_id % 3 <> 0 AND (lang = 'de' OR doc_id % 2 = 0)
 """)
 def cache_failures(spark: SparkSession, sf: str) -> DataFrame:
     """An answer clears a count, an attempt without one adds."""
-    d = t(spark, sf, "documents")
-    of = lambda lang: d.where(F.col("lang") == lang).select(F.col("source").alias("hash")).distinct()
-    return localize.count_failures(of("de").withColumn("failures", F.lit(2)), of("fr"), of("es"))
+    d = t(spark, sf, "documents").withColumn("hash", F.col("doc_id").cast("string"))
+    before = d.where("lang = 'de'").select("hash", F.lit(2).alias("failures"))
+    return localize.count_failures(before, d.where("doc_id % 2 = 0").select("hash"), d.where("doc_id % 3 = 0").select("hash"))
 
 
 _NOW = "TIMESTAMP '2024-06-01 00:00:00'"
@@ -560,21 +591,31 @@ def cadence(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("""
-SELECT count(*) AS n, count(*) FILTER (l_shipdate < TIMESTAMP '1995-01-01') AS prior,
-  count(*) = 0 OR count(*) * 1.0 / nullif(count(*) FILTER (l_shipdate < TIMESTAMP '1995-01-01'), 0) < 0.5 AS refused FROM lineitem
+SELECT l_returnflag AS flag, n, prior, n = 0 OR prior > 0 AND n * 1.0 / prior < 0.5 AS refused
+FROM (SELECT l_returnflag, count(*) FILTER (l_shipdate >= TIMESTAMP '1995-01-01') AS n, count(*) FILTER (l_shipdate < TIMESTAMP '1995-01-01') AS prior
+  FROM lineitem GROUP BY 1)
 """)
 def retain_guard(spark: SparkSession, sf: str) -> DataFrame:
-    """Nothing written if empty or shrunk by half."""
-    c = t(spark, sf, "lineitem").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("l_shipdate") < "1995-01-01").alias("prior"))
-    few = F.try_divide(F.col("n"), F.col("prior")) < artifact.MIN_RETAINED
-    return c.select("n", "prior", ((F.col("n") == 0) | few).alias("refused"))
+    """Nothing is written if it is empty or shrank by half; one decision a flag."""
+    late = F.col("l_shipdate") >= "1995-01-01"
+    counts = t(spark, sf, "lineitem").groupBy(F.col("l_returnflag").alias("flag")).agg(F.count_if(late).alias("n"), F.count_if(~late).alias("prior"))
+
+    def refused(n: int, prior: int) -> bool:
+        try:
+            artifact.guard_counts(n, prior)
+        except GuardError:
+            return True
+        return False
+
+    rows = [(r["flag"], r["n"], r["prior"], refused(r["n"], r["prior"])) for r in counts.collect()]  # a row a flag
+    return spark.createDataFrame(rows, "flag string, n long, prior long, refused boolean")
 
 
-@query("SELECT DISTINCT n.n_name AS missing FROM nation n WHERE n.n_nationkey NOT IN (SELECT s_nationkey FROM supplier)")
+@query("SELECT n_name AS missing FROM nation WHERE n_nationkey NOT IN (SELECT s_nationkey FROM supplier WHERE s_acctbal > 9000)")
 def missing_slices(spark: SparkSession, sf: str) -> DataFrame:
     """What is declared and has no rows."""
-    n, s = t(spark, sf, "nation"), t(spark, sf, "supplier")
-    return n.join(s, n.n_nationkey == s.s_nationkey, "left_anti").select(F.col("n_name").alias("missing")).distinct()
+    rows = t(spark, sf, "supplier").where("s_acctbal > 9000")
+    return feed.absent(t(spark, sf, "nation"), rows, "n_nationkey", "s_nationkey").select(F.col("n_name").alias("missing"))
 
 
 @query("""

@@ -7,7 +7,7 @@ import zipfile
 from pathlib import Path
 from urllib.parse import urljoin
 
-from ..operators.joins import GuardError
+from ..operators.joins import GuardError, safe_name
 
 #: Statuses worth another try; fixed values.
 RETRIED = (408, 425, 429)
@@ -32,7 +32,7 @@ def land_zip(archive: str | Path, entries: dict[str, str], target: str | Path) -
         for alias, name in entries.items():
             if name not in z.namelist():
                 raise GuardError(f"no entry {name}")
-            path = Path(target, alias)
+            path = Path(target, safe_name(alias))
             path.parent.mkdir(parents=True, exist_ok=True)
             with z.open(name) as source, path.open("wb") as sink:
                 while block := source.read(1 << 20):

@@ -13,7 +13,7 @@ from skyledger.config import ConfigError, Join, Merge
 from skyledger.operators import artifact, feed, localize
 from skyledger.operators.joins import GuardError, latest_snapshot, lookup_join, merged_build_side
 from skyledger.operators.resolve import fold, resolve
-from skyledger.plans.pipeline import Store, publish, refresh
+from skyledger.plans.pipeline import Store, deploy_due, localized, mark_deployed, publish, refresh, safe_name
 from skyledger.plans.translate import translate
 from skyledger.schema import PATHS, RECORD
 from skyledger.sources.delimited import read_delimited
@@ -309,8 +309,14 @@ def test_localize(spark):
     failures = spark.createDataFrame([(hashes["dos"], 3), (hashes["y"], 2)], localize.FAILURES)
     want = localize.delta(found, cache, failures)
     assert {r.text for r in want.collect()} == {"x", "y"}
-    came, tried = localize.translate(want, lambda batch: {h: "X" for h, f, t in batch if t == "x"} | {"other": "no"})
+    answers = lambda batch: [(h, "X") for h, f, t in batch if t == "x"] + [(h, "again") for h, f, t in batch] + [("other", "no")]
+    doubled = {r.hash: (r.text, r.tried) for r in localize.translate(want, answers).collect()}
+    assert doubled == {hashes["x"]: ("X", True), hashes["y"]: ("again", True)}
+    some = localize.translate(want.coalesce(1), lambda batch: {h: "X" for h, f, t in batch if t == "x"} | {"other": "no"}).collect()
+    came, tried = [(r.hash, r.text) for r in some if r.text], [r.hash for r in some if r.tried]
     assert came == [(hashes["x"], "X")] and set(tried) == {hashes["x"], hashes["y"]}
+    none = localize.translate(want.coalesce(1), lambda batch: {batch[0][0]: " "}).collect()
+    assert {(r.text, r.tried) for r in none} == {(None, False)}
     new = cache.unionByName(spark.createDataFrame(came, localize.CACHE))
     counts = localize.count_failures(failures, spark.createDataFrame([(h,) for h in tried], "hash string"), spark.createDataFrame(came, localize.CACHE))
     assert {r.hash: r.failures for r in counts.collect()} == {hashes["dos"]: 3, hashes["y"]: 3}
@@ -328,17 +334,98 @@ def test_refresh_and_publish(spark, files, tmp_path):
     assert refresh(spark, store, source, files, now=now + timedelta(days=1)) == {"status": "not due"}
     es = config.parse(spec(id="demo2", language="es"))
     refresh(spark, store, es, files, render=lambda batch: {h: t.upper() for h, f, t in batch}, now=now)
-    flat = spark.read.parquet(f"{store.base}/aircraft/source=demo2")
+    flat = store.read("aircraft/source=demo2")
     assert {r.lien_status for r in flat.collect()} == {"FREE", 'HELD, BY "B"', None} and len(flat.columns) == 55
     with pytest.raises(GuardError, match="no feed slice"):
         publish(spark, store, ["demo", "other"])
-    served = publish(spark, store, ["demo2", "demo"])
+    report = {}
+    served = publish(spark, store, ["demo2", "demo"], report)
+    assert report["rows"] == 3 and report["ambiguous"]["keys"] == 0
+    assert deploy_due(store)
+    mark_deployed(store)
+    assert not deploy_due(store)
+    publish(spark, store, ["demo2", "demo"])
+    assert not deploy_due(store)  # the same rows
     assert {(r.icao_hex, r.source) for r in served.collect()} == {("a00001", "demo"), ("a00002", "demo"), ("a00004", "demo")}
-    answer = feed.lookup(spark.read.parquet(f"{store.base}/feed"), ["A00001"], attributions={"demo": "From Demo"}).collect()
+    answer = feed.lookup(store.read("feed"), ["A00001"], attributions={"demo": "From Demo"}).collect()
     assert [(r.key, r.type, r.attribution) for r in answer] == [("a00001", "ACME Fox", "From Demo")]
     assert feed.lookup(served, ["n1a"], "mark").first().registration == "N1A"
 
 
+def test_store_keeps_the_last_whole_version(spark, tmp_path):
+    store = Store(spark, str(tmp_path / "s"))
+    for n in (1, 2, 3):
+        store.write(spark.range(n), "t")
+    assert store.read("t").count() == 3 and sorted(p.name for p in (tmp_path / "s" / "t").iterdir()) == ["v=00000002", "v=00000003"]
+
+    def broken(df, path):
+        df.write.parquet(path)
+        (tmp_path / "s" / "t" / path.rsplit("/", 1)[1] / "_SUCCESS").unlink()
+        raise OSError("lost")
+
+    with pytest.raises(OSError):
+        store.write(spark.range(9), "t", broken)
+    assert store.read("t").count() == 3
+    store.write(store.read("t").union(spark.range(1)), "t")  # a table made from its own last version
+    assert store.read("t").count() == 4 and len(list((tmp_path / "s" / "t").iterdir())) == 2
+    dry = Store(spark, str(tmp_path / "s"), dry_run=True)
+    dry.write(spark.range(9), "t")
+    assert dry.read("t").count() == 4
+
+
+def test_names_stay_in_the_store(spark, files, tmp_path):
+    for bad in ("../x", "a/b", "", "..", ".hidden", "a..b"):
+        with pytest.raises(GuardError, match="plain name"):
+            safe_name(bad)
+    with pytest.raises(ConfigError, match="plain name"):
+        config.parse(spec(id="../up"))
+    with pytest.raises(ConfigError, match="plain name"):
+        config.parse(spec(download={"url": "https://e.org", "entries": {"main": "a", "type": "b", "../t": "c"}}))
+    with pytest.raises(GuardError, match="plain name"):
+        land_zip(archive(tmp_path / "b.zip", {"m.csv": "A"}), {"../m": "m.csv"}, tmp_path)
+
+
+def test_slices_are_checked(spark, files, tmp_path):
+    store = Store(spark, str(tmp_path / "store"))
+    refresh(spark, store, config.parse(spec()), files)
+    whole = store.read("feed_slice/source=demo")
+    good = spark.createDataFrame(whole.collect(), whole.schema)
+    store.write(good.drop("model"), "feed_slice/source=demo")
+    with pytest.raises(GuardError, match="other columns"):
+        publish(spark, store, ["demo"])
+    store.write(good.withColumn("status", F.lit(None).cast("string")), "feed_slice/source=demo")
+    with pytest.raises(GuardError, match="nulls"):
+        publish(spark, store, ["demo"])
+    store.write(good, "feed_slice/source=demo")
+    store.put_state("demo", store.state("demo") | {"slice_version": 2})
+    with pytest.raises(GuardError, match="version 2"):
+        publish(spark, store, ["demo"])
+
+
+def test_cache_versions_and_pruning(spark, tmp_path):
+    store = Store(spark, str(tmp_path / "store"))
+    recs = [record(lien_status="uno"), record(lien_status="dos"), record(lien_status="uno")]
+    df = spark.createDataFrame([(i, json.dumps(r)) for i, r in enumerate(recs)], "_ord int, json string").select("_ord", F.from_json("json", RECORD).alias("record"))
+    upper = lambda batch: {h: t.upper() for h, f, t in batch if t != "dos"}
+    done, first = localized(spark, store, df, upper, ())
+    assert sorted(str(r.record.lien_status) for r in done.collect()) == ["UNO", "UNO", "dos"]
+    assert (first["candidates"], first["translated"], first["untranslated"]) == (2, 1, 1)
+    assert localized(spark, store, df, upper, ())[1]["cache_hits"] == 1
+    store.write(store.read("translations").union(spark.createDataFrame([("unused", "x")], localize.CACHE)), "translations")
+    localized(spark, store, df, upper, (), prune=True)
+    assert store.read("translations").count() == 1
+    store.put_state("translation-cache", {"version": 0})  # of an older version: made again
+    assert localized(spark, store, df, upper, ())[1]["cache_hits"] == 0
+    store.put_state("translation-cache", {"version": 99})
+    with pytest.raises(GuardError, match="version 99"):
+        localized(spark, store, df, upper, ())
+    store.put_state("translation-cache", {"version": 1})
+    for part in (tmp_path / "store" / "translations").rglob("part-*"):
+        part.write_text("no table")
+    same, report = localized(spark, store, df, upper, ())
+    assert report["rendering"].startswith("left out") and same is df
+
+
 def test_config_rules():
     with pytest.raises(ConfigError) as e:
         config.parse(spec(language="em", extra=1, mapping={"nope": {"field": "a"}, "model": {"field": "a", "constant": "b"}}))
