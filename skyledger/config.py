@@ -73,6 +73,7 @@ class Source:
     download: dict[str, Any] = field(default_factory=dict)
     delimiter: str = ","
     trim_all: bool = False
+    quoted_line_ends: bool = False
     format: str = "csv"
     record_path: str = ""
     pdf: dict[str, Any] | None = None
@@ -155,7 +156,7 @@ def parse(raw: dict[str, Any]) -> Source:
     c = _Check()
     c.keys(
         "source", raw,
-        "id label country language encoding download primary delimiter trim_all format record_path pdf record_count sheet skip_rows"
+        "id label country language encoding download primary delimiter trim_all quoted_line_ends format record_path pdf record_count sheet skip_rows"
         " columns allowed_ragged_rows allowed_missing_source_id_rows latest_snapshot_by joins source_id source_id_transform"
         " registration cadence_days merge_duplicates mapping",
     )

@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.joins import GuardError
 from .shape import check_names, check_width, named
 
-#: latin1 is read as ISO-8859-1.
+#: latin1 is windows-1252, as on the web: what differs from ISO-8859-1, which Spark splits, is translated.
 ENCODINGS = {"utf8": "UTF-8", "latin1": "ISO-8859-1"}
+_C1 = [b for b in range(0x80, 0xA0) if bytes([b]).decode("cp1252", "ignore")]
+_FROM, _TO = bytes(_C1).decode("latin-1"), bytes(_C1).decode("cp1252")
+
+
+def _decoded(c: Column, encoding: str) -> Column:
+    return F.translate(c, _FROM, _TO) if encoding == "latin1" else c
 
 
 def _lines(spark: SparkSession, path: str, encoding: str) -> DataFrame:
@@ -27,7 +33,43 @@ def _lines(spark: SparkSession, path: str, encoding: str) -> DataFrame:
     place = F.struct(
         F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("s"), F.monotonically_increasing_id().alias("i")
     )
-    return lines.withColumn("_ord", place).where(F.col("line").isNotNull() & (F.trim("line") != ""))
+    return lines.select(_decoded(F.col("line"), encoding).alias("line"), place.alias("_ord")).where(F.col("line").isNotNull() & (F.trim("line") != ""))
+
+
+def _read_whole(
+    spark: SparkSession, path: str, delimiter: str, encoding: str, columns: list[str] | None, skip_rows: int, trim: bool, allowed_ragged_rows: int
+) -> DataFrame:
+    """The same for files whose quoted cells hold line ends: each file is one split, as Spark's reader has it."""
+    read = spark.read.options(**_options(delimiter), multiLine=True, header=False, encoding=ENCODINGS[encoding], columnNameOfCorruptRecord="_bad")
+    place = F.struct(F.col("_metadata.file_path").alias("f"), F.monotonically_increasing_id().alias("i"))
+    head = skip_rows + (0 if columns else 1)
+    names = columns
+    if head:
+        wide = read.schema(", ".join(f"c{i} string" for i in range(2048))).csv(path).withColumn("_ord", place)
+        first = wide.orderBy("_ord").limit(head).collect()
+        if not columns and len(first) < head:
+            return spark.createDataFrame([], "_ord struct<f:string,i:bigint>")
+        cells = [c for c in first[-1][:2048] if c is not None] if first else None
+        if columns:
+            check_width(cells, columns)
+        else:
+            tidy = spark.createDataFrame([(i, c) for i, c in enumerate(cells)], "i int, c string").select("i", _decoded(F.col("c"), encoding)).collect()
+            names = check_names([c.lstrip("\ufeff") for _, c in sorted(tidy)])
+    width = len(names)
+    rows = read.schema(", ".join(f"c{i} string" for i in range(width)) + ", _bad string").csv(path).withColumn("_ord", place)
+    if head:
+        last = first[-1]["_ord"]
+        rows = rows.where(F.col("_ord") > F.struct(F.lit(last["f"]).alias("f"), F.lit(last["i"]).alias("i")))
+    rows = rows.where(F.coalesce(F.concat_ws("", *[F.trim(f"c{i}") for i in range(width)]), F.lit("")) != "")
+    # The reader drops a quote of its own accord; a row of another width is told by its number of cells.
+    ragged = rows.where(F.col("_bad").isNotNull()).count()
+    if ragged > allowed_ragged_rows:
+        raise GuardError(f"{ragged} rows have another width than the header; {allowed_ragged_rows} allowed")
+    return named(rows, F.array(*[_decoded(F.col(f"c{i}"), encoding) for i in range(width)]), names, trim)
+
+
+def _options(delimiter: str) -> dict[str, str]:
+    return {"sep": delimiter, "quote": '"', "escape": '"', "emptyValue": "", "nullValue": "\u0000", "maxCharsPerColumn": "-1", "maxColumns": "20480"}
 
 
 def read_delimited(
@@ -39,16 +81,20 @@ def read_delimited(
     skip_rows: int = 0,
     trim: bool = False,
     allowed_ragged_rows: int = 0,
+    quoted_line_ends: bool = False,
 ) -> DataFrame:
     """Reads a file with a header, or with pinned columns, as text columns and ``_ord``.
 
-    Blank lines do not count.  Quoted cells may hold delimiters and doubled quotes, not
-    line ends; a stray quote stays.  Rows of another width than the header are kept
+    Blank lines do not count.  Quoted cells may hold delimiters and doubled quotes, and
+    line ends only with ``quoted_line_ends``, which reads each file in one piece where
+    large files are split otherwise; a stray quote stays.  Rows of another width than the header are kept
     (missing cells empty, extra ones dropped) but fail the read beyond their budget.
     """
+    if quoted_line_ends:
+        return _read_whole(spark, path, delimiter, encoding, columns, skip_rows, trim, allowed_ragged_rows)
     lines = _lines(spark, path, encoding)
     first = lines.orderBy("_ord").limit(skip_rows + (0 if columns else 1)).collect() if skip_rows or not columns else []
-    options = {"sep": delimiter, "quote": '"', "escape": '"', "emptyValue": "", "nullValue": "\u0000", "maxCharsPerColumn": "-1", "maxColumns": "20480"}
+    options = _options(delimiter)
 
     def cells_of(line: str) -> list[str]:
         import csv

@@ -16,7 +16,7 @@ def read_primary(spark: SparkSession, source: Source, files: dict[str, str]) ->
     path, columns = files[source.primary], source.columns.get(source.primary)
     if source.format == "csv":
         ragged = source.allowed_ragged_rows.get(source.primary, 0)
-        return read_delimited(spark, path, source.delimiter, source.encoding, columns, source.skip_rows, source.trim_all, ragged)
+        return read_delimited(spark, path, source.delimiter, source.encoding, columns, source.skip_rows, source.trim_all, ragged, source.quoted_line_ends)
     if source.format == "json":
         return read_json(spark, path, source.record_path, source.trim_all)
     if source.format == "pdf":
@@ -35,7 +35,7 @@ def read_joins(spark: SparkSession, source: Source, files: dict[str, str]) -> di
     return {
         j.file: read_delimited(
             spark, files[j.file], source.delimiter, source.encoding, source.columns.get(j.file), 0, source.trim_all,
-            source.allowed_ragged_rows.get(j.file, 0),
+            source.allowed_ragged_rows.get(j.file, 0), source.quoted_line_ends,
         )
         for j in source.joins
     }

@@ -352,6 +352,19 @@ def test_refresh_and_publish(spark, files, tmp_path):
     assert feed.lookup(served, ["n1a"], "mark").first().registration == "N1A"
 
 
+def test_cells_with_line_ends_and_web_latin(spark, tmp_path):
+    path = write(tmp_path / "m.csv", 'A,B\n1,"two\nlines, ""x"""\n\n2,plain\n3\n')
+    rows = read_delimited(spark, path, quoted_line_ends=True, allowed_ragged_rows=1).orderBy("_ord").collect()
+    assert [(r.A, r.B) for r in rows] == [("1", 'two\nlines, "x"'), ("2", "plain"), ("3", "")]
+    with pytest.raises(GuardError, match="width"):
+        read_delimited(spark, path, quoted_line_ends=True)
+    pinned = read_delimited(spark, path, columns=["X", "Y"], skip_rows=1, quoted_line_ends=True, allowed_ragged_rows=1)
+    assert [r.X for r in pinned.orderBy("_ord").collect()] == ["1", "2", "3"]
+    web = write(tmp_path / "w.csv", "A,B\n5 €,Dvořák’s\n".replace("ř", "r"), "cp1252")
+    for whole in (False, True):
+        assert [(r.A, r.B) for r in read_delimited(spark, web, encoding="latin1", quoted_line_ends=whole).collect()] == [("5 €", "Dvorák’s")]
+
+
 def test_store_keeps_the_last_whole_version(spark, tmp_path):
     store = Store(spark, str(tmp_path / "s"))
     for n in (1, 2, 3):
