@@ -4,8 +4,8 @@ Exact repeats are skipped, rows that differ only where the policy allows merge,
 live row beats a cancelled one, then the newer date wins, then a strict superset;
 what stays undecided fails.  The fold depends on the order and is not associative,
 so the rows of one key meet in one task, sorted, and stream through a fold that holds
-one record.  Runs of equal rows are folded beforehand and unique keys never leave the
-JVM.
+one record.  Runs of equal rows are folded beforehand; unique keys, and keys that
+status and date alone decide, never leave the JVM.
 """
 
 from __future__ import annotations
@@ -152,8 +152,13 @@ def resolve(rows: DataFrame, policy: Merge | None = None) -> DataFrame:
     single = counted.where("n = 1").select(
         "source_id", F.when(~F.col("bad"), F.col("record")).alias("record"), F.lit(0).alias("skipped"), F.col("bad").cast("int").alias("failed")
     )
+    several = counted.where("n > 1")
+    if policy:  # whether rows merge depends on the record so far
+        settled, several = None, several.withColumn("open", F.lit(True))
+    else:
+        settled, several = _settled(several, by_key, in_order)
     runs = (
-        counted.where("n > 1")
+        several.where("open")
         .withColumn("run", F.sum(fresh).over(in_order))
         .groupBy("source_id", "run")
         .agg(F.first("raw").alias("raw"), F.first(F.to_json("record", {"ignoreNullFields": "false"})).alias("json"), F.first("bad").alias("bad"), F.count(F.lit(1)).alias("n"))
@@ -188,6 +193,28 @@ def resolve(rows: DataFrame, policy: Merge | None = None) -> DataFrame:
             yield batch_of()
 
     folded = runs.mapInArrow(in_stream, "source_id string, json string, skipped int, failed int")
-    return single.unionByName(
-        folded.select("source_id", F.from_json("json", RECORD).alias("record"), "skipped", "failed")
+    out = single.unionByName(folded.select("source_id", F.from_json("json", RECORD).alias("record"), "skipped", "failed"))
+    return out.unionByName(settled) if settled is not None else out
+
+
+def _settled(several: DataFrame, by_key: Window, in_order: Window) -> tuple[DataFrame, DataFrame]:
+    """The results of keys that status and date alone decide, and all rows with whether their key is still ``open``.
+
+    That is so where no row is bad or lacks a status, and rows alike in both are equal
+    records: the highest wins whatever the order, and every row is skipped that is not
+    higher than all before it.
+    """
+    r = F.col("record")
+    rank = F.struct((r["status"] != "cancelled").alias("live"), F.coalesce(latest_date(r), F.lit("")).alias("date"))
+    digest = F.sha2(F.to_json(r, {"ignoreNullFields": "false"}), 256)
+    alike = Window.partitionBy("source_id", "rank")
+    ranked = several.withColumns({"rank": rank, "digest": digest}).withColumn("differ", F.min("digest").over(alike) != F.max("digest").over(alike))
+    odd = F.col("bad") | r["status"].isNull() | F.col("differ")
+    highest = F.max("rank").over(in_order.rowsBetween(Window.unboundedPreceding, -1))
+    ranked = ranked.withColumns({"open": F.max(odd).over(by_key), "held": F.col("rank") > highest})
+    done = ranked.where("NOT open").groupBy("source_id").agg(
+        F.max_by("record", "rank").alias("record"),
+        (F.count(F.lit(1)) - 1 - F.count_if("held")).cast("int").alias("skipped"),
+        F.lit(0).alias("failed"),
     )
+    return done, ranked.drop("rank", "digest", "differ", "held")
