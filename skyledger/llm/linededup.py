@@ -1,45 +1,56 @@
 """Line dedup by a log-template tree, with DataFrame functions only.
 
 A line goes down a tree of fixed depth: first by its number of tokens, then by its
-leading tokens, where a token with a digit is a variable field.  A leaf's lines give
-its template: a position keeps the token that more than half of the leaf's different
-lines have there and is a variable field otherwise.  A line belongs to the template
-if at least ``similarity_percent`` of 100 of its positions are the template's constants; a line is
-also a template by itself, with its digits' tokens as variable fields.  Templates
-that recur in ``min_docs`` different documents are dropped from all.
-
-Exact copies of a document count once.  Texts are not shuffled: hashes of lines are,
-and the different lines of leaves that recur.
+leading tokens, where a token with a digit is a variable field.  A leaf holds several
+templates.  A token is known by how many different lines of its leaf have it at its
+place; tokens of fewer than ``min_docs`` lines are variable fields, and a line has a
+template for each step of a ladder (min_docs times 1, 4, 16 ...) below which its tokens
+become fields too, so that a field's frequent values do not hide it.  At least
+``similarity_percent`` of 100 of a template's places are constants.
+
+Dropped are the lines that recur in ``min_docs`` different documents: as they are, with
+the tokens that have digits as fields, or by a template.
+
+Exact copies of a document count once.  Texts are read once; what is shuffled are hashes
+of lines, and the different lines of leaves that recur.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, table
+from .common import discard, materialize, table, unused, with_value
 
-TOKEN = r"[^\x20\x09-\x0D]+"
+WHITE = r"\x20\x09-\x0D"
+#: A token that has a digit; the look-behind lets it begin at a token's start only, so a long token is read once.
+WITH_DIGIT = rf"(?<![^{WHITE}])[^{WHITE}0-9]*+[0-9][^{WHITE}]*+"
 FIELD = "<*>"
+#: Steps of the ladder: up to 4 ** 20 times ``min_docs`` lines.
+STEPS = 20
+#: Leaves, two numbers each, that may be broadcast.
+MAX_BROADCAST_LEAVES = 1_000_000
 
 
 def _lines(docs: DataFrame, text_col: str, depth: int) -> DataFrame:
-    """(th, line_no, line, lh, mh, n, leaf): every line of every text.
+    """(th, line_no, chars, lh, mh, n, fields, leaf, masked): every line of every text.
 
-    th, lh and mh hash the text, the line and the line with its variable fields masked.
+    ``masked`` is the line's tokens, those with digits as fields, joined by one space;
+    th, lh and mh hash the text, the line and the masked line.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     split = docs.select(F.xxhash64(text).alias("th"), F.posexplode(F.split(text, "\n", -1)).alias("line_no", "line"))
-    tokens = split.withColumn("tokens", F.regexp_extract_all("line", F.lit(TOKEN), F.lit(0)))
-    masked = F.transform("tokens", lambda t: F.when(t.rlike("[0-9]"), FIELD).otherwise(t))
+    one_space = F.trim(F.regexp_replace(F.regexp_replace("line", WITH_DIGIT, FIELD), f"[{WHITE}]+", " "))
+    tokens = F.when(F.col("masked") == "", F.array().cast("array<string>")).otherwise(F.split("masked", " "))
     return (
-        tokens.withColumn("masked", masked)
-        .withColumn("n", F.size("tokens"))
+        split.withColumn("masked", one_space)
+        .withColumn("tokens", tokens)
         .select(
-            "th", "line_no", "line", "n",
-            F.xxhash64("line").alias("lh"),
-            F.xxhash64("n", F.array_join("masked", " ")).alias("mh"),
-            F.xxhash64("n", F.array_join(F.slice("masked", 1, depth), " ")).alias("leaf"),
+            "th", "line_no", F.char_length("line").alias("chars"), F.xxhash64("line").alias("lh"), F.xxhash64("masked").alias("mh"),
+            F.size("tokens").alias("n"), F.size(F.array_remove("tokens", FIELD)).alias("constants"),
+            F.xxhash64(F.size("tokens"), F.array_join(F.slice("tokens", 1, depth), " ")).alias("leaf"), "masked",
         )
     )
 
@@ -49,46 +60,63 @@ def _recurring(df: DataFrame, key: str, min_docs: int) -> DataFrame:
     return df.select(key, "th").distinct().groupBy(key).count().where(F.col("count") >= min_docs).select(key)
 
 
+def _step(count: Column, min_docs: int) -> Column:
+    """The steps of the ladder that a count reaches, 0 for a count below ``min_docs``."""
+    return reduce(lambda a, b: a + b, [(count >= min_docs * 4**j).cast("int") for j in range(STEPS)])
+
+
+def templates(full: DataFrame, depth: int, similarity_percent: int, min_docs: int) -> DataFrame:
+    """(k, v): the lines (k, their hash) of leaves that recur, with the hashes of their templates."""
+    recurring = _recurring(full, "leaf", min_docs)
+    several = full.select("leaf", "lh").distinct().groupBy("leaf").agg(F.count(F.lit(1)).alias("v")).where(F.col("v") >= min_docs)
+    leaves = materialize(several.join(recurring, "leaf", "left_semi").withColumnRenamed("leaf", "k"), "leaves")
+    lines = full.select("leaf", "lh", "masked")
+    if leaves.count() <= MAX_BROADCAST_LEAVES:  # the other lines are not shuffled
+        lines = lines.join(F.broadcast(leaves), F.col("leaf") == F.col("k")).drop("k")
+    else:
+        lines = with_value(lines, "leaf", leaves).where("v IS NOT NULL")
+    lines = lines.groupBy("leaf", "lh").agg(F.first("masked").alias("masked"), F.first("v").alias("lines"))
+    cells = lines.select("leaf", "lh", "lines", F.posexplode(F.split("masked", " ")).alias("pos", "token")).select(
+        "lh", "pos", "lines", "leaf", (F.col("token") != FIELD).alias("named"), F.xxhash64("token").alias("token"),
+        F.xxhash64("leaf", "pos", "token").alias("cell"),
+    )
+    cells = materialize(cells, "cells")
+    # The leading tokens are the same in all lines of a leaf; the others are counted.
+    inner = cells.where(F.col("named") & (F.col("pos") >= depth))
+    counts = inner.groupBy(F.col("cell").alias("k")).agg(F.count(F.lit(1)).alias("v")).where(F.col("v") >= min_docs)
+    counts = materialize(counts, "cell-counts")
+    steps = with_value(inner, "cell", counts).select("lh", "leaf", "pos", "token", _step(F.coalesce("v", F.lit(0)), min_docs).alias("step"))
+    others = cells.where(~(F.col("named") & (F.col("pos") >= depth)))
+    others = others.select("lh", "leaf", "pos", "token", F.when(F.col("named"), _step(F.col("lines"), min_docs)).otherwise(0).alias("step"))
+    whole = steps.unionByName(others).groupBy("leaf", "lh").agg(F.sort_array(F.collect_list(F.struct("pos", "token", "step"))).alias("cells"))
+    ladder = F.array_distinct(F.filter(F.transform("cells", lambda c: c["step"]), lambda s: s > 0))
+    at = whole.select("leaf", "lh", "cells", F.explode(ladder).alias("at"))
+    kept = F.transform("cells", lambda c: F.when(c["step"] >= F.col("at"), c["token"]))
+    enough = F.size(F.array_compact(F.col("kept"))) * 100 >= F.size("kept") * similarity_percent
+    made = at.withColumn("kept", kept).where(enough).select("lh", F.xxhash64("leaf", F.transform("kept", lambda x: F.coalesce(x.cast("string"), F.lit("")))).alias("template"))
+    made = materialize(made.groupBy(F.col("lh").alias("k")).agg(F.collect_set("template").alias("v")), "templates")
+    discard(leaves, cells, counts)
+    return made
+
+
 def dropped_lines(docs: DataFrame, text_col: str, depth: int, similarity_percent: int, min_docs: int) -> tuple[DataFrame, DataFrame]:
-    """The lines of all texts as (th, line_no, lh, chars), and the ``lh`` of those that go."""
-    lines = _lines(docs, text_col, depth)
-    slim = materialize(
-        lines.select("th", "line_no", "lh", "mh", "leaf", "n", F.char_length("line").alias("chars")), "lines"
-    )
-    full = slim.where(F.col("n") > 0)
-    exact = full.join(_recurring(full, "mh", min_docs), "mh", "left_semi").select("lh")
-
-    leaves = _recurring(full, "leaf", min_docs)
-    several = full.groupBy("leaf").agg(F.min("lh").alias("a"), F.max("lh").alias("b")).where("a <> b")
-    leaves = leaves.join(several, "leaf", "left_semi")  # leaves with one line only are settled above
-    variants = (
-        lines.where(F.col("n") > 0)
-        .select("leaf", "lh", "line")
-        .join(leaves, "leaf", "left_semi")
-        .dropDuplicates(["leaf", "lh"])
-        .select("leaf", "lh", F.posexplode(F.regexp_extract_all("line", F.lit(TOKEN), F.lit(0))).alias("pos", "token"))
-        .withColumn("token", F.when(F.col("token").rlike("[0-9]"), FIELD).otherwise(F.col("token")))
-    )
-    variants = materialize(variants.select("leaf", "lh", "pos", F.xxhash64("token").alias("token"), (F.col("token") != FIELD).alias("constant")), "variants")
-    sizes = variants.where("pos = 0").groupBy("leaf").agg(F.count(F.lit(1)).alias("variants"))
-    constants = (
-        variants.where("constant")
-        .groupBy("leaf", "pos", "token")
-        .agg(F.count(F.lit(1)).alias("share"))
-        .join(sizes, "leaf")
-        .where(F.col("share") * 2 > F.col("variants"))
-        .select("leaf", "pos", "token", F.lit(1).alias("hit"))
-    )
-    members = (
-        variants.join(constants, ["leaf", "pos", "token"], "left")
-        .groupBy("leaf", "lh")
-        .agg(F.count("hit").alias("hits"), F.count(F.lit(1)).alias("n"))
-        .where(F.col("hits") * 100 >= F.col("n") * similarity_percent)
-        .select("leaf", "lh")
-    )
-    templates = _recurring(full.join(members, ["leaf", "lh"], "left_semi"), "leaf", min_docs)
-    general = members.join(templates, "leaf", "left_semi").select("lh")
-    return slim, exact.union(general).distinct()
+    """The lines of all texts as (th, line_no, lh, chars), and those that go as (k, v): their hash and 1."""
+    lines = materialize(_lines(docs, text_col, depth), "lines")
+    full = lines.where(F.col("n") > 0)
+    alike = full.where(F.col("constants") * 100 >= F.col("n") * similarity_percent)
+    made = templates(full, depth, similarity_percent, min_docs)
+    slim = materialize(lines.select("th", "line_no", "lh", "mh", "chars", "n", "constants"), "slim-lines")
+    discard(lines)
+    full, alike = slim.where(F.col("n") > 0), slim.where((F.col("n") > 0) & (F.col("constants") * 100 >= F.col("n") * similarity_percent))
+    same = _recurring(full, "lh", min_docs)
+    masked = materialize(_recurring(alike, "mh", min_docs).select(F.col("mh").alias("k"), F.lit(1).alias("v")), "masks")
+    masked = with_value(alike.select("mh", "lh").distinct(), "mh", masked).where("v = 1").select("lh")
+    texts = with_value(full.select("lh", "th"), "lh", made).select("th", F.explode("v").alias("template"))
+    recurring = materialize(_recurring(texts, "template", min_docs).select(F.col("template").alias("k"), F.lit(1).alias("v")), "recurring-templates")
+    of = made.select(F.col("k").alias("lh"), F.explode("v").alias("template"))
+    general = with_value(of, "template", recurring).where("v = 1").select("lh")
+    gone = same.union(masked).union(general).distinct().select(F.col("lh").alias("k"), F.lit(1).alias("v"))
+    return slim, materialize(gone, "gone-lines")
 
 
 def dedup_lines(
@@ -109,19 +137,19 @@ def dedup_lines(
     """
     slim, gone = dropped_lines(docs, text_col, depth, similarity_percent, min_docs)
     flags = (
-        slim.dropDuplicates(["th", "line_no"])
-        .join(gone.withColumn("_gone", F.lit(True)), "lh", "left")
+        with_value(slim.select("th", "line_no", "lh", "chars").distinct(), "lh", gone)
         .groupBy("th")
         .agg(
             F.count(F.lit(1)).alias("n_lines"),
-            F.count("_gone").alias("n_dropped"),
-            F.coalesce(F.sum(F.when(F.col("_gone"), F.col("chars"))), F.lit(0)).cast("long").alias("dropped_chars"),
-            F.sort_array(F.collect_list(F.when(F.col("_gone"), F.col("line_no")))).alias("dropped_lines"),
+            F.count("v").alias("n_dropped"),
+            F.coalesce(F.sum(F.when(F.col("v") == 1, F.col("chars"))), F.lit(0)).cast("long").alias("dropped_chars"),
+            F.sort_array(F.collect_list(F.when(F.col("v") == 1, F.col("line_no")))).alias("dropped_lines"),
         )
     )
-    added = ("n_lines", "n_dropped", "dropped_chars", "dropped_lines", "_th")
-    rows = docs.drop(*added).withColumn("_th", F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
-    out = rows.join(flags, F.col("_th") == F.col("th")).drop("_th", "th")
+    rows = docs.drop(*[c for c in docs.columns if c.lower() in ("n_lines", "n_dropped", "dropped_chars", "dropped_lines")])
+    mine, theirs = unused("_mine", rows), unused("_theirs", rows)
+    rows = rows.withColumn(mine, F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
+    out = rows.join(flags.withColumnRenamed("th", theirs), F.col(mine) == F.col(theirs)).drop(mine, theirs)
     if clean:
         kept = F.filter(
             F.transform(F.split(text_col, "\n", -1), lambda line, i: F.when(~F.array_contains("dropped_lines", i), line)),
@@ -150,29 +178,36 @@ WITH texts AS (
   SELECT text, line_no, line, m, len(m) AS n, array_to_string(m, ' ') AS mask,
     len(m) || ':' || array_to_string(m[1:3], ' ') AS leaf
   FROM lines
-), exact AS (
-  SELECT mask FROM keyed WHERE n > 0 GROUP BY mask HAVING count(DISTINCT text) >= 4
+), same AS (
+  SELECT line FROM keyed WHERE n > 0 GROUP BY line HAVING count(DISTINCT text) >= 4
+), masks AS (
+  SELECT mask FROM keyed WHERE n > 0 AND len([t FOR t IN m IF t <> '<*>']) * 100 >= n * 70 GROUP BY mask HAVING count(DISTINCT text) >= 4
 ), leaves AS (
-  SELECT leaf FROM keyed WHERE n > 0 GROUP BY leaf HAVING count(DISTINCT text) >= 4 AND count(DISTINCT line) > 1
+  SELECT leaf FROM keyed WHERE n > 0 GROUP BY leaf HAVING count(DISTINCT text) >= 4 AND count(DISTINCT line) >= 4
 ), variants AS (
   SELECT DISTINCT leaf, line, m, n FROM keyed WHERE n > 0 AND leaf IN (SELECT leaf FROM leaves)
 ), cells AS (
   SELECT leaf, line, n, generate_subscripts(m, 1) AS pos, unnest(m) AS token FROM variants
-), sizes AS (
-  SELECT leaf, count(*) AS variants FROM variants GROUP BY leaf
-), constants AS (
-  SELECT c.leaf, c.pos, c.token FROM cells c JOIN sizes s ON c.leaf = s.leaf
-  WHERE c.token <> '<*>' GROUP BY c.leaf, c.pos, c.token, s.variants HAVING count(*) * 2 > s.variants
-), members AS (
-  SELECT c.leaf, c.line FROM cells c LEFT JOIN constants k ON c.leaf = k.leaf AND c.pos = k.pos AND c.token = k.token
-  GROUP BY c.leaf, c.line HAVING count(k.token) * 100 >= count(*) * 70
-), templates AS (
-  SELECT k.leaf FROM keyed k JOIN members v ON k.leaf = v.leaf AND k.line = v.line
-  GROUP BY k.leaf HAVING count(DISTINCT k.text) >= 4
+), counts AS (
+  SELECT leaf, pos, token, count(*) AS c FROM cells WHERE token <> '<*>' GROUP BY ALL
+), steps AS (
+  SELECT e.leaf, e.line, e.n, e.pos, e.token, len([j FOR j IN range(0, 20) IF coalesce(c.c, 0) >= 4 * 4 ** j]) AS step
+  FROM cells e LEFT JOIN counts c ON e.leaf = c.leaf AND e.pos = c.pos AND e.token = c.token
+), ladder AS (
+  SELECT DISTINCT leaf, line, step AS at FROM steps WHERE step > 0
+), made AS (
+  SELECT s.leaf, s.line, array_agg(CASE WHEN s.step >= l.at THEN s.token END ORDER BY s.pos) AS template
+  FROM steps s JOIN ladder l ON s.leaf = l.leaf AND s.line = l.line
+  GROUP BY s.leaf, s.line, l.at HAVING count(*) FILTER (s.step >= l.at) * 100 >= count(*) * 70
+), recurring AS (
+  SELECT m.leaf, m.template FROM keyed k JOIN made m ON k.leaf = m.leaf AND k.line = m.line
+  GROUP BY m.leaf, m.template HAVING count(DISTINCT k.text) >= 4
+), general AS (
+  SELECT DISTINCT m.line FROM made m JOIN recurring r ON m.leaf = r.leaf AND m.template = r.template
 ), flagged AS (
   SELECT k.text, k.line_no, length(k.line) AS chars,
-    k.n > 0 AND (k.mask IN (SELECT mask FROM exact)
-      OR k.line IN (SELECT v.line FROM members v JOIN templates t ON v.leaf = t.leaf)) AS gone
+    k.n > 0 AND (k.line IN (SELECT line FROM same) OR k.line IN (SELECT line FROM general)
+      OR len([t FOR t IN k.m IF t <> '<*>']) * 100 >= k.n * 70 AND k.mask IN (SELECT mask FROM masks)) AS gone
   FROM keyed k
 ), result AS (
   SELECT text, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
