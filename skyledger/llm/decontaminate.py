@@ -4,22 +4,22 @@ A hash set of normalised test n-grams is broadcast; windows of the training word
 are looked up in it, every hit is verified word by word, and the hit spans or the
 whole documents are removed.
 
-The broadcast is bounded: benchmark items are dealt into blocks of at most
-``block_bytes`` of text by a hash, and the documents are scanned once for each
-block.  The usual benchmark is one block.  No document is shuffled.
+The broadcast is bounded: benchmark items are dealt by a hash into blocks of about
+``block_bytes`` of text, whose index is some five times that, and the documents are
+scanned once for each block.  The usual benchmark is one block.  No document is shuffled.
 """
 
 from __future__ import annotations
 
 import re
-from itertools import repeat
 
 import numpy as np
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import add_columns, materialize
+from .common import add_columns, materialize, unused
 
 #: A-Z become a-z; digits, a-z and all bytes above 0x7F are parts of words; the rest separates.
 _FOLD = bytes(
@@ -33,52 +33,99 @@ def words(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "replace").translate(_FOLD).split() if text else []
 
 
+def _window_hashes(w: np.ndarray, size: int) -> np.ndarray:
+    """Hashes of all windows of ``size`` words, from the words' hashes."""
+    h = np.zeros(len(w) - size + 1, dtype=np.uint64)
+    for k in range(size):
+        h = (h ^ w[k : len(w) - size + 1 + k]) * np.uint64(0x9E3779B97F4A7C15)
+        h ^= h >> np.uint64(29)
+    return h
+
+
+_KEPT_WORDS = 150_000
+_kept: dict[bytes, int] = {}
+
+
+def _word_hashes(found: list[bytes]) -> np.ndarray:
+    """64-bit hashes of words; a worker keeps those of words it has seen, up to a bound."""
+    if len(_kept) > _KEPT_WORDS:
+        _kept.clear()
+    out = [_kept.get(w) for w in found]
+    for i, h in enumerate(out):
+        if h is None:
+            h = out[i] = xxhash.xxh3_64_intdigest(found[i])
+            if len(found[i]) <= 64:
+                _kept[found[i]] = h
+    return np.array(out, dtype=np.uint64)
+
+
 class NgramIndex:
-    """The windows of a block of items, by length."""
+    """The windows of a block of items, in flat arrays: about five bytes for each byte of text.
+
+    ``text`` is the items' words joined by spaces.  For each window length there are the
+    windows' hashes, sorted, with the word each begins at, and a bit table of the hashes
+    that most other windows fail at once.
+    """
 
     def __init__(self, items: list[tuple[str | None, str | None]], n: int):
-        self.vocabulary: dict[bytes, int] = {}
-        self.windows: dict[int, dict[tuple[int, ...], set]] = {}
+        parts, self.names, lengths = [], [], []
         for item, text in items:
-            ids = [self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in words(text)]
-            if not ids:
-                continue
-            size = min(n, len(ids))
-            of = self.windows.setdefault(size, {})
-            for i in range(len(ids) - size + 1):
-                of.setdefault(tuple(ids[i : i + size]), set()).add(item)
-        rng = np.random.default_rng(7)
-        self.mix = rng.integers(1, 2**63, len(self.vocabulary) + 1, dtype=np.int64).view(np.uint64) | np.uint64(1)
-        self.hashes = {
-            size: np.unique(self._hash(np.array(list(of), dtype=np.int64))) for size, of in self.windows.items()
-        }
-
-    def _hash(self, rows: np.ndarray) -> np.ndarray:
-        h = np.zeros(len(rows), dtype=np.uint64)
-        for k in range(rows.shape[1]):
-            h = h * np.uint64(0x9E3779B97F4A7C15) + self.mix[rows[:, k]]
-        return h
+            found = words(text)
+            if found:
+                parts.append(b" ".join(found))
+                self.names.append(item)
+                lengths.append(len(found))
+        self.text = b" ".join(parts)
+        flat = np.frombuffer(self.text + b" ", dtype=np.uint8)
+        self.ends = np.flatnonzero(flat == 0x20).astype(np.int32)  # where each word ends
+        self.first = np.concatenate(([0], np.cumsum(lengths))).astype(np.int64)  # each item's first word
+        hashes = _word_hashes(self.text.split(b" ")) if parts else np.empty(0, dtype=np.uint64)
+        lengths = np.array(lengths, dtype=np.int64)
+        self.windows: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, int]] = {}
+        for size in sorted(set(np.minimum(lengths, n).tolist())):
+            mine = np.flatnonzero(np.minimum(lengths, n) == size)
+            at = np.concatenate([np.arange(self.first[i], self.first[i + 1] - size + 1, dtype=np.int32) for i in mine])
+            h = _window_hashes(hashes, size)[at]
+            order = np.argsort(h, kind="stable")
+            h, at = h[order], at[order]
+            bits = max(10, int(len(h) * 8).bit_length())
+            table = np.zeros(1 << bits - 3, dtype=np.uint8)
+            low = h & np.uint64((1 << bits) - 1)
+            np.bitwise_or.at(table, (low >> np.uint64(3)).astype(np.int64), np.uint8(1) << (low & np.uint64(7)).astype(np.uint8))
+            self.windows[size] = (h, at, table, bits)
+
+    def nbytes(self) -> int:
+        """Bytes of the index."""
+        arrays = [x for w in self.windows.values() for x in w[:3]] + [self.ends, self.first]
+        return len(self.text) + sum(x.nbytes for x in arrays)
+
+    def _words_at(self, word: int, size: int) -> bytes:
+        start = int(self.ends[word - 1]) + 1 if word else 0
+        return self.text[start : int(self.ends[word + size - 1])]
 
     def scan(self, found: list[bytes]) -> tuple[list[int], set]:
         """The hit windows, flat as start, end, start, end ..., and the items they are of."""
-        ids = np.fromiter(map(self.vocabulary.get, found, repeat(0)), dtype=np.int64, count=len(found))
         spans, items = [], set()
-        known = ids > 0
-        if not known.any():
+        if not found:
             return spans, items
-        gaps = np.concatenate(([0], np.cumsum(~known)))
-        for size, of in self.windows.items():
-            if len(ids) < size:
+        hashes = _word_hashes(found)
+        for size, (known, at, table, bits) in self.windows.items():
+            if len(found) < size:
                 continue
-            at = np.flatnonzero(gaps[size:] == gaps[:-size])
-            if not len(at):
+            h = _window_hashes(hashes, size)
+            low = h & np.uint64((1 << bits) - 1)
+            maybe = np.flatnonzero(table[(low >> np.uint64(3)).astype(np.int64)] >> (low & np.uint64(7)).astype(np.uint8) & 1)
+            if not len(maybe):
                 continue
-            h = self._hash(ids[at[:, None] + np.arange(size)])
-            for i in at[np.isin(h, self.hashes[size])].tolist():
-                hit = of.get(tuple(ids[i : i + size].tolist()))
-                if hit is not None:
+            lo, hi = np.searchsorted(known, h[maybe], "left"), np.searchsorted(known, h[maybe], "right")
+            for i, a, b in zip(maybe.tolist(), lo.tolist(), hi.tolist(), strict=True):
+                if a == b:
+                    continue
+                window = b" ".join(found[i : i + size])
+                same = [w for w in at[a:b].tolist() if self._words_at(w, size) == window]
+                if same:
                     spans += (i, i + size)
-                    items |= hit
+                    items.update(self.names[k] for k in np.searchsorted(self.first, same, "right") - 1)
         return spans, items
 
 
@@ -113,7 +160,7 @@ def decontaminate(
     n: int = 10,
     action: str = "flag",
     keep_text: bool = True,
-    block_bytes: int = 32 << 20,
+    block_bytes: int = 16 << 20,
 ) -> DataFrame:
     """Finds the words of ``docs`` that lie in windows of ``n`` words of the benchmark.
 
@@ -135,10 +182,8 @@ def decontaminate(
     ).where(F.length("body") > 0)
     total = sized.agg(F.sum(F.octet_length("body")).alias("b")).first()["b"] or 0
     blocks = -(-total // block_bytes) or 1
-    state = [
-        T.StructField("_spans", T.ArrayType(T.IntegerType())),
-        T.StructField("_items", T.ArrayType(T.StringType())),
-    ]
+    at, of = unused("_spans", docs), unused("_items", docs)
+    state = [T.StructField(at, T.ArrayType(T.IntegerType())), T.StructField(of, T.ArrayType(T.StringType()))]
     df = docs
     for b in range(blocks):
         mine = sized.where(F.pmod(F.xxhash64("body"), F.lit(blocks)) == b)
@@ -156,13 +201,13 @@ def decontaminate(
 
             return compute
 
-        df = add_columns(df, [text_col] + ["_spans", "_items"] * (b > 0), state, make)
+        df = add_columns(df, [text_col] + [at, of] * (b > 0), state, make)
         if b + 1 < blocks:
             df = materialize(df, "decontaminate")
-    return _finish(df, text_col, action, keep_text)
+    return _finish(df, text_col, at, of, action, keep_text)
 
 
-def _finish(df: DataFrame, text_col: str, action: str, keep_text: bool) -> DataFrame:
+def _finish(df: DataFrame, text_col: str, at: str, of: str, action: str, keep_text: bool) -> DataFrame:
     fields = [
         T.StructField("n_words", T.LongType()),
         T.StructField("n_hit", T.LongType()),
@@ -172,7 +217,8 @@ def _finish(df: DataFrame, text_col: str, action: str, keep_text: bool) -> DataF
         T.StructField("contaminated", T.BooleanType()),
     ]
     if action == "clean":
-        fields.append(T.StructField("_clean", T.StringType()))
+        cleaned = unused("_clean", df)
+        fields.append(T.StructField(cleaned, T.StringType()))
 
     def make():
         def compute(texts, spans, items):
@@ -195,11 +241,11 @@ def _finish(df: DataFrame, text_col: str, action: str, keep_text: bool) -> DataF
 
         return compute
 
-    drop = ("_spans", "_items") + (() if keep_text and action != "clean" else (text_col,))
-    df = add_columns(df, [text_col, "_spans", "_items"], fields, make, drop)
+    drop = (at, of) + (() if keep_text and action != "clean" else (text_col,))
+    df = add_columns(df, [text_col, at, of], fields, make, drop)
     if action == "drop":
         return df.where(~F.col("contaminated"))
-    return df.withColumnRenamed("_clean", text_col) if action == "clean" else df
+    return df.withColumnRenamed(cleaned, text_col) if action == "clean" else df
 
 
 def query(spark, sf_dir: str) -> DataFrame:
