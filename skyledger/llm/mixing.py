@@ -8,8 +8,9 @@ method is house monotone, and the differences of its quotas at those house sizes
 are each shard's integer quotas.  A source's seats take its blocks in turn from a
 seeded start, around the end as often as the quota asks.
 
-What is shuffled is a row of a few numbers for each document; sums over a source
-go through seeded buckets, so no task holds a whole source.
+For the plan, what is shuffled is a row of a few numbers for each document; sums over a
+source go through seeded buckets and runs of buckets, so no task holds a whole source.
+One row a source goes through one task.
 """
 
 from __future__ import annotations
@@ -17,11 +18,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import materialize, table
 
 #: White space that separates tokens: space and the control characters tab to carriage return.
 TOKEN = r"[^\x20\x09-\x0D]+"
 MAX_REPEATS = 3
+#: Buckets whose sizes one task adds up.
+RUN = 4096
 
 
 def _hash(seed: int, *parts: Column) -> Column:
@@ -102,6 +105,18 @@ def quotas(wanted: DataFrame, block: int, shards: int, max_repeats: int) -> Data
     )
 
 
+def _starts(groups: DataFrame) -> DataFrame:
+    """Adds ``start``, the sizes of the source's buckets before: sums within runs of RUN buckets, and of the runs."""
+    groups = groups.withColumn("run", F.floor(F.col("bucket") / RUN))
+    runs = groups.groupBy("source", "run").agg(F.sum("bucket_size").alias("run_size"))
+    earlier = Window.partitionBy("source").orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
+    runs = runs.select(F.col("source").alias("s"), F.col("run").alias("r"), F.coalesce(F.sum("run_size").over(earlier), F.lit(0)).alias("run_start"))
+    before = Window.partitionBy("source", "run").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    inside = groups.withColumn("inside", F.coalesce(F.sum("bucket_size").over(before), F.lit(0)))
+    joined = inside.join(runs, F.expr("source <=> s AND run = r"))
+    return joined.select("source", "bucket", "bucket_size", (F.col("run_start") + F.col("inside")).alias("start"))
+
+
 def mix(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -127,17 +142,18 @@ def mix(
     in both are interchangeable.  An empty table gives an empty result.
     """
     kept = [F.col(f"`{c}`").alias(f"keep_{c}") for c in keep]
-    sized = docs.select(
+    rows = docs.select(
         F.col(id_col).alias("doc_id"),
         F.col(source_col).alias("source"),
         F.coalesce(F.regexp_count(text_col, F.lit(TOKEN)), F.lit(0)).cast("long").alias("size"),
         *kept,
     ).withColumn("h", _hash(seed, F.col("doc_id")))
-    buckets = max(1, -(-docs.count() // rows_per_bucket))
-    sized = sized.withColumn("bucket", F.col("h") % buckets)
-    groups = sized.groupBy("source", "bucket").agg(F.sum("size").alias("bucket_size"))
-    before = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    groups = groups.withColumn("start", F.coalesce(F.sum("bucket_size").over(before), F.lit(0)))
+    slim = materialize(rows.drop(*[f"keep_{c}" for c in keep]), "sizes")
+    buckets = max(1, -(-slim.count() // rows_per_bucket))
+    numbered = lambda df: df.withColumn("bucket", F.col("h") % buckets)
+    sized = numbered(rows if keep else slim)
+    groups = numbered(slim).groupBy("source", "bucket").agg(F.sum("size").alias("bucket_size"))
+    groups = _starts(groups)
     wanted = targets(groups.groupBy("source").agg(F.sum("bucket_size").alias("source_size")), weights, max_repeats)
     granted = quotas(wanted, block, shards, max_repeats)
     info = groups.alias("g").join(granted.alias("q"), F.expr("g.source <=> q.source")).select(
