@@ -10,12 +10,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from skyledger.llm import decontaminate, langid, mixing, ngramjoin, sharding
-from skyledger.llm.common import materialize, table
+from skyledger.llm.common import drop_materialized, materialize, materialized, table
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the documents whose language is known."""
-    found = langid.identify(docs, langid.fit(docs, "text", "lang"))
+    found = langid.identify(docs, langid.fit(docs, "text", "lang", folds=2))
     return found.where("NOT lang_rejected").select(*docs.columns)
 
 
@@ -53,7 +53,8 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), materialized()
     for name, stage in STAGES[:-1]:
         docs = materialize(stage(spark, docs, sf_dir), name)
+        drop_materialized(spark, before, keep=(docs._materialized,))  # the stage before and what this one made on the way
     return STAGES[-1][1](spark, docs, sf_dir)
