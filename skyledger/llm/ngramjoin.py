@@ -8,38 +8,44 @@ positional filter and a suffix filter (shingles are dealt into 512 parts by hash
 whose counts differ in parity hold a shingle that is not common) and are verified
 once, on their whole sets.
 
-Any global order is right; rareness only keeps the lists short.  Frequencies are
-counted over all documents.  Only shingles in the frequent part of the order need a
-rank, so the table that is broadcast holds at most ``MAX_RANKED`` of them, the most
-frequent ones; all others are ordered by hash.
+Any global order is right; rareness only keeps the lists short.  All shingles of all
+documents are counted, in ``COUNT_BUCKETS`` buckets of their hashes, so the table that
+is broadcast has one size whatever the corpus; a shingle's rank is its bucket's count,
+then its hash.
 
 Sets that are equal are one node.  A group of near copies is not expanded into all
-pairs: every prefix list first links its members to a few pivots, and only members
-whose components still differ after that are paired with each other.  So every pair that
-passes the filters is either verified or already connected, and the components are
-exact.
+pairs: every prefix list first offers its members a few pivots; each member is verified
+with one of them, then with the others that are not yet in its component, and at last members of a list whose components still differ are paired with each other.  So
+every pair that passes the filters is either verified or already connected, and the
+components are exact.
+
+Keys with more than a thousandth of a join's rows (there are at most a thousand) are
+split: their rows are dealt to several tasks, or stay where they are.
 """
 
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import add_columns, drop_materialized, join_keys, materialize, materialized, table
+from .common import add_columns, discard, drop_materialized, hot_keys, join_keys, largest, materialize, materialized, parts_of, ship, small_batches, table, unused, with_value
 
-MAX_RANKED = 1 << 18
-#: Shingles are counted by this many bits of their hash; a clash only changes the order.
-COUNT_SHIFT = 24
-LEAST_RANKED = 8
+#: Shingles are counted in this many buckets, by bits of their hash from this one on; a clash only changes the order.
+COUNT_BUCKETS, COUNT_PART, COUNT_SHIFT = 1 << 20, 1 << 12, 24
+_COUNTS = pa.schema([("part", pa.int32()), ("counts", pa.binary())])
 SKETCH = [f"s{i}" for i in range(8)]
 _KEPT_WORDS = 150_000
 #: Members of a list, besides the earliest one, that the others are first compared with.
 PIVOTS = 5
+#: Documents that a common shingle is in at least; edges that one task of a round of components handles.
+FEW, EDGES_A_TASK = 1000, 200_000
 
 _MIX = [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63, 0xD6E8FEB86659FD93]
 _words: dict[bytes, int] = {}
@@ -89,76 +95,85 @@ def _sketch(toks: np.ndarray) -> list[int]:
     return np.packbits(parity).view(np.int64).tolist()
 
 
-class Ranks:
-    """Ranks of the frequent shingles; all others have -1."""
-
-    def __init__(self, counted: list[tuple[int, int]]):
-        rows = sorted(counted, key=lambda r: (r[1], r[0]))
-        toks = np.array([r[0] for r in rows], dtype=np.int64)
-        order = np.argsort(toks)
-        self.toks, self.rank = toks[order], order.astype(np.int64)
-
-    def of(self, toks: np.ndarray) -> np.ndarray:
-        if not len(self.toks):
-            return np.full(len(toks), -1)
-        t = toks >> COUNT_SHIFT
-        i = np.minimum(np.searchsorted(self.toks, t), len(self.toks) - 1)
-        return np.where(self.toks[i] == t, self.rank[i], -1)
+def _bucket(toks: np.ndarray) -> np.ndarray:
+    return (toks >> COUNT_SHIFT) & (COUNT_BUCKETS - 1)
 
 
-def frequent(docs: DataFrame, text_col: str, size: int, percent: int) -> Ranks:
-    """Counts the shingles near the front of every document's hash order and ranks the most frequent.
+def shingle_counts(docs: DataFrame, text_col: str, size: int) -> np.ndarray:
+    """How often documents hold shingles of each of COUNT_BUCKETS hash buckets, over all shingles of all documents.
 
-    The front is twice the prefix, which is as far as a prefix reaches when half of
-    its shingles are frequent.
+    A task sends one table of counts, in parts, whatever its documents; a part is summed as it streams by.
     """
+    ship(docs.sparkSession)
+    small_batches(docs.sparkSession)
+    parts = COUNT_BUCKETS // COUNT_PART
+
+    def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(COUNT_BUCKETS, dtype=np.int64)
+        for batch in batches:
+            for at in range(0, batch.num_rows, 512):
+                found = [shingles(t, size) for t in batch.slice(at, 512).column(0).to_pylist()]
+                total += np.bincount(_bucket(np.concatenate(found)), minlength=COUNT_BUCKETS)
+        for i in np.flatnonzero(total.reshape(parts, -1).any(axis=1)).tolist():
+            yield pa.RecordBatch.from_pydict({"part": [i], "counts": [total[i * COUNT_PART : (i + 1) * COUNT_PART].tobytes()]}, _COUNTS)
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, total = None, None
+        for batch in batches:
+            for i, counts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if i != part:
+                    if part is not None:
+                        yield pa.RecordBatch.from_pydict({"part": [part], "counts": [total.tobytes()]}, _COUNTS)
+                    part, total = i, np.zeros(COUNT_PART, dtype=np.int64)
+                total += np.frombuffer(counts, dtype=np.int64)
+        if part is not None:
+            yield pa.RecordBatch.from_pydict({"part": [part], "counts": [total.tobytes()]}, _COUNTS)
+
+    schema = "part int, counts binary"
+    sums = docs.select(F.col(text_col).alias("body")).mapInArrow(tally, schema)
+    sums = sums.repartition("part").sortWithinPartitions("part").mapInArrow(add, schema)
+    out = np.zeros(COUNT_BUCKETS, dtype=np.int64)
+    for r in sums.collect():  # COUNT_BUCKETS numbers
+        out[r["part"] * COUNT_PART : (r["part"] + 1) * COUNT_PART] = np.frombuffer(r["counts"], dtype=np.int64)
+    return out
+
+
+def profiles(docs: DataFrame, id_col: str, text_col: str, size: int, percent: int, counts: np.ndarray) -> DataFrame:
+    """(doc_id, text_hash, set_key, n, s0 ... s7, prefix, cut) of every row; the key is null for an empty set.
+
+    From place ``cut`` of the prefix on, the shingles' buckets hold many more than others do.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(counts)  # COUNT_BUCKETS numbers
+    many = 8 * int(counts.sum()) // COUNT_BUCKETS + FEW
 
     def make():
         def compute(texts):
-            out = []
-            for t in texts:
-                s = shingles(t, size)
-                out.append(s[: 2 * prefix_length(len(s), percent) + 8] >> COUNT_SHIFT)
-            return [out]
-
-        return compute
-
-    front = add_columns(docs.select(F.col(text_col).alias("body")), ["body"], [T.StructField("toks", T.ArrayType(T.LongType()))], make, ("body",))
-    counts = front.select(F.explode("toks").alias("tok")).groupBy("tok").count().where(F.col("count") >= LEAST_RANKED)
-    counts = materialize(counts, "frequent-shingles")
-    left, least = MAX_RANKED, None
-    for r in counts.groupBy(F.col("count").alias("df")).count().orderBy(F.col("df").desc()).collect():  # a row for each frequency
-        if r["count"] > left:
-            break
-        left, least = left - r["count"], r["df"]
-    rows = counts.where(F.col("count") >= least).collect() if least else []  # at most MAX_RANKED
-    return Ranks([(r["tok"], r["count"]) for r in rows])
-
-
-def profiles(docs: DataFrame, id_col: str, text_col: str, size: int, percent: int, ranks: Ranks) -> DataFrame:
-    """(doc_id, text_hash, set_key, n, s0 ... s7, prefix) of every row; the key is null for an empty set."""
-    shared = docs.sparkSession.sparkContext.broadcast(ranks)  # at most MAX_RANKED entries
-
-    def make():
-        def compute(texts):
-            keys, sizes, sketches, prefixes = [], [], [], []
+            keys, sizes, sketches, prefixes, cuts = [], [], [], [], []
             for t in texts:
                 s = shingles(t, size)
                 keys.append(_key(s))
                 sizes.append(len(s))
                 sketches.append(_sketch(s))
                 p = prefix_length(len(s), percent) if len(s) else 0
-                prefixes.append(s[np.lexsort((s, shared.value.of(s)))[:p]])
-            return [keys, sizes, *(list(x) for x in zip(*sketches, strict=True)), prefixes] if texts else [[] for _ in range(11)]
+                held = shared.value[_bucket(s)]
+                first = np.lexsort((s, held))[:p]
+                prefixes.append(s[first])
+                cuts.append(int((held[first] <= many).sum()))
+            return [keys, sizes, *(list(x) for x in zip(*sketches, strict=True)), prefixes, cuts] if texts else [[] for _ in range(12)]
 
         return compute
 
     fields = [T.StructField("set_key", T.BinaryType()), T.StructField("n", T.IntegerType())]
-    fields += [T.StructField(c, T.LongType()) for c in SKETCH] + [T.StructField("prefix", T.ArrayType(T.LongType()))]
+    fields += [T.StructField(c, T.LongType()) for c in SKETCH] + [T.StructField("prefix", T.ArrayType(T.LongType())), T.StructField("cut", T.IntegerType())]
     source = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("body"))
     return add_columns(source, ["body"], fields, make, ("body",))
 
 
+def _unlike(a: str, b: str) -> str:
+    """How many parts of the shingles' hashes differ in parity: at most the shingles that are not common."""
+    return "(" + " + ".join(f"bit_count({a}.{s} ^ {b}.{s})" for s in SKETCH) + ")"
+
+
 def _passes(percent: int, a: str, b: str) -> str:
     """Length, positional and suffix filter for rows a and b of one list.
 
@@ -166,56 +181,90 @@ def _passes(percent: int, a: str, b: str) -> str:
     has its row as well.
     """
     need = f"ceil({percent}.0 * ({a}.n + {b}.n) / {100 + percent})"
-    unlike = " + ".join(f"bit_count({a}.{s} ^ {b}.{s})" for s in SKETCH)
     return (
         f"100 * least({a}.n, {b}.n) >= {percent} * greatest({a}.n, {b}.n)"
         f" AND least({a}.n - {a}.pos, {b}.n - {b}.pos) >= {need}"
-        f" AND {unlike} <= {a}.n + {b}.n - 2 * {need}"
+        f" AND {_unlike(a, b)} <= {a}.n + {b}.n - 2 * {need}"
     )
 
 
-def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str, text_col: str, size: int, percent: int) -> DataFrame:
-    """The pairs (a, b) of set keys that link, checked on whole sets made from the texts again."""
-    keys = pairs.select(F.col("a").alias("set_key")).union(pairs.select(F.col("b").alias("set_key"))).distinct()
-    wanted = nodes.join(keys, "set_key", "left_semi").select(F.col("doc_id").alias("_id")).distinct()
-    texts = docs.select(F.col(id_col).alias("_doc"), F.col(text_col).alias("body"))
-    texts = join_keys(texts, wanted, "_doc <=> _id", "left_semi")
+def salted_join(df: DataFrame, values: DataFrame, key: str, by: str, hot: dict) -> DataFrame:
+    """``df`` joined with ``values`` on ``key``; a hot key's rows are dealt by a hash of ``by`` to its parts, which all get its values."""
+    if not hot:
+        return df.join(values, key)
+    parts = F.broadcast(parts_of(df.sparkSession, hot, df, key))  # at most a thousand rows
+    with_parts = lambda x: x.join(parts, F.col(key) == F.col("hot_key"), "left").withColumn("parts", F.coalesce("parts", F.lit(1))).drop("hot_key")
+    left = with_parts(df).withColumn("salt", F.pmod(F.xxhash64(by), F.col("parts")).cast("int")).drop("parts")
+    right = with_parts(values).withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
+    return left.join(right, [key, "salt"]).drop("salt")
 
-    def make():
-        def compute(bodies):
-            sets = [shingles(t, size) for t in bodies]
-            return [[_key(s) for s in sets], sets]
 
-        return compute
+class Sets:
+    """The whole sets of the documents that candidate pairs are made of, as a table."""
 
-    fields = [T.StructField("set_key", T.BinaryType()), T.StructField("toks", T.ArrayType(T.LongType()))]
-    sets = add_columns(texts.select("body"), ["body"], fields, make, ("body",)).join(keys, "set_key", "left_semi")
-    sets = materialize(sets.dropDuplicates(["set_key"]), "shingle-sets")
-    both = pairs.join(sets.toDF("a", "ta"), "a").join(sets.toDF("b", "tb"), "b")
-    common = F.size(F.array_intersect("ta", "tb"))
-    return both.where(100 * common >= percent * (F.size("ta") + F.size("tb") - common)).select("a", "b")
+    def __init__(self, pairs: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str, text_col: str, size: int, percent: int):
+        self.percent = percent
+        keys = pairs.select(F.col("a").alias("set_key")).union(pairs.select(F.col("b").alias("set_key"))).distinct()
+        wanted = nodes.join(keys, "set_key", "left_semi").select(F.col("doc_id").alias("_id")).distinct()
+        texts = docs.select(F.col(id_col).alias("_doc"), F.col(text_col).alias("body"))
+        texts = join_keys(texts, wanted, "_doc <=> _id", "left_semi")
+
+        def make():
+            def compute(bodies):
+                sets = [shingles(t, size) for t in bodies]
+                return [[_key(s) for s in sets], sets]
+
+            return compute
+
+        fields = [T.StructField("set_key", T.BinaryType()), T.StructField("toks", T.ArrayType(T.LongType()))]
+        sets = add_columns(texts.select("body"), ["body"], fields, make, ("body",)).join(keys, "set_key", "left_semi")
+        self.table = materialize(sets.dropDuplicates(["set_key"]), "shingle-sets")
+
+    def linked(self, pairs: DataFrame) -> DataFrame:
+        """The pairs (a, b) that link, checked on whole sets."""
+        both = pairs.select("a", "b")
+        for key, other, toks in (("a", "b", "ta"), ("b", "a", "tb")):
+            copies = self.table.select(F.col("set_key").alias(key), F.col("toks").alias(toks))
+            both = salted_join(both, copies, key, other, hot_keys(pairs, key))
+        common = F.size(F.array_intersect("ta", "tb"))
+        found = both.where(100 * common >= self.percent * (F.size("ta") + F.size("tb") - common))
+        return materialize(found.select("a", "b"), "links-found")
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(node, root): the smallest node of each node's component, by minimum labels and pointer jumping.
+    """(node, root) for the nodes of edges (a, b): every component has one of its nodes as root.
 
-    Every round is written to the shared folder; rounds grow with the logarithm of a
-    component's width.
+    Local contraction: in each round a node takes the neighbour, or itself, that comes
+    first in the round's hash order, and nodes that took the same one become one.  In
+    expectation the nodes of every component halve at least, so rounds grow with the
+    logarithm of its size whatever its shape.  Every round is written to the shared folder.
     """
-    links = materialize(edges.union(edges.select("b", "a")).toDF("node", "other").distinct(), "links")
-    labels = links.groupBy("node").agg(F.min("other").alias("m")).select("node", F.least("node", "m").alias("root"))
-    labels = materialize(labels, "labels")
-    while True:
-        far = links.join(labels.toDF("other", "r"), "other").groupBy("node").agg(F.min("r").alias("m"))
-        near = labels.join(far, "node").select("node", F.least("root", "m").alias("next"), "root")
-        jump = near.alias("x").join(
-            near.select(F.col("node").alias("at"), F.col("next").alias("beyond")), F.col("next") == F.col("at"), "left"
+    left = materialize(edges.where("a <> b").select("a", "b").distinct(), "edges")
+    rounds: list[tuple[DataFrame, dict]] = []
+    while n := left.count():
+        tasks = -(-n // EDGES_A_TASK)  # the edges dwindle, and so do the tasks of a round
+        near = left.selectExpr("inline(array(struct(a AS k, b AS other), struct(b AS k, a AS other), struct(a AS k, a AS other), struct(b AS k, b AS other)))")
+        near = near.groupBy("k").agg(
+            F.min_by("other", F.struct(F.xxhash64(F.lit(len(rounds)), "other"), "other")).alias("v"), F.count(F.lit(1)).alias("links")
         )
-        new = jump.select("node", F.least("next", F.coalesce("beyond", "next")).alias("new"), "root")
-        new = materialize(new, "labels")
-        labels = new.select("node", F.col("new").alias("root"))
-        if new.where("new <> root").isEmpty():
-            return labels
+        labels = materialize(near.coalesce(tasks), "labels")
+        hot = largest(labels.select("k", "links"))
+        labels = labels.drop("links")
+        rounds.append((labels, hot))
+        at_a = with_value(left, "a", labels, hot).select("b", F.col("v").alias("x"))
+        at_b = with_value(at_a, "b", labels, hot).select("x", F.col("v").alias("y"))
+        ends = at_b.where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+        now = materialize(ends.distinct().coalesce(tasks), "edges")
+        discard(left)
+        left = now
+    if not rounds:
+        return left.select(F.col("a").alias("node"), F.col("b").alias("root"))
+    roots = rounds[-1][0]
+    # Ever larger ones; nodes that were alone by then keep their label.  Only a node of many links is the label of many.
+    for earlier, hot in reversed(rounds[:-1]):
+        step = with_value(earlier.select(F.col("k").alias("node"), F.col("v").alias("mid")), "mid", roots, hot)
+        roots = step.select(F.col("node").alias("k"), F.coalesce("v", "mid").alias("v"))
+    return roots.toDF("node", "root")
 
 
 def link_components(
@@ -229,83 +278,103 @@ def link_components(
     nothing, not with each other, and their key is null.  Rows without an id link by
     their text and take the component's smallest id, null if it has none.  Repeated
     rows and exact copies are one node.  Long texts are read whole.  An empty table
-    gives an empty result.
+    gives an empty result.  Other columns play no part.
     """
     spark, before = docs.sparkSession, materialized()
-    ranks = frequent(docs, text_col, size, percent)
-    rows = materialize(profiles(docs, id_col, text_col, size, percent, ranks), "profiles")
-    some = rows.where(F.col("set_key").isNotNull())
-    nodes = some.groupBy("set_key").agg(F.min("doc_id").alias("doc_id"))
+    counts = shingle_counts(docs, text_col, size)
+    made = materialize(profiles(docs, id_col, text_col, size, percent, counts), "profiles")
+    rows = materialize(made.select("doc_id", "set_key", "text_hash", F.col("n").cast("long").alias("n_shingles")), "rows")
+    nodes = rows.where(F.col("set_key").isNotNull()).groupBy("set_key").agg(F.min("doc_id").alias("doc_id"))
+    postings = _postings(made)
+    discard(made)
+    roots = _roots(postings, lambda pairs: Sets(pairs, nodes, docs, id_col, text_col, size, percent), percent)
+
+    placed = nodes.join(roots.toDF("set_key", "root"), "set_key", "left").withColumn("root", F.coalesce("root", "set_key"))
+    placed = materialize(placed, "placed")
+    drop_materialized(spark, before, (rows._materialized, placed._materialized))  # what follows reads these only
+    smallest = placed.groupBy("root").agg(
+        F.min("doc_id").alias("v_id"),
+        F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "set_key")).alias("v_first"),
+    )
+    smallest = smallest.select(F.col("root").alias("k"), F.struct("v_id", "v_first").alias("v"))
+    answer = with_value(placed.select("set_key", "root"), "root", smallest)
+    answer = answer.select(F.col("set_key").alias("k"), "v")
+    alone = F.col("set_key").isNull()
+    first = F.col("v.v_first")
+    return with_value(rows, "set_key", answer).select(
+        "doc_id", "set_key", "text_hash", "n_shingles",
+        F.when(alone, F.col("doc_id")).otherwise(F.col("v.v_id")).alias("component_id"),
+        (alone | (first["set_key"] == F.col("set_key")) & first["doc_id"].eqNullSafe(F.col("doc_id"))).alias("stays"),
+    )
 
+
+def _postings(made: DataFrame) -> DataFrame:
+    """(tok, set_key, n, pos, s0 ... s7) of the prefixes' shingles that occur in several sets."""
+    some = made.where(F.col("set_key").isNotNull())
     # Equal sets have equal columns, so any row stands for its key; combined before the shuffle.
-    lists = some.groupBy("set_key").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix"))
-    lists = lists.select("set_key", "n", F.posexplode("prefix").alias("pos", "tok"))
-    lists = lists.withColumn("m", F.count(F.lit(1)).over(Window.partitionBy("tok"))).where("m > 1").drop("m")
+    lists = some.groupBy("set_key").agg(F.first("n").alias("n"), F.first("cut").alias("cut"), F.first("prefix").alias("prefix"))
+    lists = lists.select("set_key", "n", "cut", F.posexplode("prefix").alias("pos", "tok"))
+    # A shingle is alone in its list or not; common ones, whose lists may be long, are taken without counting.
+    counted = lists.where("pos < cut").withColumn("m", F.count(F.lit(1)).over(Window.partitionBy("tok"))).where("m > 1").drop("m")
+    lists = counted.unionByName(lists.where("pos >= cut")).drop("cut")
     sketches = some.groupBy("set_key").agg(*[F.first(s).alias(s) for s in SKETCH])
-    postings = materialize(lists.join(sketches, "set_key"), "postings")
+    return materialize(lists.join(sketches, "set_key"), "postings")
+
 
-    # First every list's members with its pivots: the member that has the shingle earliest in its order, as an
-    # original has fewer rare shingles than its near copies, and some that a hash picks for each list anew.
+def _roots(postings: DataFrame, sets_of, percent: int) -> DataFrame:
+    """(set_key, root) of the sets that link with others; drops the tables it reads after their last reader."""
+    # A list's pivots: the member that has the shingle earliest in its order, as an original has fewer rare
+    # shingles than its near copies, and some that a hash picks for each list anew.
     member = F.struct("pos", "n", "set_key", *SKETCH)
     picks = [F.min_by(member, F.xxhash64("tok", "set_key", F.lit(i))).alias(f"p{i}") for i in range(PIVOTS)]
     pivots = postings.groupBy("tok").agg(F.min(member).alias("p"), *picks)
-    pivots = pivots.select(F.col("tok").alias("t"), F.explode(F.array_distinct(F.array("p", *[f"p{i}" for i in range(PIVOTS)]))).alias("p"))
-    star = postings.alias("x").join(
-        pivots.select("t", "p.*").alias("y"),
-        F.expr(f"x.tok = y.t AND x.set_key <> y.set_key AND {_passes(percent, 'x', 'y')}"),
-    )
-    pair = [F.expr("least(x.set_key, y.set_key)").alias("a"), F.expr("greatest(x.set_key, y.set_key)").alias("b")]
-    tried = materialize(star.select(*pair).distinct(), "star-pairs")
-    check = lambda pairs: materialize(verified(pairs, nodes, docs, id_col, text_col, size, percent), "links-found")
-    first = check(tried)
+    pivots = pivots.select(F.col("tok").alias("k"), F.array_distinct(F.array("p", *[f"p{i}" for i in range(PIVOTS)])).alias("v"))
+    star = with_value(postings, "tok", pivots).withColumn("y", F.explode("v")).drop("v")
+    star = star.select(F.struct(*[c for c in postings.columns if c != "tok"]).alias("x"), "y")
+    star = star.where(F.expr(f"x.set_key <> y.set_key AND {_passes(percent, 'x', 'y')}"))
+    pair = [F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")]
+    tried = star.select(F.col("x.set_key").alias("x"), F.col("y.set_key").alias("y")).select(*pair)
+    tried = materialize(tried.distinct(), "star-pairs")
+    sets = sets_of(tried)
+    first = sets.linked(tried)
+    discard(sets.table)
     roots = materialize(components(first), "roots")
 
-    # Then the members whose components differ, with each other.
-    root_of = roots.select(F.col("node").alias("set_key"), "root")
-    open_lists = postings.join(root_of, "set_key", "left").withColumn("root", F.coalesce("root", "set_key"))
+    # Then the members of a list whose components differ, with each other.
+    of = roots.toDF("k", "v")
+    open_lists = with_value(postings, "set_key", of).withColumn("root", F.coalesce("v", "set_key")).drop("v")
     mixed = open_lists.groupBy("tok").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("tok")
     open_lists = materialize(open_lists.join(mixed, "tok", "left_semi"), "open-postings")
-    rest = open_lists.alias("x").join(
-        open_lists.alias("y"), F.expr(f"x.tok = y.tok AND x.root < y.root AND {_passes(percent, 'x', 'y')}")
-    )
-    rest = materialize(rest.select(*pair).distinct().join(tried, ["a", "b"], "left_anti"), "rest-pairs")
+    discard(postings)
+    columns = [c for c in open_lists.columns if c != "tok"]
+    x = open_lists.select("tok", F.col("set_key").alias("by"), F.struct(*columns).alias("x"))
+    y = open_lists.select("tok", F.struct(*columns).alias("y"))
+    rest = salted_join(x, y, "tok", "by", hot_keys(open_lists, "tok"))
+    rest = rest.where(F.expr(f"x.root < y.root AND {_passes(percent, 'x', 'y')}"))
+    rest = rest.select(F.col("x.set_key").alias("x"), F.col("y.set_key").alias("y")).select(*pair).distinct()
+    rest = materialize(rest.join(tried, ["a", "b"], "left_anti"), "rest-pairs")
+    discard(open_lists, tried)
     if not rest.isEmpty():
-        second = check(rest)
-        if not second.isEmpty():
-            at = root_of.withColumnRenamed("set_key", "k")
-            over = (
-                second.join(at.toDF("a", "ra"), "a", "left")
-                .join(at.toDF("b", "rb"), "b", "left")
-                .select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b"))
-                .where("a <> b")
-                .distinct()
-            )
-            upper = components(over).toDF("mid", "top")
-            known = root_of.toDF("node", "mid").unionByName(
-                upper.select(F.col("mid").alias("node"), "mid").join(root_of.toDF("node", "m"), "node", "left_anti")
-            )
-            roots = materialize(
-                known.join(upper, "mid", "left").select("node", F.coalesce("top", "mid").alias("root")), "roots"
-            )
-
-    # What follows reads the profiles and roots only.
-    drop_materialized(spark, before, (rows._materialized, roots._materialized))
-    placed = nodes.join(roots.toDF("set_key", "root"), "set_key", "left").withColumn("root", F.coalesce("root", "set_key"))
-    smallest = placed.groupBy("root").agg(
-        F.min("doc_id").alias("component_id"),
-        F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "set_key")).alias("first"),
+        sets = sets_of(rest)
+        third = sets.linked(rest)
+        discard(sets.table)
+        roots = _joined(roots, third)
+    discard(rest)
+    return roots
+
+
+def _joined(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """The roots once further links are there."""
+    if links.isEmpty():
+        return roots
+    of = roots.toDF("k", "v")
+    at_a = with_value(links, "a", of).withColumnRenamed("v", "ra")
+    both = with_value(at_a, "b", of).select(F.coalesce("ra", "a").alias("a"), F.coalesce("v", "b").alias("b"))
+    upper = components(both)
+    known = roots.toDF("node", "mid").unionByName(
+        upper.select("node", F.col("node").alias("mid")).join(roots.select("node"), "node", "left_anti")
     )
-    answer = placed.join(smallest, "root").select(F.col("set_key").alias("k"), "component_id", "first")
-    alone = F.col("k").isNull()
-    return (
-        rows.select("doc_id", "set_key", "text_hash", F.col("n").cast("long").alias("n_shingles"))
-        .join(answer, F.col("set_key") == F.col("k"), "left")
-        .select(
-            "doc_id", "set_key", "text_hash", "n_shingles",
-            F.when(alone, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
-            (alone | (F.col("first.set_key") == F.col("set_key")) & F.col("first.doc_id").eqNullSafe(F.col("doc_id"))).alias("stays"),
-        )
-    )
+    return with_value(known, "mid", upper.toDF("k", "v")).select("node", F.coalesce("v", "mid").alias("root"))
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 80) -> DataFrame:
@@ -313,14 +382,16 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", si
 
     Rows with the empty set stay.  Of rows alike in id and text one stays.
     """
-    found = materialize(link_components(docs, id_col, text_col, size, percent), "kept")
-    key = [F.col("doc_id").alias("_id"), F.col("text_hash").alias("_th")]
-    same = f"`{id_col}` <=> _id AND _hash <=> _th"
-    rows = docs.withColumn("_hash", F.xxhash64(text_col))
+    linked = link_components(docs, id_col, text_col, size, percent)
+    found = materialize(linked.select(F.col("doc_id").alias("i"), F.col("text_hash").alias("h"), "stays"), "kept")
+    mine, gone_id, gone_hash = (unused(c, docs) for c in ("_hash", "_i", "_h"))
+    key = [F.col("i").alias(gone_id), F.col("h").alias(gone_hash)]
+    same = f"`{id_col}` <=> `{gone_id}` AND `{mine}` <=> `{gone_hash}`"
+    rows = docs.withColumn(mine, F.xxhash64(text_col))
     rows = join_keys(rows, found.where(~F.col("stays")).select(*key).distinct(), same, "left_anti")
     twice = found.where("stays").groupBy(*key).count().where("count > 1").drop("count")
     if not twice.isEmpty():  # only rows that are there more than once are shuffled
-        again = join_keys(rows, twice, same, "left_semi").dropDuplicates([id_col, "_hash"])
+        again = join_keys(rows, twice, same, "left_semi").dropDuplicates([id_col, mine])
         rows = join_keys(rows, twice, same, "left_anti").unionByName(again)
     return rows.select(*[f"`{c}`" for c in docs.columns])
 

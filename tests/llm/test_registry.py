@@ -4,9 +4,10 @@ from pathlib import Path
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from skyledger.llm import registry
+from skyledger.llm import langid, registry
 
 SF = "/root/testdata/sf0.001"
 TABLES = "documents embeddings pages benchmark labels conversations".split()
@@ -30,20 +31,31 @@ def test_query_and_sql(spark, name):
 
 
 def test_pipeline(spark):
+    """Every stage against a plain version of it on what the plain versions before have kept."""
     from test_set_ops import plain_components
-    from test_text_ops import brute_hits
+    from test_text_ops import brute_hits, plain_language
 
-    docs = spark.read.parquet(f"{SF}/documents.parquet").collect()
+    table = spark.read.parquet(f"{SF}/documents.parquet")
+    docs = table.collect()
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    folded = table.select("text", langid._fold(F.coalesce("text", F.lit("")), 2).alias("f")).collect()
+    said = plain_language(
+        langid.fit(table, "text", "lang", folds=2),
+        {"rows": [(d.text, d.lang, d.source) for d in docs], "folds": {x.text or "": x.f for x in folded}},
+    )
+    known = [d for d, x in zip(docs, said, strict=True) if not x[2]]
+    one = {c for (i, n, c) in plain_components([(d.doc_id, d.text) for d in known], 5, 80)}
+    left = [d for d in known if d.doc_id in one and not brute_hits(d.text, items, 10)[1]]
+    at = table
+    for (_, stage), want in zip(corpus_pipeline.STAGES[:3], (known, [d for d in known if d.doc_id in one], left), strict=True):
+        at = spark.createDataFrame(stage(spark, at, SF).collect(), table.schema)
+        assert sorted(x.doc_id for x in at.collect()) == sorted(d.doc_id for d in want)
     out = corpus_pipeline.run(spark, SF).collect()
-    rows = [(d.doc_id, d.text) for d in docs]  # all have a language
-    one = {c for (i, n, c) in plain_components(rows, 5, 80)}
-    left = [d for d in docs if d.doc_id in one and not brute_hits(d.text, items, 10)[1]]
     assert {x.doc_id for x in out} <= {d.doc_id for d in left}
     sizes = sum(len(d.text.split()) for d in left)
     assert abs(sum(len(x.text.split()) for x in out) - sizes) < 0.02 * sizes
     assert {x.shard for x in out} <= set(range(40))
-    names = spark.read.parquet(f"{SF}/documents.parquet").columns
+    names = table.columns
     assert list(out[0].__fields__[: len(names)]) == names
 
 

@@ -1,6 +1,7 @@
 """Line dedup, mixing, near duplicates, sharding and search against plain versions."""
 
 import random
+import zlib
 from collections import Counter, defaultdict
 
 import duckdb
@@ -8,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from skyledger.llm import linededup, mixing, ngramjoin, sharding, topk
+from skyledger.llm import common, linededup, mixing, ngramjoin, sharding, topk
 
 
 def in_duckdb(sql, **tables):
@@ -19,7 +20,11 @@ def in_duckdb(sql, **tables):
     return con.execute(sql).fetchall()
 
 
-def test_line_dedup_equals_sql(spark, empty):
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_line_dedup_equals_sql(spark, empty, monkeypatch, broadcast):
+    if not broadcast:
+        monkeypatch.setattr(linededup, "MAX_BROADCAST_LEAVES", 0)
+        monkeypatch.setattr(common, "FEW_ROWS", 3)
     r = random.Random(8)
     fixed = ["Copyright {y} by the authors of this page", "Page {y}", "User {w} logged in from {w} on port {y}", ""]
     rows = []
@@ -40,6 +45,36 @@ def test_line_dedup_equals_sql(spark, empty):
     assert linededup.dedup_lines(empty).count() == 0
 
 
+def _dropped(spark, texts, **options):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return sum(x.n_dropped for x in linededup.dedup_lines(docs, **options).collect())
+
+
+def test_line_dedup_keeps_several_templates_of_a_leaf(spark):
+    names = "ann bob cid dora eve finn gwen hugo iris jan".split()
+    done = [f"Job run for {n} finished ok today" for n in names]
+    broken = [f"Job run for {n} crashed very badly" for n in names]
+    # Common names: tokens in many lines of the leaf, yet fields.
+    often = [f"Mail from {n} to {m} was sent on time" for n in names[:6] for m in names[:6]]
+    alone = [f"Mail from x{chr(97 + i)} is {w} by any of them here" for i, w in enumerate("red blue green grey".split())]
+    assert _dropped(spark, done) == 10 and _dropped(spark, broken) == 10
+    assert _dropped(spark, done + broken) == 20
+    assert _dropped(spark, done + broken + often + alone) == 20 + 36
+    assert _dropped(spark, done + [f"Job run for own{chr(97 + i)} or {w} not {w}" for i, w in enumerate(names)]) == 10
+
+
+def test_line_dedup_keeps_lines_of_fields_alone(spark):
+    assert _dropped(spark, ["1 2 3", "4 5 6", "7 8 9", "10 11 12"]) == 0
+    assert _dropped(spark, ["1 2 3\nx", "1 2 3", "1 2 3\ny", "1 2 3\nz"]) == 4
+
+
+def test_line_dedup_beside_clashing_names(spark, docs):
+    more = docs.withColumns({c: F.lit("kept") for c in ("th", "_th", "lh", "k", "v", "line", "leaf", "TH_")})
+    out = linededup.dedup_lines(more)
+    assert set(more.columns) <= set(out.columns) and all(x.th == x._th == x.k == x.leaf == "kept" for x in out.collect())
+    assert out.count() == docs.count()
+
+
 def plain_targets(sizes, weights, cap):
     names = sorted(sizes, key=lambda s: (s is None, s or ""))
     w = {s: weights[i % len(weights)] for i, s in enumerate(names)}
@@ -131,9 +166,10 @@ def test_ngram_join_equals_all_pairs(docs, rows, size, percent):
     assert got == sorted(str(x) for x in plain_components(rows, size, percent))
 
 
-def test_ngram_join_chains_and_ranks(spark, empty, monkeypatch):
+def test_ngram_join_chains_and_common_shingles(spark, empty, monkeypatch):
     r = random.Random(11)
-    monkeypatch.setattr(ngramjoin, "LEAST_RANKED", 2)
+    monkeypatch.setattr(ngramjoin, "FEW", 3)  # few documents make a shingle common
+    monkeypatch.setattr(common, "FEW_ROWS", 2)  # and a key hot
     rows, w = [], [f"w{r.randint(0, 40)}" for _ in range(60)]
     for i in range(60):  # a walk: neighbours link, ends do not
         w = list(w)
@@ -147,6 +183,31 @@ def test_ngram_join_chains_and_ranks(spark, empty, monkeypatch):
     assert ngramjoin.link_components(empty).count() == 0
 
 
+def test_components_of_a_long_chain_take_few_rounds(spark, monkeypatch):
+    n = 4096
+    names = [f"{i * 2654435761 % 2**32:08x}" for i in range(n)]
+    edges = list(zip(names, names[1:], strict=False)) + [("x", "y"), ("y", "z"), ("z", "x"), ("x", "x")]
+    edges += [("hub", f"leaf{i}") for i in range(500)]
+    rounds = []
+    real = ngramjoin.materialize
+    monkeypatch.setattr(ngramjoin, "materialize", lambda df, name: rounds.append(name) or real(df, name))
+    got = ngramjoin.components(spark.createDataFrame(edges, "a string, b string")).collect()
+    assert rounds.count("labels") < 20
+    groups = defaultdict(set)
+    for x in got:
+        groups[x.root].add(x.node)
+    assert all(k in v for k, v in groups.items())
+    assert sorted(map(len, groups.values())) == [3, 501, n]
+
+
+def test_keep_one_beside_clashing_names(docs):
+    more = docs.withColumns({c: F.lit("kept") for c in ("_id", "_hash", "_h", "_i", "_HASH_", "i", "h", "k", "v", "salt", "stays", "set_key")})
+    kept = ngramjoin.keep_one(more)
+    assert kept.columns == more.columns
+    rows = kept.collect()
+    assert len(rows) == ngramjoin.keep_one(docs).count() and all(x["_hash"] == x["k"] == x["stays"] == "kept" for x in rows)
+
+
 def test_keep_one(docs, rows):
     kept = ngramjoin.keep_one(docs).collect()
     comp = plain_components(rows, 5, 80)
@@ -172,6 +233,48 @@ def test_sharding(spark, docs, rows, empty, tmp_path):
     assert sharding.shard_documents(empty, 3).count() == 0
 
 
+def test_sharding_against_plain_rules(spark, empty):
+    r = random.Random(21)
+    rows = [(i, None if i % 50 == 0 else "é" * r.randint(0, 40) + "x" * r.choice([0, 3, 900]), "hot" if i % 3 else "s") for i in range(3000)]
+    rows += [rows[1], (None, None, None), (None, "text", "s")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    out = sharding.shard_documents(docs, 10, n_slots=512, rows_per_bucket=1).collect()
+    size = lambda t: len((t or "").encode()) + 16
+    want = Counter((i, s, size(t), zlib.crc32((t or "").encode())) for i, t, s in rows)
+    assert Counter((x.doc_id, x.source, x.size, x.text_crc32) for x in out) == want
+    load, places = Counter(), defaultdict(list)
+    for x in out:
+        load[x.shard] += x.size
+        places[x.shard].append(x.slot)
+    assert set(load) == set(range(10)) and max(load.values()) < 1.02 * min(load.values())
+    assert all(sorted(v) == list(range(len(v))) for v in places.values())
+    assert len({(x.virtual_slot, x.shard) for x in out}) == len({x.virtual_slot for x in out})
+
+
+def test_sharding_beside_clashing_names(docs):
+    more = docs.withColumns({c: F.lit("kept") for c in ("_s", "_p", "_part", "_start", "_at", "_place", "SHARD")})
+    rows = sharding.shard_documents(more, 3).collect()
+    assert len(rows) == docs.count() and all(x._s == x._part == x._at == "kept" and x.shard in (0, 1, 2) for x in rows)
+
+
+def test_mixing_beside_clashing_names(docs, rows, monkeypatch):
+    more = docs.withColumns({c: F.lit("kept") for c in ("size", "h", "bucket", "s", "r", "_text", "keep_text", "ranges", "start")})
+    plain = lambda o: sorted(str((x.doc_id, x.taken)) for x in o.collect())
+    want = plain(mixing.mix(docs, rows_per_bucket=2))
+    assert plain(mixing.mix(more, rows_per_bucket=2)) == want
+    monkeypatch.setattr(mixing, "RUN", 3)
+    assert plain(mixing.mix(more, rows_per_bucket=2)) == want
+    given = mixing.mixed_documents(more)
+    assert given.columns == more.columns and all(x.size == x.keep_text == x.r == "kept" for x in given.collect())
+
+
+def test_topk_beside_clashing_names(spark):
+    names = ("v", "dim", "norm", "bucket", "block", "qb", "score", "rank", "n")
+    df = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(60)], "vec_id long, embedding array<double>")
+    want = sorted(map(tuple, topk.top_k(df).collect()))
+    assert sorted(map(tuple, topk.top_k(df.withColumns({c: F.lit("x") for c in names})).collect())) == want
+
+
 def test_rebalance_moves_few_slots():
     r = random.Random(6)
     sizes = {s: r.randint(1, 1000) for s in range(512)}
@@ -196,7 +299,7 @@ def brute_topk(rows, every, k, scale):
     return out
 
 
-@pytest.mark.parametrize(("block_rows", "query_rows"), [(16384, 4096), (20, 3)])
+@pytest.mark.parametrize(("block_rows", "query_rows"), [(None, None), (20, 3), (20, 1)])
 def test_topk_equals_brute_force(spark, block_rows, query_rows):
     r = np.random.default_rng(3)
     rows = [(i, (r.normal(size=8) * r.choice([0.1, 1, 1, 7])).astype(np.float32).tolist()) for i in range(300)]
@@ -208,12 +311,25 @@ def test_topk_equals_brute_force(spark, block_rows, query_rows):
     assert topk.top_k(df.limit(0)).count() == 0
 
 
+def test_topk_meets_long_enough_buckets_only(spark, monkeypatch):
+    r = np.random.default_rng(4)
+    rows = [(i, (r.normal(size=8) * 10.0 ** (i % 4)).tolist()) for i in range(2000)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    met = []
+    real = topk.search_block
+    monkeypatch.setattr(topk, "_meet", lambda *a, f=topk._meet: met.append(f(*a)) or met[-1])
+    out = {tuple(x) for x in topk.top_k(df, every=10, scale=1, block_rows=50, query_rows=20).collect()}
+    assert out == brute_topk(rows, 10, 5, 1)
+    pairs = [m.select("query_id", "vec_id").count() for m in met]
+    assert real is topk.search_block and sum(pairs) < 0.3 * 200 * 5 * 40  # of 40 blocks
+
+
 def test_topk_prunes_by_coordinates():
     r = np.random.default_rng(5)
     p = np.floor(r.normal(size=(3000, 8)) * 256)
     q = np.floor(p[:40] * 1.0)
     ids = np.arange(3000)
-    got = topk.search_block(ids[:40], q, ids, p, 3, local=64)
+    got = [(int(ids[i]), j, x) for i, j, x in topk.search_block(ids[:40], q, ids, p, 3, local=64)]
     want = set()
     s = (q @ p.T).astype(np.int64)
     for i in range(40):
