@@ -153,8 +153,10 @@ def mix(
     numbered = lambda df: df.withColumn("bucket", F.col("h") % buckets)
     sized = numbered(rows if keep else slim)
     groups = numbered(slim).groupBy("source", "bucket").agg(F.sum("size").alias("bucket_size"))
-    groups = _starts(groups)
+    # Both tables are small and read by several branches below; written once, they keep the plan small.
+    groups = materialize(_starts(groups), "buckets")
     wanted = targets(groups.groupBy("source").agg(F.sum("bucket_size").alias("source_size")), weights, max_repeats)
+    wanted = materialize(wanted, "targets")
     granted = quotas(wanted, block, shards, max_repeats)
     info = groups.alias("g").join(granted.alias("q"), F.expr("g.source <=> q.source")).select(
         F.col("g.source").alias("s"), F.col("g.bucket").alias("b"), "start", "source_size", "target", "n_blocks", "quota"
