@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, htmltext, langid, linededup, mixing, ngramjoin, pii, sharding, tokens, topk
+from . import decontaminate, htmltext, langid, linededup, merkle, mixing, ngramjoin, phrases, pii, sharding, tokens, topk, toxicity
 
 
 def queries() -> dict:
@@ -17,6 +17,9 @@ def queries() -> dict:
         "op8_topk_norm_buckets": topk.query,
         "op9_prefix_tokens": tokens.query,
         "op10_main_text": htmltext.query,
+        "op11_collocations": phrases.query,
+        "op12_merkle_manifest": merkle.query,
+        "op13_toxic_segments": toxicity.query,
     }
 
 
@@ -27,4 +30,6 @@ def oracle_sql() -> dict[str, str]:
         "op5_mix_sources": mixing.SQL,
         "op6_ngram_jaccard": ngramjoin.SQL,
         "op8_topk_norm_buckets": topk.SQL,
+        "op11_collocations": phrases.SQL,
+        "op12_merkle_manifest": merkle.SQL,
     }
