@@ -6,7 +6,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..cluster import written
 from ..operators.joins import GuardError
+from .ranges import CUT, HEAD, MIDDLE, TAIL, WHOLE, joined_records, over_ranges, pieces, states, with_states
 from .shape import check_names, check_width, named
 
 #: latin1 is windows-1252, as on the web: what differs from ISO-8859-1, which Spark splits, is translated.
@@ -36,36 +38,65 @@ def _lines(spark: SparkSession, path: str, encoding: str) -> DataFrame:
     return lines.select(_decoded(F.col("line"), encoding).alias("line"), place.alias("_ord")).where(F.col("line").isNotNull() & (F.trim("line") != ""))
 
 
-def _read_whole(
-    spark: SparkSession, path: str, delimiter: str, encoding: str, columns: list[str] | None, skip_rows: int, trim: bool, allowed_ragged_rows: int
-) -> DataFrame:
-    """The same for files whose quoted cells hold line ends: each file is one split, as Spark's reader has it."""
-    read = spark.read.options(**_options(delimiter), multiLine=True, header=False, encoding=ENCODINGS[encoding], columnNameOfCorruptRecord="_bad")
-    place = F.struct(F.col("_metadata.file_path").alias("f"), F.monotonically_increasing_id().alias("i"))
-    head = skip_rows + (0 if columns else 1)
-    names = columns
-    if head:
-        wide = read.schema(", ".join(f"c{i} string" for i in range(2048))).csv(path).withColumn("_ord", place)
-        first = wide.orderBy("_ord").limit(head).collect()
-        if not columns and len(first) < head:
-            return spark.createDataFrame([], "_ord struct<f:string,i:bigint>")
-        cells = [c for c in first[-1][:2048] if c is not None] if first else None
-        if columns:
-            check_width(cells, columns)
-        else:
-            tidy = spark.createDataFrame([(i, c) for i, c in enumerate(cells)], "i int, c string").select("i", _decoded(F.col("c"), encoding)).collect()
-            names = check_names([c.lstrip("\ufeff") for _, c in sorted(tidy)])
-    width = len(names)
-    rows = read.schema(", ".join(f"c{i} string" for i in range(width)) + ", _bad string").csv(path).withColumn("_ord", place)
-    if head:
-        last = first[-1]["_ord"]
-        rows = rows.where(F.col("_ord") > F.struct(F.lit(last["f"]).alias("f"), F.lit(last["i"]).alias("i")))
-    rows = rows.where(F.coalesce(F.concat_ws("", *[F.trim(f"c{i}") for i in range(width)]), F.lit("")) != "")
-    # The reader drops a quote of its own accord; a row of another width is told by its number of cells.
-    ragged = rows.where(F.col("_bad").isNotNull()).count()
-    if ragged > allowed_ragged_rows:
-        raise GuardError(f"{ragged} rows have another width than the header; {allowed_ragged_rows} allowed")
-    return named(rows, F.array(*[_decoded(F.col(f"c{i}"), encoding) for i in range(width)]), names, trim)
+def ends_open(line: str, delimiter: str, quoted: bool) -> bool:
+    """Whether a line's end is inside quotes, given whether its begin is.
+
+    Quotes open a cell at its begin only and double within; after the closing one the rest of the cell is plain text.
+    """
+    at = 1 if line.startswith("\ufeff") and not quoted else 0
+    while True:
+        if not quoted:
+            if not line.startswith('"', at):
+                at = line.find(delimiter, at)
+                if at < 0:
+                    return False
+                at += len(delimiter)
+                continue
+            at += 1
+        at = line.find('"', at)
+        if at < 0:
+            return True
+        if line.startswith('"', at + 1):
+            at, quoted = at + 2, True
+            continue
+        at, quoted = line.find(delimiter, at + 1), False
+        if at < 0:
+            return False
+        at += len(delimiter)
+
+
+def _records(spark: SparkSession, path: str, delimiter: str, encoding: str) -> DataFrame:
+    """(line, _ord): records whose quoted cells may hold line ends; files are split as others are."""
+
+    def effect(key, lines):
+        ends = [False, True]
+        for line in lines:
+            if '"' in line:
+                ends = [ends_open(line, delimiter, x) for x in ends]
+        yield (*key, int(ends[0]), int(ends[1]))
+
+    def cut(key, lines):
+        file, start, before = key
+        quoted, seq, held, kind = bool(before), 0, [], HEAD if before else WHOLE
+        for line in lines:
+            quoted = ends_open(line, delimiter, quoted) if '"' in line else quoted
+            held.append(line)
+            if not quoted:
+                yield file, start, seq, kind, "\n".join(held)
+                seq, held, kind = seq + 1, [], WHOLE
+        if held:
+            yield file, start, seq, MIDDLE if kind == HEAD else TAIL, "\n".join(held)
+
+    lines = pieces(spark, path, "\n", ENCODINGS[encoding])
+    known = written(states(over_ranges(lines, effect, "file string, start long, to0 int, to1 int")), "ranges")
+    last = known.groupBy("file").agg(F.max_by("after", "start").alias("after")).where("after = 1").first()
+    if last:
+        raise GuardError(f"a quote of {last['file']} is never closed")
+    # Written once, as the header, the width check and the rows are read from it.
+    cuts = written(over_ranges(with_states(lines, known.select("file", "start", "before")), cut, CUT), "records")
+    found = joined_records(cuts, "\n")
+    text = _decoded(F.regexp_replace("text", "\\r$", ""), encoding)
+    return found.select(text.alias("line"), "_ord").where(F.trim(F.regexp_replace("line", "^\ufeff", "")) != "")
 
 
 def _options(delimiter: str) -> dict[str, str]:
@@ -86,20 +117,18 @@ def read_delimited(
     """Reads a file with a header, or with pinned columns, as text columns and ``_ord``.
 
     Blank lines do not count.  Quoted cells may hold delimiters and doubled quotes, and
-    line ends only with ``quoted_line_ends``, which reads each file in one piece where
-    large files are split otherwise; a stray quote stays.  Rows of another width than the header are kept
+    line ends only with ``quoted_line_ends``, for which each byte range is read twice (see ``ranges``);
+    a stray quote stays.  Rows of another width than the header are kept
     (missing cells empty, extra ones dropped) but fail the read beyond their budget.
     """
-    if quoted_line_ends:
-        return _read_whole(spark, path, delimiter, encoding, columns, skip_rows, trim, allowed_ragged_rows)
-    lines = _lines(spark, path, encoding)
+    lines = _records(spark, path, delimiter, encoding) if quoted_line_ends else _lines(spark, path, encoding)
     first = lines.orderBy("_ord").limit(skip_rows + (0 if columns else 1)).collect() if skip_rows or not columns else []
-    options = _options(delimiter)
+    options = _options(delimiter) | ({"multiLine": "true"} if quoted_line_ends else {})
 
     def cells_of(line: str) -> list[str]:
         import csv
 
-        return next(csv.reader([line.lstrip("﻿")], delimiter=delimiter), [])
+        return next(csv.reader(line.lstrip("﻿").splitlines(keepends=True), delimiter=delimiter), [])
 
     if columns:
         names = columns
