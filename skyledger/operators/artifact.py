@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame
@@ -49,15 +50,81 @@ def content_hash(df: DataFrame, key: Column, body: Column, salt: str = "") -> Da
     return rows.agg(F.sha2(F.concat(F.lit(salt), F.array_join(ordered, "\n")), 256).alias("content_hash"))
 
 
+#: Words of a set's digest, 64 bits each.
+WORDS = 4
+_WORD = 1 << 64
+
+
+@dataclass(frozen=True)
+class SetDigest:
+    """The digest of a multiset of rows: their number, and the sums of their digests' words modulo 2^64.
+
+    Sums do not depend on the order, so a set's digest is a plain aggregate, and the digest of a changed set
+    follows from what came and what went: ``whole == base + came - went``.  It tells sets apart that differ by chance or
+    by work; it is no defence against rows made to collide.
+    """
+
+    rows: int
+    words: tuple[int, ...]
+
+    def __add__(self, other: SetDigest) -> SetDigest:
+        return SetDigest(self.rows + other.rows, tuple((a + b) % _WORD for a, b in zip(self.words, other.words, strict=True)))
+
+    def __sub__(self, other: SetDigest) -> SetDigest:
+        return SetDigest(self.rows - other.rows, tuple((a - b) % _WORD for a, b in zip(self.words, other.words, strict=True)))
+
+    def text(self, salt: str = "") -> str:
+        import hashlib
+
+        return hashlib.sha256(f"{salt}{self.rows}:{'-'.join(map(str, self.words))}".encode()).hexdigest()
+
+    @classmethod
+    def parse(cls, kept: str) -> SetDigest:
+        """From ``kept()``."""
+        rows, _, words = kept.partition(":")
+        return cls(int(rows), tuple(map(int, words.split("-"))))
+
+    def kept(self) -> str:
+        """As it stands in a state, to be added to later."""
+        return f"{self.rows}:{'-'.join(map(str, self.words))}"
+
+
+def digest_sums(df: DataFrame, key: Column, body: Column, *by: str) -> DataFrame:
+    """(by..., rows, w0 ... w3): the digest of the rows, or of those of each group, as sums that combine before they shuffle.
+
+    A digest's words are up to 2^64, and a decimal of 38 digits holds the sum of 5 * 10^18 of them.
+    """
+    digest = F.sha2(F.concat(F.coalesce(key, F.lit("")), F.char(F.lit(0)), body), 256)
+    rows = df.select(*by, digest.alias("_h"))
+    word = lambda i: F.conv(F.substring("_h", 16 * i + 1, 16), 16, 10).cast("decimal(20,0)")
+    sums = [F.coalesce(F.sum(word(i).cast("decimal(38,0)")), F.lit(0)).alias(f"s{i}") for i in range(WORDS)]
+    made = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("rows"), *sums)
+    modulus = F.lit(str(_WORD)).cast("decimal(20,0)")
+    return made.select(*by, "rows", *[(F.col(f"s{i}") % modulus).cast("decimal(20,0)").alias(f"w{i}") for i in range(WORDS)])
+
+
+def set_digest(df: DataFrame, key: Column, body: Column) -> SetDigest:
+    """The digest of all rows; one row comes to the driver."""
+    r = digest_sums(df, key, body).first()
+    return SetDigest(r["rows"], tuple(int(r[f"w{i}"]) for i in range(WORDS)))
+
+
+def record_digest(records: DataFrame) -> SetDigest:
+    return set_digest(records, F.col("record.source_id"), F.to_json("record", {"ignoreNullFields": "false"}))
+
+
 def record_hash(records: DataFrame, salt: str = "") -> str:
-    body = F.to_json("record", {"ignoreNullFields": "false"})
-    return content_hash(records, F.col("record.source_id"), body, salt).first()[0]
+    return record_digest(records).text(salt)
 
 
-def feed_hash(feed: DataFrame) -> str:
+def feed_digest(feed: DataFrame) -> SetDigest:
     """The digest of a feed's rows, whatever their order."""
     body = F.to_json(F.struct(*sorted(feed.columns)), {"ignoreNullFields": "false"})
-    return content_hash(feed, F.coalesce("icao_hex", F.lit("")), body).first()[0]
+    return set_digest(feed, F.coalesce("icao_hex", F.lit("")), body)
+
+
+def feed_hash(feed: DataFrame) -> str:
+    return feed_digest(feed).text()
 
 
 def guard_counts(n: int, prior: int | None) -> None:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..config import Source
 from ..operators import localize
-from ..operators.artifact import MIN_RETAINED, SCHEMA_VERSION, feed_hash, flatten, guard_counts, next_state, record_hash, write_table
+from ..operators.artifact import MIN_RETAINED, SCHEMA_VERSION, feed_hash, flatten, guard_counts, next_state, record_digest, write_table
 from ..operators.feed import ambiguity_report, assert_unique, clear_ambiguous, feed_slice, first_by_hex
 from ..operators.joins import GuardError, safe_name
 from ..schema import FEED_SCHEMA
@@ -123,18 +123,19 @@ def refresh(
         assert_clean(done)
         prior = state and state.get("record_count")
         guard_counts(done.stats["ok"], prior)
-        upstream = record_hash(done.records)
+        upstream = record_digest(done.records).text()
         records, rendered = done.records, {}
         if render and source.language != "en":
             whole = bool(prior) and done.stats["ok"] / prior >= MIN_RETAINED
             records, rendered = localized(spark, store, records, render, excluded, prune=whole)
-        content = record_hash(records, salt=str(SCHEMA_VERSION))
+        digest = record_digest(records)
+        content = digest.text(str(SCHEMA_VERSION))
         known = state is not None and state.get("content_hash") == content and state.get("schema_version") == SCHEMA_VERSION
         if not known or not store.has(table_of):
             store.write(flatten(records), table_of, write_table)
         store.write(feed_slice(records), slice_of)
         stamp = next_state(state, content, upstream, done.stats["ok"], now)
-        store.put_state(source.id, stamp | {"slice_version": SLICE_VERSION})
+        store.put_state(source.id, stamp | {"slice_version": SLICE_VERSION, "content_digest": digest.kept()})
         return {"status": "written", **done.stats, **rendered}
     finally:
         done.release()

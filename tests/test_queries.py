@@ -5,7 +5,7 @@ from pathlib import Path
 import duckdb
 import pytest
 
-from skyledger import queries_rules  # noqa: F401  registers its queries
+from skyledger import queries_files, queries_rules  # noqa: F401  register their queries
 from skyledger.queries import QUERIES, SQL
 
 SF = "/root/testdata/sf0.001"
