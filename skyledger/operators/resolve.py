@@ -4,12 +4,13 @@ Exact repeats are skipped, rows that differ only where the policy allows merge,
 live row beats a cancelled one, then the newer date wins, then a strict superset;
 what stays undecided fails.  The fold depends on the order and is not associative,
 so the rows of one key meet in one task, sorted, and stream through a fold that holds
-one record.  Runs of equal rows are folded beforehand; unique keys, and keys that
-status and date alone decide, never leave the JVM.
+one record.  Most keys never get there: unique ones, those that status and date alone decide, and
+those whose rows merge whatever the record so far are settled by sums over ranges of their rows.
 """
 
 from __future__ import annotations
 
+import functools
 import json
 from collections.abc import Iterator
 from typing import Any
@@ -18,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..cluster import ship, written
 from ..config import Merge
 from ..schema import PATHS, RECENCY, RECORD
 
@@ -143,22 +145,34 @@ def fold(rows: list[tuple[str, dict, bool, int]], policy: Merge | None) -> tuple
 def resolve(rows: DataFrame, policy: Merge | None = None) -> DataFrame:
     """(source_id, record, skipped, failed) for each key of (source_id, _ord, raw, record, bad).
 
-    ``raw`` is a digest of the whole input row; ``bad`` tells that the record breaks a rule.
+    ``raw`` is a digest of the whole input row; ``bad`` tells that the record breaks a rule.  Rows of unique keys stay where
+    they are.  For the others slim rows, without records, are dealt to ranges of (key, place), so that a hot key fills
+    many tasks; they settle a key where its result can be proved not to need the fold.  Only what is left open
+    goes through the fold.
     """
-    by_key = Window.partitionBy("source_id")
-    in_order = by_key.orderBy("_ord")
-    counted = rows.withColumn("n", F.count(F.lit(1)).over(by_key)).withColumn("before", F.lag("raw").over(in_order))
-    fresh = F.when(F.col("before").isNull() | (F.col("before") != F.col("raw")), 1).otherwise(0)
-    single = counted.where("n = 1").select(
+    ship(rows.sparkSession)
+    twice = rows.groupBy("source_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("source_id")
+    single = rows.join(twice, "source_id", "left_anti").select(
         "source_id", F.when(~F.col("bad"), F.col("record")).alias("record"), F.lit(0).alias("skipped"), F.col("bad").cast("int").alias("failed")
     )
-    several = counted.where("n > 1")
-    if policy:  # whether rows merge depends on the record so far
-        settled, several = None, several.withColumn("open", F.lit(True))
-    else:
-        settled, several = _settled(several, by_key, in_order)
+    several = rows.join(twice, "source_id", "left_semi")
+    slim = written(_slim(several, policy), "slim-rows")
+    settled = written(_merged_keys(slim, policy) if policy else _recent_keys(slim), "settled-keys")
+    base = several.join(settled.withColumnRenamed("at", "_ord"), ["source_id", "_ord"])  # the row whose record it is
+    record = F.col("record")
+    if policy:
+        both = record
+        for i, path in enumerate(policy.fields):
+            both = both.withField(path, F.col("joined")[i])
+        for path, stamp in policy.set_on_merge.items():
+            both = both.withField(path, F.lit(stamp))
+        record = F.when(F.col("merges"), both).otherwise(record)
+    done = base.dropDuplicates(["source_id"]).select("source_id", record.alias("record"), "skipped", F.lit(0).alias("failed"))
+    in_order = Window.partitionBy("source_id").orderBy("_ord")
+    fresh = F.when(F.col("before").isNull() | (F.col("before") != F.col("raw")), 1).otherwise(0)
     runs = (
-        several.where("open")
+        several.join(settled, "source_id", "left_anti")
+        .withColumn("before", F.lag("raw").over(in_order))
         .withColumn("run", F.sum(fresh).over(in_order))
         .groupBy("source_id", "run")
         .agg(F.first("raw").alias("raw"), F.first(F.to_json("record", {"ignoreNullFields": "false"})).alias("json"), F.first("bad").alias("bad"), F.count(F.lit(1)).alias("n"))
@@ -193,28 +207,88 @@ def resolve(rows: DataFrame, policy: Merge | None = None) -> DataFrame:
             yield batch_of()
 
     folded = runs.mapInArrow(in_stream, "source_id string, json string, skipped int, failed int")
-    out = single.unionByName(folded.select("source_id", F.from_json("json", RECORD).alias("record"), "skipped", "failed"))
-    return out.unionByName(settled) if settled is not None else out
-
+    return single.unionByName(folded.select("source_id", F.from_json("json", RECORD).alias("record"), "skipped", "failed")).unionByName(done)
 
-def _settled(several: DataFrame, by_key: Window, in_order: Window) -> tuple[DataFrame, DataFrame]:
-    """The results of keys that status and date alone decide, and all rows with whether their key is still ``open``.
 
-    That is so where no row is bad or lacks a status, and rows alike in both are equal
-    records: the highest wins whatever the order, and every row is skipped that is not
-    higher than all before it.
-    """
+def _slim(several: DataFrame, policy: Merge | None) -> DataFrame:
+    """What settling needs of each row, and ``part``, its range of (key, place)."""
     r = F.col("record")
-    rank = F.struct((r["status"] != "cancelled").alias("live"), F.coalesce(latest_date(r), F.lit("")).alias("date"))
-    digest = F.sha2(F.to_json(r, {"ignoreNullFields": "false"}), 256)
-    alike = Window.partitionBy("source_id", "rank")
-    ranked = several.withColumns({"rank": rank, "digest": digest}).withColumn("differ", F.min("digest").over(alike) != F.max("digest").over(alike))
-    odd = F.col("bad") | r["status"].isNull() | F.col("differ")
-    highest = F.max("rank").over(in_order.rowsBetween(Window.unboundedPreceding, -1))
-    ranked = ranked.withColumns({"open": F.max(odd).over(by_key), "held": F.col("rank") > highest})
-    done = ranked.where("NOT open").groupBy("source_id").agg(
-        F.max_by("record", "rank").alias("record"),
-        (F.count(F.lit(1)) - 1 - F.count_if("held")).cast("int").alias("skipped"),
-        F.lit(0).alias("failed"),
+    whole = lambda c: F.sha2(F.to_json(c, {"ignoreNullFields": "false"}), 256)
+    columns = {
+        "digest": whole(r), "odd": F.col("bad") | (r["status"].isNull() if policy is None else F.lit(False)),
+        "rank": F.concat(F.when(r["status"] != "cancelled", "1").otherwise("0"), F.coalesce(latest_date(r), F.lit(""))),
+    }
+    if policy:
+        of = lambda path: F.col(f"record.{path}").cast("string")
+        rest = r
+        for path in (*policy.fields, *policy.set_on_merge):
+            rest = rest.withField(path, F.lit(None).cast("string"))
+        unstamped = [F.coalesce(of(p), F.lit("")) != "" for p in policy.set_on_merge]
+        other = [k & (of(p) != stamp) for k, (p, stamp) in zip(unstamped, policy.set_on_merge.items(), strict=True)]
+        unknown = [F.coalesce(of(p), F.lit("")) == "" for p in policy.fields]
+        columns |= {
+            "values": F.array(*[of(p) for p in policy.fields]), "rest": whole(rest),
+            "stamps": whole(F.struct(F.lit(0).alias("n"), *[of(p).alias(f"s{i}") for i, p in enumerate(policy.set_on_merge)])),
+            "unfit": functools.reduce(lambda a, b: a | b, [F.lit(False), *other, *unknown]),
+        }
+    made = several.select("source_id", "_ord", "raw", *[c.alias(n) for n, c in columns.items()])
+    return made.repartitionByRange("source_id", "_ord").withColumn("part", F.spark_partition_id())
+
+
+def _carried(slim: DataFrame, value: Column, name: str) -> DataFrame:
+    """(source_id, part, name): ``value``, an aggregate of the last range before, of each key's ranges."""
+    ranges = slim.groupBy("source_id", "part").agg(value.alias("_v"))
+    return ranges.select("source_id", "part", F.lag("_v").over(Window.partitionBy("source_id").orderBy("part")).alias(name))
+
+
+def _recent_keys(slim: DataFrame) -> DataFrame:
+    """(source_id, at, skipped) of the keys that status and date alone decide.
+
+    That is so where no row is bad or lacks a status, and rows alike in both are equal records: the
+    highest wins whatever the order, and every row is skipped that is not higher than all before it.
+    """
+    alike = slim.groupBy("source_id", "rank").agg(F.min("digest").alias("lo"), F.max("digest").alias("hi"), F.max("odd").alias("odd"), F.min("_ord").alias("at"), F.count(F.lit(1)).alias("n"))
+    best = F.max_by("at", "rank")
+    keys = alike.groupBy("source_id").agg(F.max(F.col("odd") | (F.col("lo") != F.col("hi"))).alias("open"), best.alias("at"), F.sum("n").alias("n")).where("NOT open")
+    ranges = slim.groupBy("source_id", "part").agg(F.max("rank").alias("top"))
+    before = Window.partitionBy("source_id").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = ranges.select("source_id", "part", F.max("top").over(before).alias("carried"))
+    within = Window.partitionBy("source_id", "part").orderBy("_ord").rowsBetween(Window.unboundedPreceding, -1)
+    marked = slim.select("source_id", "part", "rank", F.max("rank").over(within).alias("highest")).join(ranges, ["source_id", "part"])
+    held = marked.groupBy("source_id").agg(F.count_if(F.col("rank") > F.greatest("highest", "carried")).alias("held"))
+    return keys.join(held, "source_id").select("source_id", "at", (F.col("n") - 1 - F.col("held")).cast("int").alias("skipped"))
+
+
+def _merged_keys(slim: DataFrame, policy: Merge) -> DataFrame:
+    """(source_id, at, skipped, merges, joined) of the keys whose rows are equal or merge whatever the record so far.
+
+    No row is bad.  Where all records are equal the first is the result.  Else the rows differ in the merged fields only, whose
+    values are all known; none is stamped otherwise, and the values, joined in order of first sight, part into the same values.
+    Then no row can equal what the rows before it have become, so every row merges, but those that repeat the row before, and
+    those before the first that differs.
+    """
+    keys = slim.groupBy("source_id").agg(
+        F.max("odd").alias("odd"), F.max("unfit").alias("unfit"), (F.min("digest") == F.max("digest")).alias("equal"),
+        (F.min("rest") == F.max("rest")).alias("alike"), (F.min("stamps") == F.max("stamps")).alias("stamped"), F.min("_ord").alias("at"), F.count(F.lit(1)).alias("n"),
+    ).where(~F.col("odd") & (F.col("equal") | (~F.col("unfit") & F.col("alike") & F.col("stamped"))))
+    # An ordered set of values: each value with the first place where it stands; these combine before they are shuffled.
+    values = slim.select("source_id", "_ord", F.posexplode("values").alias("i", "value"))
+    seen = values.groupBy("source_id", "i", "value").agg(F.min("_ord").alias("first"))
+    each = seen.groupBy("source_id", "i").agg(F.transform(F.array_sort(F.collect_list(F.struct("first", "value"))), lambda x: x["value"]).alias("values"))
+    joined = each.withColumn("text", F.array_join("values", policy.separator))
+    parts = F.split("text", "\\Q" + policy.separator.replace("\\E", "\\E\\\\E\\Q") + "\\E", -1)
+    joined = joined.groupBy("source_id").agg(
+        F.min(parts == F.col("values")).alias("parts"), F.transform(F.array_sort(F.collect_list(F.struct("i", "text"))), lambda x: x["text"]).alias("joined")
     )
-    return done, ranked.drop("rank", "digest", "differ", "held")
+    # Rows that repeat the one before, in the same range or at the end of the range before.
+    last = _carried(slim, F.max_by("raw", "_ord"), "carried")
+    begin = slim.join(keys.select("source_id", "at", "equal"), "source_id")
+    start = begin.where(F.col("_ord") == F.col("at")).select("source_id", F.col("digest").alias("start"))
+    odd_one = begin.where("NOT equal").join(start, "source_id").where(F.col("digest") != F.col("start")).groupBy("source_id").agg(F.min("_ord").alias("parted"))
+    within = Window.partitionBy("source_id", "part").orderBy("_ord")
+    moved = slim.select("source_id", "part", "_ord", "raw", F.lag("raw").over(within).alias("before")).join(last, ["source_id", "part"])
+    moved = moved.join(odd_one, "source_id").where(F.col("_ord") > F.col("parted"))
+    moved = moved.groupBy("source_id").agg(F.count_if(F.col("raw") != F.coalesce("before", "carried")).alias("moved"))
+    out = keys.join(joined, "source_id").where("equal OR parts").join(moved, "source_id", "left")
+    held = F.when(F.col("equal"), 1).otherwise(2 + F.coalesce("moved", F.lit(0)))
+    return out.select("source_id", "at", (F.col("n") - held).cast("int").alias("skipped"), (~F.col("equal")).alias("merges"), "joined")
