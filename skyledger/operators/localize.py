@@ -8,6 +8,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..cluster import ship
+
 #: Fixed values.
 FIELDS = ["cancellation_reason", "airworthiness_class", "lien_status", "operational_classes"]
 MAX_FAILURES = 3
@@ -60,6 +62,7 @@ def translate(wanted: DataFrame, render: Callable[[list[tuple[str, str, str]]],
         tried = len(got) >= MIN_RETURNED * len(batch)
         return [(h, got.get(h), tried) for h, _, _ in batch]
 
+    ship(wanted.sparkSession)
     schema = pa.schema([("hash", pa.string()), ("text", pa.string()), ("tried", pa.bool_())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

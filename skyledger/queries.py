@@ -625,10 +625,10 @@ GROUP BY 1, 2
 """)
 def positioned_cells(spark: SparkSession, sf: str) -> DataFrame:
     """Items snapped to the nearest of fixed positions, lines in reading order."""
-    from .sources.positioned import _nearest
+    from .sources.positioned import column_of
 
     items = t(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_quantity").distinct()
-    at = _nearest(F.array(*[F.lit(float(x)) for x in (10, 30, 50)]), F.floor(F.col("l_quantity") / 20) * 20 + 10)
+    at = column_of([10.0, 30.0, 50.0], F.floor(F.col("l_quantity") / 20) * 20 + 10)
     placed = items.select(F.col("l_orderkey").alias("page"), F.least(at, F.lit(2)).cast("long").alias("row"), "l_partkey")
     lines = F.transform(F.array_sort(F.collect_list("l_partkey")), lambda x: x.cast("string"))
     return placed.groupBy("page", "row").agg(F.array_join(lines, "\n").alias("parts"))

@@ -11,6 +11,7 @@ from .config import Source
 from .operators import artifact
 from .queries import query, t, texts
 from .sources.delimited import read_delimited
+from .sources.positioned import read_positioned
 from .sources.reader import read_primary
 
 
@@ -82,6 +83,24 @@ def json_array(spark: SparkSession, sf: str) -> DataFrame:
     return read_primary(spark, source, {"m": path}).select("key", "`cust.id`", "`cust.note`", "marks", "flag")
 
 
+@query("""
+SELECT CAST(l_orderkey AS BIGINT) AS page, 'N' || l_linenumber AS mark, string_agg(part, chr(10) ORDER BY y DESC, part) AS parts, CAST(min(l_suppkey) AS VARCHAR) AS supplier
+FROM (SELECT l_orderkey, l_linenumber, l_suppkey, 'P' || l_partkey AS part, l_partkey % 10 AS y FROM lineitem) GROUP BY l_orderkey, l_linenumber
+""")
+def positioned_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """A page for each order, a row for each line number; parts stand up to half a row above it, ties included."""
+    lines = t(spark, sf, "lineitem").selectExpr("l_orderkey AS page", "l_linenumber * 20.0D AS y", "l_linenumber AS n", "l_partkey AS part", "l_suppkey AS supplier")
+    anchors = lines.selectExpr("page", "10.0D AS x", "y", "concat('N', n) AS str").distinct()
+    parts = lines.selectExpr("page", "52.0D AS x", "y + part % 10 AS y", "concat('P', part) AS str")
+    suppliers = lines.groupBy("page", "y").agg(F.min("supplier").alias("s")).selectExpr("page", "88.0D AS x", "y", "string(s) AS str")
+    items = anchors.unionByName(parts).unionByName(suppliers)
+    # Single rows reach any distance; blank pages do not count, one page without an anchor is allowed.
+    more = spark.createDataFrame([(-1, 1.0, 1.0, "legend"), (-2, 1.0, 1.0, " ")], "page int, x double, y double, str string")
+    items = items.unionByName(more.withColumn("page", F.col("page").cast(items.schema["page"].dataType)))
+    rows = read_positioned(items, "x", [10.0, 50.0, 90.0], ["mark", "parts", "supplier"], "^N[0-9]+$", allowed_anchorless_pages=1)
+    return rows.select(F.col("_ord.page").cast("long").alias("page"), "mark", "parts", "supplier")
+
+
 _DIGEST = """
 SELECT count(*) AS n, {words}
 FROM (SELECT sha256(CAST(o_orderkey AS VARCHAR) || chr(0) || o_orderstatus || o_orderpriority) AS h FROM orders WHERE {where})

@@ -9,10 +9,34 @@ from ..functions.text import trim as trimmed
 from ..operators.joins import GuardError
 
 
-def _nearest(positions: Column, at: Column) -> Column:
-    """Index of the nearest position, the lower one of a tie."""
-    pairs = F.transform(positions, lambda p, i: F.struct(F.abs(p - at).alias("d"), i.alias("i")))
-    return F.array_min(pairs)["i"]
+def nearest(items: DataFrame, anchors: DataFrame, keys: list[str], at: str) -> DataFrame:
+    """``items`` with ``row``, ``gap``: which of their group's anchors (keys, at) is nearest, from 0 in order of place, and how far.
+
+    Items and anchors are put in one order of place; the last anchor before and the first one after an item are
+    the nearest two, so no item meets the other anchors.  Of two as near the lower one counts.  An item without anchors has nulls.
+    Groups of many items are windows of their own, one for each group.
+    """
+    # Anchors at one place are one, by the number of those before.
+    below = Window.partitionBy(*keys).orderBy(at).rowsBetween(Window.unboundedPreceding, -1)
+    places = anchors.groupBy(*keys, at).agg(F.count(F.lit(1)).alias("_n"))
+    places = places.select(*keys, at, F.struct(F.col(at).alias("at"), F.coalesce(F.sum("_n").over(below), F.lit(0)).cast("int").alias("row")).alias("_anchor"))
+    every = items.withColumn("_anchor", F.lit(None).cast(places.schema["_anchor"].dataType)).unionByName(places, allowMissingColumns=True)
+    near = {}
+    for name, order in (("_last", F.col(at)), ("_next", F.col(at).desc())):
+        near[name] = F.last("_anchor", ignorenulls=True).over(Window.partitionBy(*keys).orderBy(order, F.col("_anchor").isNull()))
+    found = every.withColumns(near).where(F.col("_anchor").isNull())
+    down, up = F.col(at) - F.col("_last.at"), F.col("_next.at") - F.col(at)
+    lower = F.col("_last").isNotNull() & (F.col("_next").isNull() | (down <= up))
+    return found.withColumns({"row": F.when(lower, F.col("_last.row")).otherwise(F.col("_next.row")), "gap": F.when(lower, down).otherwise(up)}).drop("_anchor", *near)
+
+
+def column_of(positions: list[float], at: Column) -> Column:
+    """Index of the nearest of fixed positions, the lower one of a tie: how many midpoints between neighbours are below."""
+    in_order = sorted(range(len(positions)), key=lambda i: (positions[i], i))
+    out = F.lit(in_order[0])
+    for a, b in zip(in_order, in_order[1:], strict=False):
+        out = F.when(at - positions[a] > positions[b] - at, F.lit(b)).otherwise(out)
+    return out
 
 
 def read_positioned(
@@ -34,28 +58,23 @@ def read_positioned(
     across, along = ("y", "x") if field_axis == "y" else ("x", "y")
     text = items.where(trimmed(F.col("str")) != "")
     anchor = trimmed(F.col("str")).rlike(anchor_pattern)
-    ordered = Window.partitionBy("page").orderBy("at")
-    anchors = text.where(anchor).select("page", F.col(along).cast("double").alias("at"))
-    gaps = anchors.withColumn("gap", F.col("at") - F.lag("at").over(ordered))
-    pages = gaps.groupBy("page").agg(
-        F.array_sort(F.collect_list("at")).alias("anchors"), (F.min("gap") / 2).alias("reach")
-    )
+    placed = text.withColumns({"at": F.col(along).cast("double"), "anchor": anchor})
+    marks = placed.where("anchor").select("page", "at")
+    gaps = marks.withColumn("gap", F.col("at") - F.lag("at").over(Window.partitionBy("page").orderBy("at")))
+    pages = gaps.groupBy("page").agg(F.min("at").alias("first"), F.max("at").alias("last"), (F.min("gap") / 2).alias("reach"))
     lost = text.select("page").distinct().join(pages, "page", "left_anti")
     lost_pages = [r[0] for r in lost.orderBy("page").limit(allowed_anchorless_pages + 6).collect()]
     if len(lost_pages) > allowed_anchorless_pages:
         raise GuardError(f"pages without an anchor: {lost_pages}")
     if pages.isEmpty():
         raise GuardError("no row was found on any page")
-    at = F.col(along).cast("double")
-    reach = F.coalesce("reach", F.lit(float("inf")))
-    near = (at >= F.element_at("anchors", 1) - reach) & (at <= F.element_at("anchors", -1) + reach)
-    placed = text.join(pages, "page").where(near).select(
-        "page",
-        _nearest(F.col("anchors"), at).alias("row"),
-        _nearest(F.array(*[F.lit(float(p)) for p in column_pos]), F.col(across).cast("double")).alias("col"),
+    at, reach = F.col("at"), F.coalesce("reach", F.lit(float("inf")))
+    rows = nearest(placed.select("page", "at", F.col(across).cast("double").alias("across"), "str"), marks, ["page"], "at")
+    placed = rows.join(pages, "page").where((at >= F.col("first") - reach) & (at <= F.col("last") + reach)).select(
+        "page", "row", column_of(column_pos, F.col("across")).alias("col"),
         (at if along == "x" else -at).alias("place"),
         (trimmed(F.col("str")) if trim else F.col("str")).alias("line"),
-    )
+    )
     lines = F.array_sort(F.collect_list(F.struct("place", "line")))
     cells = placed.groupBy("page", "row", "col").agg(F.array_join(F.transform(lines, lambda p: p["line"]), "\n").alias("cell"))
     rows = cells.groupBy("page", "row").pivot("col", list(range(len(columns)))).agg(F.first("cell"))

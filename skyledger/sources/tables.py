@@ -13,6 +13,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..cluster import ship
 from ..operators.joins import GuardError
 from .shape import shape
 
@@ -156,6 +157,7 @@ def sheet_rows(spark: SparkSession, path: str, kind: str, encoding: str = "utf8"
                             columns=["path", "sheet", "name", "n", "cells"],
                         )
 
+    ship(spark)
     return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(parse, ROWS)
 
 
