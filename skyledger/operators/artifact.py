@@ -147,14 +147,42 @@ def guard_published(text: str, pattern: str, count: int) -> None:
         raise GuardError(f"{count} records, {total} published")
 
 
+#: Columns by which the tables are asked; fixed values.
+TABLE_LOOKUPS = ("icao_hex", "registration", "status", "airframe_type", "owner_country")
+FEED_LOOKUPS = ("icao_hex", "registration_key", "country")
+
+
+def write_sorted(df: DataFrame, path: str, key: str, then: str, lookups: tuple[str, ...] = FEED_LOOKUPS, row_group_bytes: int = 8 << 20) -> None:
+    """Writes a table for lookups: rows sorted by ``key``, rows without one spread by ``then``.
+
+    A lookup by the key reads the row groups whose range holds it; one by another of ``lookups`` those whose bloom
+    filter knows it.  Small row groups keep both short.
+    """
+    w = df.repartitionByRange(key, then).sortWithinPartitions(key, then).write.option("parquet.block.size", row_group_bytes)
+    w = w.option("parquet.bloom.filter.adaptive.enabled", "true")
+    for c in lookups:
+        if c in df.columns:
+            w = w.option(f"parquet.bloom.filter.enabled#{c}", "true")
+    w.parquet(path)
+
+
+def any_of(column: str, keys: list[str]) -> Column:
+    """Whether a column is one of the keys, as a balanced tree of equalities.
+
+    Scans test each of them against ranges and bloom filters; of a long IN list they keep the least and greatest key only.
+    """
+    tests = [F.col(column) == k for k in keys] or [F.lit(False)]
+    while len(tests) > 1:
+        tests = [a | b for a, b in zip(tests[::2], tests[1::2], strict=False)] + tests[len(tests) - len(tests) % 2 :]
+    return tests[0]
+
+
 def write_table(flat: DataFrame, path: str, key: str = "source_id") -> None:
-    """Writes a table for lookups: unique keys, files sorted by key so that scans skip by statistics."""
+    """Writes a source's table for lookups; its keys are unique."""
     twice = flat.groupBy(key).count().where("count > 1").first()
     if twice:
         raise GuardError(f"{key} {twice[0]} occurs {twice['count']} times")
-    flat.repartitionByRange(F.col(key)).sortWithinPartitions(key).write.option(
-        "parquet.bloom.filter.enabled#icao_hex", "true"
-    ).parquet(path)
+    write_sorted(flat, path, key, key, TABLE_LOOKUPS)
 
 
 def due(last_run: Column, cadence_days: Column, now: Column) -> Column:

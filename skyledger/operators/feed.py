@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import or_null, registration_key
 from ..schema import FEED
+from .artifact import any_of
 from .joins import GuardError
 from .resolve import latest_date
 
@@ -154,10 +155,10 @@ def request_keys(keys: list[str], kind: str) -> list[str]:
 def lookup(feed: DataFrame, keys: list[str], kind: str = "hex", attributions: dict[str, str] | None = None, fallback: str = "") -> DataFrame:
     """The served rows of up to 500 keys, as ``key`` and the response's columns.
 
-    The keys become an IN list that Parquet scans use to skip row groups.
+    The keys become equalities by which Parquet scans skip row groups.
     """
     column = "icao_hex" if kind == "hex" else "registration_key"
-    found = feed.where(F.col(column).isin(*request_keys(keys, kind)))
+    found = feed.where(any_of(column, request_keys(keys, kind)))
     pairs = [F.lit(x) for kv in (attributions or {}).items() for x in kv]
     notice = F.coalesce(F.try_element_at(F.create_map(*pairs), F.col("source")), F.lit(fallback)) if pairs else F.lit(fallback)
     return found.select(

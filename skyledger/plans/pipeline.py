@@ -3,17 +3,22 @@
 from __future__ import annotations
 
 import json
+import os
 import re
+import uuid
 from collections.abc import Callable
 from datetime import datetime, timedelta, timezone
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..cluster import hadoop_path
 from ..config import Source
 from ..operators import localize
-from ..operators.artifact import MIN_RETAINED, SCHEMA_VERSION, feed_hash, flatten, guard_counts, next_state, record_digest, write_table
+from ..operators.artifact import MIN_RETAINED, SCHEMA_VERSION, feed_hash, flatten, guard_counts, next_state, record_digest, write_sorted, write_table
 from ..operators.feed import ambiguity_report, assert_unique, clear_ambiguous, feed_slice, first_by_hex
+from ..operators.feed import lookup as feed_lookup
 from ..operators.joins import GuardError, safe_name
 from ..schema import FEED_SCHEMA
 from ..sources.reader import read_joins, read_primary
@@ -23,34 +28,87 @@ from .translate import assert_clean, translate
 SLICE_VERSION, CACHE_VERSION = 3, 1
 
 
+class CommitConflict(GuardError):
+    """Another run has written the table since this one read it."""
+
+
 class Store:
     """Tables and small JSON states under one base path that Spark can write.
 
-    A table is a folder of versions.  A version counts once its commit marker is there,
-    so readers see the whole old or the whole new one; the one before stays for readers
-    that are under way, older ones and failed attempts go with the next write.
+    A table is a folder of versions.  Every attempt at a version has a folder of its own, and the version is the attempt
+    that its commit file names.  That file is created only if it is absent, so of several writers one wins and the
+    others fail with CommitConflict, their attempts removed; readers see the whole old or the whole new version.
+    A writer works upon the version that it has read first, or on the newest one if it has read none (``begun`` starts
+    anew).  The version before stays for readers that are under way, older ones go with the next write;
+    attempts at the next version, of whatever run, are left alone.
     """
 
     def __init__(self, spark: SparkSession, base: str, dry_run: bool = False):
         self.spark, self.base, self.dry_run = spark, base.rstrip("/"), dry_run
+        self._seen: dict[str, int] = {}
+
+    def begun(self) -> Store:
+        """The same store for one run, which has read nothing yet."""
+        return Store(self.spark, self.base, self.dry_run)
 
     def _file(self, name: str):
-        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.base}/{name}")
-        return path, path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        return hadoop_path(self.spark, f"{self.base}/{name}")
+
+    def _text(self, name: str) -> str:
+        """A small file's text."""
+        path, fs = self._file(name)
+        stream = fs.open(path)
+        try:
+            return bytes(stream.readAllBytes()).decode()
+        finally:
+            stream.close()
 
-    def _versions(self, name: str) -> list[tuple[int, bool]]:
-        """The versions of a table in order, and whether each is complete."""
+    def _create(self, name: str, text: str) -> bool:
+        """Creates a small file unless there is one of that name."""
+        path, fs = self._file(name)
+        if fs.getScheme() == "file":  # a link is made or fails at once
+            target = path.toUri().getPath()
+            draft = f"{target}.{uuid.uuid4().hex}"
+            with open(draft, "w") as f:
+                f.write(text)
+            try:
+                os.link(draft, target)
+            except FileExistsError:
+                return False
+            finally:
+                os.unlink(draft)
+            return True
+        try:
+            stream = fs.create(path, False)
+        except Py4JJavaError as e:
+            if "AlreadyExists" in str(e.java_exception):
+                return False
+            raise
+        stream.write(bytearray(text.encode()))
+        stream.close()
+        return True
+
+    def _versions(self, name: str) -> list[tuple[int, str | None]]:
+        """The versions of a table in order, each with the folder of its data if it is complete."""
         path, fs = self._file(name)
         if not fs.exists(path):
             return []
         found = [s.getPath().getName() for s in fs.listStatus(path)]
-        numbers = sorted(int(n[2:]) for n in found if re.fullmatch("v=[0-9]{8}", n))
-        return [(v, fs.exists(self._file(f"{name}/v={v:08d}/_SUCCESS")[0])) for v in numbers]
+        out: list[tuple[int, str | None]] = []
+        for v in sorted(int(n[2:]) for n in found if re.fullmatch("v=[0-9]{8}", n)):
+            of, whole = f"{name}/v={v:08d}", None
+            if fs.exists(self._file(f"{of}/_commit")[0]):
+                whole = f"{of}/{self._text(f'{of}/_commit')}"
+            elif fs.exists(self._file(f"{of}/_SUCCESS")[0]):  # written before there were attempts
+                whole = of
+            out.append((v, whole))
+        return out
 
     def path(self, name: str) -> str | None:
         """Where the newest complete version of a table is."""
-        whole = [v for v, done in self._versions(name) if done]
-        return f"{self.base}/{name}/v={whole[-1]:08d}" if whole else None
+        whole = [(v, of) for v, of in self._versions(name) if of]
+        self._seen.setdefault(name, whole[-1][0] if whole else 0)
+        return f"{self.base}/{whole[-1][1]}" if whole else None
 
     def has(self, name: str) -> bool:
         return self.path(name) is not None
@@ -61,12 +119,23 @@ class Store:
     def _put(self, name: str, save: Callable[[str], None]) -> None:
         if self.dry_run:
             return
-        known = self._versions(name)
-        number = known[-1][0] + 1 if known else 1
-        save(f"{self.base}/{name}/v={number:08d}")
-        newest = max((v for v, done in known if done), default=None)
-        for v, _ in known:
-            if v != newest:
+        self.path(name)  # the version that counts, if none has been read
+        number, attempt = self._seen[name] + 1, f"attempt-{uuid.uuid4().hex}"
+        of = f"{name}/v={number:08d}"
+        committed = False
+        try:
+            if not self._file(f"{of}/_commit")[1].exists(self._file(f"{of}/_commit")[0]):
+                save(f"{self.base}/{of}/{attempt}")
+                committed = self._create(f"{of}/_commit", attempt)
+        finally:
+            if not committed:
+                path, fs = self._file(f"{of}/{attempt}")
+                fs.delete(path, True)
+        if not committed:
+            raise CommitConflict(f"{name} was written by another run; this one has read version {number - 1}")
+        self._seen[name] = number
+        for v, _ in self._versions(name):
+            if v < number - 1:
                 path, fs = self._file(f"{name}/v={v:08d}")
                 fs.delete(path, True)
 
@@ -113,7 +182,7 @@ def refresh(
     Nothing is written if a row fails, the result is empty or shrank by half.  The
     table is written only if its content changed; the state comes last.
     """
-    now = now or datetime.now(timezone.utc)
+    now, store = now or datetime.now(timezone.utc), store.begun()
     slice_of, table_of = f"feed_slice/source={safe_name(source.id)}", f"aircraft/source={source.id}"
     state = store.state(source.id)
     if not due(source, state, now) and store.has(slice_of):
@@ -208,6 +277,7 @@ def publish(spark: SparkSession, store: Store, sources: list[str], report: dict
     Readers of the feed (``served``) see the old version until the new one is complete.
     ``report`` takes the counts of rows and of ambiguous keys, with samples.
     """
+    store = store.begun()
     missing = missing_slices(store, sources)
     if missing:
         raise GuardError(f"no feed slice of {missing}")
@@ -221,9 +291,11 @@ def publish(spark: SparkSession, store: Store, sources: list[str], report: dict
         feed = clear_ambiguous(merged)
         assert_unique(feed, "icao_hex")
         assert_unique(feed, "registration_key")
-        by_key = lambda df, path: df.repartitionByRange(F.col("icao_hex")).sortWithinPartitions("icao_hex").write.parquet(path)
-        store.write(feed, "feed", by_key)
+        store.write(feed, "feed", lambda df, path: write_sorted(df, path, "icao_hex", "registration_key"))
         out = feed if store.dry_run else store.read("feed")
+        # The same rows in the order of their marks, for lookups by mark; rows without one cannot be asked for.
+        by_mark = out.where(F.col("registration_key").isNotNull())
+        store.write(by_mark, "feed_by_mark", lambda df, path: write_sorted(df, path, "registration_key", "icao_hex"))
         content = feed_hash(out)
         store.put_state("feed", {"content_hash": content})
         if report is not None:
@@ -234,6 +306,11 @@ def publish(spark: SparkSession, store: Store, sources: list[str], report: dict
             merged.unpersist()
 
 
+def lookup(store: Store, keys: list[str], kind: str = "hex", attributions: dict[str, str] | None = None, fallback: str = "") -> DataFrame:
+    """The served rows of up to 500 keys, from the copy of the feed that is sorted by such keys."""
+    return feed_lookup(store.read("feed" if kind == "hex" else "feed_by_mark"), keys, kind, attributions, fallback)
+
+
 def missing_slices(store: Store, sources: list[str]) -> list[str]:
     return [s for s in sources if not store.has(f"feed_slice/source={safe_name(s)}")]
 
