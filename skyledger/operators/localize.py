@@ -83,13 +83,21 @@ def count_failures(failures: DataFrame, tried: DataFrame, came: DataFrame) -> Da
     return out.select("hash", n.cast("int").alias("failures"))
 
 
+def failure_changes(failures: DataFrame, tried: DataFrame, came: DataFrame) -> DataFrame:
+    """The counts that a run changes: an answer makes a count 0, an attempt without one adds."""
+    asked = tried.select("hash").unionByName(came.select("hash")).distinct()
+    of = asked.join(failures, "hash", "left").join(came.select("hash", F.lit(1).alias("_came")), "hash", "left")
+    n = F.when(F.col("_came").isNotNull(), F.lit(0)).otherwise(F.coalesce("failures", F.lit(0)) + 1)
+    return of.where(F.col("_came").isNull() | F.col("failures").isNotNull()).select("hash", n.cast("int").alias("failures"))
+
+
 def prune(cache: DataFrame, live: DataFrame, allowed: bool) -> DataFrame:
-    """Drops entries no longer used, unless that would lose more than half of the cache."""
+    """Drops entries no longer used, unless that would lose more than half of the cache or there are none; then ``cache`` is given back."""
     if not allowed:
         return cache
     kept = cache.join(live, "hash", "left_semi")
-    before = cache.count()
-    return kept if before and kept.count() / before >= MIN_KEPT else cache
+    before, after = cache.count(), kept.count()
+    return kept if before > after and after / before >= MIN_KEPT else cache
 
 
 def apply_text(df: DataFrame, field: str, column: str, cache: DataFrame) -> DataFrame:

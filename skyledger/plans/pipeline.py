@@ -9,7 +9,8 @@ import uuid
 from collections.abc import Callable
 from datetime import datetime, timedelta, timezone
 
-from py4j.protocol import Py4JJavaError
+from py4j.protocol import Py4JError, Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,6 +27,8 @@ from .translate import assert_clean, translate
 
 
 SLICE_VERSION, CACHE_VERSION = 3, 1
+#: Marks the commit of a log's batch; batches after which a log is written as one table.
+BATCH, COMPACT_AFTER = "+", 16
 
 
 class CommitConflict(GuardError):
@@ -98,7 +101,7 @@ class Store:
         for v in sorted(int(n[2:]) for n in found if re.fullmatch("v=[0-9]{8}", n)):
             of, whole = f"{name}/v={v:08d}", None
             if fs.exists(self._file(f"{of}/_commit")[0]):
-                whole = f"{of}/{self._text(f'{of}/_commit')}"
+                whole = f"{of}/{self._text(f'{of}/_commit').removeprefix(BATCH)}"
             elif fs.exists(self._file(f"{of}/_SUCCESS")[0]):  # written before there were attempts
                 whole = of
             out.append((v, whole))
@@ -116,7 +119,7 @@ class Store:
     def read(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self.path(name))
 
-    def _put(self, name: str, save: Callable[[str], None]) -> None:
+    def _put(self, name: str, save: Callable[[str], None], batch: bool = False) -> None:
         if self.dry_run:
             return
         self.path(name)  # the version that counts, if none has been read
@@ -124,9 +127,10 @@ class Store:
         of = f"{name}/v={number:08d}"
         committed = False
         try:
-            if not self._file(f"{of}/_commit")[1].exists(self._file(f"{of}/_commit")[0]):
+            commit, fs = self._file(f"{of}/_commit")
+            if not fs.exists(commit):
                 save(f"{self.base}/{of}/{attempt}")
-                committed = self._create(f"{of}/_commit", attempt)
+                committed = self._create(f"{of}/_commit", BATCH * batch + attempt)
         finally:
             if not committed:
                 path, fs = self._file(f"{of}/{attempt}")
@@ -134,11 +138,54 @@ class Store:
         if not committed:
             raise CommitConflict(f"{name} was written by another run; this one has read version {number - 1}")
         self._seen[name] = number
+        if batch:
+            return
+        # The version before stays, and of a log the batches that it stands on.
+        first = self._stack(name, number - 1)
         for v, _ in self._versions(name):
-            if v < number - 1:
+            if v < min([number - 1, *first]):
                 path, fs = self._file(f"{name}/v={v:08d}")
                 fs.delete(path, True)
 
+    def _stack(self, name: str, last: int | None = None) -> list[int]:
+        """The versions that make a log up to ``last``: a whole table, if there is one, and the batches since."""
+        out: list[int] = []
+        for v, of in reversed(self._versions(name)):
+            if of is None or (last is not None and v > last):
+                continue
+            out.insert(0, v)
+            commit, fs = self._file(f"{name}/v={v:08d}/_commit")
+            if not fs.exists(commit) or not self._text(f"{name}/v={v:08d}/_commit").startswith(BATCH):
+                break
+        return out
+
+    def append(self, df: DataFrame, name: str) -> bool:
+        """Adds a batch of rows to a log; nothing is written without rows."""
+        if self.dry_run or df.isEmpty():
+            return False
+        self._put(name, df.write.parquet, batch=True)
+        return True
+
+    def read_log(self, name: str, key: str) -> DataFrame | None:
+        """The rows of a log, of each key those of the newest batch that has it."""
+        folders = dict(self._versions(name))
+        parts = [self.spark.read.parquet(f"{self.base}/{folders[v]}").withColumn("_v", F.lit(v)) for v in self._stack(name)]
+        self.path(name)
+        if not parts:
+            return None
+        every = parts[0]
+        for more in parts[1:]:
+            every = every.unionByName(more)
+        if len(parts) == 1:
+            return every.drop("_v")
+        others = [c for c in every.columns if c not in (key, "_v")]
+        newest = every.groupBy(key).agg(F.max_by(F.struct(*others), "_v").alias("r"))
+        return newest.select(key, "r.*")
+
+    def batches(self, name: str) -> int:
+        """How many tables a reader of the log reads."""
+        return len(self._stack(name))
+
     def write(self, df: DataFrame, name: str, save: Callable[[DataFrame, str], None] | None = None) -> None:
         self._put(name, lambda path: save(df, path) if save else df.write.parquet(path))
 
@@ -210,48 +257,68 @@ def refresh(
         done.release()
 
 
-def _cache(spark: SparkSession, store: Store) -> tuple[DataFrame, DataFrame]:
-    """The renderings and failure counts; those of an older version are forgotten, a newer one is an error."""
+def _cache(spark: SparkSession, store: Store) -> tuple[DataFrame, DataFrame, bool]:
+    """The renderings, the failure counts, and whether they begin anew: those of an older version are forgotten, a newer one is an error."""
     version = (store.state("translation-cache") or {}).get("version", 0)
     if version > CACHE_VERSION:
         raise GuardError(f"the cache has version {version}, {CACHE_VERSION} is known")
     old = version < CACHE_VERSION
-    read = lambda name, schema: spark.createDataFrame([], schema) if old or not store.has(name) else store.read(name)
-    return read("translations", localize.CACHE), read("translation_failures", localize.FAILURES)
+
+    def read(name: str, schema: str) -> DataFrame:
+        known = None if old else store.read_log(name, "hash")
+        return spark.createDataFrame([], schema) if known is None else known
+
+    return read("translations", localize.CACHE), read("translation_failures", localize.FAILURES).where("failures > 0"), old
 
 
 def localized(
     spark: SparkSession, store: Store, records: DataFrame, render: Callable, excluded: tuple[str, ...], prune: bool = False
 ) -> tuple[DataFrame, dict]:
-    """Renders what the cache lacks, updates the cache and applies it; gives counts too.
+    """Renders what the cache lacks, adds it to the cache and applies the cache; gives counts too.
 
-    Without a readable cache nothing is rendered in this run.  Entries of other sources
-    are kept; ``prune`` lets those go that no text of this store's slices needs.
+    The cache is a log: a run adds a batch of what is new, and without anything new writes nothing.  After
+    COMPACT_AFTER batches, or where entries go, it is written as one table.  Without a readable cache nothing is rendered in this
+    run.  Entries of other sources are kept; ``prune`` lets those go that no text of this store's slices needs.
     """
     try:
-        cache, failures = _cache(spark, store)
+        cache, failures, anew = _cache(spark, store)
         cache.count(), failures.count()
     except GuardError:
         raise
-    except Exception as e:  # noqa: BLE001  storage and format errors of any kind
+    except (PySparkException, Py4JError, OSError) as e:  # storage and format errors
         return records, {"rendering": f"left out: {type(e).__name__}"}
-    found = localize.candidates(records, excluded)
-    counted = localize.stats(found, cache, failures)
-    answers = localize.translate(localize.delta(found, cache, failures), render)
-    store.write(answers, "translation_answers")
-    if not store.dry_run:
-        answers = store.read("translation_answers")
-    fresh = answers.where("text IS NOT NULL").select("hash", "text")
-    missed = localize.count_failures(failures, answers.where("tried").select("hash"), fresh)
-    whole = localize.prune(cache, found.select("hash"), prune).unionByName(fresh)
-    store.write(whole, "translations")
-    store.write(missed, "translation_failures")
-    store.put_state("translation-cache", {"version": CACHE_VERSION})
-    came = fresh.count()
-    wanted = counted["candidates"] - counted["cache_hits"] - counted["exhausted"]
-    return localize.apply(records, whole if store.dry_run else store.read("translations"), excluded), {
-        **counted, "translated": came, "untranslated": wanted - came,
-    }
+    found = localize.candidates(records, excluded).persist()
+    try:
+        counted = localize.stats(found, cache, failures)
+        wanted = counted["candidates"] - counted["cache_hits"] - counted["exhausted"]
+        fresh = spark.createDataFrame([], localize.CACHE)
+        if wanted:
+            answers = localize.translate(localize.delta(found, cache, failures), render)
+            if store.dry_run:
+                answers = answers.persist()
+            else:
+                store.write(answers, "translation_answers")
+                answers = store.read("translation_answers")
+            fresh = answers.where("text IS NOT NULL").select("hash", "text")
+            missed = localize.failure_changes(failures, answers.where("tried").select("hash"), fresh)
+            for rows, name in ((fresh, "translations"), (missed, "translation_failures")):
+                store.write(rows, name) if anew else store.append(rows, name)
+        if anew:
+            store.put_state("translation-cache", {"version": CACHE_VERSION})
+        came = fresh.count()
+        whole = cache.unionByName(fresh)
+        kept = localize.prune(whole, found.select("hash"), prune)
+        if kept is not whole:
+            store.write(kept, "translations")
+            whole = kept
+        for name in ("translations", "translation_failures"):
+            if not store.dry_run and store.batches(name) > COMPACT_AFTER:
+                store.write(store.read_log(name, "hash"), name)
+        return localize.apply(records, whole if store.dry_run else _cache(spark, store)[0], excluded), {
+            **counted, "translated": came, "untranslated": wanted - came,
+        }
+    finally:
+        found.unpersist()
 
 
 def checked_slice(store: Store, source: str) -> DataFrame:

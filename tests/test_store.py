@@ -1,5 +1,6 @@
 """Lookups that skip row groups, and several writers of one store."""
 
+import json
 import threading
 
 import pytest
@@ -7,7 +8,10 @@ from pyspark.sql import functions as F
 
 from skyledger.operators.artifact import any_of, write_sorted
 from skyledger.operators.joins import GuardError
-from skyledger.plans.pipeline import CommitConflict, Store
+from skyledger.plans import pipeline
+from skyledger.plans.pipeline import CommitConflict, Store, localized
+from skyledger.schema import RECORD
+from test_engine import record
 
 
 def rows_scanned(df):
@@ -62,6 +66,47 @@ def test_of_two_writers_one_wins(spark, tmp_path):
     assert sum("attempt-" in p.name for p in (tmp_path / "s" / "t").rglob("*")) == 2  # the newest two; the losers' are gone
 
 
+def test_translations_are_a_log(spark, tmp_path):
+    store = Store(spark, str(tmp_path / "s"))
+    asked = []
+
+    def one(text, i):
+        return spark.createDataFrame([(i, json.dumps(record(lien_status=text)))], "_ord int, json string").select("_ord", F.from_json("json", RECORD).alias("record"))
+
+    def run(text, render=lambda batch: {h: t.upper() for h, f, t in batch}):
+        return localized(spark, store.begun(), one(text, 1), render, ())
+
+    files = lambda: sorted(str(p) for p in (tmp_path / "s").rglob("*") if p.is_file())
+    assert run("uno")[0].first().record.lien_status == "UNO"
+    before = files()
+    done, counts = run("uno", lambda batch: asked.append(batch))
+    assert files() == before and not asked and counts["cache_hits"] == 1 and done.first().record.lien_status == "UNO"
+    for i in range(3):
+        run(f"t{i}")
+    assert store.begun().batches("translations") == 4  # each run has added its own rows only
+    assert [spark.read.parquet(str(p.parent)).count() for p in (tmp_path / "s" / "translations").rglob("_SUCCESS")] == [1] * 4
+    # Failures count up, an answer clears them; the newest batch of a key counts.
+    none = lambda batch: [(batch[0][0], " "), *[(h, t) for h, f, t in batch[1:]]]
+    pair = one("lost", 1).unionByName(one("found", 2))
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")  # one batch, of which half comes back
+    localized(spark, store.begun(), pair, none, ())
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    left = store.begun().read_log("translation_failures", "hash")
+    assert [r.failures for r in left.where("failures > 0").collect()] == [1]
+    run("lost")
+    run("found")
+    assert store.begun().read_log("translation_failures", "hash").where("failures > 0").isEmpty()
+    pipeline.COMPACT_AFTER, kept = 3, pipeline.COMPACT_AFTER
+    try:
+        whole = store.begun().read_log("translations", "hash").count()
+        run("last")
+    finally:
+        pipeline.COMPACT_AFTER = kept
+    s = store.begun()
+    assert s.batches("translations") == 1 and s.read_log("translations", "hash").count() == whole + 1
+
+
 def test_writers_at_once(spark, tmp_path):
     stores = [Store(spark, str(tmp_path / "s")) for _ in range(4)]
     for s in stores:
