@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..cluster import written
 from ..functions.text import or_null, registration_key
 from ..schema import FEED
 from .artifact import any_of
@@ -34,16 +35,14 @@ def project(record: Column) -> list[Column]:
 
 
 def resolved(rows: DataFrame, key: str) -> DataFrame:
-    """(key, row, same): of each key's newest rows the first, and whether they all serve the same.
+    """(key, id, same): of each key's newest rows the least id, and whether they all serve the same.
 
-    ``rows`` has the key, ``date`` (empty for none), ``shown`` (digest of what is
-    served) and ``row``.  Both steps combine before they shuffle.
+    ``rows`` has the key, ``date`` (a number), ``shown`` (a number that stands for what is served) and ``id``.
+    Both steps combine before they shuffle; their states have fixed width, so they are hashed, not sorted.
     """
-    by_date = rows.groupBy(key, "date").agg(
-        F.min("shown").alias("lo"), F.max("shown").alias("hi"), F.min_by("row", "_ord").alias("row")
-    )
-    newest = by_date.groupBy(key).agg(F.max_by(F.struct("lo", "hi", "row"), "date").alias("w"))
-    return newest.select(key, F.col("w.row").alias("row"), (F.col("w.lo") == F.col("w.hi")).alias("same"))
+    by_date = rows.groupBy(key, "date").agg(F.min("shown").alias("lo"), F.max("shown").alias("hi"), F.min("id").alias("id"))
+    newest = by_date.groupBy(key).agg(*[F.max_by(c, "date").alias(c) for c in ("lo", "hi", "id")])
+    return newest.select(key, "id", (F.col("lo") == F.col("hi")).alias("same"))
 
 
 def feed_slice(records: DataFrame) -> DataFrame:
@@ -53,32 +52,33 @@ def feed_slice(records: DataFrame) -> DataFrame:
     ambiguous address fall back to their marks.  A mark that an address's winner
     holds is that aircraft's, unless rows fell back to it; an ambiguous mark is
     served for nobody.
+
+    The rows are written once with an id; what decides are slim rows of keys and numbers, and the winners' ids fetch
+    the served columns in the end.
     """
     r = F.col("record")
-    rows = records.where(~r["status"].isin(*UNSERVED)).select(
-        "_ord", F.coalesce(latest_date(r), F.lit("")).alias("date"), F.struct(*project(r)).alias("row")
+    served_rows = records.where(~r["status"].isin(*UNSERVED)).select(
+        F.coalesce(F.regexp_replace(latest_date(r), "-", "").try_cast("long"), F.lit(0)).alias("date"), F.struct(*project(r)).alias("row")
     )
     without = F.col("row").withField("icao_hex", F.lit(None).cast("string"))
-    rows = rows.withColumns(
-        {
-            "hex": F.col("row.icao_hex"),
-            "mark": F.col("row.registration_key"),
-            "shown": F.sha2(F.to_json(without, {"ignoreNullFields": "false"}), 256),
-        }
-    ).persist()  # read by four branches below
-    by_hex = resolved(rows.where(F.col("hex").isNotNull()), "hex")
-    winners = by_hex.where("same").select(F.col("row"), F.col("row.registration_key").alias("mark"))
+    shown = F.xxhash64(F.to_json(without, {"ignoreNullFields": "false"}))
+    rows = written(served_rows.select("date", shown.alias("shown"), "row.*").withColumn("id", F.monotonically_increasing_id()), "served")
+    slim = rows.select("id", "date", "shown", F.col("icao_hex").alias("hex"), F.col("registration_key").alias("mark"))
+    with_hex = slim.where(F.col("hex").isNotNull())
+    by_hex = resolved(with_hex, "hex")
+    winners = by_hex.where("same").select("id").join(slim.select("id", "mark"), "id")
     unclear = by_hex.where("NOT same").select("hex")
-    fallback = rows.join(unclear, "hex", "left_semi").where(F.col("mark").isNotNull())
+    fallback = with_hex.join(unclear, "hex", "left_semi").where(F.col("mark").isNotNull())
     superseded = winners.where(F.col("mark").isNotNull()).select("mark").distinct()
     superseded = superseded.join(fallback.select("mark").distinct(), "mark", "left_anti")
-    marked = rows.where(F.col("hex").isNull() & F.col("mark").isNotNull()).unionByName(fallback.select(*rows.columns))
+    marked = slim.where(F.col("hex").isNull() & F.col("mark").isNotNull()).unionByName(fallback.select(*slim.columns))
     by_mark = resolved(marked.join(superseded, "mark", "left_anti"), "mark")
     ambiguous = by_mark.where("NOT same").select("mark", F.lit(True).alias("unclear"))
-    cleared = F.when(F.col("unclear"), F.col("row").withField("registration_key", F.lit(None).cast("string"))).otherwise(F.col("row"))
-    first = winners.join(ambiguous, "mark", "left").select(cleared.alias("row"))
-    second = by_mark.where("same").select(F.col("row").withField("icao_hex", F.lit(None).cast("string")).alias("row"))
-    return first.unionByName(second).select("row.*")
+    first = winners.join(ambiguous, "mark", "left").select("id", F.lit(True).alias("by_hex"), F.coalesce("unclear", F.lit(False)).alias("unclear"))
+    second = by_mark.where("same").select("id", F.lit(False).alias("by_hex"), F.lit(False).alias("unclear"))
+    found = rows.join(first.unionByName(second), "id")
+    shown_as = {"icao_hex": F.when(F.col("by_hex"), F.col("icao_hex")), "registration_key": F.when(~F.col("unclear"), F.col("registration_key"))}
+    return found.select(*[shown_as.get(c, F.col(c)).alias(c) for c in FEED])
 
 
 def absent(declared: DataFrame, rows: DataFrame, name: str, of: str) -> DataFrame:

@@ -488,8 +488,7 @@ def feed_candidates(spark: SparkSession, sf: str) -> DataFrame:
     c = t(spark, sf, "customer")
     rows = c.select(
         F.concat(F.col("c_nationkey").cast("string"), "c_mktsegment").alias("key"),
-        F.lpad((F.floor(F.col("c_acctbal") / 500) + 100).cast("string"), 6, "0").alias("date"),
-        F.md5(F.substring("c_name", -1, 1)).alias("shown"), F.struct("c_custkey").alias("row"), F.col("c_custkey").alias("_ord"),
+        (F.floor(F.col("c_acctbal") / 500) + 100).alias("date"), F.xxhash64(F.substring("c_name", -1, 1)).alias("shown"), F.col("c_custkey").alias("id"),
     )
     return feed.resolved(rows, "key").select("key", "same")
 
