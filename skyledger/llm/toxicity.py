@@ -1,6 +1,6 @@
 """Toxic passages by maximum-scoring segment search.
 
-A token is a run of letters.  Its score is the log odds of the texts marked toxic among those
+A token is a run of letters, told apart by its first ``LETTERS``.  Its score is the log odds of the texts marked toxic among those
 that hold it, against the same for all texts, with Dirichlet priors: the counts of a token are
 smoothed towards those of its longest stem, those towards the next shorter stem's, and the
 shortest stem's towards the share of toxic texts in all.  So a word seen once says little, unless
@@ -25,7 +25,6 @@ import re
 from dataclasses import dataclass
 
 import numpy as np
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -43,36 +42,51 @@ COST = 1.0
 SIGNIFICANT = 1.0
 #: Bins of a unit of score or evidence, and the range that they cover.
 BINS, REACH = 10, 64
-#: Words whose score is kept in a task, and their longest length.
-KEPT_WORDS, KEPT_LENGTH = 200_000, 40
+#: Tokens whose score is kept in a task, and the letters by which tokens are told apart.
+KEPT_WORDS, LETTERS = 200_000, 32
 
 _TOKEN = re.compile(r"[^\W\d_]+")
+_FACTOR, _MIX = np.uint64(0x100000001B3), np.uint64(0x9E3779B97F4A7C15)
 
 
 def tokens(text: str | None) -> list[str]:
     return _TOKEN.findall(text.lower()) if text else []
 
 
-def buckets_of(token: str) -> list[int]:
-    """Buckets of a token's stems, shortest first, and of the token itself."""
-    parts = [token[:n] for n in STEMS if n < len(token)] + [f"{token}$"]
-    return [xxhash.xxh64_intdigest(p) & (BUCKETS - 1) for p in parts]
+def buckets_of(words: list[str]) -> np.ndarray:
+    """A row for each token: the buckets of its stems, shortest first, and of itself; -1 for stems as long as the token.
 
+    A rolling hash of the letters gives all of them at once.
+    """
+    letters = np.array(words, dtype=f"<U{LETTERS}").view(np.uint32).reshape(len(words), LETTERS)
+    length = (letters != 0).sum(1)
+    out = np.full((len(words), len(STEMS) + 1), -1, dtype=np.int32)
+    h = np.full(len(words), 0xCBF29CE484222325, dtype=np.uint64)
+    for n in range(1, int(length.max(initial=0)) + 1):
+        h = np.where(length >= n, (h ^ letters[:, n - 1].astype(np.uint64)) * _FACTOR, h)
+        if n in STEMS:
+            out[:, STEMS.index(n)] = np.where(length > n, _bucket(h), -1)
+    out[:, -1] = _bucket(h ^ _MIX)  # a token is told from the stem with its letters
+    return out
+
+
+def _bucket(h: np.ndarray) -> np.ndarray:
+    return ((h * _MIX) >> np.uint64(40)).astype(np.int64) & (BUCKETS - 1)
 
-def segments(scores: list[float]) -> list[tuple[int, int, float]]:
+
+def segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
     """All maximal-scoring segments (first, end exclusive, score), from left to right, in linear time.
 
     Each candidate keeps the sum of all scores before it and up to its end.  A new positive score joins with the
     nearest candidate that begins lower, if that candidate also ends lower; all between are then part of one.
+    Scores that are not positive only count in the sums.
     """
+    after = np.cumsum(scores)
+    places = np.flatnonzero(scores > 0)
     out: list[tuple[int, int, float, float]] = []  # first, end, sum before, sum up to the end
-    total = 0.0
     lower: list[int] = []  # for each candidate, the nearest one before that begins lower
-    for i, x in enumerate(scores):
-        before, total = total, total + x
-        if x <= 0:
-            continue
-        first, end, low, high = i, i + 1, before, total
+    for i, low, high in zip(places.tolist(), (after[places] - scores[places]).tolist(), after[places].tolist(), strict=True):
+        first, end = i, i + 1
         while True:
             j = len(out) - 1
             while j >= 0 and out[j][2] >= low:
@@ -101,24 +115,25 @@ class ToxicModel:
     def share(self) -> float:
         return (self.n_toxic + 0.5) / (self.n_toxic + self.n_clean + 1.0)
 
-    def log_odds(self, token: str, own: int | None = None) -> float:
-        """A token's log odds against all texts'; ``own`` is the mark of a text whose own count is left out."""
-        p = share = self.share
-        for b in buckets_of(token):
-            toxic, both = self.toxic[b], self.toxic[b] + self.clean[b]
-            if own is not None and both:
-                toxic, both = toxic - own, both - 1
-            p = (max(toxic, 0) + PRIOR * p) / (both + PRIOR)
-        return math.log(p / (1 - p)) - math.log(share / (1 - share))
-
-    def evidence(self, found: list[tuple[int, int, float]], n: int) -> float:
+    def log_odds(self, words: list[str], own: int | None = None) -> np.ndarray:
+        """Tokens' log odds against all texts'; ``own`` is the mark of a text whose own counts are left out."""
+        share = self.share
+        p = np.full(len(words), share)
+        for b in buckets_of(words).T:
+            toxic, both = self.toxic[b].astype(float), (self.toxic[b] + self.clean[b]).astype(float)
+            if own is not None:
+                toxic, both = np.maximum(toxic - own, 0), np.maximum(both - 1, 0)
+            p = np.where(b >= 0, (toxic + PRIOR * p) / (both + PRIOR), p)
+        return np.log(p / (1 - p)) - math.log(share / (1 - share))
+
+    def evidence(self, found: list[float], n: int) -> float:
         """Minus the log of the expected number of texts of n tokens with segments as good, by chance.
 
-        The significant segments' evidence adds up, less what their number makes likely; without one the best segment counts.
+        ``found`` has the segments' scores.  The significant segments' evidence adds up, less what their number makes likely; without one the best segment counts.
         """
         if not found:
             return -math.log(self.k * max(n, 1)) - 1.0
-        each = sorted((self.rate * s - math.log(self.k * n) for _, _, s in found), reverse=True)
+        each = sorted((self.rate * s - math.log(self.k * n) for s in found), reverse=True)
         best = total = each[0]
         for i, x in enumerate(each[1:], 2):
             if x <= -math.log(SIGNIFICANT):
@@ -132,23 +147,32 @@ class ToxicModel:
 
 
 class Scorer:
-    """Scores tokens for one task; the scores of words are kept, up to ``KEPT_WORDS``."""
+    """Scores the tokens of texts for one task; the scores of ``KEPT_WORDS`` tokens are kept."""
 
     def __init__(self, model: ToxicModel):
         self.model = model
-        self.kept: dict[tuple, float] = {}
-
-    def scores(self, words: list[str], own: int | None = None) -> list[float]:
-        out, kept = [], self.kept
-        for w in words:
-            s = kept.get((w, own))
-            if s is None:
-                s = self.model.log_odds(w, own) - COST
-                if len(w) <= KEPT_LENGTH:
-                    if len(kept) >= KEPT_WORDS:
-                        kept.clear()
-                    kept[w, own] = s
-            out.append(s)
+        self.kept: dict[int | None, dict[str, float]] = {None: {}, 0: {}, 1: {}}
+
+    def scores(self, words: list[str], own: int | None = None) -> np.ndarray:
+        kept = self.kept[own]
+        new = list(set(words).difference(kept))
+        if len(kept) + len(new) > KEPT_WORDS:
+            kept.clear()
+            new = list(set(words))
+        for at in range(0, len(new), 1 << 16):
+            part = new[at : at + (1 << 16)]
+            kept.update(zip(part, (self.model.log_odds(part, own) - COST).tolist(), strict=True))
+        return np.fromiter(map(kept.__getitem__, words), dtype=float, count=len(words))
+
+    def of_batch(self, texts: list[str | None], own: int | None = None) -> list[tuple[np.ndarray, list[tuple[int, int, float]]]]:
+        """The tokens' scores and the segments of each text; new tokens of all texts are looked up together."""
+        words = [tokens(t) for t in texts]
+        whole = self.scores([w for ws in words for w in ws], own)
+        out, at = [], 0
+        for ws in words:
+            part = whole[at : at + len(ws)]
+            at += len(ws)
+            out.append((part, segments(part)))
         return out
 
 
@@ -182,15 +206,24 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
     def seen():
         def compute(texts):
-            return [[sorted({b for w in set(tokens(t)) for b in buckets_of(w)}) for t in texts]]
+            words = [set(tokens(t)) for t in texts]
+            all_words = list(set().union(*words))
+            rows = buckets_of(all_words)
+            place = {w: i for i, w in enumerate(all_words)}
+            out = []
+            for ws in words:
+                found = np.unique(rows[[place[w] for w in ws]]) if ws else np.empty(0, dtype=np.int32)
+                out.append(found[found >= 0])
+            return [out]
 
         return compute
 
     held = add_columns(marked, ["text"], [T.StructField("bucket", T.ArrayType(T.IntegerType()))], seen, ("text",))
     held = held.select("mark", F.explode(F.concat("bucket", F.array(F.lit(-1)))).alias("bucket"))  # -1 counts the texts
-    counts = held.groupBy("bucket").agg(F.sum("mark").alias("toxic"), F.count(F.lit(1)).alias("both")).toPandas()  # BUCKETS + 1 rows at most
+    counts = held.groupBy("bucket").agg(F.sum("mark").alias("toxic"), F.count(F.lit(1)).alias("both")).toArrow()  # BUCKETS + 1 rows at most
     toxic, both = np.zeros(BUCKETS + 1, dtype=np.int64), np.zeros(BUCKETS + 1, dtype=np.int64)
-    toxic[counts["bucket"]], both[counts["bucket"]] = counts["toxic"], counts["both"]
+    at = counts["bucket"].to_numpy()
+    toxic[at], both[at] = counts["toxic"].to_numpy(), counts["both"].to_numpy()
     n_toxic, n_clean = int(toxic[-1]), int(both[-1] - toxic[-1])
     model = ToxicModel(toxic[:-1].astype(np.int32), (both - toxic)[:-1].astype(np.int32), n_toxic, n_clean)
     if not n_toxic or not n_clean:
@@ -204,43 +237,39 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         scorer = Scorer(shared.value)
 
         def compute(texts, marks):
-            bins, best, length = [], [], []
-            for t, own in zip(texts, marks, strict=True):
-                words = tokens(t)
-                s = scorer.scores(words, own)
-                bins.append([_binned(x) for x in s] if not own else [])
-                found = segments(s)
-                best.append(max((x for _, _, x in found), default=0.0))
-                length.append(len(words))
-            return [bins, best, length]
+            rows: list = [None] * len(texts)
+            for own in (0, 1):
+                mine = [i for i, m in enumerate(marks) if m == own]
+                for i, (scores, found) in zip(mine, scorer.of_batch([texts[i] for i in mine], own), strict=True):
+                    bins, n = np.unique(np.floor(np.clip(scores, -REACH, REACH) * BINS).astype(np.int32), return_counts=True)
+                    rows[i] = (bins, n, [x for _, _, x in found], len(scores))
+            return [list(c) for c in zip(*rows, strict=True)] if rows else [[], [], [], []]
 
         return compute
 
-    fields = [T.StructField("bins", T.ArrayType(T.IntegerType())), T.StructField("best", T.DoubleType()), T.StructField("n", T.LongType())]
-    first = materialize(add_columns(marked, ["text", "mark"], fields, scored, ("text",)), "scored").where("mark = 0 AND n > 0")
-    spread = first.select(F.explode("bins").alias("bin")).groupBy("bin").count().toPandas()  # 2 * REACH * BINS + 1 rows at most
-    model.rate = rate_of((spread["bin"].to_numpy() + 0.5) / BINS, spread["count"].to_numpy().astype(float))
-    mean = first.agg(F.avg(F.lit(model.rate) * F.col("best") - F.log(F.col("n").cast("double")))).first()[0]
+    ints, doubles = T.ArrayType(T.IntegerType()), T.ArrayType(T.DoubleType())
+    fields = [T.StructField("bins", ints), T.StructField("times", ints), T.StructField("found", doubles), T.StructField("n", T.LongType())]
+    each = materialize(add_columns(marked, ["text", "mark"], fields, scored, ("text",)), "scored")
+    clean = each.where("mark = 0 AND n > 0")
+    spread = clean.select(F.explode(F.arrays_zip("bins", "times")).alias("b")).groupBy("b.bins").agg(F.sum("b.times").alias("times")).toArrow()  # 2 * REACH * BINS + 1 rows at most
+    model.rate = rate_of((spread["bins"].to_numpy() + 0.5) / BINS, spread["times"].to_numpy().astype(float))
+    best = F.coalesce(F.array_max("found"), F.lit(0.0))
+    mean = clean.agg(F.avg(F.lit(model.rate) * best - F.log(F.col("n").cast("double")))).first()[0]
     model.k = math.exp(min(20.0, max(-20.0, (mean or 0.0) - 0.5772156649)))
     shared.destroy()
-    shared = spark.sparkContext.broadcast(model)
+    law = (model.rate, model.k)
 
     def judged():
-        scorer = Scorer(shared.value)
+        plain = ToxicModel(np.empty(0), np.empty(0), 0, 0, *law)
 
-        def compute(texts, marks):
-            out = []
-            for t, own in zip(texts, marks, strict=True):
-                words = tokens(t)
-                out.append(_binned(shared.value.evidence(segments(scorer.scores(words, own)), len(words))))
-            return [out]
+        def compute(found, n):
+            return [[_binned(plain.evidence(x, k)) for x, k in zip(found, n, strict=True)]]
 
         return compute
 
-    evidence = add_columns(marked, ["text", "mark"], [T.StructField("bin", T.IntegerType())], judged, ("text",))
-    told = evidence.groupBy("bin").agg(F.sum("mark").alias("toxic"), F.count(F.lit(1)).alias("both")).toPandas()
+    evidence = add_columns(each.select("mark", "found", "n"), ["found", "n"], [T.StructField("bin", T.IntegerType())], judged, ("found",))
+    told = evidence.groupBy("bin").agg(F.sum("mark").alias("toxic"), F.count(F.lit(1)).alias("both")).toArrow()
     model.slope, model.shift = curve((told["bin"].to_numpy() + 0.5) / BINS, told["toxic"].to_numpy().astype(float), told["both"].to_numpy().astype(float))
-    shared.destroy()
     return model
 
 
@@ -294,11 +323,10 @@ def score(docs: DataFrame, model: ToxicModel, text_col: str = "text", keep_text:
 
         def compute(texts):
             scores, passages = [], []
-            for t in texts:
-                words = tokens(t)
-                found = segments(scorer.scores(words))
-                scores.append(model.probability(model.evidence(found, len(words))))
-                each = [(a, b - a, model.rate * s - math.log(model.k * len(words))) for a, b, s in found]
+            for s, found in scorer.of_batch(texts):
+                n = len(s)
+                scores.append(model.probability(model.evidence([x for _, _, x in found], n)))
+                each = [(a, b - a, model.rate * x - math.log(model.k * n)) for a, b, x in found]
                 passages.append([p for p in each if p[2] > -math.log(SIGNIFICANT)])
             return [scores, passages]
 
