@@ -1,4 +1,4 @@
-"""Registered queries over files and stores: tables are written in a source's format and read back by the engine."""
+"""Registered queries over files and stores, written in a source's format and read back by the engine, and over large key sets."""
 
 from __future__ import annotations
 
@@ -7,12 +7,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .cluster import fresh_path
-from .config import Source
-from .operators import artifact
+from .config import Mapping, Source
+from .operators import artifact, heavy, mapping
 from .queries import query, t, texts
 from .sources.delimited import read_delimited
 from .sources.positioned import read_positioned
 from .sources.reader import read_primary
+from .streaming.buckets import Buckets
 
 
 def _csv(df: DataFrame, name: str, **options: str) -> str:
@@ -138,3 +139,24 @@ def set_digest_by_source(spark: SparkSession, sf: str) -> DataFrame:
     return artifact.digest_sums(d, F.col("doc_id").cast("string"), F.coalesce("text", F.lit("")), "source")
 
 
+
+
+@query("""
+SELECT 'part' AS field, CAST(l_partkey AS VARCHAR) AS value, count(*) AS rows FROM lineitem GROUP BY l_partkey ORDER BY rows DESC, value LIMIT 40
+""")
+def unmatched_top(spark: SparkSession, sf: str) -> DataFrame:
+    """The most frequent stray values, from bounded summaries and an exact recount of what they keep."""
+    rows = texts(t(spark, sf, "lineitem"), key="l_orderkey", part="l_partkey")
+    m = Mapping(field="part", lookup={"": "none"}, default="other")
+    stray = rows.select(mapping.scalar(m, rows.columns).unmatched.alias("u")).where(F.col("u").isNotNull()).select("u.field", "u.value")
+    return heavy.top_values(stray, ["field", "value"], 40)
+
+
+@query("SELECT user_id, max(ts) AS ts FROM events GROUP BY user_id")
+def newest_in_buckets(spark: SparkSession, sf: str) -> DataFrame:
+    """Three batches folded into a table of buckets."""
+    e = t(spark, sf, "events").select("user_id", "ts")
+    table = Buckets(spark, fresh_path(spark, "buckets"))
+    for i in range(3):
+        table.merge(e.where(F.pmod(F.xxhash64("user_id", "ts"), F.lit(3)) == i), i, "user_id", "ts", 8)
+    return table.read()
