@@ -186,6 +186,10 @@ class Store:
         """How many tables a reader of the log reads."""
         return len(self._stack(name))
 
+    def kept(self, name: str) -> int:
+        """How many complete versions of a table are kept."""
+        return sum(of is not None for _, of in self._versions(name))
+
     def write(self, df: DataFrame, name: str, save: Callable[[DataFrame, str], None] | None = None) -> None:
         self._put(name, lambda path: save(df, path) if save else df.write.parquet(path))
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import dataclasses
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -9,7 +11,9 @@ from pyspark.sql import functions as F
 from .cluster import fresh_path
 from .config import Mapping, Source
 from .operators import artifact, heavy, mapping
-from .queries import query, t, texts
+from .operators.joins import GuardError
+from .plans.pipeline import Store, deploy_due, lookup, mark_deployed, publish, refresh
+from .queries import ORDERS, SQL, cadence, order_rows, query, t, texts
 from .sources.delimited import read_delimited
 from .sources.positioned import read_positioned
 from .sources.reader import read_primary
@@ -160,3 +164,98 @@ def newest_in_buckets(spark: SparkSession, sf: str) -> DataFrame:
     for i in range(3):
         table.merge(e.where(F.pmod(F.xxhash64("user_id", "ts"), F.lit(3)) == i), i, "user_id", "ts", 8)
     return table.read()
+
+
+_ORDER_COLUMNS = {"orders": ["key", "mark", "hex", "status", "priority", "date", "price", "ckey"], "customer": ["ckey", "name", "segment"]}
+
+
+def _order_store(spark: SparkSession, sf: str) -> tuple[Store, Source, dict[str, str]]:
+    """A store, the source of orders over delimited files, and the files."""
+    orders, customers = order_rows(spark, sf)
+    files = {"orders": _csv(orders.select(*_ORDER_COLUMNS["orders"]), "orders"), "customer": _csv(customers.select(*_ORDER_COLUMNS["customer"]), "customer")}
+    return Store(spark, fresh_path(spark, "store")), dataclasses.replace(ORDERS, columns=_ORDER_COLUMNS, cadence_days=7), files
+
+
+@query(SQL["order_feed"])
+def store_publish(spark: SparkSession, sf: str) -> DataFrame:
+    """Files to a source's table and slice, slices to the published feed, read back."""
+    store, source, files = _order_store(spark, sf)
+    refresh(spark, store, source, files)
+    publish(spark, store, [source.id])
+    return store.read("feed").select(
+        "icao_hex", "registration", "registration_key", "status", "manufacturer", "category", "year_manufactured", "owner_kind", "source"
+    )
+
+
+@query("""
+SELECT * FROM (VALUES ('first run', 'written'), ('too early', 'not due'), ('unchanged', 'written'), ('dry run', 'written'), ('of half the rows', 'refused'),
+  ('deploy due', 'True'), ('once deployed', 'False'), ('versions of the table', '1'), ('versions of the slice', '2')) v(step, result)
+UNION ALL SELECT 'rows of the table', CAST(count(*) AS VARCHAR) FROM supplier
+UNION ALL SELECT 'rows of the feed', CAST(count(*) AS VARCHAR) FROM supplier
+UNION ALL SELECT 'by mark', 'A' || max(s_suppkey) FROM supplier
+""")
+def store_runs(spark: SparkSession, sf: str) -> DataFrame:
+    """Runs that write, are not due, leave an unchanged table, are refused; the deployed marker; a lookup by mark."""
+    suppliers = texts(t(spark, sf, "supplier"), id="s_suppkey", mark="concat('a', s_suppkey)")
+    path, half = _csv(suppliers, "suppliers"), _csv(suppliers.where(F.pmod(F.col("id").cast("int"), F.lit(5)) < 2), "suppliers")
+    source = Source(
+        id="suppliers", label="Suppliers", country="US", language="en", encoding="utf8", primary="m", source_id="id", registration="mark",
+        columns={"m": ["id", "mark"]}, cadence_days=7, mapping={"registration": Mapping(field="mark"), "status": Mapping(constant="valid")},
+    )
+    store, start = Store(spark, fresh_path(spark, "store")), datetime(2024, 1, 1, tzinfo=timezone.utc)
+    run = lambda days, file=path, to=store: refresh(spark, to, source, {"m": file}, now=start + timedelta(days=days))["status"]
+    out = [("first run", run(0)), ("too early", run(3)), ("unchanged", run(8)), ("dry run", run(20, to=Store(spark, store.base, dry_run=True)))]
+    try:
+        out.append(("of half the rows", run(20, half)))
+    except GuardError:
+        out.append(("of half the rows", "refused"))
+    feed = publish(spark, store, [source.id])
+    out.append(("deploy due", str(deploy_due(store))))
+    mark_deployed(store)
+    publish(spark, store, [source.id])
+    out.append(("once deployed", str(deploy_due(store))))
+    last = suppliers.agg(F.max(F.col("id").cast("int"))).first()[0]
+    out += [("versions of the table", str(store.kept("aircraft/source=suppliers"))), ("versions of the slice", str(store.kept("feed_slice/source=suppliers")))]
+    out += [("rows of the table", str(store.read("aircraft/source=suppliers").count())), ("rows of the feed", str(feed.count()))]
+    out.append(("by mark", lookup(store, [f"a{last}"], "mark").first()["key"]))
+    return spark.createDataFrame(out, "step string, result string")
+
+
+_FEED_ROW = """'{"icao_hex":"' || hex || '","registration_key":"' || mark || '"}'"""
+
+
+@query(f"""
+SELECT n AS rows, {_KEPT} AS digest FROM (SELECT count(*) AS n, {", ".join(f"sum(CAST('0x' || substr(h, {16 * i + 1}, 16) AS UBIGINT)) % CAST('18446744073709551616' AS HUGEINT) AS w{i}" for i in range(4))}
+FROM (SELECT sha256(hex || chr(0) || {_FEED_ROW}) AS h FROM (SELECT lpad(lower(to_hex(o_orderkey)), 6, '0') AS hex, 'N' || o_orderkey AS mark FROM orders)))
+""")
+def feed_digest(spark: SparkSession, sf: str) -> DataFrame:
+    """The digest of a feed's rows."""
+    rows = t(spark, sf, "orders").select(F.lpad(F.lower(F.hex("o_orderkey")), 6, "0").alias("icao_hex"), F.concat(F.lit("N"), F.col("o_orderkey").cast("string")).alias("registration_key"))
+    d = artifact.feed_digest(rows)
+    return spark.createDataFrame([(d.rows, d.text())], "rows long, digest string")
+
+
+@query("""
+SELECT '| ' || event_type || ' | ' || days || ' | 7 | ' || CASE WHEN overdue THEN 'yes' ELSE 'no' END || ' |' AS line, row_number() OVER (ORDER BY event_type) + 1 AS n
+FROM (SELECT event_type, CAST(floor((epoch(TIMESTAMP '2024-06-01 00:00:00') - epoch(date_trunc('second', last))) / 86400) AS BIGINT) AS days,
+  epoch(TIMESTAMP '2024-06-01 00:00:00') - epoch(date_trunc('second', last)) > 7 * 86400 * 1.5 AS overdue FROM (SELECT event_type, max(ts) AS last FROM events GROUP BY event_type))
+UNION ALL SELECT '| source | days since change | cadence | overdue |', 0 UNION ALL SELECT '| --- | --- | --- | --- |', 1
+""")
+def stale_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """The staleness table, a line for each source by name."""
+    rows = [{"source": r["event_type"], "days": r["days"], "cadence_days": 7, "overdue": r["overdue"]} for r in cadence(spark, sf).collect()]  # a row for each source
+    return spark.createDataFrame(list(enumerate(artifact.stale_table(rows).split("\n"))), "n long, line string")
+
+
+@query("""
+SELECT CAST(doc_id AS VARCHAR) AS id, nullif(trim(lang), '') AS lien, nullif(trim(lang), '') AS kept, 'x' || source AS class, 'x' || source AS kept_class FROM documents
+""")
+def record_mirrors(spark: SparkSession, sf: str) -> DataFrame:
+    """Translatable fields keep their source text beside them."""
+    rows = texts(t(spark, sf, "documents"), id="doc_id", lang="lang", c="concat('x', source)")
+    source = Source(
+        id="docs", label="Docs", country="US", language="es", encoding="utf8", primary="m", source_id="id", registration="id",
+        mapping={"registration": Mapping(field="id"), "lien_status": Mapping(field="lang", transform="trim_or_null"), "airworthiness_class": Mapping(field="c")},
+    )
+    made = mapping.with_record(rows, source)
+    return made.select("id", F.col("record.lien_status").alias("lien"), F.col("record.lien_status_source_text").alias("kept"), F.col("record.airworthiness_class").alias("class"), F.col("record.airworthiness_class_source_text").alias("kept_class"))
