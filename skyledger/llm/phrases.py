@@ -1,25 +1,24 @@
 """Phrase collocations, counted in HAT-tries.
 
-Each task counts the phrases of its texts in a trie (``PhraseTrie``): one hash container of
-word-id sequences at first, which bursts into a node with a container for each first word once it
-holds ``BURST`` phrases, and those burst again by the second.  At ``LIMIT`` phrases the
-largest subtrees are spilled whole, as sorted runs of (phrase, count), until half is free.  The runs
-go to the partition of their prefix, the first word, where they are merged; a hot first
+Each task counts the phrases of its texts in a trie of word ids (``PhraseTrie``): below each first
+word is a hash container of what follows, which bursts into one for each second word once it
+holds ``BURST`` phrases.  At ``LIMIT`` phrases the largest subtrees are
+spilled whole, as sorted runs of (phrase, count), until half is free.  The runs go to the partition of their prefix, the first word, where they are merged; a hot first
 word's phrases are dealt by the whole phrase.
 
-Phrases are counted length by length, exactly.  A phrase cannot be frequent unless its parts are, so
-the next reading leaves out phrases with a part that was not.  The frequent ones are passed on as a
-bitmap of ``FILTER_BITS`` hashed bits, whose size does not depend on the corpus: a full one lets
-more phrases through to be counted, and changes no count.
+A phrase cannot be frequent unless its words and pairs of words are.  So texts are read three times: words are
+counted first, then pairs of frequent words by their hash, then the phrases of such pairs in tries, exactly.
+What is frequent is passed on as a bitmap of ``FILTER_BITS`` hashed bits, whose size does not
+depend on the corpus: a full one lets more phrases through to be counted, and changes no count.
 """
 
 from __future__ import annotations
 
-import re
 import string
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
@@ -29,10 +28,14 @@ from .common import materialize, ship, small_batches, table, with_value
 
 #: Words of the longest phrase.
 LONGEST = 4
-#: Phrases of a container before it bursts, and of a trie before it spills.
-BURST, LIMIT = 8192, 400_000
+#: Phrases of a container before it bursts, and of a task's tries before they spill.
+BURST, LIMIT = 4096, 500_000
 #: Words whose id, or whose absence from the filter, a task keeps; longer words than this are looked up each time.
 KEPT_WORDS, KEPT_LENGTH = 400_000, 64
+#: A word's id in a packed sequence.
+ID_BITS = 21
+#: Words that are taken together before they are counted.
+BATCH_WORDS = 300_000
 FILTER_BITS = 1 << 26
 UNKNOWN = "und"
 #: A first word with more than one in so many of all words is hot.
@@ -40,240 +43,328 @@ HOT_SHARE = 1000
 #: Parts that each language's candidates are ranked in before the final ranking.
 RANK_PARTS = 64
 
-_PIECE = re.compile(r"[.,;:!?\x0A-\x0D]+")
-_WORD = re.compile(r"[^\x20\x09]+")
+#: Characters that part pieces; the first, which no word holds, stands for all of them.
+_SEPARATORS = "\n.,;:!?\x0B\x0C\x0D"
+_END = _SEPARATORS[0]
+#: Phrases that are written as one run.
+RUN_ROWS = 1 << 16
+_MASK = (1 << ID_BITS) - 1
+_M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 RUN = "prefix long, lang string, phrase string, f long"
 
 
-def pieces(text: str) -> Iterator[list[str]]:
-    """The words of each piece of a text."""
-    for piece in _PIECE.split(text):
-        if words := _WORD.findall(piece):
-            yield words
+def words_of(text: str) -> list[str]:
+    """The words of a text, with ``_END`` between its pieces."""
+    for c in _SEPARATORS:
+        if c in text:
+            text = text.replace(c, f" {_END} ")
+    return list(filter(None, text.replace("\t", " ").split(" ")))
 
 
-def hash_of(lang: str, phrase: str) -> int:
-    return xxhash.xxh64_intdigest(f"{lang}\t{phrase}".encode(), seed=42)
+def hash_of(lang: str, word: str) -> int:
+    return xxhash.xxh64_intdigest(f"{lang}\t{word}".encode(), seed=42)
+
+
+def mixed(*hashes: np.ndarray) -> np.ndarray:
+    """A hash of each sequence of words from the words' hashes (unsigned 64-bit)."""
+    out = hashes[0]
+    for h in hashes[1:]:
+        out = (out ^ (out >> np.uint64(29))) * _M1 + h
+    return (out ^ (out >> np.uint64(31))) * _M2
+
+
+def _place(mix: np.ndarray) -> np.ndarray:
+    """The bit of the filter."""
+    return (mix >> np.uint64(65 - FILTER_BITS.bit_length())).astype(np.int64)
 
 
 class Inner:
-    """A node of the trie proper: the count of the phrase that ends here, and what begins with each next word."""
+    """A node of the trie below the first word: a container for each second word."""
 
-    __slots__ = ("kids", "own")
+    __slots__ = ("kids",)
 
     def __init__(self) -> None:
-        self.kids: dict[int, Inner | dict] = {}
-        self.own = 0
-
-
-def burst(container: dict[tuple, int]) -> Inner:
-    """A node whose containers hold what follows the first id of each sequence of a container."""
-    node = Inner()
-    for ids, n in container.items():
-        if not ids:
-            node.own += n
-            continue
-        kid = node.kids.get(ids[0])
-        if kid is None:
-            kid = node.kids[ids[0]] = {}
-        kid[ids[1:]] = kid.get(ids[1:], 0) + n
-    return node
-
+        self.kids: dict[int, dict[int, int]] = {}
 
-def entries(node: Inner | dict, before: tuple = ()) -> Iterator[tuple[tuple, int]]:
-    """All (ids, count) below a node."""
-    if isinstance(node, dict):
-        for ids, n in node.items():
-            yield before + ids, n
-    else:
-        if node.own:
-            yield before, node.own
-        for first, kid in node.kids.items():
-            yield from entries(kid, (*before, first))
+    def add(self, rest: int, n: int) -> int:
+        """Adds a count; gives 1 if the phrase is new."""
+        second, rest = rest >> 2 * ID_BITS, rest & (1 << 2 * ID_BITS) - 1
+        kid = self.kids.get(second)
+        if kid is None:
+            kid = self.kids[second] = {}
+        old = kid.get(rest)
+        kid[rest] = n + (old or 0)
+        return old is None
 
 
 class PhraseTrie:
-    """Counts sequences of word ids, ``longest`` words at most."""
+    """Counts sequences of two to four word ids.
+
+    Below each first word is a hash container of what follows, three ids packed into one number (absent ones are 0).
+    A container of more than ``burst_at`` longer sequences bursts into one for each second word.
+    """
 
     def __init__(self, longest: int, burst_at: int = BURST) -> None:
-        self.root: Inner | dict = {}
+        self.root: dict[int, Inner | dict[int, int]] = {}
         self.longest, self.burst_at, self.size = longest, burst_at, 0
 
-    def add(self, ids: tuple) -> None:
-        node, parent, key, left = self.root, None, None, self.longest
-        while type(node) is Inner:
-            if not ids:
-                self.size += not node.own
-                node.own += 1
-                return
-            parent, key, ids, left = node, ids[0], ids[1:], left - 1
-            node = parent.kids.get(key)
-            if node is None:
-                node = parent.kids[key] = {}
-        n = node.get(ids)
-        if n:
-            node[ids] = n + 1
+    def add(self, first: np.ndarray, rest: np.ndarray) -> None:
+        """Counts many sequences; equal ones are put together before they meet the containers."""
+        if not len(first):
             return
-        node[ids] = 1
-        self.size += 1
-        if len(node) > self.burst_at and left > 1:  # single words would not part
-            made = burst(node)
-            if parent is None:
-                self.root = made
-            else:
-                parent.kids[key] = made
-
-    def spill(self, keep: int) -> Iterator[list[tuple[tuple, int]]]:
-        """Takes out the largest subtrees, a run each, until ``keep`` phrases are left."""
-        if isinstance(self.root, dict):
-            subtrees: list[tuple[int, int | None]] = [(self.size, None)]
-        else:
-            if self.root.own:
-                yield [((), self.root.own)]
-                self.root.own, self.size = 0, self.size - 1
-            subtrees = sorted(((sum(1 for _ in entries(kid)), first) for first, kid in self.root.kids.items()), reverse=True)
-        for n, first in subtrees:
+        order = np.lexsort((rest, first))
+        first, rest = first[order], rest[order]
+        new = np.flatnonzero(np.concatenate(([True], (first[1:] != first[:-1]) | (rest[1:] != rest[:-1]))))
+        times = np.diff(np.append(new, len(first))).tolist()
+        first, rest = first[new], rest[new].tolist()
+        begins = np.flatnonzero(np.concatenate(([True], first[1:] != first[:-1])))
+        ends = np.append(begins[1:], len(first)).tolist()
+        for word, a, b in zip(first[begins].tolist(), begins.tolist(), ends, strict=True):
+            node = self.root.get(word)
+            if node is None:
+                node = self.root[word] = {}
+            if type(node) is Inner:
+                self.size += sum(map(node.add, rest[a:b], times[a:b]))
+                continue
+            before, get = len(node), node.get
+            for r, n in zip(rest[a:b], times[a:b], strict=True):
+                node[r] = get(r, 0) + n
+            self.size += len(node) - before
+            if len(node) > self.burst_at and self.longest > 2:  # pairs would not part
+                made = self.root[word] = Inner()
+                for r, n in node.items():
+                    made.add(r, n)
+
+    def spill(self, keep: int) -> Iterator[tuple[int, list[int], list[int]]]:
+        """Takes out the largest subtrees, a run of (first word, rests, counts) each, until ``keep`` phrases are left."""
+        size = lambda node: sum(map(len, node.kids.values())) if type(node) is Inner else len(node)
+        for n, word in sorted(((size(node), word) for word, node in self.root.items()), reverse=True):
             if self.size <= keep:
                 break
-            if first is None:
-                run, self.root = list(entries(self.root)), {}
-            else:
-                run = list(entries(self.root.kids.pop(first), (first,)))
+            node = self.root.pop(word)
             self.size -= n
-            yield run
+            if type(node) is Inner:
+                yield word, [second << 2 * ID_BITS | r for second, kid in node.kids.items() for r in kid], [n for kid in node.kids.values() for n in kid.values()]
+            else:
+                yield word, list(node), list(node.values())
 
 
 class Lookup:
-    """Ids of a language's words that pass the filter, and whether pairs of them do; -1 stands for a word that does not."""
+    """Ids of a language's words that pass the filter, from 1; -1 stands for a word that does not, and for the end of a piece."""
 
-    def __init__(self, lang: str, words: bytes | None, pairs: bytes | None) -> None:
-        self.lang, self.bits, self.pair_bits = lang, words, pairs
+    def __init__(self, lang: str, bits: bytes, hot: frozenset) -> None:
+        self.lang, self.bits, self.hot_words = lang, np.frombuffer(bits, dtype=np.uint8), hot
         self.clear()
 
     def clear(self) -> None:
-        self.ids: dict[str, int] = {}
-        self.names: list[str] = []
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.ids: dict[str, int] = {_END: -1}
+        self.names, self.hashes, self.hot = [""], [0], [False]
 
     def full(self) -> bool:
-        return len(self.ids) >= KEPT_WORDS or len(self.pairs) >= 4 * KEPT_WORDS
-
-    def _has(self, bits: bytes, phrase: str) -> bool:
-        at = hash_of(self.lang, phrase) & (FILTER_BITS - 1)
-        return bool(bits[at >> 3] >> (at & 7) & 1)
-
-    def of(self, words: list[str]) -> list[int]:
-        ids, out = self.ids, []
-        for w in words:
-            i = ids.get(w)
-            if i is None:
-                i = -1
-                if self._has(self.bits, w):
-                    i = len(self.names)
+        return len(self.ids) >= KEPT_WORDS
+
+    def has(self, mix: np.ndarray, bits: np.ndarray) -> np.ndarray:
+        at = _place(mix)
+        return (bits[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
+
+    def of(self, words: list[str]) -> np.ndarray:
+        get = self.ids.get
+        out = np.array([get(w, 0) for w in words], dtype=np.int64)
+        open_ = np.flatnonzero(out == 0)
+        if len(open_):
+            new = list({words[i] for i in open_.tolist()})
+            hashes = [hash_of(self.lang, w) for w in new]
+            known = dict.fromkeys(new, -1)
+            for w, h, ok in zip(new, hashes, self.has(mixed(np.array(hashes, dtype=np.uint64)), self.bits).tolist(), strict=True):
+                if ok:
+                    known[w] = len(self.names)
                     self.names.append(w)
-                if i >= 0 or len(w) <= KEPT_LENGTH:
-                    ids[w] = i
-            out.append(i)
+                    self.hashes.append(h)
+                    self.hot.append((self.lang, w) in self.hot_words)
+                if ok or len(w) <= KEPT_LENGTH:
+                    self.ids[w] = known[w]
+            out[open_] = [known[words[i]] for i in open_.tolist()]
         return out
 
-    def pair(self, a: int, b: int) -> bool:
-        ok = self.pairs.get((a, b))
-        if ok is None:
-            ok = self.pairs[a, b] = self._has(self.pair_bits, f"{self.names[a]} {self.names[b]}")
-        return ok
-
-
-def _count_words(rows: Iterator[tuple[str, str]], limit: int) -> Iterator[list[tuple[str, str | None, int]]]:
-    """Runs of (lang, word, count); the word of a row that counts all words is null."""
+    def runs_of(self, subtrees: Iterator[tuple[int, list[int], list[int]]]) -> Iterator[tuple[str, list, list, list]]:
+        """Subtrees as sorted runs of RUN_ROWS phrases or more: language, partitions of the prefixes, phrases, counts."""
+        firsts: list[int] = []
+        rests: list[int] = []
+        counts: list[int] = []
+        for word, rest, n in subtrees:
+            firsts += [word] * len(rest)
+            rests += rest
+            counts += n
+            if len(counts) >= RUN_ROWS:
+                yield self._run(firsts, rests, counts)
+                firsts, rests, counts = [], [], []
+        if counts:
+            yield self._run(firsts, rests, counts)
+
+    def _run(self, firsts: list[int], rests: list[int], counts: list[int]) -> tuple[str, list, list, list]:
+        first, rest = np.array(firsts, dtype=np.int64), np.array(rests, dtype=np.int64)
+        ids = [first, rest >> 2 * ID_BITS, rest >> ID_BITS & _MASK, rest & _MASK]
+        names = self.names
+        phrases = [f"{names[a]} {names[b]}" for a, b in zip(firsts, ids[1].tolist(), strict=True)]
+        for more in ids[2:]:
+            if more.any():
+                phrases = [f"{p} {names[i]}" if i else p for p, i in zip(phrases, more.tolist(), strict=True)]
+        hashes = np.array(self.hashes, dtype=np.uint64)
+        prefix = np.where(np.array(self.hot)[first], mixed(*(hashes[x] for x in ids)), mixed(hashes[first])).view(np.int64)
+        order = sorted(range(len(phrases)), key=phrases.__getitem__)
+        return self.lang, prefix[order].tolist(), [phrases[i] for i in order], [counts[i] for i in order]
+
+
+def _count_words(rows: Iterator[tuple[str, str]], limit: int) -> Iterator[tuple[str, list, list, list]]:
+    """Runs of words as (lang, prefixes, words, counts); the word that stands for all words is null."""
     seen: dict[str, Counter] = {}
     size = 0
+
+    def run_of(lang, counts):
+        total = sum(counts.values()) - counts.pop(_END, 0)
+        words = sorted(counts)
+        hashes = mixed(np.array([hash_of(lang, w) for w in words], dtype=np.uint64)).view(np.int64).tolist() if words else []
+        return lang, [*hashes, 0], [*words, None], [*map(counts.__getitem__, words), total]
+
     for lang, text in rows:
         counts = seen.setdefault(lang, Counter())
         size -= len(counts)
-        for words in pieces(text):
-            counts.update(words)
-            counts[None] += len(words)
+        counts.update(words_of(text))
         size += len(counts)
         if size > limit:
             for other, c in seen.items():
-                yield [(other, w, n) for w, n in sorted(c.items(), key=lambda x: x[0] or "")]
+                yield run_of(other, c)
             seen, size = {}, 0
     for lang, c in seen.items():
-        yield [(lang, w, n) for w, n in sorted(c.items(), key=lambda x: x[0] or "")]
-
-
-def _count_phrases(rows: Iterator[tuple[str, str]], words: bytes, pairs: bytes | None, limit: int, longest: int) -> Iterator[list[tuple[str, str, int]]]:
-    """Runs of (lang, phrase, count): phrases of two words, or with ``pairs`` those of three to ``longest``."""
-    tries: dict[str, tuple[PhraseTrie, Lookup]] = {}
-    held = 0  # phrases in all tries
-
-    def run_of(found, lookup):
-        named = [(" ".join(lookup.names[i] for i in ids), n) for ids, n in found]
-        return [(lookup.lang, phrase, n) for phrase, n in sorted(named)]
+        yield run_of(lang, c)
+
+
+def _sequences(ids: np.ndarray, ok: np.ndarray, longest: int) -> tuple[np.ndarray, np.ndarray]:
+    """(first, rest) of all sequences of two or more words whose neighbouring pairs are all ``ok``."""
+    firsts, rests = [], []
+    for n in range(2, longest + 1):
+        at = np.flatnonzero(np.logical_and.reduce([ok[i : len(ok) - n + 2 + i] for i in range(n - 1)])) if len(ok) >= n - 1 else np.empty(0, dtype=np.int64)
+        firsts.append(ids[at])
+        rests.append(sum((ids[at + i] << (3 - i) * ID_BITS for i in range(1, n)), np.zeros(len(at), dtype=np.int64)))
+    return np.concatenate(firsts), np.concatenate(rests)
+
+
+def _batches(rows: Iterator[tuple[str, str]], lookups: dict[str, Lookup], words: bytes, hot: frozenset) -> Iterator[list[tuple[Lookup, np.ndarray]]]:
+    """Of BATCH_WORDS words each, the ids of each language's words, ends of pieces among them."""
+    waiting: dict[str, list[str]] = {}
+    n = 0
+
+    def taken():
+        for lang in waiting:
+            if lang not in lookups:
+                lookups[lang] = Lookup(lang, words, hot)
+        out = [(lookups[lang], lookups[lang].of(found)) for lang, found in waiting.items()]
+        waiting.clear()
+        return out
 
     for lang, text in rows:
-        if lang not in tries:
-            tries[lang] = PhraseTrie(longest if pairs else 2), Lookup(lang, words, pairs)
-        trie, lookup = tries[lang]
-        add, pair = trie.add, lookup.pair
-        held -= trie.size
-        for found in pieces(text):
-            if len(found) < 2:
-                continue
-            ids = lookup.of(found)
-            if pairs is None:
-                a = ids[0]
-                for b in ids[1:]:
-                    if a >= 0 and b >= 0:
-                        add((a, b))
-                    a = b
-            else:
-                begin = 0  # of the present stretch of frequent pairs
-                for i in range(1, len(ids) + 1):
-                    if i < len(ids) and ids[i - 1] >= 0 and ids[i] >= 0 and pair(ids[i - 1], ids[i]):
-                        continue
-                    stretch = tuple(ids[begin:i])
-                    for n in range(3, min(longest, len(stretch)) + 1):
-                        for j in range(len(stretch) - n + 1):
-                            add(stretch[j : j + n])
-                    begin = i
-        if lookup.full():  # its ids go, so its phrases do
-            for found in trie.spill(0):
-                yield run_of(found, lookup)
-            lookup.clear()
-        held += trie.size
-        if held > limit:
-            most, of = max(tries.values(), key=lambda x: x[0].size)
-            held -= most.size
-            for found in most.spill(most.size // 2):
-                yield run_of(found, of)
-            held += most.size
-    for trie, lookup in tries.values():
-        for found in trie.spill(0):
-            yield run_of(found, lookup)
-
-
-def _runs(texts: DataFrame, count, hot: frozenset) -> DataFrame:
+        found = words_of(text)
+        waiting.setdefault(lang, []).extend(found)
+        waiting[lang].append(_END)
+        n += len(found) + 1
+        if n >= BATCH_WORDS:
+            yield taken()
+            n = 0
+    yield taken()
+
+
+def _pair_hashes(lookup: Lookup, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which neighbours are known words both, and the hashes of those pairs."""
+    hashes = np.array(lookup.hashes, dtype=np.uint64)
+    known = (ids[:-1] > 0) & (ids[1:] > 0)
+    return known, mixed(hashes[ids[:-1][known]], hashes[ids[1:][known]])
+
+
+def _count_pairs(rows: Iterator[tuple[str, str]], words: bytes, limit: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Runs of (hash, count) of the pairs of known words; a run has ``limit`` pairs at most, or those of one batch."""
+    lookups: dict[str, Lookup] = {}
+    held: list[np.ndarray] = []
+    times: list[np.ndarray] = []
+
+    def merged():
+        every, n = np.concatenate(held), np.concatenate(times)
+        order = np.argsort(every, kind="stable")
+        every, n = every[order], n[order]
+        new = np.flatnonzero(np.concatenate(([True], every[1:] != every[:-1])))
+        return every[new], np.add.reduceat(n, new)
+
+    size = 0
+    for batch in _batches(rows, lookups, words, frozenset()):
+        for lookup, ids in batch:
+            found, n = np.unique(_pair_hashes(lookup, ids)[1], return_counts=True)
+            held.append(found)
+            times.append(n)
+            size += len(found)
+            if lookup.full():
+                lookup.clear()
+        if size > 2 * limit:
+            held[:], times[:] = ([x] for x in merged())
+            size = len(held[0])
+            if size > limit:
+                yield held.pop(), times.pop()
+                size = 0
+    if size:
+        yield merged()
+
+
+def _count_phrases(
+    rows: Iterator[tuple[str, str]], words: bytes, pairs: bytes, hot: frozenset, limit: int, longest: int
+) -> Iterator[tuple[str, list, list, list]]:
+    """Runs of (lang, prefixes, phrases, counts): phrases of two words and more, of words and pairs that pass the filters."""
+    lookups: dict[str, Lookup] = {}
+    tries: dict[str, PhraseTrie] = {}
+    bits = np.frombuffer(pairs, dtype=np.uint8)
+    for batch in _batches(rows, lookups, words, hot):
+        for lookup, ids in batch:
+            trie = tries.setdefault(lookup.lang, PhraseTrie(longest))
+            ok, hashes = _pair_hashes(lookup, ids)
+            ok[ok] = lookup.has(hashes, bits)
+            trie.add(*_sequences(ids, ok, longest))
+            if lookup.full():  # its ids go, so its phrases do
+                yield from lookup.runs_of(trie.spill(0))
+                lookup.clear()
+        while sum(t.size for t in tries.values()) > limit:
+            lang, most = max(tries.items(), key=lambda x: x[1].size)
+            yield from lookups[lang].runs_of(most.spill(most.size // 2))
+    for lang, trie in tries.items():
+        yield from lookups[lang].runs_of(trie.spill(0))
+
+
+def _runs(texts: DataFrame, count: Callable[[Iterator[tuple[str, str]]], Iterator[tuple[str, list, list, list]]]) -> DataFrame:
     """The runs that the tasks spill, with the partition of each phrase's prefix."""
 
     def run(batches):
         rows = ((lang, text) for b in batches for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True))
-        for found in count(rows):
-            for at in range(0, len(found), 4096):
-                part = found[at : at + 4096]
-                prefix = []
-                for lang, phrase, _ in part:
-                    first = (phrase or "").partition(" ")[0]
-                    prefix.append(hash_of(lang, (phrase or "") if (lang, first) in hot else first) - (1 << 63))
-                columns = list(zip(*part, strict=True))
-                yield pa.RecordBatch.from_arrays([pa.array(prefix, pa.int64()), pa.array(columns[0], pa.string()), pa.array(columns[1], pa.string()), pa.array(columns[2], pa.int64())], names=["prefix", "lang", "phrase", "f"])
+        held: list[list] = [[], [], [], []]
+
+        def batch():
+            types = (pa.int64(), pa.string(), pa.string(), pa.int64())
+            out = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(held, types, strict=True)], names=["prefix", "lang", "phrase", "f"])
+            for c in held:
+                c.clear()
+            return out
+
+        for lang, prefix, phrase, n in count(rows):
+            for at in range(0, len(phrase), 8192):
+                part = phrase[at : at + 8192]
+                for c, more in zip(held, (prefix[at : at + 8192], [lang] * len(part), part, n[at : at + 8192]), strict=True):
+                    c += more
+                if len(held[0]) >= 8192:
+                    yield batch()
+        if held[0]:
+            yield batch()
 
     return texts.mapInArrow(run, RUN)
 
 
 def _merged(runs: DataFrame) -> DataFrame:
     """(lang, phrase, f): the runs of each prefix partition merged."""
-    return runs.repartition("prefix").groupBy("prefix", "lang", "phrase").agg(F.sum("f").alias("f")).drop("prefix")
+    return runs.repartition("prefix").groupBy("prefix", "lang", "phrase").agg(F.sum("f").alias("f"))
 
 
 def _key(lang, phrase):
@@ -281,16 +372,17 @@ def _key(lang, phrase):
     return F.concat(lang, F.lit("\t"), phrase)
 
 
-def bitmap(frequent: DataFrame) -> bytes:
-    """The filter of (lang, phrase): FILTER_BITS bits, whatever the number of phrases."""
-    at = F.pmod(F.xxhash64(_key(F.col("lang"), F.col("phrase"))), F.lit(FILTER_BITS))
-    bits = frequent.select(at.cast("int").alias("at")).distinct().withColumn("part", F.shiftright("at", 16))
+def bitmap(hashes: DataFrame) -> bytes:
+    """The filter of mixed hashes (h): FILTER_BITS bits, whatever their number."""
+    at = F.shiftrightunsigned("h", 65 - FILTER_BITS.bit_length()).cast("int")
+    bits = hashes.select(at.alias("at")).distinct().withColumn("part", F.shiftright("at", 16))
 
     def packed(key, t):
-        out = bytearray(1 << 13)
-        for at in t.column("at").to_pylist():
-            out[(at & 0xFFFF) >> 3] |= 1 << (at & 7)
-        return pa.table({"part": [key[0].as_py()], "bits": pa.array([bytes(out)], pa.binary())}, schema=pa.schema([("part", pa.int32()), ("bits", pa.binary())]))
+        at = t.column("at").to_numpy() & 0xFFFF
+        of = np.zeros(1 << 16, dtype=bool)
+        of[at] = True
+        made = np.packbits(of, bitorder="little").tobytes()
+        return pa.table({"part": [key[0].as_py()], "bits": [made]}, schema=pa.schema([("part", pa.int32()), ("bits", pa.binary())]))
 
     out = bytearray(FILTER_BITS >> 3)
     for r in bits.groupBy("part").applyInArrow(packed, "part int, bits binary").collect():  # FILTER_BITS / 8 bytes at most
@@ -305,28 +397,30 @@ def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "l
     small_batches(spark)
     lower = F.translate(F.coalesce(F.col(text_col), F.lit("")), string.ascii_uppercase, string.ascii_lowercase)
     texts = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit(UNKNOWN)).alias("lang"), lower.alias("text"))
-    counted = _merged(_runs(texts, lambda rows: _count_words(rows, limit), frozenset()))
+    counted = _merged(_runs(texts, lambda rows: _count_words(rows, limit)))
     words = materialize(counted.where((F.col("f") >= least) | F.col("phrase").isNull()), "words")
     totals = words.where("phrase IS NULL").select("lang", F.col("f").alias("n"))
     words = words.where("phrase IS NOT NULL")
+    if longest < 2:
+        return words.drop("prefix"), totals
     all_words = totals.agg(F.sum("n")).first()[0] or 0
     hot = frozenset((r.lang, r.phrase) for r in words.where(F.col("f") > all_words // HOT_SHARE).collect())  # HOT_SHARE rows at most
-    word_bits = spark.sparkContext.broadcast(bitmap(words))
-    found = [words]
-    if longest > 1:
-        runs = _runs(texts, lambda rows: _count_phrases(rows, word_bits.value, None, limit, longest), hot)
-        pairs = materialize(_merged(runs).where(F.col("f") >= least), "pairs")
-        found.append(pairs)
-    if longest > 2:
-        pair_bits = spark.sparkContext.broadcast(bitmap(pairs))
-        runs = _runs(texts, lambda rows: _count_phrases(rows, word_bits.value, pair_bits.value, limit, longest), hot)
-        found.append(materialize(_merged(runs).where(F.col("f") >= least), "longer"))
-        pair_bits.destroy()
+    word_bits = spark.sparkContext.broadcast(bitmap(words.select(F.col("prefix").alias("h"))))  # a word's partition is its hash
+
+    def of_pairs(batches):
+        rows = ((lang, text) for b in batches for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True))
+        for h, n in _count_pairs(rows, word_bits.value, limit):
+            for at in range(0, len(h), 1 << 16):
+                yield pa.RecordBatch.from_arrays([pa.array(h[at : at + (1 << 16)].view(np.int64)), pa.array(n[at : at + (1 << 16)])], names=["h", "n"])
+
+    # Pairs by their hash alone: few bytes a pair, and hashes that fall together let more phrases through.
+    pairs = texts.mapInArrow(of_pairs, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+    pair_bits = spark.sparkContext.broadcast(bitmap(pairs))
+    runs = _runs(texts, lambda rows: _count_phrases(rows, word_bits.value, pair_bits.value, hot, limit, longest))
+    longer = materialize(_merged(runs).where(F.col("f") >= least), "phrases")
     word_bits.destroy()
-    out = found[0]
-    for more in found[1:]:
-        out = out.unionByName(more)
-    return out, totals
+    pair_bits.destroy()
+    return words.unionByName(longer).drop("prefix"), totals
 
 
 def collocations(
