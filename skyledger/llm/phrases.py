@@ -7,7 +7,7 @@ spilled whole, as sorted runs of (phrase, count), until half is free.  The runs
 word's phrases are dealt by the whole phrase.
 
 A phrase cannot be frequent unless its words and pairs of words are.  So texts are read three times: words are
-counted first, then pairs of frequent words by their hash, then the phrases of such pairs in tries, exactly.
+counted first, then pairs of frequent words by their hashed place in a filter, then the phrases of such pairs in tries, exactly.
 What is frequent is passed on as a bitmap of ``FILTER_BITS`` hashed bits, whose size does not
 depend on the corpus: a full one lets more phrases through to be counted, and changes no count.
 """
@@ -30,6 +30,8 @@ from .common import materialize, ship, small_batches, table, with_value
 LONGEST = 4
 #: Phrases of a container before it bursts, and of a task's tries before they spill.
 BURST, LIMIT = 4096, 500_000
+#: Different pairs that a task holds, two numbers each.
+PAIR_LIMIT = 4_000_000
 #: Words whose id, or whose absence from the filter, a task keeps; longer words than this are looked up each time.
 KEPT_WORDS, KEPT_LENGTH = 400_000, 64
 #: A word's id in a packed sequence.
@@ -216,15 +218,14 @@ class Lookup:
 
 
 def _count_words(rows: Iterator[tuple[str, str]], limit: int) -> Iterator[tuple[str, list, list, list]]:
-    """Runs of words as (lang, prefixes, words, counts); the word that stands for all words is null."""
+    """Runs of words as (lang, prefixes, words, counts); the word that stands for all words is null, and prefixes are not needed."""
     seen: dict[str, Counter] = {}
     size = 0
 
     def run_of(lang, counts):
         total = sum(counts.values()) - counts.pop(_END, 0)
         words = sorted(counts)
-        hashes = mixed(np.array([hash_of(lang, w) for w in words], dtype=np.uint64)).view(np.int64).tolist() if words else []
-        return lang, [*hashes, 0], [*words, None], [*map(counts.__getitem__, words), total]
+        return lang, [0] * (len(words) + 1), [*words, None], [*map(counts.__getitem__, words), total]
 
     for lang, text in rows:
         counts = seen.setdefault(lang, Counter())
@@ -281,7 +282,7 @@ def _pair_hashes(lookup: Lookup, ids: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 def _count_pairs(rows: Iterator[tuple[str, str]], words: bytes, limit: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Runs of (hash, count) of the pairs of known words; a run has ``limit`` pairs at most, or those of one batch."""
+    """Runs of (place in the filter, count) of the pairs of known words; a task holds ``limit`` places, or those of two batches."""
     lookups: dict[str, Lookup] = {}
     held: list[np.ndarray] = []
     times: list[np.ndarray] = []
@@ -296,16 +297,16 @@ def _count_pairs(rows: Iterator[tuple[str, str]], words: bytes, limit: int) -> I
     size = 0
     for batch in _batches(rows, lookups, words, frozenset()):
         for lookup, ids in batch:
-            found, n = np.unique(_pair_hashes(lookup, ids)[1], return_counts=True)
+            found, n = np.unique(_place(_pair_hashes(lookup, ids)[1]).astype(np.int32), return_counts=True)
             held.append(found)
             times.append(n)
             size += len(found)
             if lookup.full():
                 lookup.clear()
-        if size > 2 * limit:
+        if size > limit:
             held[:], times[:] = ([x] for x in merged())
             size = len(held[0])
-            if size > limit:
+            if size > limit // 2:
                 yield held.pop(), times.pop()
                 size = 0
     if size:
@@ -364,7 +365,7 @@ def _runs(texts: DataFrame, count: Callable[[Iterator[tuple[str, str]]], Iterato
 
 def _merged(runs: DataFrame) -> DataFrame:
     """(lang, phrase, f): the runs of each prefix partition merged."""
-    return runs.repartition("prefix").groupBy("prefix", "lang", "phrase").agg(F.sum("f").alias("f"))
+    return runs.repartition("prefix").groupBy("prefix", "lang", "phrase").agg(F.sum("f").alias("f")).drop("prefix")
 
 
 def _key(lang, phrase):
@@ -372,10 +373,21 @@ def _key(lang, phrase):
     return F.concat(lang, F.lit("\t"), phrase)
 
 
-def bitmap(hashes: DataFrame) -> bytes:
-    """The filter of mixed hashes (h): FILTER_BITS bits, whatever their number."""
-    at = F.shiftrightunsigned("h", 65 - FILTER_BITS.bit_length()).cast("int")
-    bits = hashes.select(at.alias("at")).distinct().withColumn("part", F.shiftright("at", 16))
+def word_places(words: DataFrame) -> DataFrame:
+    """(at): the places of words (lang, phrase) in the filter."""
+
+    def run(batches):
+        for b in batches:
+            hashes = [hash_of(lang, w) for lang, w in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)]
+            at = _place(mixed(np.array(hashes, dtype=np.uint64)))
+            yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32))], names=["at"])
+
+    return words.select("lang", "phrase").mapInArrow(run, "at int")
+
+
+def bitmap(places: DataFrame) -> bytes:
+    """The filter of places (at): FILTER_BITS bits, whatever their number."""
+    bits = places.select("at").distinct().withColumn("part", F.shiftright("at", 16))
 
     def packed(key, t):
         at = t.column("at").to_numpy() & 0xFFFF
@@ -397,30 +409,31 @@ def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "l
     small_batches(spark)
     lower = F.translate(F.coalesce(F.col(text_col), F.lit("")), string.ascii_uppercase, string.ascii_lowercase)
     texts = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit(UNKNOWN)).alias("lang"), lower.alias("text"))
-    counted = _merged(_runs(texts, lambda rows: _count_words(rows, limit)))
+    found = _runs(texts, lambda rows: _count_words(rows, limit)).drop("prefix")
+    counted = found.repartition("lang", "phrase").groupBy("lang", "phrase").agg(F.sum("f").alias("f"))  # combined by the tasks before
     words = materialize(counted.where((F.col("f") >= least) | F.col("phrase").isNull()), "words")
     totals = words.where("phrase IS NULL").select("lang", F.col("f").alias("n"))
     words = words.where("phrase IS NOT NULL")
     if longest < 2:
-        return words.drop("prefix"), totals
+        return words, totals
     all_words = totals.agg(F.sum("n")).first()[0] or 0
     hot = frozenset((r.lang, r.phrase) for r in words.where(F.col("f") > all_words // HOT_SHARE).collect())  # HOT_SHARE rows at most
-    word_bits = spark.sparkContext.broadcast(bitmap(words.select(F.col("prefix").alias("h"))))  # a word's partition is its hash
+    word_bits = spark.sparkContext.broadcast(bitmap(word_places(words)))
 
     def of_pairs(batches):
         rows = ((lang, text) for b in batches for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True))
-        for h, n in _count_pairs(rows, word_bits.value, limit):
-            for at in range(0, len(h), 1 << 16):
-                yield pa.RecordBatch.from_arrays([pa.array(h[at : at + (1 << 16)].view(np.int64)), pa.array(n[at : at + (1 << 16)])], names=["h", "n"])
+        for at, n in _count_pairs(rows, word_bits.value, PAIR_LIMIT):
+            for i in range(0, len(at), 1 << 16):
+                yield pa.RecordBatch.from_arrays([pa.array(at[i : i + (1 << 16)]), pa.array(n[i : i + (1 << 16)])], names=["at", "n"])
 
-    # Pairs by their hash alone: few bytes a pair, and hashes that fall together let more phrases through.
-    pairs = texts.mapInArrow(of_pairs, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+    # Pairs by their place in the filter alone: few bytes a pair, and pairs that fall together let more phrases through.
+    pairs = texts.mapInArrow(of_pairs, "at int, n long").repartition("at").groupBy("at").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
     pair_bits = spark.sparkContext.broadcast(bitmap(pairs))
     runs = _runs(texts, lambda rows: _count_phrases(rows, word_bits.value, pair_bits.value, hot, limit, longest))
     longer = materialize(_merged(runs).where(F.col("f") >= least), "phrases")
     word_bits.destroy()
     pair_bits.destroy()
-    return words.unionByName(longer).drop("prefix"), totals
+    return words.unionByName(longer), totals
 
 
 def collocations(
