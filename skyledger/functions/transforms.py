@@ -169,8 +169,7 @@ def _month_name_parts(t: Column) -> Column:
 SCALAR["date_dmmmyy_or_null"] = Steps(trim, _month_name_parts, in_calendar)
 
 
-def _date_parts(v: Column) -> Column:
-    parts = _json_array(v)
+def _date_parts(parts: Column) -> Column:
     whole = F.forall(parts, lambda x: F.schema_of_variant(x) == "BIGINT")
     text = F.transform(parts, lambda x: F.try_variant_get(x, "$", "string"))
     at = lambda i, n: F.lpad(F.try_element_at(text, F.lit(i)), n, "0")
@@ -178,9 +177,6 @@ def _date_parts(v: Column) -> Column:
     return F.when((F.size(parts) == 3) & whole & fits, ymd(at(1, 4), at(2, 2), at(3, 2)))
 
 
-SCALAR["foca_date_array_or_null"] = Steps(_date_parts, in_calendar)
-
-
 # Marks and addresses
 
 SCALAR |= {
@@ -214,7 +210,7 @@ def _class_code(v: Column) -> Column:
     )
 
 
-# Cells that hold JSON
+# Cells that hold JSON: a step for the array, one for the element, one for its text, so that a cell is parsed once.
 
 
 def _json_array(v: Column) -> Column:
@@ -227,96 +223,109 @@ def _text(x: Column, path: str) -> Column:
     return F.when(F.schema_of_variant(F.try_variant_get(x, path, "variant")) == "STRING", trim(F.try_variant_get(x, path, "string"))).otherwise("")
 
 
-@register_scalar("no_hex_or_null")
-def _radix_hex(v: Column) -> Column:
-    with_hex = F.filter(_json_array(v), lambda x: F.schema_of_variant(F.try_variant_get(x, "$.Heksadesimal", "variant")) == "STRING")
-    h = F.lower(_text(_first(with_hex), "$.Heksadesimal"))
-    return F.when(h.rlike("^[0-9a-f]{1,6}$"), F.lpad(h, 6, "0"))
+def _stated_text(path: str) -> Callable[[Column], Column]:
+    return lambda x: or_null(_text(x, path))
+
+
+SCALAR["foca_date_array_or_null"] = Steps(_json_array, _date_parts, in_calendar)
+
+SCALAR["no_hex_or_null"] = Steps(
+    _json_array,
+    lambda a: _first(F.filter(a, lambda x: F.schema_of_variant(F.try_variant_get(x, "$.Heksadesimal", "variant")) == "STRING")),
+    lambda x: F.lower(_text(x, "$.Heksadesimal")),
+    lambda h: F.when(h.rlike("^[0-9a-f]{1,6}$"), F.lpad(h, 6, "0")),
+)
 
 
 def _party(x: Column) -> Column:
     return F.struct(_text(x, "$.NOME").alias("name"), _text(x, "$.DOCUMENTO").alias("doc"), _text(x, "$.UF").alias("state"))
 
 
-def _same_party(v: Column) -> tuple[Column, Column]:
+def _same_party(every: Column) -> Column:
     """All parties of a cell, and those that are the first one again (by its document)."""
-    every = F.transform(_json_array(v), _party)
     first = _first(every)
-    return every, F.when(first["doc"] == "", F.slice(every, 1, 1)).otherwise(F.filter(every, lambda p: p["doc"] == first["doc"]))
+    same = F.when(first["doc"] == "", F.slice(every, 1, 1)).otherwise(F.filter(every, lambda p: p["doc"] == first["doc"]))
+    return F.struct(every.alias("every"), same.alias("same"))
 
 
-def _stated(v: Column, name: str) -> Column:
-    values = F.transform(_same_party(v)[1], lambda p: p[name])
+def _stated(p: Column, name: str) -> Column:
+    values = F.transform(p["same"], lambda x: x[name])
     return _first(F.filter(values, lambda s: (s != "") & (s != UNDISCLOSED)))
 
 
-@register_scalar("br_party_kind")
-def _document_kind(v: Column) -> Column:
-    every, same = _same_party(v)
-    docs = F.transform(every, lambda p: p["doc"])
+def _document_kind(p: Column) -> Column:
+    docs = F.transform(p["every"], lambda x: x["doc"])
     parties = F.size(F.filter(docs, lambda d: d == "")) + F.size(F.array_distinct(F.filter(docs, lambda d: d != "")))
-    size = F.length(_first(same)["doc"])
-    hidden = _stated(v, "name").isNull() & (_first(same)["name"] == UNDISCLOSED)
+    first = _first(p["same"])
+    size = F.length(first["doc"])
+    hidden = _stated(p, "name").isNull() & (first["name"] == UNDISCLOSED)
     one = F.when(hidden | (size == 0), null()).when(size == 14, "corporation").when(size == 11, "individual").otherwise("other")
     return F.when(parties > 1, "co-owner").when(parties == 1, one)
 
 
-SCALAR["br_party_name"] = lambda v: _stated(v, "name")
-SCALAR["br_party_state"] = lambda v: _stated(v, "state")
+_parties = Steps(_json_array, lambda a: F.transform(a, _party), _same_party)
+SCALAR |= {
+    "br_party_name": Steps(_parties, lambda p: _stated(p, "name")),
+    "br_party_state": Steps(_parties, lambda p: _stated(p, "state")),
+    "br_party_kind": Steps(_parties, _document_kind),
+}
 
 
-def _role(x: Column) -> Column:
-    path = "$.holderCategory.categoryNames.en"
-    return F.when(F.schema_of_variant(F.try_variant_get(x, path, "variant")) == "STRING", F.try_variant_get(x, path, "string"))
+def _has_role(x: Column, *roles: str) -> Column:
+    """Whether an element has one of the roles; the text of a number, object or array is none of them."""
+    return F.try_variant_get(x, "$.holderCategory.categoryNames.en", "string").isin(*roles)
 
 
-def _swiss(v: Column, role: str, path: str) -> Column:
-    main = _first(F.filter(_json_array(v), lambda x: _role(x) == role))
-    return or_null(_text(main, path))
+def _swiss(role: str, path: str) -> Steps:
+    return Steps(_json_array, lambda a: _first(F.filter(a, lambda x: _has_role(x, role))), _stated_text(path))
+
+
+def _several(*roles: str) -> Steps:
+    return Steps(_json_array, lambda a: F.when(F.size(F.filter(a, lambda x: _has_role(x, *roles))) > 1, "co-owner"))
 
 
 for _who in ("owner", "operator"):
     _main, _part = f"Main {_who.title()}", f"Part {_who.title()}"
     SCALAR |= {
-        f"foca_{_who}_name": lambda v, r=_main: _swiss(v, r, "$.ownerOperator"),
-        f"foca_{_who}_state": lambda v, r=_main: F.when(_swiss(v, r, "$.address.extraLine").isin(CANTONS), _swiss(v, r, "$.address.extraLine")),
-        f"foca_{_who}_country": lambda v, r=_main: _swiss(v, r, "$.address.country"),
-        f"foca_{_who}_kind": lambda v, r=(_main, _part): F.when(
-            F.size(F.filter(_json_array(v), lambda x: _role(x).isin(*r))) > 1, "co-owner"
-        ),
+        f"foca_{_who}_name": _swiss(_main, "$.ownerOperator"),
+        f"foca_{_who}_state": Steps(_swiss(_main, "$.address.extraLine"), lambda s: F.when(s.isin(CANTONS), s)),
+        f"foca_{_who}_country": _swiss(_main, "$.address.country"),
+        f"foca_{_who}_kind": _several(_main, _part),
     }
 
 
-def _contact(v: Column) -> Column:
-    owners = _json_array(v)
+def _contact(owners: Column) -> Column:
     flagged = F.filter(owners, lambda x: F.try_variant_get(x, "$['Eier type']", "string") == "Eier/Kontakt")
     return F.coalesce(_first(flagged), _first(owners))
 
 
-SCALAR["no_owner_name"] = lambda v: or_null(_text(_contact(v), "$.Navn"))
-SCALAR["no_owner_country"] = lambda v: or_null(_text(_contact(v), "$.Land"))
+SCALAR["no_owner_name"] = Steps(_json_array, _contact, _stated_text("$.Navn"))
+SCALAR["no_owner_country"] = Steps(_json_array, _contact, _stated_text("$.Land"))
 
 
-@register_scalar("no_owner_kind")
-def _norwegian_kind(v: Column) -> Column:
-    owners = _json_array(v)
+def _norwegian_kind(owners: Column) -> Column:
     only = _first(owners)
     one = F.when(_text(only, "$.Navn") == "", null()).when(_text(only, "$.Organisasjonsnummer") != "", "corporation")
     return F.when(F.size(owners) > 1, "co-owner").when(F.size(owners) == 1, one.when(_text(only, "$.Land") == "Norge", "individual"))
 
 
+SCALAR["no_owner_kind"] = Steps(_json_array, _norwegian_kind)
+
+
 # Arrays
 
 ARRAY["faa_cert_ops"] = lambda v: F.filter(F.split(F.substring(trim(v), 2, 1 << 30), ""), lambda c: c != "")
 
 
-@register_array("no_airworthiness_classes")
-def _classes(v: Column) -> Column:
-    texts = F.filter(_json_array(v), lambda x: F.schema_of_variant(x) == "STRING")
+def _classes(a: Column) -> Column:
+    texts = F.filter(a, lambda x: F.schema_of_variant(x) == "STRING")
     out = F.filter(F.transform(texts, lambda x: trim(F.try_variant_get(x, "$", "string"))), lambda s: s != "")
     return F.coalesce(out, F.array().cast("array<string>"))
 
 
+ARRAY["no_airworthiness_classes"] = Steps(_json_array, _classes)
+
+
 # Compounds
 
 

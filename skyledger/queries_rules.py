@@ -6,16 +6,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .config import Mapping, Merge
+from .functions.text import staged
 from .functions.transforms import ARRAY, SCALAR
 from .operators import feed, localize, mapping
 from .operators.resolve import resolve
-from .queries import query, record_struct, t, texts
+from .queries import query, record_struct, spread, t, texts
 
 
 def _applied(df: DataFrame, **made: tuple[str, str]) -> DataFrame:
     """The id and, for each name, a scalar transform of an expression."""
     cells = df.select("id", *[F.expr(e).alias(n) for n, (_, e) in made.items()])
-    return cells.select("id", *[SCALAR[f](F.col(n)).alias(n) for n, (f, _) in made.items()])
+    return staged(cells, {n: (SCALAR[f], F.col(n)) for n, (f, _) in made.items()})
 
 
 @query("""
@@ -94,7 +95,7 @@ def transform_holder_parties(spark: SparkSession, sf: str) -> DataFrame:
     some = lambda x, condition: f"CASE WHEN {condition} THEN array({x}) ELSE array() END"
     operators = f"concat(array({operator}), {some(part('Operator'), 'c_custkey % 5 = 0')})"
     cell = f"to_json(concat({some(part('Owner'), 'c_custkey % 3 = 0')}, array({owner}), CASE WHEN c_custkey % 4 <> 0 THEN {operators} ELSE array() END))"
-    c = t(spark, sf, "customer").select(F.col("c_custkey").alias("id"), F.expr(cell).alias("cell"))
+    c = spread(t(spark, sf, "customer").select("c_custkey", "c_name"), "c_custkey").select(F.col("c_custkey").alias("id"), F.expr(cell).alias("cell"))
     return _applied(c, **{f"{who}_{what}": (f"foca_{who}_{what}", "cell") for who in ("owner", "operator") for what in ("name", "state", "country", "kind")})
 
 
