@@ -58,7 +58,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a Parquet table in the shared folder, which outlives executors; its lineage is cut."""
     path = fresh_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._written = path
+    return out
+
+
+def unwritten(df: DataFrame) -> None:
+    """Removes a table that ``written`` has made, once nothing reads it any more."""
+    path, fs = hadoop_path(df.sparkSession, df._written)
+    fs.delete(path, True)
 
 
 def hadoop_path(spark: SparkSession, name: str):

@@ -14,7 +14,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..cluster import hadoop_path
+from ..cluster import hadoop_path, unwritten, written
 from ..config import Source
 from ..operators import localize
 from ..operators.artifact import MIN_RETAINED, SCHEMA_VERSION, feed_hash, flatten, guard_counts, next_state, record_digest, write_sorted, write_table
@@ -243,12 +243,13 @@ def refresh(
         assert_clean(done)
         prior = state and state.get("record_count")
         guard_counts(done.stats["ok"], prior)
-        upstream = record_digest(done.records).text()
+        digest = record_digest(done.records)
+        upstream = digest.text()
         records, rendered = done.records, {}
         if render and source.language != "en":
             whole = bool(prior) and done.stats["ok"] / prior >= MIN_RETAINED
             records, rendered = localized(spark, store, records, render, excluded, prune=whole)
-        digest = record_digest(records)
+            digest = record_digest(records)
         content = digest.text(str(SCHEMA_VERSION))
         known = state is not None and state.get("content_hash") == content and state.get("schema_version") == SCHEMA_VERSION
         if not known or not store.has(table_of):
@@ -356,7 +357,8 @@ def publish(spark: SparkSession, store: Store, sources: list[str], report: dict
     every = slices[0]
     for s in slices[1:]:
         every = every.unionByName(s)
-    merged = first_by_hex(every, "icao_hex", ["source", "registration"]).persist()
+    merged = first_by_hex(every, "icao_hex", ["source", "registration"])
+    merged = written(merged, "merged")  # in no executor's memory
     try:
         ambiguous = ambiguity_report(merged)
         feed = clear_ambiguous(merged)
@@ -374,7 +376,7 @@ def publish(spark: SparkSession, store: Store, sources: list[str], report: dict
         return out
     finally:
         if not store.dry_run:
-            merged.unpersist()
+            unwritten(merged)
 
 
 def lookup(store: Store, keys: list[str], kind: str = "hex", attributions: dict[str, str] | None = None, fallback: str = "") -> DataFrame:

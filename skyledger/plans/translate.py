@@ -7,11 +7,12 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..cluster import unwritten, written
 from ..config import Source
 from ..operators.artifact import guard_published
 from ..operators.joins import GuardError, assert_consistent, assert_hits, cell, latest_snapshot, lookup_join
 from ..operators.mapping import source_id, with_record
-from ..operators.resolve import resolve
+from ..operators.resolve import ROWS_PER_TASK, resolve
 
 
 @dataclass
@@ -20,12 +21,12 @@ class Translation:
     stats: dict[str, int]
     unmatched: DataFrame  # (field, value, rows)
     failures: DataFrame  # (source_id, messages)
-    kept: tuple[DataFrame, ...] = ()  # persisted tables that the others read
+    kept: tuple[DataFrame, ...] = ()  # written tables that the others read
 
     def release(self) -> None:
-        """Frees what was persisted; the tables can be read again, from the start."""
+        """Removes what was written on the way, after which nothing of this can be read."""
         for df in self.kept:
-            df.unpersist()
+            unwritten(df)
 
 
 def ordered(rows: DataFrame) -> DataFrame:
@@ -58,14 +59,18 @@ def translate(source: Source, primary: DataFrame, joins: dict[str, DataFrame], p
 
     Rows without a key are skipped within the policy's budget and fail beyond it.
     """
-    rows = mapped(source, primary, joins).persist()
+    # Both tables are read several times and of wide rows: written, they take no executor's memory.
+    rows = written(mapped(source, primary, joins), "mapped")
     with_id = rows.where(F.col("source_id") != "")
-    done = resolve(with_id.select("source_id", "_ord", "raw", "record", (F.size("failures") > 0).alias("bad")), source.merge).persist()
     counts = rows.agg(
         F.count(F.lit(1)).alias("total"),
         F.count_if(F.col("source_id") == "").alias("missing"),
         F.count_if((F.col("source_id") == "") & F.col("known_blank")).alias("allowed"),
     ).first()
+    resolved = resolve(with_id.select("source_id", "_ord", "raw", "record", (F.size("failures") > 0).alias("bad")), source.merge)
+    first = with_id.groupBy("source_id").agg(F.min("_ord").alias("_ord"))
+    tasks = max(rows.sparkSession.sparkContext.defaultParallelism, -(-counts["total"] // ROWS_PER_TASK))
+    done = written(resolved.repartition(tasks, "source_id").join(first, "source_id"), "records")
     sums = done.agg(F.count("record").alias("ok"), F.coalesce(F.sum("skipped"), F.lit(0)).alias("dup"), F.coalesce(F.sum("failed"), F.lit(0)).alias("bad")).first()
     skipped = min(counts["allowed"], (source.allowed_missing or {}).get("max", 0))
     stats = {
@@ -79,8 +84,7 @@ def translate(source: Source, primary: DataFrame, joins: dict[str, DataFrame], p
         against = source.record_count.get("against", "translated")
         n = ordered(primary).count() if against == "parsed" else stats["ok"]
         guard_published(published, source.record_count["pattern"], n)
-    first = with_id.groupBy("source_id").agg(F.min("_ord").alias("_ord"))
-    records = done.where(F.col("record").isNotNull()).join(first, "source_id").select("source_id", "record", "_ord")
+    records = done.where(F.col("record").isNotNull()).select("source_id", "record", "_ord")
     unmatched = (
         rows.select(F.explode("unmatched").alias("u")).groupBy("u.field", "u.value").agg(F.count(F.lit(1)).alias("rows"))
         .orderBy(F.col("rows").desc(), "field", "value")
