@@ -94,14 +94,16 @@ FROM (SELECT l_orderkey, l_linenumber, l_suppkey, 'P' || l_partkey AS part, l_pa
 """)
 def positioned_rows(spark: SparkSession, sf: str) -> DataFrame:
     """A page for each order, a row for each line number; parts stand up to half a row above it, ties included."""
-    lines = t(spark, sf, "lineitem").selectExpr("l_orderkey AS page", "l_linenumber * 20.0D AS y", "l_linenumber AS n", "l_partkey AS part", "l_suppkey AS supplier")
-    anchors = lines.selectExpr("page", "10.0D AS x", "y", "concat('N', n) AS str").distinct()
-    parts = lines.selectExpr("page", "52.0D AS x", "y + part % 10 AS y", "concat('P', part) AS str")
-    suppliers = lines.groupBy("page", "y").agg(F.min("supplier").alias("s")).selectExpr("page", "88.0D AS x", "y", "string(s) AS str")
-    items = anchors.unionByName(parts).unionByName(suppliers)
+    lines = t(spark, sf, "lineitem").selectExpr("l_orderkey AS page", "l_linenumber AS n", "l_partkey AS part", "l_suppkey AS supplier")
+    # One shuffle by page: what follows, here and in the reading, stays within pages.
+    lines = lines.repartition("page")
+    rows = lines.groupBy("page", "n").agg(F.min("supplier").alias("s"))
+    rows = rows.selectExpr("page", """inline(array(
+      named_struct('x', 10.0D, 'y', n * 20.0D, 'str', concat('N', n)), named_struct('x', 88.0D, 'y', n * 20.0D, 'str', string(s))))""")
+    items = rows.unionByName(lines.selectExpr("page", "52.0D AS x", "n * 20.0D + part % 10 AS y", "concat('P', part) AS str"))
     # Single rows reach any distance; blank pages do not count, one page without an anchor is allowed.
-    more = spark.createDataFrame([(-1, 1.0, 1.0, "legend"), (-2, 1.0, 1.0, " ")], "page int, x double, y double, str string")
-    items = items.unionByName(more.withColumn("page", F.col("page").cast(items.schema["page"].dataType)))
+    more = spark.range(1, 3).selectExpr("-id AS page", "1.0D AS x", "1.0D AS y", "IF(id = 1, 'legend', ' ') AS str")
+    items = items.unionByName(more.withColumn("page", F.col("page").cast(items.schema["page"].dataType)).repartition("page"))
     rows = read_positioned(items, "x", [10.0, 50.0, 90.0], ["mark", "parts", "supplier"], "^N[0-9]+$", allowed_anchorless_pages=1)
     return rows.select(F.col("_ord.page").cast("long").alias("page"), "mark", "parts", "supplier")
 

@@ -5,29 +5,47 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..cluster import written
 from ..functions.text import trim as trimmed
 from ..operators.joins import GuardError
 
 
-def nearest(items: DataFrame, anchors: DataFrame, keys: list[str], at: str) -> DataFrame:
-    """``items`` with ``row``, ``gap``: which of their group's anchors (keys, at) is nearest, from 0 in order of place, and how far.
+def nearest(items: DataFrame) -> DataFrame:
+    """Items (page, at, anchor, ...) with ``row``, ``at_row``: which of their page's anchors is nearest, from 0 in order of place,
+    and whether the item belongs to it; outside the outer anchors it does up to half the smallest gap between them.
 
-    Items and anchors are put in one order of place; the last anchor before and the first one after an item are
-    the nearest two, so no item meets the other anchors.  Of two as near the lower one counts.  An item without anchors has nulls.
-    Groups of many items are windows of their own, one for each group.
+    Both are null on a page without anchors, or without a number.  Of two anchors as near the lower one counts; of anchors at one place,
+    the first.  Everything is windows by page: items are shuffled once, and no item meets the other anchors.
     """
-    # Anchors at one place are one, by the number of those before.
-    below = Window.partitionBy(*keys).orderBy(at).rowsBetween(Window.unboundedPreceding, -1)
-    places = anchors.groupBy(*keys, at).agg(F.count(F.lit(1)).alias("_n"))
-    places = places.select(*keys, at, F.struct(F.col(at).alias("at"), F.coalesce(F.sum("_n").over(below), F.lit(0)).cast("int").alias("row")).alias("_anchor"))
-    every = items.withColumn("_anchor", F.lit(None).cast(places.schema["_anchor"].dataType)).unionByName(places, allowMissingColumns=True)
-    near = {}
-    for name, order in (("_last", F.col(at)), ("_next", F.col(at).desc())):
-        near[name] = F.last("_anchor", ignorenulls=True).over(Window.partitionBy(*keys).orderBy(order, F.col("_anchor").isNull()))
-    found = every.withColumns(near).where(F.col("_anchor").isNull())
-    down, up = F.col(at) - F.col("_last.at"), F.col("_next.at") - F.col(at)
+    at = F.col("at")
+    page = Window.partitionBy("page")
+    in_order = page.orderBy("at", F.col("anchor").desc())
+    earlier = in_order.rowsBetween(Window.unboundedPreceding, -1)
+    whole = in_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    found = items.withColumns(
+        {"_before": F.count(F.when(F.col("anchor"), 1)).over(earlier), "_prior": F.last(F.when(F.col("anchor"), at), ignorenulls=True).over(earlier)}
+    )
+    place = F.struct(at.alias("at"), F.col("_before").cast("int").alias("row"))
+    is_place = F.col("anchor") & at.isNotNull() & (F.col("_prior").isNull() | (F.col("_prior") < at))
+    found = found.withColumns({"_place": F.when(is_place, place), "_gap": F.when(F.col("anchor"), at - F.col("_prior"))})
+    found = found.withColumns(
+        {
+            "_last": F.last("_place", ignorenulls=True).over(in_order.rowsBetween(Window.unboundedPreceding, 0)),
+            "_reach": F.coalesce(F.min("_gap").over(whole) / 2, F.lit(float("inf"))),
+            "_any": F.max("anchor").over(whole),
+        }
+    )
+    # Going down from the end, the last place met is the next one above.
+    downwards = page.orderBy(at.desc(), F.col("anchor").desc()).rowsBetween(Window.unboundedPreceding, 0)
+    found = found.withColumn("_next", F.last("_place", ignorenulls=True).over(downwards))
+    down, up = at - F.col("_last.at"), F.col("_next.at") - at
     lower = F.col("_last").isNotNull() & (F.col("_next").isNull() | (down <= up))
-    return found.withColumns({"row": F.when(lower, F.col("_last.row")).otherwise(F.col("_next.row")), "gap": F.when(lower, down).otherwise(up)}).drop("_anchor", *near)
+    row = F.when(lower, F.col("_last.row")).otherwise(F.col("_next.row"))
+    within = F.when(F.col("_last").isNull(), at >= F.col("_next.at") - F.col("_reach"))
+    within = F.coalesce(within.when(F.col("_next").isNull(), at <= F.col("_last.at") + F.col("_reach")).otherwise(at.isNotNull()), F.lit(False))
+    known = F.col("page").isNotNull() & F.col("_any")
+    added = {"row": F.when(known, row), "at_row": F.when(known, within)}
+    return found.withColumns(added).drop("_before", "_prior", "_place", "_gap", "_last", "_reach", "_any", "_next")
 
 
 def column_of(positions: list[float], at: Column) -> Column:
@@ -57,26 +75,25 @@ def read_positioned(
     """
     across, along = ("y", "x") if field_axis == "y" else ("x", "y")
     text = items.where(trimmed(F.col("str")) != "")
-    anchor = trimmed(F.col("str")).rlike(anchor_pattern)
-    placed = text.withColumns({"at": F.col(along).cast("double"), "anchor": anchor})
-    marks = placed.where("anchor").select("page", "at")
-    gaps = marks.withColumn("gap", F.col("at") - F.lag("at").over(Window.partitionBy("page").orderBy("at")))
-    pages = gaps.groupBy("page").agg(F.min("at").alias("first"), F.max("at").alias("last"), (F.min("gap") / 2).alias("reach"))
-    lost = text.select("page").distinct().join(pages, "page", "left_anti")
-    lost_pages = [r[0] for r in lost.orderBy("page").limit(allowed_anchorless_pages + 6).collect()]
+    placed = text.select(
+        "page", F.col(along).cast("double").alias("at"), F.col(across).cast("double").alias("across"), "str",
+        trimmed(F.col("str")).rlike(anchor_pattern).alias("anchor"),
+    )
+    rows = nearest(placed).where(F.coalesce("at_row", F.lit(True)))
+    line = F.struct(
+        column_of(column_pos, F.col("across")).alias("col"),
+        (F.col("at") if along == "x" else -F.col("at")).alias("place"),
+        (trimmed(F.col("str")) if trim else F.col("str")).alias("line"),
+    )
+    # A page without an anchor is one row without a number, and without lines.
+    rows = rows.groupBy("page", "row").agg(F.array_sort(F.collect_list(F.when(F.col("at_row"), line))).alias("lines"))
+    named = [F.expr(f"array_join(transform(filter(lines, x -> x.col = {i}), x -> x.line), '\\n')").alias(f"_cell{i}") for i in range(len(columns))]
+    # Written once, so that the checks do not read the items again.
+    rows = written(rows.select("page", "row", *named), "positioned")
+    lost_pages = [r[0] for r in rows.where(F.col("row").isNull()).select("page").orderBy("page").limit(allowed_anchorless_pages + 6).collect()]
     if len(lost_pages) > allowed_anchorless_pages:
         raise GuardError(f"pages without an anchor: {lost_pages}")
-    if pages.isEmpty():
+    rows = rows.where(F.col("row").isNotNull())
+    if rows.isEmpty():
         raise GuardError("no row was found on any page")
-    at, reach = F.col("at"), F.coalesce("reach", F.lit(float("inf")))
-    rows = nearest(placed.select("page", "at", F.col(across).cast("double").alias("across"), "str"), marks, ["page"], "at")
-    placed = rows.join(pages, "page").where((at >= F.col("first") - reach) & (at <= F.col("last") + reach)).select(
-        "page", "row", column_of(column_pos, F.col("across")).alias("col"),
-        (at if along == "x" else -at).alias("place"),
-        (trimmed(F.col("str")) if trim else F.col("str")).alias("line"),
-    )
-    lines = F.array_sort(F.collect_list(F.struct("place", "line")))
-    cells = placed.groupBy("page", "row", "col").agg(F.array_join(F.transform(lines, lambda p: p["line"]), "\n").alias("cell"))
-    rows = cells.groupBy("page", "row").pivot("col", list(range(len(columns)))).agg(F.first("cell"))
-    named = [F.coalesce(F.col(f"`{i}`"), F.lit("")).alias(c) for i, c in enumerate(columns)]
-    return rows.select(F.struct("page", "row").alias("_ord"), *named)
+    return rows.select(F.struct("page", "row").alias("_ord"), *[F.col(f"_cell{i}").alias(c) for i, c in enumerate(columns)])

@@ -184,6 +184,24 @@ def test_positioned(spark):
         read()
 
 
+def test_positioned_reads_items_once(spark):
+    read = spark.sparkContext.accumulator(0)
+    items = [(p, x, 20.0 * n + up, t) for p in range(20) for n in range(5) for x, up, t in ((10.0, 0.0, f"N{n}"), (50.0, 9.0, "b"), (50.0, 10.0, "a"), (50.0, 12.0, "up"))]
+    items += [(1, 10.0, 0.0, "N9"), (2, 50.0, -11.0, "below"), (2, 50.0, -10.0, "edge"), (None, 10.0, 0.0, "N1"), (30, 10.0, 5.0, "legend")]
+
+    def counted(row):
+        read.add(1)
+        return row
+
+    df = spark.createDataFrame(spark.sparkContext.parallelize(items, 4).map(counted), "page int, x double, y double, str string")
+    rows = {(r._ord.page, r._ord.row): (r.MARK, r.PARTS) for r in read_positioned(df, "x", [10.0, 50.0], ["MARK", "PARTS"], r"^N\d$", allowed_anchorless_pages=2).collect()}
+    assert len(rows) == 100 and rows[0, 0] == ("N0", "a\nb") and rows[0, 1] == ("N1", "a\nb\nup") and rows[0, 4] == ("N4", "a\nb\nup")
+    assert rows[2, 0] == ("N0", "a\nb\nedge")
+    # Two anchors at one place: items go to the first, both take a number, and outer rows reach nowhere.
+    assert rows[1, 0] == ("N0\nN9", "a\nb") and rows[1, 2] == ("N1", "a\nb\nup") and (1, 1) not in rows and rows[1, 5] == ("N4", "up")
+    assert read.value == len(items)
+
+
 def test_merged_side_and_snapshot(spark):
     rows = [("k", "B", "i", 1), ("k", "A", "i", 2), ("k", "B", "i", 3), ("k", "", "i", 4), ("m", "C", "i", 5), ("", "Z", "i", 6)]
     dim = spark.createDataFrame(rows, "key string, name string, kind string, _ord int")
