@@ -74,13 +74,16 @@ def json_array(spark: SparkSession, sf: str) -> DataFrame:
     record = F.to_json(F.expr("""named_struct('key', o_orderkey, 'cust', named_struct('id', o_custkey, 'note', concat(o_orderpriority, '} ], {"')),
       'marks', array(o_orderstatus, string(o_orderkey % 5)), 'flag', CASE WHEN o_orderkey % 3 <> 0 THEN true END)"""))
     record = F.regexp_replace(record, '"([0-4])"\\]', "$1]")  # the second mark is a number
-    rows = o.select(F.pmod("o_orderkey", F.lit(8)).alias("file"), "o_orderkey", record.alias("r"))
-    first = F.row_number().over(Window.partitionBy("file").orderBy("o_orderkey")) == 1
+    files = max(8, o.count() // 2_000_000)
+    rows = o.select(F.pmod("o_orderkey", F.lit(files)).cast("int").alias("file"), "o_orderkey", record.alias("r"))
+    firsts = F.broadcast(o.groupBy(F.pmod("o_orderkey", F.lit(files)).cast("int").alias("file")).agg(F.min("o_orderkey").alias("least")))  # a row for each file
+    first = F.col("o_orderkey") == F.col("least")
+    rows = rows.join(firsts, "file")
     rows = rows.select("file", F.lit(1).alias("place"), "o_orderkey", F.concat(F.when(first, F.lit("")).otherwise(F.lit(",")), "r").alias("value"))
-    ends = spark.range(8).select(F.col("id").alias("file"), F.explode(F.expr("array(named_struct('p', 0, 'v', '{\"meta\": {\"n\": [1]}, \"data\": {\"rows\": ['), named_struct('p', 2, 'v', ']}, \"end\": {}}'))")).alias("e"))
+    ends = spark.range(files).select(F.col("id").cast("int").alias("file"), F.explode(F.expr("array(named_struct('p', 0, 'v', '{\"meta\": {\"n\": [1]}, \"data\": {\"rows\": ['), named_struct('p', 2, 'v', ']}, \"end\": {}}'))")).alias("e"))
     ends = ends.select("file", F.col("e.p").alias("place"), F.lit(0).cast("long").alias("o_orderkey"), F.col("e.v").alias("value"))
     path = fresh_path(spark, "json")
-    rows.unionByName(ends).repartitionByRange(8, "file").sortWithinPartitions("file", "place", "o_orderkey").select("value").write.text(path)
+    rows.unionByName(ends).repartitionById(files, F.col("file")).sortWithinPartitions("file", "place", "o_orderkey").select("value").write.text(path)
     source = Source(
         id="orders", label="Orders", country="US", language="en", encoding="utf8", primary="m", source_id="key", registration="key",
         format="json", record_path="data.rows", mapping={},

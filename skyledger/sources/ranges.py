@@ -11,8 +11,11 @@ put together from the fragments, of which a range has two at most.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from itertools import chain
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,31 +35,47 @@ def pieces(spark: SparkSession, path: str, separator: str, encoding: str = "UTF-
     return read.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), text.alias("text"))
 
 
-def _by_range(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, Iterator[str]]]:
-    """The ranges of a partition, each as its leading columns and an iterator of its pieces."""
-    rows = (row for b in batches for row in zip(*(c.to_pylist() for c in b.columns), strict=True))
-    row = next(rows, None)
-    while row is not None:
-        key = row[:-1]
+def _by_range(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, Iterator[list[str]]]]:
+    """The ranges of a partition, each as its leading columns and an iterator of lists of its pieces.
+
+    The leading columns are read once for each range and batch: that they change shows in the first two, file and start.
+    """
+
+    def cut():
+        for b in batches:
+            if not b.num_rows:
+                continue
+            new = np.zeros(b.num_rows, dtype=bool)
+            for c in b.columns[:2]:
+                new[1:] |= pc.not_equal(c[1:], c[:-1]).to_numpy(zero_copy_only=False)
+            begins = [0, *np.flatnonzero(new).tolist()]
+            for at, end in zip(begins, [*begins[1:], b.num_rows], strict=True):
+                yield tuple(c[at].as_py() for c in b.columns[:-1]), b.columns[-1][at:end].to_pylist()
+
+    parts = cut()
+    part = next(parts, None)
+    while part is not None:
+        key = part[0]
 
         def texts(key=key):
-            nonlocal row
-            while row is not None and row[:-1] == key:
-                yield row[-1]
-                row = next(rows, None)
+            nonlocal part
+            while part is not None and part[0][:2] == key[:2]:
+                yield part[1]
+                part = next(parts, None)
 
         yield key, texts()
 
 
-def over_ranges(df: DataFrame, run: Callable[[tuple, Iterator[str]], Iterator[tuple]], schema: str) -> DataFrame:
-    """Applies ``run`` to each range of ``df``, whose last column has the pieces and whose others are the same within a range."""
+def over_ranges(df: DataFrame, run: Callable[[tuple, Iterator], Iterator[tuple]], schema: str, lists: bool = False) -> DataFrame:
+    """Applies ``run`` to each range of ``df``, whose last column has the pieces and whose others, file and start first, are the same within
+    a range.  ``run`` gets the pieces one by one, or in ``lists`` of many."""
     ship(df.sparkSession)
     arrow = to_arrow_schema(T._parse_datatype_string(schema))
 
     def whole(batches):
         held: list[tuple] = []
         for key, texts in _by_range(batches):
-            for out in run(key, texts):
+            for out in run(key, texts if lists else chain.from_iterable(texts)):
                 held.append(out)
                 if len(held) >= 2048:
                     yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held, strict=True), arrow, strict=True)], schema=arrow)

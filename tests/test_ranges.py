@@ -6,6 +6,7 @@ import json
 import random
 
 import pytest
+from pyspark.sql import DataFrameReader
 
 from skyledger.operators.joins import GuardError
 from skyledger.sources.delimited import ends_open, read_delimited
@@ -95,6 +96,24 @@ def test_json_arrays_in_ranges(spark, small_ranges, tmp_path, seed, indent):
         assert [x.i for x in rows] == [str(x["i"]) if "i" in x else "" for x in records]
 
 
+def test_json_shape_from_one_record_of_each_kind(spark, tmp_path, monkeypatch):
+    """Only one record of each kind passes through Python for the shape, and the shape is that of all records."""
+    records = [{"a": i, "b": {"c": [i]}} if i % 3 else {"a": {"d": str(i)}, "b": {}, "e": None} for i in range(300)] + [{"b": {"c": None, "x y": 1}}]
+    (tmp_path / "a.json").write_text(json.dumps(records))
+    inferred, json_of = [], DataFrameReader.json
+
+    def counted(self, rdd):
+        inferred.append(rdd.count())
+        return json_of(self, rdd)
+
+    monkeypatch.setattr(DataFrameReader, "json", counted)
+    rows = read_json(spark, str(tmp_path / "a.json")).orderBy("_ord")
+    assert inferred == [3]
+    assert rows.columns == ["_ord", "a", "b.c", "b.x y", "e"]
+    rows = rows.collect()
+    assert len(rows) == 301 and rows[1]["a"] == "1" and rows[1]["b.c"] == "[1]" and json.loads(rows[3]["a"]) == {"d": "3"} and rows[-1]["b.x y"] == "1"
+
+
 def test_json_that_is_no_array_of_objects(spark, tmp_path):
     p = tmp_path / "a.json"
     for text, path, message in [
