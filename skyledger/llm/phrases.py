@@ -6,8 +6,10 @@ holds ``BURST`` phrases.  At ``LIMIT`` phrases the largest subtrees are
 spilled whole, as sorted runs of (phrase, count), until half is free.  The runs go to the partition of their prefix, the first word, where they are merged; a hot first
 word's phrases are dealt by the whole phrase.
 
-A phrase cannot be frequent unless its words and pairs of words are.  So texts are read three times: words are
-counted first, then pairs of frequent words by their hashed place in a filter, then the phrases of such pairs in tries, exactly.
+A phrase cannot be frequent unless its words and pairs of words are.  So texts are read four times: words are
+counted first, then pairs of frequent words by their hashed place in a filter, then longer phrases of such pairs in the same way, and then
+the phrases that pass both filters in tries, exactly.
+Counts by place are shuffled as blocks of places, a byte or two for each.
 What is frequent is passed on as a bitmap of ``FILTER_BITS`` hashed bits, whose size does not
 depend on the corpus: a full one lets more phrases through to be counted, and changes no count.
 """
@@ -52,6 +54,8 @@ _END = _SEPARATORS[0]
 RUN_ROWS = 1 << 16
 _MASK = (1 << ID_BITS) - 1
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
+_BLOCKS = pa.schema([("part", pa.int32()), ("gaps", pa.binary()), ("n", pa.binary())])
+_BITS = pa.schema([("part", pa.int32()), ("bits", pa.binary())])
 RUN = "prefix long, lang string, phrase string, f long"
 
 
@@ -240,11 +244,26 @@ def _count_words(rows: Iterator[tuple[str, str]], limit: int) -> Iterator[tuple[
         yield run_of(lang, c)
 
 
-def _sequences(ids: np.ndarray, ok: np.ndarray, longest: int) -> tuple[np.ndarray, np.ndarray]:
-    """(first, rest) of all sequences of two or more words whose neighbouring pairs are all ``ok``."""
+def _begins(ok: np.ndarray, n: int) -> np.ndarray:
+    """Where sequences of ``n`` words begin whose neighbouring pairs are all ``ok``."""
+    if len(ok) < n - 1:
+        return np.empty(0, dtype=np.int64)
+    return np.flatnonzero(np.logical_and.reduce([ok[i : len(ok) - n + 2 + i] for i in range(n - 1)]))
+
+
+def _hashes_at(lookup: Lookup, ids: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
+    hashes = np.array(lookup.hashes, dtype=np.uint64)
+    return mixed(*(hashes[ids[at + i]] for i in range(n)))
+
+
+def _sequences(ids: np.ndarray, ok: np.ndarray, longest: int, passes: Callable[[np.ndarray, int], np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(first, rest) of all sequences of two or more words whose neighbouring pairs are all ``ok``; of those longer than pairs, of such
+    as pass, by where they begin and their length."""
     firsts, rests = [], []
     for n in range(2, longest + 1):
-        at = np.flatnonzero(np.logical_and.reduce([ok[i : len(ok) - n + 2 + i] for i in range(n - 1)])) if len(ok) >= n - 1 else np.empty(0, dtype=np.int64)
+        at = _begins(ok, n)
+        if n > 2 and passes is not None:
+            at = at[passes(at, n)]
         firsts.append(ids[at])
         rests.append(sum((ids[at + i] << (3 - i) * ID_BITS for i in range(1, n)), np.zeros(len(at), dtype=np.int64)))
     return np.concatenate(firsts), np.concatenate(rests)
@@ -281,8 +300,18 @@ def _pair_hashes(lookup: Lookup, ids: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return known, mixed(hashes[ids[:-1][known]], hashes[ids[1:][known]])
 
 
-def _count_pairs(rows: Iterator[tuple[str, str]], words: bytes, limit: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Runs of (place in the filter, count) of the pairs of known words; a task holds ``limit`` places, or those of two batches."""
+def _count_places(rows: Iterator[tuple[str, str]], words: bytes, pairs: bytes | None, limit: int, longest: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Runs of (place in the filter, count), by place, of the pairs of known words, or, if there is a filter of ``pairs``, of the longer
+    sequences of pairs that pass it; a task holds ``limit`` places, or those of two batches."""
+    bits = None if pairs is None else np.frombuffer(pairs, dtype=np.uint8)
+
+    def hashes_of(lookup: Lookup, ids: np.ndarray) -> np.ndarray:
+        ok, hashes = _pair_hashes(lookup, ids)
+        if bits is None:
+            return hashes
+        ok[ok] = lookup.has(hashes, bits)
+        return np.concatenate([_hashes_at(lookup, ids, _begins(ok, n), n) for n in range(3, longest + 1)])
+
     lookups: dict[str, Lookup] = {}
     held: list[np.ndarray] = []
     times: list[np.ndarray] = []
@@ -297,7 +326,7 @@ def _count_pairs(rows: Iterator[tuple[str, str]], words: bytes, limit: int) -> I
     size = 0
     for batch in _batches(rows, lookups, words, frozenset()):
         for lookup, ids in batch:
-            found, n = np.unique(_place(_pair_hashes(lookup, ids)[1]).astype(np.int32), return_counts=True)
+            found, n = np.unique(_place(hashes_of(lookup, ids)).astype(np.int32), return_counts=True)
             held.append(found)
             times.append(n)
             size += len(found)
@@ -314,18 +343,19 @@ def _count_pairs(rows: Iterator[tuple[str, str]], words: bytes, limit: int) -> I
 
 
 def _count_phrases(
-    rows: Iterator[tuple[str, str]], words: bytes, pairs: bytes, hot: frozenset, limit: int, longest: int
+    rows: Iterator[tuple[str, str]], words: bytes, pairs: bytes, longer: bytes, hot: frozenset, limit: int, longest: int
 ) -> Iterator[tuple[str, list, list, list]]:
-    """Runs of (lang, prefixes, phrases, counts): phrases of two words and more, of words and pairs that pass the filters."""
+    """Runs of (lang, prefixes, phrases, counts): phrases of two words and more, of words, pairs and longer sequences that pass the filters."""
     lookups: dict[str, Lookup] = {}
     tries: dict[str, PhraseTrie] = {}
-    bits = np.frombuffer(pairs, dtype=np.uint8)
+    bits, long_bits = np.frombuffer(pairs, dtype=np.uint8), np.frombuffer(longer, dtype=np.uint8)
     for batch in _batches(rows, lookups, words, hot):
         for lookup, ids in batch:
             trie = tries.setdefault(lookup.lang, PhraseTrie(longest))
             ok, hashes = _pair_hashes(lookup, ids)
             ok[ok] = lookup.has(hashes, bits)
-            trie.add(*_sequences(ids, ok, longest))
+            passes = lambda at, n, lookup=lookup, ids=ids: lookup.has(_hashes_at(lookup, ids, at, n), long_bits)
+            trie.add(*_sequences(ids, ok, longest, passes))
             if lookup.full():  # its ids go, so its phrases do
                 yield from lookup.runs_of(trie.spill(0))
                 lookup.clear()
@@ -396,8 +426,58 @@ def bitmap(places: DataFrame) -> bytes:
         made = np.packbits(of, bitorder="little").tobytes()
         return pa.table({"part": [key[0].as_py()], "bits": [made]}, schema=pa.schema([("part", pa.int32()), ("bits", pa.binary())]))
 
+    return _filter_of(bits.groupBy("part").applyInArrow(packed, "part int, bits binary"))
+
+
+def _blocks(at: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    """A run of ascending places and their counts as blocks (part, gaps, n): low and high bytes of the gaps between places, and bytes of the counts."""
+    begins = np.flatnonzero(np.concatenate(([True], at[1:] >> 16 != at[:-1] >> 16)))
+    gaps, counts = [], []
+    for a, b in zip(begins.tolist(), [*begins[1:].tolist(), len(at)], strict=True):
+        gap = np.diff(at[a:b] & 0xFFFF, prepend=0).astype("<u2")
+        gaps.append(gap.view(np.uint8).reshape(-1, 2).T.tobytes())
+        few = n[a:b].max() < 256
+        counts.append(n[a:b].astype(np.uint8 if few else "<i8").tobytes())
+    return pa.RecordBatch.from_arrays([pa.array(at[begins] >> 16, pa.int32()), pa.array(gaps, pa.binary()), pa.array(counts, pa.binary())], schema=_BLOCKS)
+
+
+def _places_and_counts(gaps: bytes, counts: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """What ``_blocks`` has packed: places within the part, and counts."""
+    k = len(gaps) // 2
+    at = np.cumsum(np.ascontiguousarray(np.frombuffer(gaps, dtype=np.uint8).reshape(2, -1).T).view("<u2").ravel(), dtype=np.int64)
+    return at, np.frombuffer(counts, dtype=np.uint8 if len(counts) == k else "<i8")
+
+
+def _frequent_places(texts: DataFrame, count: Callable[[Iterator[tuple[str, str]]], Iterator[tuple[np.ndarray, np.ndarray]]], least: int) -> bytes:
+    """The filter of the places that all tasks together count ``least`` times."""
+
+    def run(batches):
+        rows = ((lang, text) for b in batches for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True))
+        for at, n in count(rows):
+            yield _blocks(at, n)
+
+    def add(batches):
+        part, total = None, np.zeros(1 << 16, dtype=np.int64)
+        made = lambda: pa.RecordBatch.from_pydict({"part": [part], "bits": [np.packbits(total >= least, bitorder="little").tobytes()]}, schema=_BITS)
+        for b in batches:
+            for i, gaps, counts in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if i != part:
+                    if part is not None:
+                        yield made()
+                    part = i
+                    total[:] = 0
+                at, n = _places_and_counts(gaps, counts)
+                total[at] += n
+        if part is not None:
+            yield made()
+
+    sums = texts.mapInArrow(run, "part int, gaps binary, n binary").repartition("part").sortWithinPartitions("part").mapInArrow(add, "part int, bits binary")
+    return _filter_of(sums)
+
+
+def _filter_of(parts: DataFrame) -> bytes:
     out = bytearray(FILTER_BITS >> 3)
-    for r in bits.groupBy("part").applyInArrow(packed, "part int, bits binary").collect():  # FILTER_BITS / 8 bytes at most
+    for r in parts.collect():  # FILTER_BITS / 8 bytes at most
         out[r.part << 13 : (r.part + 1) << 13] = r.bits
     return bytes(out)
 
@@ -420,19 +500,17 @@ def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "l
     hot = frozenset((r.lang, r.phrase) for r in words.where(F.col("f") > all_words // HOT_SHARE).collect())  # HOT_SHARE rows at most
     word_bits = spark.sparkContext.broadcast(bitmap(word_places(words)))
 
-    def of_pairs(batches):
-        rows = ((lang, text) for b in batches for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True))
-        for at, n in _count_pairs(rows, word_bits.value, PAIR_LIMIT):
-            for i in range(0, len(at), 1 << 16):
-                yield pa.RecordBatch.from_arrays([pa.array(at[i : i + (1 << 16)]), pa.array(n[i : i + (1 << 16)])], names=["at", "n"])
-
-    # Pairs by their place in the filter alone: few bytes a pair, and pairs that fall together let more phrases through.
-    pairs = texts.mapInArrow(of_pairs, "at int, n long").repartition("at").groupBy("at").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
-    pair_bits = spark.sparkContext.broadcast(bitmap(pairs))
-    runs = _runs(texts, lambda rows: _count_phrases(rows, word_bits.value, pair_bits.value, hot, limit, longest))
+    # By their place in the filter alone: phrases that fall together only let more phrases through.
+    pair_bits = spark.sparkContext.broadcast(_frequent_places(texts, lambda rows: _count_places(rows, word_bits.value, None, PAIR_LIMIT, 2), least))
+    long_bits = pair_bits  # of no use to pairs
+    if longest > 2:
+        long_bits = spark.sparkContext.broadcast(_frequent_places(texts, lambda rows: _count_places(rows, word_bits.value, pair_bits.value, PAIR_LIMIT, longest), least))
+    runs = _runs(texts, lambda rows: _count_phrases(rows, word_bits.value, pair_bits.value, long_bits.value, hot, limit, longest))
     longer = materialize(_merged(runs).where(F.col("f") >= least), "phrases")
     word_bits.destroy()
     pair_bits.destroy()
+    if long_bits is not pair_bits:
+        long_bits.destroy()
     return words.unionByName(longer), totals
 
 

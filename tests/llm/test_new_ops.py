@@ -98,6 +98,28 @@ def test_sequences():
     assert len(phrases._sequences(ids[:1], ok[:0], 4)[0]) == 0
 
 
+def test_blocks_of_places_and_rare_long_phrases(spark):
+    r = random.Random(4)
+    at = np.array(sorted(r.sample(range(phrases.FILTER_BITS), 3000)) + [phrases.FILTER_BITS - 1], dtype=np.int32)
+    n = np.array([r.choice([1, 2, 255, 70_000]) if a >> 16 < 500 else 1 for a in at.tolist()])
+    got = {}
+    for part, gaps, counts in zip(*(c.to_pylist() for c in phrases._blocks(at, n).columns), strict=True):
+        places, times = phrases._places_and_counts(gaps, counts)
+        got |= {(part << 16) + p: t for p, t in zip(places.tolist(), times.tolist(), strict=True)}
+    assert got == dict(zip(at.tolist(), n.tolist(), strict=True))
+    # Of pairs that are frequent, longer phrases that are not do not reach the tries.
+    words = [f"w{i}" for i in range(12)]
+    rows = [("en", " ".join(r.choice(words) for _ in range(50))) for _ in range(40)] + [("en", "w1 w2 w3.")] * 30
+    df = spark.createDataFrame(rows, "lang string, text string").repartition(3)
+    every = lambda rows: phrases._count_places(rows, b"\xff" * (phrases.FILTER_BITS // 8), b"\xff" * (phrases.FILTER_BITS // 8), 1000, 4)
+    bits = phrases._frequent_places(df, every, 30)
+    full = b"\xff" * (phrases.FILTER_BITS // 8)
+    runs = phrases._count_phrases(iter(rows), full, full, bits, frozenset(), 1000, 4)
+    counts = {p: f for _, _, found, fs in runs for p, f in zip(found, fs, strict=True)}
+    long_ones = {p for p in counts if p.count(" ") > 1}
+    assert "w1 w2 w3" in long_ones and len(long_ones) < 10 and sum(p.count(" ") == 1 for p in counts) == 144
+
+
 def test_bitmap_keeps_every_hash(spark):
     mix = lambda lang, *w: phrases.mixed(*[np.array([phrases.hash_of(lang, x)], dtype=np.uint64) for x in w])
     known = [mix("en", "a", "b"), mix("", "é"), mix("en", "x")]
