@@ -33,6 +33,11 @@ def _hash(seed: int, *parts: Column) -> Column:
     return F.conv(F.substring(F.md5(text.cast("binary")), 1, 15), 16, 10).cast("long")
 
 
+def _named(source: Column) -> Column:
+    """A source as a key that is never null."""
+    return F.coalesce(F.concat(F.lit("="), source.cast("string")), F.lit("-"))
+
+
 def targets(sources: DataFrame, weights: tuple[int, ...], max_repeats: int) -> DataFrame:
     """Adds ``weight`` and ``target`` to (source, source_size).
 
@@ -147,7 +152,7 @@ def mix(
         F.col(source_col).alias("source"),
         F.coalesce(F.regexp_count(text_col, F.lit(TOKEN)), F.lit(0)).cast("long").alias("size"),
         *kept,
-    ).withColumn("h", _hash(seed, F.col("doc_id")))
+    ).withColumns({"h": _hash(seed, F.col("doc_id")), "of": _named(F.col("source"))})
     slim = materialize(rows.drop(*[f"keep_{c}" for c in keep]), "sizes")
     buckets = max(1, -(-slim.count() // rows_per_bucket))
     numbered = lambda df: df.withColumn("bucket", F.col("h") % buckets)
@@ -159,11 +164,12 @@ def mix(
     wanted = materialize(wanted, "targets")
     granted = quotas(wanted, block, shards, max_repeats)
     info = groups.alias("g").join(granted.alias("q"), F.expr("g.source <=> q.source")).select(
-        F.col("g.source").alias("s"), F.col("g.bucket").alias("b"), "start", "source_size", "target", "n_blocks", "quota"
+        _named(F.col("g.source")).alias("of"), F.col("g.bucket").alias("bucket"), "start", "source_size", "target", "n_blocks", "quota"
     )
-    inside = Window.partitionBy("source", "bucket").orderBy("h", F.col("doc_id").asc_nulls_last(), "size")
+    # The window and the join have the same keys, without nulls, so that the texts in ``keep`` are shuffled once.
+    inside = Window.partitionBy("of", "bucket").orderBy("h", F.col("doc_id").asc_nulls_last(), "size")
     laid = sized.withColumn("end", F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, 0)))
-    placed = laid.join(info, F.expr("source <=> s AND bucket = b")).withColumns(
+    placed = laid.join(info, ["of", "bucket"]).withColumns(
         {
             "a": F.col("start") + F.col("end") - F.col("size"),
             "z": F.col("start") + F.col("end"),

@@ -119,6 +119,24 @@ def test_mixed_documents(docs, rows):
     assert len(cut) < 30 and all(x.n_chars == len(x.text) for x in out)
 
 
+def test_mixing_shuffles_texts_once(spark, docs):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = mixing.mixed_documents(docs)._jdf.queryExecution().executedPlan().toString().splitlines()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # Only the lines of the branch that holds the texts, down to their scan: shuffles above it.
+    scan = next(i for i, line in enumerate(plan) if "Scan" in line and "text" in line and "n_chars" in line)
+    depth = len(plan[scan]) - len(plan[scan].lstrip(" :+-"))
+    above, at = 0, depth
+    for line in reversed(plan[:scan]):
+        d = len(line) - len(line.lstrip(" :+-"))
+        if d < at:
+            at = d
+            above += "Exchange" in line and "RoundRobin" not in line
+    assert above == 1
+
+
 def test_quotas_are_sainte_lague(spark):
     r = random.Random(9)
     sizes = [(f"s{i:02d}", r.randint(1, 5000)) for i in range(17)]
