@@ -13,8 +13,12 @@ documents are counted, in ``COUNT_BUCKETS`` buckets of their hashes, so the tabl
 is broadcast has one size whatever the corpus; a shingle's rank is its bucket's count,
 then its hash.
 
-Sets that are equal are one node.  A group of near copies is not expanded into all
-pairs: every prefix list first offers its members a few pivots; each member is verified
+Sets that are equal are one node, known by the number of one of its rows.  Lists travel
+as (shingle, node, size, place).  In those of up to ``WHOLE`` members, nearly all, every
+pair is compared; sketches for the suffix filter are fetched for distinct pairs.
+
+A group of near copies is not expanded into all pairs: every longer list, whose members
+have their sketches with them, first offers its members a few pivots; each member is verified
 with one of them, then with the others that are not yet in its component, and at last members of a list whose components still differ are paired with each other.  So
 every pair that passes the filters is either verified or already connected, and the
 components are exact.
@@ -26,6 +30,7 @@ split: their rows are dealt to several tasks, or stay where they are.
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,8 +47,12 @@ COUNT_BUCKETS, COUNT_PART, COUNT_SHIFT = 1 << 20, 1 << 12, 24
 _COUNTS = pa.schema([("part", pa.int32()), ("counts", pa.binary())])
 SKETCH = [f"s{i}" for i in range(8)]
 _KEPT_WORDS = 150_000
-#: Members of a list, besides the earliest one, that the others are first compared with.
+#: Lists of up to so many members are compared pair by pair.
+WHOLE = 8
+#: Members of a longer list, besides the earliest one, that the others are first compared with.
 PIVOTS = 5
+#: Shingles that a task keeps at most while it compares sets (16 MB).
+KEPT_SHINGLES = 1 << 21
 #: Documents that a common shingle is in at least; edges that one task of a round of components handles.
 FEW, EDGES_A_TASK = 1000, 200_000
 
@@ -95,6 +104,14 @@ def _sketch(toks: np.ndarray) -> list[int]:
     return np.packbits(parity).view(np.int64).tolist()
 
 
+def _pack(text: str | None) -> bytes | None:
+    return None if text is None else zlib.compress(text.encode("utf-8", "replace"), 1)
+
+
+def _unpack(packed: bytes | None) -> str | None:
+    return None if packed is None else zlib.decompress(packed).decode("utf-8")
+
+
 def _bucket(toks: np.ndarray) -> np.ndarray:
     return (toks >> COUNT_SHIFT) & (COUNT_BUCKETS - 1)
 
@@ -139,8 +156,9 @@ def shingle_counts(docs: DataFrame, text_col: str, size: int) -> np.ndarray:
 
 
 def profiles(docs: DataFrame, id_col: str, text_col: str, size: int, percent: int, counts: np.ndarray) -> DataFrame:
-    """(doc_id, text_hash, set_key, n, s0 ... s7, prefix, cut) of every row; the key is null for an empty set.
+    """(doc_id, text_hash, set_key, n, s0 ... s7, prefix, cut, row) of every row; the key is null for an empty set.
 
+    ``row`` numbers the rows; the numbers are fixed once the table is written.
     From place ``cut`` of the prefix on, the shingles' buckets hold many more than others do.
     """
     shared = docs.sparkSession.sparkContext.broadcast(counts)  # COUNT_BUCKETS numbers
@@ -166,7 +184,7 @@ def profiles(docs: DataFrame, id_col: str, text_col: str, size: int, percent: in
     fields = [T.StructField("set_key", T.BinaryType()), T.StructField("n", T.IntegerType())]
     fields += [T.StructField(c, T.LongType()) for c in SKETCH] + [T.StructField("prefix", T.ArrayType(T.LongType())), T.StructField("cut", T.IntegerType())]
     source = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("body"))
-    return add_columns(source, ["body"], fields, make, ("body",))
+    return add_columns(source, ["body"], fields, make, ("body",)).withColumn("row", F.monotonically_increasing_id())
 
 
 def _unlike(a: str, b: str) -> str:
@@ -174,20 +192,32 @@ def _unlike(a: str, b: str) -> str:
     return "(" + " + ".join(f"bit_count({a}.{s} ^ {b}.{s})" for s in SKETCH) + ")"
 
 
-def _passes(percent: int, a: str, b: str) -> str:
-    """Length, positional and suffix filter for rows a and b of one list.
+def _need(percent: int, a: str, b: str) -> str:
+    """How many shingles a and b have in common at least if they link."""
+    return f"ceil({percent}.0 * ({a}.n + {b}.n) / {100 + percent})"
+
+
+def _in_reach(percent: int, a: str, b: str) -> str:
+    """Length and positional filter for rows a and b of one list.
 
     The positional bound holds for the first shingle that a pair shares, and that one
     has its row as well.
     """
-    need = f"ceil({percent}.0 * ({a}.n + {b}.n) / {100 + percent})"
     return (
         f"100 * least({a}.n, {b}.n) >= {percent} * greatest({a}.n, {b}.n)"
-        f" AND least({a}.n - {a}.pos, {b}.n - {b}.pos) >= {need}"
-        f" AND {_unlike(a, b)} <= {a}.n + {b}.n - 2 * {need}"
+        f" AND least({a}.n - {a}.pos, {b}.n - {b}.pos) >= {_need(percent, a, b)}"
     )
 
 
+def _alike(percent: int, a: str, b: str) -> str:
+    """Suffix filter for a and b."""
+    return f"{_unlike(a, b)} <= {a}.n + {b}.n - 2 * {_need(percent, a, b)}"
+
+
+def _passes(percent: int, a: str, b: str) -> str:
+    return f"{_in_reach(percent, a, b)} AND {_alike(percent, a, b)}"
+
+
 def salted_join(df: DataFrame, values: DataFrame, key: str, by: str, hot: dict) -> DataFrame:
     """``df`` joined with ``values`` on ``key``; a hot key's rows are dealt by a hash of ``by`` to its parts, which all get its values."""
     if not hot:
@@ -200,35 +230,66 @@ def salted_join(df: DataFrame, values: DataFrame, key: str, by: str, hot: dict)
 
 
 class Sets:
-    """The whole sets of the documents that candidate pairs are made of, as a table."""
+    """The packed texts of the nodes that candidate pairs are made of, as a table (row, body).
+
+    A text, compressed, is a third of its shingles' hashes or less; whoever compares two
+    makes their shingles again.
+    """
 
     def __init__(self, pairs: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str, text_col: str, size: int, percent: int):
-        self.percent = percent
-        keys = pairs.select(F.col("a").alias("set_key")).union(pairs.select(F.col("b").alias("set_key"))).distinct()
-        wanted = nodes.join(keys, "set_key", "left_semi").select(F.col("doc_id").alias("_id")).distinct()
+        self.size, self.percent = size, percent
+        members = pairs.select(F.col("a").alias("row")).union(pairs.select(F.col("b").alias("row"))).distinct()
+        keys = materialize(nodes.join(members, "row", "left_semi"), "wanted")
         texts = docs.select(F.col(id_col).alias("_doc"), F.col(text_col).alias("body"))
-        texts = join_keys(texts, wanted, "_doc <=> _id", "left_semi")
+        texts = join_keys(texts, keys.select(F.col("doc_id").alias("_id")).distinct(), "_doc <=> _id", "left_semi")
 
         def make():
             def compute(bodies):
-                sets = [shingles(t, size) for t in bodies]
-                return [[_key(s) for s in sets], sets]
+                return [[_key(shingles(t, size)) for t in bodies], [_pack(t) for t in bodies]]
 
             return compute
 
-        fields = [T.StructField("set_key", T.BinaryType()), T.StructField("toks", T.ArrayType(T.LongType()))]
-        sets = add_columns(texts.select("body"), ["body"], fields, make, ("body",)).join(keys, "set_key", "left_semi")
-        self.table = materialize(sets.dropDuplicates(["set_key"]), "shingle-sets")
+        fields = [T.StructField("set_key", T.BinaryType()), T.StructField("packed", T.BinaryType())]
+        found = add_columns(texts.select("body"), ["body"], fields, make, ("body",)).join(keys.select("set_key", "row"), "set_key")
+        self.table = materialize(found.dropDuplicates(["row"]).select("row", "packed"), "packed-texts")
+        discard(keys)
 
     def linked(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) that link, checked on whole sets."""
         both = pairs.select("a", "b")
-        for key, other, toks in (("a", "b", "ta"), ("b", "a", "tb")):
-            copies = self.table.select(F.col("set_key").alias(key), F.col("toks").alias(toks))
+        for key, other, packed in (("a", "b", "ta"), ("b", "a", "tb")):
+            copies = self.table.select(F.col("row").alias(key), F.col("packed").alias(packed))
             both = salted_join(both, copies, key, other, hot_keys(pairs, key))
-        common = F.size(F.array_intersect("ta", "tb"))
-        found = both.where(100 * common >= self.percent * (F.size("ta") + F.size("tb") - common))
-        return materialize(found.select("a", "b"), "links-found")
+        size, percent = self.size, self.percent
+
+        def make():
+            kept: dict[int, np.ndarray] = {}
+            held = 0
+
+            def of(row, packed):
+                nonlocal held
+                s = kept.get(row)
+                if s is None:
+                    s = shingles(_unpack(packed), size)
+                    if held > KEPT_SHINGLES:
+                        kept.clear()
+                        held = 0
+                    kept[row] = s
+                    held += len(s)
+                return s
+
+            def compute(a, b, ta, tb):
+                out = []
+                for x, y, tx, ty in zip(a, b, ta, tb, strict=True):
+                    x, y = of(x, tx), of(y, ty)
+                    common = len(np.intersect1d(x, y, assume_unique=True))
+                    out.append(100 * common >= percent * (len(x) + len(y) - common))
+                return [out]
+
+            return compute
+
+        found = add_columns(both, ["a", "b", "ta", "tb"], [T.StructField("links", T.BooleanType())], make, ("ta", "tb"))
+        return materialize(found.where("links").select("a", "b"), "links-found")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -284,12 +345,14 @@ def link_components(
     counts = shingle_counts(docs, text_col, size)
     made = materialize(profiles(docs, id_col, text_col, size, percent, counts), "profiles")
     rows = materialize(made.select("doc_id", "set_key", "text_hash", F.col("n").cast("long").alias("n_shingles")), "rows")
-    nodes = rows.where(F.col("set_key").isNotNull()).groupBy("set_key").agg(F.min("doc_id").alias("doc_id"))
-    postings = _postings(made)
+    some = made.where(F.col("set_key").isNotNull())
+    nodes = materialize(some.groupBy("set_key").agg(F.min("doc_id").alias("doc_id"), F.min("row").alias("row")), "nodes")
+    sketches = materialize(some.select("row", "n", *SKETCH), "sketches")
+    lists = _lists(some, nodes)
     discard(made)
-    roots = _roots(postings, lambda pairs: Sets(pairs, nodes, docs, id_col, text_col, size, percent), percent)
+    roots = _roots(lists, sketches, lambda pairs: Sets(pairs, nodes, docs, id_col, text_col, size, percent), percent)
 
-    placed = nodes.join(roots.toDF("set_key", "root"), "set_key", "left").withColumn("root", F.coalesce("root", "set_key"))
+    placed = nodes.join(roots.toDF("row", "root"), "row", "left").withColumn("root", F.coalesce("root", "row"))
     placed = materialize(placed, "placed")
     drop_materialized(spark, before, (rows._materialized, placed._materialized))  # what follows reads these only
     smallest = placed.groupBy("root").agg(
@@ -308,50 +371,65 @@ def link_components(
     )
 
 
-def _postings(made: DataFrame) -> DataFrame:
-    """(tok, set_key, n, pos, s0 ... s7) of the prefixes' shingles that occur in several sets."""
-    some = made.where(F.col("set_key").isNotNull())
-    # Equal sets have equal columns, so any row stands for its key; combined before the shuffle.
-    lists = some.groupBy("set_key").agg(F.first("n").alias("n"), F.first("cut").alias("cut"), F.first("prefix").alias("prefix"))
-    lists = lists.select("set_key", "n", "cut", F.posexplode("prefix").alias("pos", "tok"))
-    # A shingle is alone in its list or not; common ones, whose lists may be long, are taken without counting.
-    counted = lists.where("pos < cut").withColumn("m", F.count(F.lit(1)).over(Window.partitionBy("tok"))).where("m > 1").drop("m")
-    lists = counted.unionByName(lists.where("pos >= cut")).drop("cut")
-    sketches = some.groupBy("set_key").agg(*[F.first(s).alias(s) for s in SKETCH])
-    return materialize(lists.join(sketches, "set_key"), "postings")
+def _lists(some: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(tok, members) of the prefixes' shingles that occur in several sets, a member being (row, n, pos).
 
+    Lists of up to WHOLE members stand in one row each, longer ones in a row for each member.
+    """
+    copies = some.select("row").join(nodes.select("row"), "row", "left_anti")
+    # Equal sets have equal columns, so one row stands for its key; the others are few or many, no list needs them.
+    one = join_keys(some, copies.withColumnRenamed("row", "_copy"), "row = _copy", "left_anti")
+    lists = one.select("row", "n", "cut", F.posexplode("prefix").alias("pos", "tok"))
+    # A shingle is alone in its list or not; common ones, whose lists may be long, are taken without counting.
+    counted = lists.where("pos < cut").drop("cut").withColumn("m", F.count(F.lit(1)).over(Window.partitionBy("tok"))).where("m > 1")
+    member = F.struct("row", "n", "pos")
+    # Grouped where the counting has put them.
+    counted = counted.groupBy("tok", F.when(F.col("m") > WHOLE, F.col("row")).alias("apart")).agg(F.collect_list(member).alias("members"))
+    common = lists.where("pos >= cut").select("tok", F.array(member).alias("members"))
+    return materialize(counted.select("tok", "members").unionByName(common), "postings")
+
+
+def _roots(lists: DataFrame, sketches: DataFrame, sets_of, percent: int) -> DataFrame:
+    """(row, root) of the nodes that link with others; drops the tables it reads after their last reader."""
+    whole = lists.where(F.size("members") > 1).select(F.explode("members").alias("x"), "members").select("x", F.explode("members").alias("y"))
+    whole = whole.where(F.expr(f"x.row < y.row AND {_in_reach(percent, 'x', 'y')}"))
+    whole = whole.select(F.col("x.row").alias("a"), F.col("y.row").alias("b")).distinct()
+    for key, side in (("a", "x"), ("b", "y")):
+        whole = whole.join(sketches.select(F.col("row").alias(key), F.struct("n", *SKETCH).alias(side)), key)
+    whole = whole.where(F.expr(_alike(percent, "x", "y"))).select("a", "b")
+    postings = lists.where(F.size("members") == 1).select("tok", F.col("members")[0].alias("x")).select("tok", "x.row", "x.n", "x.pos")
+    postings = materialize(postings.join(sketches.drop("n"), "row"), "long-postings")
 
-def _roots(postings: DataFrame, sets_of, percent: int) -> DataFrame:
-    """(set_key, root) of the sets that link with others; drops the tables it reads after their last reader."""
     # A list's pivots: the member that has the shingle earliest in its order, as an original has fewer rare
     # shingles than its near copies, and some that a hash picks for each list anew.
-    member = F.struct("pos", "n", "set_key", *SKETCH)
-    picks = [F.min_by(member, F.xxhash64("tok", "set_key", F.lit(i))).alias(f"p{i}") for i in range(PIVOTS)]
+    member = F.struct("pos", "n", "row", *SKETCH)
+    picks = [F.min_by(member, F.xxhash64("tok", "row", F.lit(i))).alias(f"p{i}") for i in range(PIVOTS)]
     pivots = postings.groupBy("tok").agg(F.min(member).alias("p"), *picks)
     pivots = pivots.select(F.col("tok").alias("k"), F.array_distinct(F.array("p", *[f"p{i}" for i in range(PIVOTS)])).alias("v"))
     star = with_value(postings, "tok", pivots).withColumn("y", F.explode("v")).drop("v")
     star = star.select(F.struct(*[c for c in postings.columns if c != "tok"]).alias("x"), "y")
-    star = star.where(F.expr(f"x.set_key <> y.set_key AND {_passes(percent, 'x', 'y')}"))
+    star = star.where(F.expr(f"x.row <> y.row AND {_passes(percent, 'x', 'y')}"))
     pair = [F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")]
-    tried = star.select(F.col("x.set_key").alias("x"), F.col("y.set_key").alias("y")).select(*pair)
-    tried = materialize(tried.distinct(), "star-pairs")
+    star = star.select(F.col("x.row").alias("x"), F.col("y.row").alias("y")).select(*pair)
+    tried = materialize(whole.unionByName(star).distinct(), "tried-pairs")
+    discard(lists, sketches)
     sets = sets_of(tried)
     first = sets.linked(tried)
     discard(sets.table)
     roots = materialize(components(first), "roots")
 
-    # Then the members of a list whose components differ, with each other.
+    # Then the members of a long list whose components differ, with each other.
     of = roots.toDF("k", "v")
-    open_lists = with_value(postings, "set_key", of).withColumn("root", F.coalesce("v", "set_key")).drop("v")
+    open_lists = with_value(postings, "row", of).withColumn("root", F.coalesce("v", "row")).drop("v")
     mixed = open_lists.groupBy("tok").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("tok")
     open_lists = materialize(open_lists.join(mixed, "tok", "left_semi"), "open-postings")
     discard(postings)
     columns = [c for c in open_lists.columns if c != "tok"]
-    x = open_lists.select("tok", F.col("set_key").alias("by"), F.struct(*columns).alias("x"))
+    x = open_lists.select("tok", F.col("row").alias("by"), F.struct(*columns).alias("x"))
     y = open_lists.select("tok", F.struct(*columns).alias("y"))
     rest = salted_join(x, y, "tok", "by", hot_keys(open_lists, "tok"))
     rest = rest.where(F.expr(f"x.root < y.root AND {_passes(percent, 'x', 'y')}"))
-    rest = rest.select(F.col("x.set_key").alias("x"), F.col("y.set_key").alias("y")).select(*pair).distinct()
+    rest = rest.select(F.col("x.row").alias("x"), F.col("y.row").alias("y")).select(*pair).distinct()
     rest = materialize(rest.join(tried, ["a", "b"], "left_anti"), "rest-pairs")
     discard(open_lists, tried)
     if not rest.isEmpty():

@@ -184,6 +184,27 @@ def test_ngram_join_equals_all_pairs(docs, rows, size, percent):
     assert got == sorted(str(x) for x in plain_components(rows, size, percent))
 
 
+def test_ngram_join_short_lists_are_done_at_once_and_texts_travel_packed(spark, monkeypatch):
+    r = random.Random(9)
+    long = [" ".join(f"w{r.randrange(400)}" for _ in range(300)) for _ in range(60)]
+    near = [t + " one more" for t in long[:20]]  # links
+    part = [" ".join(t.split()[:30] + [f"z{r.randrange(9999)}" for _ in range(270)]) for t in long[20:40]]  # share shingles, no links
+    texts = long + near + part
+    made, real = {}, ngramjoin.materialize
+
+    def kept(df, name):
+        out = real(df, name)
+        made[name] = (out.count(), sum(len(x) for row in out.collect() for x in row if isinstance(x, (bytes, bytearray, list))))
+        return out
+
+    monkeypatch.setattr(ngramjoin, "materialize", kept)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {x.doc_id: x.component_id for x in ngramjoin.link_components(docs, size=3, percent=80).collect()}
+    assert got == {i: i - 60 if 60 <= i < 80 else i for i in range(len(texts))}
+    assert made["open-postings"][0] == 0  # every list has two members, which have been compared
+    assert made["packed-texts"][1] < 40 * 300 * 8 / 2  # not half of the shingles' hashes of the 40 candidates
+
+
 def test_ngram_join_chains_and_common_shingles(spark, empty, monkeypatch):
     r = random.Random(11)
     monkeypatch.setattr(ngramjoin, "FEW", 3)  # few documents make a shingle common
