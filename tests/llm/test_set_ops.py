@@ -188,7 +188,7 @@ def test_ngram_join_short_lists_are_done_at_once_and_texts_travel_packed(spark,
     r = random.Random(9)
     long = [" ".join(f"w{r.randrange(400)}" for _ in range(300)) for _ in range(60)]
     near = [t + " one more" for t in long[:20]]  # links
-    part = [" ".join(t.split()[:30] + [f"z{r.randrange(9999)}" for _ in range(270)]) for t in long[20:40]]  # share shingles, no links
+    part = [" ".join(t.split()[:250] + [f"z{r.randrange(9999)}" for _ in range(50)]) for t in long[20:40]]  # share shingles, no links
     texts = long + near + part
     made, real = {}, ngramjoin.materialize
 
