@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
@@ -96,6 +97,16 @@ def drop_materialized(spark: SparkSession, since: int = 0, keep: tuple[str, ...]
     return len(gone)
 
 
+def release(spark: SparkSession) -> None:
+    """Has the driver let go of what finished jobs left: their shuffle files, broadcasts and plans.
+
+    Spark drops these once the driver's garbage is collected, which by itself may come
+    long after; an operator of many jobs calls this between its phases.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def join_keys(df: DataFrame, keys: DataFrame, condition: str, how: str) -> DataFrame:
     """``df`` semi or anti joined with distinct keys.
 

@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import add_columns, discard, drop_materialized, hot_keys, join_keys, largest, materialize, materialized, parts_of, ship, small_batches, table, unused, with_value
+from .common import add_columns, discard, drop_materialized, hot_keys, join_keys, largest, materialize, materialized, parts_of, release, ship, small_batches, table, unused, with_value
 
 #: Shingles are counted in this many buckets, by bits of their hash from this one on; a clash only changes the order.
 COUNT_BUCKETS, COUNT_PART, COUNT_SHIFT = 1 << 20, 1 << 12, 24
@@ -55,6 +55,8 @@ PIVOTS = 5
 KEPT_SHINGLES = 1 << 21
 #: Documents that a common shingle is in at least; edges that one task of a round of components handles.
 FEW, EDGES_A_TASK = 1000, 200_000
+#: Edges up to which what is left of them is closed at once, in one task; the bound holds whatever the input.
+FEW_EDGES = 1 << 15
 
 _MIX = [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63, 0xD6E8FEB86659FD93]
 _words: dict[bytes, int] = {}
@@ -299,10 +301,12 @@ def components(edges: DataFrame) -> DataFrame:
     first in the round's hash order, and nodes that took the same one become one.  In
     expectation the nodes of every component halve at least, so rounds grow with the
     logarithm of its size whatever its shape.  Every round is written to the shared folder.
+    Each costs the driver a few jobs, however few edges are left, so the last
+    FEW_EDGES, a bounded number, are closed in one step.
     """
     left = materialize(edges.where("a <> b").select("a", "b").distinct(), "edges")
     rounds: list[tuple[DataFrame, dict]] = []
-    while n := left.count():
+    while (n := left.count()) > FEW_EDGES:
         tasks = -(-n // EDGES_A_TASK)  # the edges dwindle, and so do the tasks of a round
         near = left.selectExpr("inline(array(struct(a AS k, b AS other), struct(b AS k, a AS other), struct(a AS k, a AS other), struct(b AS k, b AS other)))")
         near = near.groupBy("k").agg(
@@ -318,6 +322,9 @@ def components(edges: DataFrame) -> DataFrame:
         now = materialize(ends.distinct().coalesce(tasks), "edges")
         discard(left)
         left = now
+    if n:
+        rounds.append((materialize(_closed(left), "labels"), {}))
+        discard(left)
     if not rounds:
         return left.select(F.col("a").alias("node"), F.col("b").alias("root"))
     roots = rounds[-1][0]
@@ -328,6 +335,31 @@ def components(edges: DataFrame) -> DataFrame:
     return roots.toDF("node", "root")
 
 
+def _closed(edges: DataFrame) -> DataFrame:
+    """(k, v) for the nodes of at most FEW_EDGES edges, v being the component's smallest node."""
+
+    def close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        above: dict = {}
+
+        def top(x):
+            while above.setdefault(x, x) != x:
+                above[x] = x = above[above[x]]
+            return x
+
+        kind = None
+        for batch in batches:
+            kind = batch.schema.field("a").type
+            for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), strict=True):
+                a, b = sorted((top(a), top(b)))
+                above[b] = a
+        if above:
+            nodes = list(above)
+            yield pa.RecordBatch.from_arrays([pa.array(nodes, kind), pa.array([top(x) for x in nodes], kind)], ["k", "v"])
+
+    kind = edges.schema["a"].dataType
+    return edges.coalesce(1).mapInArrow(close, T.StructType([T.StructField("k", kind), T.StructField("v", kind)]))
+
+
 def link_components(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 80
 ) -> DataFrame:
@@ -350,11 +382,13 @@ def link_components(
     sketches = materialize(some.select("row", "n", *SKETCH), "sketches")
     lists = _lists(some, nodes)
     discard(made)
+    release(spark)
     roots = _roots(lists, sketches, lambda pairs: Sets(pairs, nodes, docs, id_col, text_col, size, percent), percent)
 
     placed = nodes.join(roots.toDF("row", "root"), "row", "left").withColumn("root", F.coalesce("root", "row"))
     placed = materialize(placed, "placed")
     drop_materialized(spark, before, (rows._materialized, placed._materialized))  # what follows reads these only
+    release(spark)
     smallest = placed.groupBy("root").agg(
         F.min("doc_id").alias("v_id"),
         F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "set_key")).alias("v_first"),
@@ -413,10 +447,12 @@ def _roots(lists: DataFrame, sketches: DataFrame, sets_of, percent: int) -> Data
     star = star.select(F.col("x.row").alias("x"), F.col("y.row").alias("y")).select(*pair)
     tried = materialize(whole.unionByName(star).distinct(), "tried-pairs")
     discard(lists, sketches)
+    release(tried.sparkSession)
     sets = sets_of(tried)
     first = sets.linked(tried)
     discard(sets.table)
     roots = materialize(components(first), "roots")
+    release(tried.sparkSession)
 
     # Then the members of a long list whose components differ, with each other.
     of = roots.toDF("k", "v")

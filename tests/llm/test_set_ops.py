@@ -239,6 +239,24 @@ def test_components_of_a_long_chain_take_few_rounds(spark, monkeypatch):
     assert sorted(map(len, groups.values())) == [3, 501, n]
 
 
+@pytest.mark.parametrize(("few", "most"), [(None, 1), (40, 15), (0, 19)])
+def test_components_close_few_edges_at_once(spark, monkeypatch, few, most):
+    if few is not None:  # rounds first, the rest of them at once
+        monkeypatch.setattr(ngramjoin, "FEW_EDGES", few)
+    ids = list(range(900))
+    random.Random(4).shuffle(ids)
+    edges = list(zip(ids[:500], ids[1:500], strict=False)) + [(ids[500], x) for x in ids[501:800]] + list(zip(ids[800::2], ids[801::2], strict=True))
+    rounds, real = [], ngramjoin.materialize
+    monkeypatch.setattr(ngramjoin, "materialize", lambda df, name: rounds.append(name) or real(df, name))
+    got = ngramjoin.components(spark.createDataFrame([*edges, (7, 7), (7, None)], "a long, b long")).collect()
+    assert 0 < rounds.count("labels") <= most
+    groups = defaultdict(set)
+    for x in got:
+        groups[x.root].add(x.node)
+    assert len(got) == 900 and all(k in v for k, v in groups.items())
+    assert sorted(map(sorted, groups.values())) == sorted(map(sorted, [ids[:500], ids[500:800], *(ids[i : i + 2] for i in range(800, 900, 2))]))
+
+
 def test_keep_one_beside_clashing_names(docs):
     more = docs.withColumns({c: F.lit("kept") for c in ("_id", "_hash", "_h", "_i", "_HASH_", "i", "h", "k", "v", "salt", "stays", "set_key")})
     kept = ngramjoin.keep_one(more)
